@@ -88,13 +88,8 @@ def audit_inputs(spark, folder):
     data = rows.join(customer, F.col("__k") == F.col("c_custkey")).withColumnRenamed("c_mktsegment", "entity_id")
     columns = [c for c in rows.columns if c != "__k"]
     text = FO.row_text(rows.select(columns), columns)
-    scanned = FO.scan(data, text, ["entity_id"])
-    details = F.concat(FO.regex_detections(), FO.keyword_detections())
-    found = scanned.select("entity_id", "n_rows", details.alias("detection_details")).select(
-        "entity_id", F.lit("customers").alias("source"), "n_rows", F.lit(len(columns)).alias("n_cols"),
-        F.transform("detection_details", lambda d: d["type"]).alias("pii_detected"), "detection_details",
-        FO.indicator_array(columns).alias("column_pii"), FO.mean_confidence(F.col("detection_details")).alias("average_confidence"),
-        F.col("n_rows").alias("unique_consumers"), F.lit(None).cast("string").alias("error"))
+    scanned = FO.scan(data, text, ["entity_id"]).withColumnRenamed("entity_id", "source")
+    found = FO.report_from_scan(scanned, columns).withColumn("entity_id", F.col("source"))
     policies = S.policies(customer.select("c_mktsegment").distinct(), "c_mktsegment").select(
         "entity_id", F.lit("CT").alias("jurisdiction"), "text")
     statutes = table(spark, folder, "documents", ["doc_id", "text"], heavy=True).select(F.lit("CT").alias("jurisdiction"), "doc_id", "text")

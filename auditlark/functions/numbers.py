@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from auditlark.functions.literals import constant
+
 MICROS_PER_DAY = 86_400_000_000
 
 
@@ -46,7 +48,7 @@ def uniform_int(key: Column, salt: str, seed: int = 42) -> Column:
 def pick(key: Column, salt: str, values, seed: int = 42) -> Column:
     """One of the values, chosen by the row key."""
     return F.element_at(
-        F.array(*[F.lit(v) for v in values]), (F.pmod(uniform_int(key, salt, seed), F.lit(len(values))) + 1).cast("int")
+        constant(list(values)), (F.pmod(uniform_int(key, salt, seed), F.lit(len(values))) + 1).cast("int")
     )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from auditlark.functions.literals import constant
 from auditlark.rulepack import DEFAULT_PACK, RulePack
 
 # Unicode character classes, and a dot that stops at line feeds only.
@@ -47,17 +48,20 @@ def strip(text: Column) -> Column:
 
 
 def contains_any(text: Column, terms) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in terms])
-
-
-def first_term(text: Column, terms) -> Column:
-    """The first term, in declared order, that the text holds; else null."""
-    return F.coalesce(*[F.when(F.contains(text, F.lit(t)), F.lit(t)) for t in terms])
+    """Does the text hold any term? Bind a computed text with ``let`` first."""
+    if len(terms) == 1:
+        return F.contains(text, F.lit(terms[0]))
+    return F.exists(constant(list(terms)), lambda t: F.contains(text, t))
 
 
 def matched_terms(text: Column, terms) -> Column:
     """All terms the text holds, in declared order."""
-    return F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(text, t))
+    return F.filter(constant(list(terms)), lambda t: F.contains(text, t))
+
+
+def first_term(text: Column, terms) -> Column:
+    """The first term, in declared order, that the text holds; else null."""
+    return F.get(matched_terms(text, terms), F.lit(0))
 
 
 def pattern_count(text: Column, pattern: str, needs=(), possible: Column | None = None) -> Column:
@@ -94,31 +98,41 @@ def term_masks(text: Column, terms, word_boundary: bool = False) -> list[Column]
     generated method grows too long to be compiled.
     """
     def mask(chunk):
-        if word_boundary:
-            needles = [rf"{REGEX_FLAGS}\b{regex_quote(t)}\b" for t in chunk]
-            hit = lambda needle: F.rlike(text, needle)
-        else:
-            needles = list(chunk)
-            hit = lambda needle: F.contains(text, needle)
-        bits = F.array(*[
-            F.struct(F.lit(n).alias("needle"), F.lit(1 << i).cast("bigint").alias("bit")) for i, n in enumerate(needles)
-        ])
+        needles = [rf"{REGEX_FLAGS}\b{regex_quote(t)}\b" for t in chunk] if word_boundary else list(chunk)
+        hit = F.rlike if word_boundary else F.contains
+        bits = constant([{"needle": n, "bit": 1 << i} for i, n in enumerate(needles)])
         return F.aggregate(
-            bits, F.lit(0).cast("bigint"), lambda acc, x: F.when(hit(x["needle"]), acc.bitwiseOR(x["bit"])).otherwise(acc)
+            bits, F.lit(0).cast("bigint"), lambda acc, x: F.when(hit(text, x["needle"]), acc.bitwiseOR(x["bit"])).otherwise(acc)
         )
 
     return [mask(terms[start:start + TERMS_PER_MASK]) for start in range(0, len(terms), TERMS_PER_MASK)]
 
 
-def mask_bit(masks: list[Column], index: int) -> Column:
-    mask = masks[index // TERMS_PER_MASK]
-    return mask.bitwiseAND(F.lit(1 << (index % TERMS_PER_MASK)).cast("bigint")) != 0
+def mask_terms(groups: list[tuple[str, tuple]]) -> list[dict]:
+    """A table of (name, terms) with the mask position of every term, the terms
+    of all groups being numbered through."""
+    rows, position = [], 0
+    for name, terms in groups:
+        places = range(position, position + len(terms))
+        rows.append({"name": name, "terms": [
+            {"term": t, "word": i // TERMS_PER_MASK, "bit": 1 << (i % TERMS_PER_MASK)} for t, i in zip(terms, places)
+        ]})
+        position += len(terms)
+    return rows
+
+
+def seen_terms(masks: list[Column], terms: Column) -> Column:
+    """Terms of one ``mask_terms`` row whose bits are set, in declared order."""
+    words = F.array(*masks)
+    hit = lambda t: F.get(words, t["word"].cast("int")).bitwiseAND(t["bit"]) != 0
+    return F.transform(F.filter(terms, hit), lambda t: t["term"])
 
 
 def column_hint(name: Column, pack: RulePack = DEFAULT_PACK) -> Column:
     """PII type a column name suggests: the first type with a hint in it."""
-    lowered = F.lower(strip(name))
-    return F.coalesce(*[F.when(contains_any(lowered, hints), F.lit(kind)) for kind, hints in pack.column_hints])
+    table = constant([{"type": kind, "hints": list(hints)} for kind, hints in pack.column_hints])
+    return let(F.lower(strip(name)), lambda n: F.get(
+        F.filter(table, lambda row: F.exists(row["hints"], lambda h: F.contains(n, h))), F.lit(0))["type"])
 
 
 def number_words_to_digits(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
@@ -150,7 +164,7 @@ WORD = r"[\p{L}\p{N}_]{2,}"
 def word_set(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
     """Distinct words of a text without stop words."""
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    return F.array_except(words, F.array(*[F.lit(w) for w in pack.stop_words]))
+    return F.array_except(words, constant(list(pack.stop_words)))
 
 
 def word_set_cosine(a: Column, b: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from auditlark.functions import numbers as N
 from auditlark.functions import text as X
+from auditlark.functions.literals import constant
 from auditlark.rulepack import DEFAULT_PACK, RulePack, lookup_frame
 
 METHOD_RANK = {"regex": 0, "keyword": 1, "ml_model": 2}
@@ -92,10 +93,10 @@ def scan(
     )
 
 
-def _detection(ordinal: int, kind: str, method: str, count: Column, terms: Column, confidence: Column) -> Column:
+def _detection(ordinal, kind, method: str, count, terms, confidence) -> Column:
     return F.struct(
-        F.lit(ordinal).alias("ordinal"),
-        F.lit(kind).alias("type"),
+        ordinal.cast("int").alias("ordinal"),
+        kind.alias("type"),
         F.lit(method).alias("method"),
         count.cast("bigint").alias("count"),
         terms.cast("array<string>").alias("matched_terms"),
@@ -105,28 +106,25 @@ def _detection(ordinal: int, kind: str, method: str, count: Column, terms: Colum
 
 def regex_detections(pack: RulePack = DEFAULT_PACK) -> Column:
     """Array of pattern hits over the columns ``scan`` leaves."""
-    hits = [
-        F.when(F.col(f"p{i}") > 0,
-               _detection(i, kind, "regex", F.col(f"p{i}"), F.lit(None), F.lit(0.95)))
-        for i, (kind, _) in enumerate(pack.patterns)
-    ]
-    return F.array_compact(F.array(*hits))
+    counts = F.array(*[F.col(f"p{i}") for i in range(len(pack.patterns))])
+    rows = constant([{"ordinal": i, "type": kind} for i, (kind, _) in enumerate(pack.patterns)])
+    count = lambda r: F.get(counts, r["ordinal"].cast("int"))
+    return F.transform(
+        F.filter(rows, lambda r: count(r) > 0),
+        lambda r: _detection(r["ordinal"], r["type"], "regex", count(r), F.lit(None), F.lit(0.95)))
 
 
 def keyword_detections(pack: RulePack = DEFAULT_PACK) -> Column:
     """Array of keyword hits, one per category with any term seen."""
     first = len(pack.patterns)
     masks = [F.col(f"m{j}") for j in range(-(-len(pack.terms()) // X.TERMS_PER_MASK))]
-    hits, index = [], 0
-    for n, (category, terms) in enumerate(pack.keywords):
-        found = F.array_compact(F.array(*[
-            F.when(X.mask_bit(masks, index + k), F.lit(t)) for k, t in enumerate(terms)
-        ]))
-        index += len(terms)
-        confidence = F.least(F.lit(0.5) + F.lit(0.15) * F.size(found), F.lit(0.9))
-        hits.append(F.when(F.size(found) > 0,
-                           _detection(first + n, category, "keyword", F.lit(None), found, confidence)))
-    return F.array_compact(F.array(*hits))
+    rows = [{"ordinal": first + n, **row} for n, row in enumerate(X.mask_terms(pack.keywords))]
+    hits = F.transform(constant(rows), lambda r: F.struct(
+        r["ordinal"].alias("ordinal"), r["name"].alias("name"), X.seen_terms(masks, r["terms"]).alias("seen")))
+    confidence = lambda h: F.least(F.lit(0.5) + F.lit(0.15) * F.size(h["seen"]), F.lit(0.9))
+    return F.transform(
+        F.filter(hits, lambda h: F.size(h["seen"]) > 0),
+        lambda h: _detection(h["ordinal"], h["name"], "keyword", F.lit(None), h["seen"], confidence(h)))
 
 
 def detections(scanned: DataFrame, keys: list[str], pack: RulePack = DEFAULT_PACK) -> DataFrame:
@@ -151,6 +149,24 @@ def best_per_type(found: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def best_in_row(details: Column) -> Column:
+    """``best_per_type`` on the detection array of one source."""
+    rank = lambda d: F.element_at(
+        F.create_map(*[x for m, r in METHOD_RANK.items() for x in (F.lit(m), F.lit(r))]), d["method"])
+
+    def beaten(d: Column) -> Column:
+        better = lambda o: (o["type"] == d["type"]) & (
+            (o["confidence"] > d["confidence"]) | ((o["confidence"] == d["confidence"]) & (rank(o) < rank(d))))
+        return F.exists(details, better)
+
+    def placed(d: Column) -> Column:
+        same = F.filter(details, lambda o: o["type"] == d["type"])
+        first = F.array_min(F.transform(same, lambda o: o["ordinal"]))
+        return F.struct(first.alias("ordinal"), *[d[f.name].alias(f.name) for f in DETECTION.fields[1:]])
+
+    return F.sort_array(F.transform(F.filter(details, lambda d: ~beaten(d)), placed))
+
+
 def mean_confidence(details: Column) -> Column:
     """Mean over a source's details, added up in their order; 0 if none."""
     total = F.aggregate(details, F.lit(0.0), lambda acc, d: acc + d["confidence"])
@@ -213,12 +229,9 @@ def column_indicators(spark: SparkSession, source: str, columns: list[str], pack
 
 
 def indicator_array(columns: list[str], pack: RulePack = DEFAULT_PACK) -> Column:
-    hints = [
-        F.when(X.column_hint(F.lit(c), pack).isNotNull(),
-               F.struct(F.lit(c).alias("column"), X.column_hint(F.lit(c), pack).alias("likely_pii_type")))
-        for c in columns
-    ]
-    return F.array_compact(F.array(*hints))
+    named = F.transform(constant(list(columns)), lambda c: F.struct(
+        c.alias("column"), X.column_hint(c, pack).alias("likely_pii_type")))
+    return F.filter(named, lambda s: s["likely_pii_type"].isNotNull())
 
 
 REPORT_SCHEMA = (
@@ -229,13 +242,45 @@ REPORT_SCHEMA = (
 )
 
 
-def _fill(summary: DataFrame) -> DataFrame:
-    empty_details = F.array().cast("array<struct<ordinal:int,type:string,method:string,count:bigint,matched_terms:array<string>,confidence:double>>")
-    return (
-        summary.withColumn("pii_detected", F.coalesce("pii_detected", F.array().cast("array<string>")))
-        .withColumn("detection_details", F.coalesce("detection_details", empty_details))
-        .withColumn("average_confidence", F.coalesce("average_confidence", F.lit(0.0)))
-    )
+def _conform(report: DataFrame) -> DataFrame:
+    schema = T._parse_datatype_string(REPORT_SCHEMA)
+    return report.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def report_from_scan(
+    scanned: DataFrame, columns: list[str], pack: RulePack = DEFAULT_PACK, consumers: DataFrame | None = None,
+    model_hits: DataFrame | None = None,
+) -> DataFrame:
+    """Report rows of a scan keyed by ``source``; the scan is read once.
+
+    ``consumers`` (``source, unique_consumers``) defaults to the row count.
+    ``model_hits`` (``source`` and ``DETECTION`` fields) adds classifier findings.
+    """
+    found = scanned.select(
+        "source", "n_rows", F.concat(regex_detections(pack), keyword_detections(pack)).alias("found"))
+    kinds = [k for k, _ in pack.patterns] + [c for c, _ in pack.keywords]
+    contested = len(set(kinds)) < len(kinds)
+    if model_hits is not None:
+        by_model = model_hits.groupBy("source").agg(
+            F.collect_list(F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DETECTION.fields])).alias("by_model"))
+        found = found.join(by_model, "source", "left").select(
+            "source", "n_rows", F.concat("found", F.coalesce("by_model", F.array().cast(T.ArrayType(DETECTION)))).alias("found"))
+        contested = True
+    # Without shared types a scan row already holds the best hit of each type.
+    details = best_in_row(F.col("found")) if contested else F.col("found")
+    report = found.select("source", "n_rows", details.alias("detection_details"))
+    if consumers is not None:
+        report = report.join(consumers, "source", "left")
+    else:
+        report = report.withColumn("unique_consumers", F.col("n_rows"))
+    return _conform(report.select(
+        "*",
+        F.lit(len(columns)).alias("n_cols"),
+        F.transform("detection_details", lambda d: d["type"]).alias("pii_detected"),
+        mean_confidence(F.col("detection_details")).alias("average_confidence"),
+        indicator_array(columns, pack).alias("column_pii"),
+        F.lit(None).cast("string").alias("error"),
+    ))
 
 
 def table_report(
@@ -248,37 +293,16 @@ def table_report(
     include_headers: bool = False,
     approximate: bool = False,
 ) -> DataFrame:
-    """PII report row of one whole table.
-
-    ``model_hits`` (``DETECTION`` fields) adds classifier findings.
-    """
-    named = df.withColumn("source", F.lit(source)) if "source" not in df.columns else df
-    columns = df.columns
-    scanned = scan(
-        named.select(F.lit(source).alias("__source"), *columns), row_text(df, columns, cell_separator), ["__source"],
-        pack, word_boundary, columns if include_headers else None,
-    ).withColumnRenamed("__source", "source")
-    both = F.concat(regex_detections(pack), keyword_detections(pack))
-    found = scanned.select("source", F.inline(both))
-    if model_hits is not None:
-        found = found.unionByName(model_hits.select("source", *[f.name for f in DETECTION.fields]))
-    summary = summarize(best_per_type(found, ["source"]), ["source"])
-    consumers = distinct_consumers(df.select(F.lit(source).alias("__source"), *columns), ["__source"], pack=pack,
-                                   approximate=approximate).withColumnRenamed("__source", "source")
-    report = (
-        scanned.select("source", "n_rows")
-        .join(summary, "source", "left")
-        .join(consumers, "source", "left")
-        .withColumn("n_cols", F.lit(len(columns)))
-        .withColumn("column_pii", indicator_array(columns, pack))
-        .withColumn("error", F.lit(None).cast("string"))
-    )
-    return _conform(_fill(report))
-
-
-def _conform(report: DataFrame) -> DataFrame:
-    schema = T._parse_datatype_string(REPORT_SCHEMA)
-    return report.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """PII report row of one whole table, all its columns scanned."""
+    text = row_text(df, df.columns, cell_separator)
+    scanned = scan(df.select(F.lit(source).alias("source"), text.alias("row_text")), F.col("row_text"), ["source"],
+                   pack, word_boundary, df.columns if include_headers else None)
+    id_column = consumer_column(df.columns, pack)
+    consumers = None
+    if id_column is not None:
+        ids = df.select(F.lit(source).alias("source"), F.col(f"`{id_column}`").alias("consumer"))
+        consumers = distinct_consumers(ids, ["source"], "consumer", pack, approximate)
+    return report_from_scan(scanned, df.columns, pack, consumers, model_hits)
 
 
 def text_report(
@@ -288,30 +312,13 @@ def text_report(
     pack: RulePack = DEFAULT_PACK,
     id_column: str | None = None,
     word_boundary: bool = False,
+    model_hits: DataFrame | None = None,
 ) -> DataFrame:
     """PII report rows of a text table, one per source value, in one scan."""
-    keyed = df.withColumnRenamed(source_column, "source") if source_column != "source" else df
+    keyed = df.withColumnRenamed(source_column, "source")
     scanned = scan(keyed, F.col(text_column), ["source"], pack, word_boundary)
-    details = F.concat(regex_detections(pack), keyword_detections(pack))
-    kinds = [k for k, _ in pack.patterns] + [c for c, _ in pack.keywords]
-    if len(set(kinds)) == len(kinds):
-        # No type is found by two methods: the scan row already holds the best hit per type.
-        report = scanned.withColumn("detection_details", details).withColumn(
-            "pii_detected", F.transform("detection_details", lambda d: d["type"])
-        ).withColumn("average_confidence", mean_confidence(F.col("detection_details")))
-    else:
-        summary = summarize(best_per_type(detections(scanned, ["source"], pack), ["source"]), ["source"])
-        report = scanned.join(summary, "source", "left")
-    if id_column:
-        report = report.join(distinct_consumers(keyed, ["source"], id_column, pack), "source", "left")
-    else:
-        report = report.withColumn("unique_consumers", F.col("n_rows"))
-    report = (
-        report.withColumn("n_cols", F.lit(len(df.columns)))
-        .withColumn("column_pii", indicator_array(df.columns, pack))
-        .withColumn("error", F.lit(None).cast("string"))
-    )
-    return _conform(_fill(report))
+    consumers = distinct_consumers(keyed, ["source"], id_column, pack) if id_column else None
+    return report_from_scan(scanned, df.columns, pack, consumers, model_hits)
 
 
 def column_scan(df: DataFrame, source: str, pack: RulePack = DEFAULT_PACK, columns_per_pass: int = 24) -> DataFrame:

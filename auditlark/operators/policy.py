@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from auditlark.functions import numbers as N
 from auditlark.functions import text as X
+from auditlark.functions.literals import constant
 from auditlark.rulepack import APPEAL_CONFIDENCE, DEFAULT_PACK, RulePack
 
 RIGHTS_PER_PASS = 64
@@ -27,9 +28,8 @@ def paragraph_rows(docs: DataFrame, keys: list[str], text: str, min_length: int
 
 def lexical_scores(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
     """Best paragraph score per right of one document: array of (right, best)."""
-    rights = F.array(*[
-        F.struct(F.lit(r).alias("right"), X.word_set(F.lit(d), pack).alias("words")) for r, d, _ in pack.policy_rights
-    ])
+    described = constant([{"right": r, "text": d} for r, d, _ in pack.policy_rights])
+    rights = F.transform(described, lambda r: F.struct(r["right"].alias("right"), X.word_set(r["text"], pack).alias("words")))
     words = F.transform(X.paragraphs(text), lambda p: X.word_set(p, pack))
     return X.let(words, lambda ws: F.transform(rights, lambda r: F.struct(
         r["right"].alias("right"),
@@ -39,9 +39,8 @@ def lexical_scores(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
 
 def keyword_flags(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
     """Per right: does the whole policy hold one of its keywords?"""
-    return X.let(F.lower(text), lambda t: F.array(*[
-        X.contains_any(t, [k.lower() for k in keywords]) for _, _, keywords in pack.policy_rights
-    ]))
+    table = constant([[k.lower() for k in keywords] for _, _, keywords in pack.policy_rights])
+    return X.let(F.lower(text), lambda t: F.transform(table, lambda ks: F.exists(ks, lambda k: F.contains(t, k))))
 
 
 def coverage_from_text(
@@ -97,7 +96,7 @@ def best_vector_match(
 
 def coverage_from_scores(scores: DataFrame, policies: DataFrame, entity: str, text: str, pack: RulePack = DEFAULT_PACK) -> DataFrame:
     """Coverage rows for scores of any origin plus the keyword test on the policies."""
-    names = F.array(*[F.lit(r) for r, _, _ in pack.policy_rights])
+    names = constant([r for r, _, _ in pack.policy_rights])
     flags = (
         policies.select(F.col(entity).alias("entity_id"),
                         F.explode(F.arrays_zip(names.alias("right"), keyword_flags(F.col(text), pack).alias("flag"))).alias("f"))
@@ -159,10 +158,8 @@ def appeal_quality(policies: DataFrame, entity: str, text: str, pack: RulePack =
     per_entity = (
         policies.select(F.col(entity).alias("entity_id"), X.once(mask)).groupBy("entity_id").agg(F.bit_or("mask").alias("mask"))
     )
-    found = lambda names, offset: F.array_compact(F.array(*[
-        F.when(X.mask_bit([F.col("mask")], offset + i), F.lit(t)) for i, t in enumerate(names)
-    ]))
-    basic, detailed = found(pack.appeal_terms, 0), found(pack.appeal_detail_terms, len(pack.appeal_terms))
+    numbered = X.mask_terms([("basic", pack.appeal_terms), ("detailed", pack.appeal_detail_terms)])
+    basic, detailed = [X.seen_terms([F.col("mask")], constant(row["terms"])) for row in numbered]
     confidence = F.create_map(*[x for q, c in APPEAL_CONFIDENCE
                                 for x in (F.lit(q), F.lit(c))])
     return (

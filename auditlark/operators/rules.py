@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlark.functions import text as X
+from auditlark.functions.literals import constant
 from auditlark.rulepack import DEFAULT_PACK, RulePack
 
 
@@ -77,26 +78,15 @@ def extract_rules(docs: DataFrame, corpus: str, order: str, text: str, pack: Rul
 
 def _rule_rows(grouped: DataFrame, n_masks: int, pack: RulePack) -> DataFrame:
     masks = [F.col(f"m{j}") for j in range(n_masks)]
-    position = 0
-
-    def bit() -> Column:
-        nonlocal position
-        position += 1
-        return X.mask_bit(masks, position - 1)
-
-    categories = F.array_compact(F.array(*[F.when(bit(), F.lit(c)) for c in pack.categories]))
-    evidence = []
-    for right, terms in pack.statute_rights:
-        phrase = F.coalesce(*[F.when(bit(), F.lit(t)) for t in terms])
-        evidence.append(F.when(phrase.isNotNull(), F.struct(F.lit(right).alias("right"), phrase.alias("phrase"))))
-    evidence = F.array_compact(F.array(*evidence))
-    exemptions = []
-    for name, terms in pack.exemptions:
-        present = F.lit(False)
-        for _ in terms:
-            present = present | bit()
-        exemptions += [F.lit(name), present]
-    exemptions = F.map_filter(F.create_map(*exemptions), lambda _, present: present)
+    groups = [("categories", pack.categories), *pack.statute_rights, *pack.exemptions]
+    numbered = X.mask_terms(groups)
+    n_rights = len(pack.statute_rights)
+    categories = X.seen_terms(masks, constant(numbered[0]["terms"]))
+    phrases = F.transform(constant(numbered[1:1 + n_rights]), lambda r: F.struct(
+        r["name"].alias("right"), F.get(X.seen_terms(masks, r["terms"]), F.lit(0)).alias("phrase")))
+    evidence = F.filter(phrases, lambda e: e["phrase"].isNotNull())
+    named = F.filter(constant(numbered[1 + n_rights:]), lambda r: F.size(X.seen_terms(masks, r["terms"])) > 0)
+    exemptions = F.map_from_entries(F.transform(named, lambda r: F.struct(r["name"].alias("key"), F.lit(True).alias("value"))))
 
     value, confidence = F.lit(None).cast("bigint"), F.lit(pack.threshold_unknown_confidence)
     for i, (level, level_confidence, _) in reversed(list(enumerate(pack.threshold_levels))):

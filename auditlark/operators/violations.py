@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlark.functions import text as X
+from auditlark.functions.literals import constant
 from auditlark.rulepack import DEFAULT_PACK, RulePack
 
 VIOLATION_COLUMNS = {
@@ -31,15 +32,14 @@ def union_violations(*parts: DataFrame) -> DataFrame:
 
 def disclosed_categories(policies: DataFrame, entity: str, text: str, pack: RulePack = DEFAULT_PACK) -> DataFrame:
     """Per entity: categories its policies mention. Texts stay where they are read."""
-    mentioned = X.let(F.lower(F.col(text)), lambda t: F.array(*[
-        X.contains_any(t, terms) for _, terms in pack.disclosure_terms
-    ]))
-    flags = policies.select(F.col(entity).alias("entity_id"), mentioned.alias("f"))
-    names = [c for c, _ in pack.disclosure_terms]
-    grouped = flags.groupBy("entity_id").agg(*[F.bool_or(F.get("f", F.lit(i))).alias(f"f{i}") for i in range(len(names))])
-    return grouped.select(
-        "entity_id", F.array_compact(F.array(*[F.when(F.col(f"f{i}"), F.lit(n)) for i, n in enumerate(names)])).alias("disclosed")
-    )
+    table = constant([{"name": c, "terms": list(terms), "bit": 1 << i} for i, (c, terms) in enumerate(pack.disclosure_terms)])
+    mask = X.let(F.lower(F.coalesce(F.col(text), F.lit(""))), lambda t: F.struct(F.aggregate(
+        table, F.lit(0).cast("bigint"),
+        lambda acc, c: F.when(F.exists(c["terms"], lambda k: F.contains(t, k)), acc.bitwiseOR(c["bit"])).otherwise(acc),
+    ).alias("mask")))
+    grouped = policies.select(F.col(entity).alias("entity_id"), X.once(mask)).groupBy("entity_id").agg(F.bit_or("mask").alias("mask"))
+    named = F.filter(table, lambda c: F.col("mask").bitwiseAND(c["bit"]) != 0)
+    return grouped.select("entity_id", F.transform(named, lambda c: c["name"]).alias("disclosed"))
 
 
 def undisclosed_data(
