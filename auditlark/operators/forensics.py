@@ -346,10 +346,26 @@ def column_scan(df: DataFrame, source: str, pack: RulePack = DEFAULT_PACK, colum
 
 
 def row_flags(df: DataFrame, text: Column, pack: RulePack = DEFAULT_PACK) -> DataFrame:
-    """The table plus ``pii_types``: the pattern types found in each row. No shuffle."""
-    return df.withColumn("pii_types", X.let(text, lambda t: F.array_compact(F.array(*[
-        F.when(X.has_pattern(t, p, pack.needs(p)), F.lit(kind)) for kind, p in pack.patterns
-    ]))))
+    """The table plus ``pii_types``: the pattern types found in each row.
+
+    No shuffle. Filters and generators on the result do not repeat the search,
+    as nothing is pushed below the generator that computes it.
+    """
+    def flags(t: Column, possible: Column, slot: dict[str, int]) -> Column:
+        hits = []
+        for kind, pattern in pack.patterns:
+            hit = X.has_pattern(t, pattern, pack.needs(pattern))
+            probe = pack.probe(pattern)
+            if probe:
+                hit = F.get(possible, F.lit(slot[probe])) & hit
+            hits.append(F.when(hit, F.lit(kind)))
+        return F.struct(F.array_compact(F.array(*hits)).alias("pii_types"))
+
+    probes = X.probes(F.lit(""), pack)
+    slot = {probe: i for i, probe in enumerate(probes)}
+    search = X.let(text, lambda t: X.let(
+        F.array(*([X.has_pattern(t, probe) for probe in probes] or [F.lit(True)])), lambda possible: flags(t, possible, slot)))
+    return df.select("*", X.once(search))
 
 
 def fixed_sample(df: DataFrame, key: str, size: int, seed: int = 42, by: list[str] | None = None) -> DataFrame:
