@@ -13,7 +13,14 @@ FENCED_BLOCK = r"```(?:json)?\s*\n?([\s\S]*?)\n?```"
 
 
 def is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+    """Is the whole text one JSON value?
+
+    The parser stops after the first value and ignores what follows. So the
+    text is parsed as the first of two array elements, and the second must be found.
+    """
+    mark = F.md5(text)
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(', "'), mark, F.lit('"]')))
+    return F.coalesce(F.try_variant_get(pair, "$[1]", "string") == mark, F.lit(False))
 
 
 def _first_balanced(text: Column, opening: str, closing: str) -> Column:
@@ -59,23 +66,19 @@ def unwrap_json(text: Column, depth: int = 4) -> Column:
 
     A plain string is wrapped as ``{"raw": ...}``; malformed text is null.
     """
-    def inner(c: Column) -> Column:
-        is_string = F.schema_of_variant(F.try_parse_json(c)) == "STRING"
-        return F.when(is_string, F.coalesce(F.try_variant_get(F.try_parse_json(c), "$", "string"), c)).otherwise(c)
+    def string_in(c: Column) -> Column:
+        """The text inside a JSON string, null for any other value."""
+        variant = F.try_parse_json(c)
+        return F.when(is_json(c) & (F.schema_of_variant(variant) == "STRING"), F.try_variant_get(variant, "$", "string"))
 
     def unwrap(c: Column) -> Column:
-        opened = inner(c)
-        return F.when(is_json(opened), opened).otherwise(c)
+        return X.let(string_in(c), lambda inner: F.when(is_json(inner), inner).otherwise(c))
 
-    opened = reduce(lambda c, _: X.let(c, unwrap), range(depth), text)
     def finish(c: Column) -> Column:
-        variant = F.try_parse_json(c)
-        return F.when(
-            F.schema_of_variant(variant) == "STRING",
-            F.to_json(F.struct(F.try_variant_get(variant, "$", "string").alias("raw"))),
-        ).when(variant.isNotNull(), c)
+        wrapped = F.to_json(F.struct(string_in(c).alias("raw")))
+        return F.when(string_in(c).isNotNull(), wrapped).when(is_json(c), c)
 
-    return X.let(opened, finish)
+    return X.let(reduce(lambda c, _: X.let(c, unwrap), range(depth), text), finish)
 
 
 def first_key(document: Column, *paths: str) -> Column:

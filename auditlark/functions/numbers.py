@@ -11,13 +11,26 @@ MICROS_PER_DAY = 86_400_000_000
 
 
 def round_exact(value: Column, digits: int) -> Column:
-    """Round the exact binary value, ties to even.
+    """Round the exact binary value, ties to even, to at most seven digits.
 
     ``round`` works on the shortest decimal form and rounds ties up, so 2.675
-    would become 2.68; the number formatter sees the exact value.
+    would become 2.68. Here the product with the power of ten is split into
+    its rounded value and its exact error (halves of 26 bits multiply without
+    rounding); where the product looks like a tie the error decides.
     """
-    pattern = "0." + "0" * digits if digits else "0"
-    return F.call_function("format_number", value.cast("double"), F.lit(pattern)).try_cast("double")
+    power = F.lit(float(10 ** digits))
+
+    def rounded(x: Column) -> Column:
+        product = x * power
+        shifted = x * F.lit(134217729.0)
+        high = shifted - (shifted - x)
+        error = (high * power - product) + (x - high) * power
+        below = F.floor(product).cast("double")
+        tie = product - below == 0.5
+        whole = F.when(tie & (error > 0), below + 1).when(tie & (error < 0), below).otherwise(F.rint(product))
+        return F.when(F.abs(product) < float(1 << 52), whole / power).otherwise(x)
+
+    return F.get(F.transform(F.array(value.cast("double")), rounded), F.lit(0))
 
 
 def whole_days(start: Column, end: Column) -> Column:

@@ -7,8 +7,10 @@ read: no join, no row per (paragraph, right) pair.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,14 +111,17 @@ def coverage_from_scores(scores: DataFrame, policies: DataFrame, entity: str, te
     return _covered(joined, pack)
 
 
-def encode(texts: DataFrame, text: str, encoder, output: str = "vector") -> DataFrame:
-    """Add vectors from a user's encoder: a function of a pandas Series of texts
-    to a Series of float lists, called once per Arrow batch."""
-    import pandas as pd
+def encode(texts: DataFrame, text: str, make_encoder, output: str = "vector") -> DataFrame:
+    """Add vectors from a user's encoder.
 
+    ``make_encoder()`` runs once per task, so a model is loaded once there; it
+    returns a function of a pandas Series of texts to a Series of float lists.
+    """
     @F.pandas_udf("array<float>")
-    def run(batch: pd.Series) -> pd.Series:
-        return encoder(batch)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = make_encoder()
+        for batch in batches:
+            yield encoder(batch)
 
     return texts.withColumn(output, run(F.col(text)))
 

@@ -14,8 +14,12 @@ from auditlark.rulepack import DEFAULT_PACK, RulePack
 from auditlark.session import materialize
 
 
+MAX_LISTED = 100_000
+
+
 @dataclasses.dataclass
 class Audit:
+    entities: DataFrame
     rules: DataFrame
     pii_report: DataFrame
     coverage: DataFrame
@@ -72,6 +76,7 @@ def run_audit(
 
     every = hold(violations.union_violations(missing, undisclosed, threshold, late))
     return Audit(
+        entities=by_entity,
         rules=extracted,
         pii_report=found,
         coverage=coverage,
@@ -84,35 +89,52 @@ def run_audit(
     )
 
 
-def report_rows(audit: Audit, generated_at=None) -> DataFrame:
-    """Nested report rows, one per entity, ready for the JSON sink.
+def _dealt(rows: DataFrame, limit: int) -> DataFrame:
+    """Rows plus ``part``: an entity with more than ``limit`` rows gets several."""
+    sizes = rows.groupBy("entity_id").agg(F.ceil(F.count(F.lit(1)) / limit).alias("__parts"))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != "entity_id"]), F.col("__parts")).cast("int")
+    return rows.join(sizes, "entity_id").withColumn("part", spread).drop("__parts")
+
+
+def report_rows(audit: Audit, generated_at=None, max_listed: int = MAX_LISTED) -> DataFrame:
+    """Nested report rows ready for the JSON sink, one per entity.
 
-    Findings, violations and recommendations of an entity are bounded by its
-    sources times the rule pack's types.
+    Lists longer than ``max_listed`` continue in further rows (``part`` 1, 2,
+    ...) that repeat the summary, so no group outgrows a task.
     """
     stamp = F.lit(generated_at).cast("timestamp") if generated_at else F.current_timestamp()
     clean = F.col("error").isNull()
-    findings = audit.pii_report.groupBy("entity_id").agg(F.struct(
+    totals = audit.pii_report.groupBy("entity_id").agg(
         F.count(F.lit(1)).alias("files_analyzed"),
         F.coalesce(F.sum(F.when(clean, F.col("unique_consumers"))), F.lit(0)).alias("total_unique_consumers"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(clean, F.col("pii_detected")))))).alias("pii_types_detected"),
-        F.sort_array(F.collect_list(F.struct(
-            "source", "n_rows", "n_cols", "pii_detected", "detection_details", "column_pii", "average_confidence",
-            "unique_consumers", "error"))).alias("details"),
-    ).alias("pii_findings"))
-    violation = F.struct(*[c for c in audit.violations.columns if c != "entity_id"])
-    listed = audit.violations.groupBy("entity_id").agg(F.sort_array(F.collect_list(violation)).alias("violations"))
-    advice = audit.recommendations.groupBy("entity_id").agg(
-        F.sort_array(F.collect_list(F.struct("for_violation", "right", "data_category", "priority", "recommendation"))).alias("recommendations"))
+    )
+    # Types are those of the rule pack and the model, so a set of them is small.
+    types = audit.pii_report.where(clean).select("entity_id", F.explode("pii_detected").alias("t")).groupBy("entity_id").agg(
+        F.array_sort(F.collect_set("t")).alias("pii_types_detected"))
+
+    def listed(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
+        return _dealt(rows.select("entity_id", *columns), max_listed).groupBy("entity_id", "part").agg(
+            F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
+
+    details = [c for c in audit.pii_report.columns if c not in ("entity_id",)]
+    lists = [
+        listed(audit.pii_report, "details", details),
+        listed(audit.violations, "violations", [c for c in audit.violations.columns if c != "entity_id"]),
+        listed(audit.recommendations, "recommendations", ["for_violation", "right", "data_category", "priority", "recommendation"]),
+    ]
+    parts = reduce(lambda a, b: a.join(b, ["entity_id", "part"], "full_outer"), lists)
     appeals = audit.appeals.select("entity_id", F.struct("has_appeal", "quality", "matched_terms", "confidence").alias("appeal_procedure"))
-    parts = [findings, listed, advice, appeals]
-    if audit.sla is not None:
-        parts.append(audit.sla.select("entity_id", F.struct(*[c for c in audit.sla.columns if c != "entity_id"]).alias("timeline_analysis")))
     summary = audit.scores.select("entity_id", F.struct(
         "overall_status", "risk_score", "risk_grade", "risk_label", "total_violations", "critical_violations", "high_violations",
     ).alias("executive_summary"))
-    rows = reduce(lambda a, b: a.join(b, "entity_id", "left"), parts, summary)
-    return rows.withColumn("generated_at", stamp)
+    singles = [totals, types, appeals]
+    if audit.sla is not None:
+        singles.append(audit.sla.select("entity_id", F.struct(*[c for c in audit.sla.columns if c != "entity_id"]).alias("timeline_analysis")))
+    heads = reduce(lambda a, b: a.join(b, "entity_id", "left"), singles, summary)
+    rows = heads.join(parts, "entity_id", "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    findings = F.struct("files_analyzed", "total_unique_consumers", "pii_types_detected", "details").alias("pii_findings")
+    rest = [c for c in ("appeal_procedure", "timeline_analysis", "violations", "recommendations") if c in rows.columns]
+    return rows.select("entity_id", "part", stamp.alias("generated_at"), "executive_summary", findings, *rest)
 
 
 def evaluate_audit(audit: Audit, expected: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -130,7 +152,7 @@ def evaluate_audit(audit: Audit, expected: dict[str, DataFrame]) -> dict[str, Da
         .join(pii.select("entity_id", F.col("f1").alias("pii_f1")), "entity_id", "left")
         .join(score.select("entity_id", F.col("score").alias("coverage_score")), "entity_id", "left")
         .join(audit.appeals.select("entity_id", F.lit(True).alias("has_appeal")), "entity_id", "left")
-        .withColumn("has_rules", F.lit(True))
+        .join(audit.entities.select("entity_id", (F.size("rights") > 0).alias("has_rules")), "entity_id", "left")
     )
     return {"violation_accuracy": accuracy, "pii": pii, "coverage": checked, "score": score,
             "stages": E.stage_status(metrics, key)}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +47,10 @@ def read_tables(spark: SparkSession, paths: list[str], schemas: dict | None = No
         name = os.path.basename(path.rstrip("/"))
         try:
             tables[name] = read_table(spark, path, (schemas or {}).get(name))
-        except PySparkException as problem:
-            missing = "PATH_NOT_FOUND" in (problem.getCondition() or "")
-            errors.append((name, "File not found" if missing else f"Could not read table: {problem.getCondition()}"))
+        except (PySparkException, Py4JJavaError) as problem:
+            # Only the kind of problem is kept: messages may quote file contents.
+            kind = (problem.getCondition() if isinstance(problem, PySparkException) else None) or "UNREADABLE_FILE"
+            errors.append((name, "File not found" if kind == "PATH_NOT_FOUND" else f"Could not read table: {kind}"))
     failed = spark.createDataFrame(errors, "source string, error string")
     return tables, _as_report(failed)
 
