@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,29 +18,41 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def violation_keys(violations: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct ``type`` and ``subject`` (the right, else the data category) per key."""
+    """``type`` and ``subject`` (the right, else the data category) of each violation."""
     columns = violations.columns
     right = F.nullif(F.col("right"), F.lit("")) if "right" in columns else F.lit(None).cast("string")
     category = F.col("data_category") if "data_category" in columns else F.lit(None).cast("string")
-    return violations.select(*keys, "type", F.coalesce(right, category, F.lit("")).alias("subject")).distinct()
+    return violations.select(*keys, "type", F.coalesce(right, category, F.lit("")).alias("subject"))
+
+
+def tag_sets(sets: dict[str, DataFrame], on: list[str]) -> DataFrame:
+    """Each distinct key of any set once, with a flag per set.
+
+    This is the full outer join of the sets as one grouped aggregate: each set
+    is read once, duplicates fold before the only shuffle.
+    """
+    parts = [
+        rows.select(*on, *[F.lit(other == name).alias(other) for other in sets]) for name, rows in sets.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy(*on).agg(*[F.bool_or(name).alias(name) for name in sets])
 
 
 def match_sets(detected: DataFrame, expected: DataFrame, on: list[str]) -> DataFrame:
-    """Full outer join of two distinct sets with presence flags."""
-    a = detected.select(*on).distinct().withColumn("detected", F.lit(True))
-    b = expected.select(*on).distinct().withColumn("expected", F.lit(True))
-    return a.join(b, on, "full_outer").select(
-        *on, F.coalesce("detected", F.lit(False)).alias("detected"), F.coalesce("expected", F.lit(False)).alias("expected")
-    )
+    """Both sets' distinct keys with the flags ``detected`` and ``expected``."""
+    return tag_sets({"detected": detected, "expected": expected}, on)
 
 
-def confusion_counts(matched: DataFrame, keys: list[str]) -> DataFrame:
+def _confusion() -> list[Column]:
     hit, want = F.col("detected"), F.col("expected")
-    return matched.groupBy(*keys).agg(
+    return [
         F.count_if(hit & want).alias("true_positives"),
         F.count_if(hit & ~want).alias("false_positives"),
         F.count_if(~hit & want).alias("false_negatives"),
-    )
+    ]
+
+
+def confusion_counts(matched: DataFrame, keys: list[str]) -> DataFrame:
+    return matched.groupBy(*keys).agg(*_confusion())
 
 
 def violation_accuracy(
@@ -48,18 +62,14 @@ def violation_accuracy(
 
     ``only_listed_types`` scores only violation types the expectation mentions.
     """
-    found, wanted = violation_keys(detected, keys), violation_keys(expected, keys)
-    spared = violation_keys(non_violations, keys)
+    found, wanted, spared = (violation_keys(df, keys) for df in (detected, expected, non_violations))
     if only_listed_types:
         found = found.join(wanted.select("type").union(spared.select("type")).distinct(), "type", "left_semi")
-    on = [*keys, "type", "subject"]
-    counts = confusion_counts(match_sets(found, wanted, on), keys)
-    quiet = spared.join(found, on, "left_anti").groupBy(*keys).agg(F.count(F.lit(1)).alias("true_negatives"))
+    tagged = tag_sets({"detected": found, "expected": wanted, "spared": spared}, [*keys, "type", "subject"])
+    quiet = F.count_if(F.col("spared") & ~F.col("detected")).alias("true_negatives")
     tp, fp, fn, tn = (F.col(c) for c in ("true_positives", "false_positives", "false_negatives", "true_negatives"))
-    return (
-        counts.join(quiet, keys, "full_outer").na.fill(0)
-        .withColumn("accuracy", N.round_exact(ratio(tp + tn, tp + fp + fn + tn), 4))
-    )
+    return tagged.groupBy(*keys).agg(*_confusion(), quiet).withColumn(
+        "accuracy", N.round_exact(ratio(tp + tn, tp + fp + fn + tn), 4))
 
 
 def precision_recall(matched: DataFrame, keys: list[str]) -> DataFrame:
@@ -140,19 +150,25 @@ def classification_report(predictions: DataFrame, label: str = "label", predicti
     per_class = per_class.withColumns({"p": p, "r": r}).withColumn(
         "f", F.when(F.col("p") + F.col("r") > 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0))
     s = F.col("support")
-    totals = per_class.agg(
+    # The rollup's total row turns into the three summary rows: classes are read once.
+    rolled = per_class.rollup("class").agg(
+        F.grouping("class").alias("is_total"),
         F.sum("tp").alias("tp"), F.sum(s).alias("support"),
         *[F.avg(c).alias(f"macro_{c}") for c in "prf"],
         *[ratio(F.sum(F.col(c) * s), F.sum(s)).alias(f"weighted_{c}") for c in "prf"],
     )
     accuracy = ratio(F.col("tp"), F.col("support"))
-    summary = totals.select(F.inline(F.array(
-        F.struct(F.lit("accuracy").alias("class"), accuracy.alias("p"), accuracy.alias("r"), accuracy.alias("f"), s.alias("support")),
-        F.struct(F.lit("macro avg").alias("class"), F.col("macro_p").alias("p"), F.col("macro_r").alias("r"), F.col("macro_f").alias("f"), s.alias("support")),
-        F.struct(F.lit("weighted avg").alias("class"), F.col("weighted_p").alias("p"), F.col("weighted_r").alias("r"), F.col("weighted_f").alias("f"), s.alias("support")),
-    )))
-    both = per_class.select("class", "p", "r", "f", "support").unionByName(summary)
-    return both.select(
+
+    def line(name: Column, *values: Column) -> Column:
+        return F.struct(name.alias("class"), *[v.alias(n) for n, v in zip("prf", values)], s.alias("support"))
+
+    macro = [F.col(f"macro_{c}") for c in "prf"]
+    lines = F.when(F.col("is_total") == 0, F.array(line(F.col("class"), *macro))).otherwise(F.array(
+        line(F.lit("accuracy"), accuracy, accuracy, accuracy),
+        line(F.lit("macro avg"), *macro),
+        line(F.lit("weighted avg"), *[F.col(f"weighted_{c}") for c in "prf"]),
+    ))
+    return rolled.select(F.inline(lines)).select(
         "class", N.round_exact(F.col("p"), 4).alias("precision"), N.round_exact(F.col("r"), 4).alias("recall"),
         N.round_exact(F.col("f"), 4).alias("f1"), "support",
     )

@@ -247,32 +247,31 @@ def _conform(report: DataFrame) -> DataFrame:
     return report.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _hit_array(hits: DataFrame) -> Column:
+    """Aggregate: the detection rows of a group, at most one per class of the model."""
+    return F.collect_list(F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DETECTION.fields]))
+
+
 def report_from_scan(
-    scanned: DataFrame, columns: list[str], pack: RulePack = DEFAULT_PACK, consumers: DataFrame | None = None,
-    model_hits: DataFrame | None = None,
+    scanned: DataFrame, columns: list[str], pack: RulePack = DEFAULT_PACK, consumers: Column | None = None,
+    model_hits: Column | None = None,
 ) -> DataFrame:
     """Report rows of a scan keyed by ``source``; the scan is read once.
 
-    ``consumers`` (``source, unique_consumers``) defaults to the row count.
-    ``model_hits`` (``source`` and ``DETECTION`` fields) adds classifier findings.
+    ``consumers`` is a column of the scan or a scalar subquery and defaults to
+    the row count; ``model_hits`` likewise an array of ``DETECTION``.
     """
-    found = scanned.select(
-        "source", "n_rows", F.concat(regex_detections(pack), keyword_detections(pack)).alias("found"))
+    found = F.concat(regex_detections(pack), keyword_detections(pack))
     kinds = [k for k, _ in pack.patterns] + [c for c, _ in pack.keywords]
     contested = len(set(kinds)) < len(kinds)
     if model_hits is not None:
-        by_model = model_hits.groupBy("source").agg(
-            F.collect_list(F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DETECTION.fields])).alias("by_model"))
-        found = found.join(by_model, "source", "left").select(
-            "source", "n_rows", F.concat("found", F.coalesce("by_model", F.array().cast(T.ArrayType(DETECTION)))).alias("found"))
+        found = F.concat(found, F.coalesce(model_hits, F.array().cast(T.ArrayType(DETECTION))))
         contested = True
+    unique = F.col("n_rows") if consumers is None else consumers
+    rows = scanned.select("source", "n_rows", found.alias("found"), unique.alias("unique_consumers"))
     # Without shared types a scan row already holds the best hit of each type.
     details = best_in_row(F.col("found")) if contested else F.col("found")
-    report = found.select("source", "n_rows", details.alias("detection_details"))
-    if consumers is not None:
-        report = report.join(consumers, "source", "left")
-    else:
-        report = report.withColumn("unique_consumers", F.col("n_rows"))
+    report = rows.withColumn("detection_details", details)
     return _conform(report.select(
         "*",
         F.lit(len(columns)).alias("n_cols"),
@@ -293,16 +292,20 @@ def table_report(
     include_headers: bool = False,
     approximate: bool = False,
 ) -> DataFrame:
-    """PII report row of one whole table, all its columns scanned."""
+    """PII report row of one whole table, all its columns scanned.
+
+    Consumers and model hits (``DETECTION`` fields) are single values of the
+    table and enter as scalar subqueries, so nothing is joined.
+    """
     text = row_text(df, df.columns, cell_separator)
-    scanned = scan(df.select(F.lit(source).alias("source"), text.alias("row_text")), F.col("row_text"), ["source"],
-                   pack, word_boundary, df.columns if include_headers else None)
+    scanned = scan(df.select(text.alias("row_text")), F.col("row_text"), [], pack, word_boundary,
+                   df.columns if include_headers else None).withColumn("source", F.lit(source))
     id_column = consumer_column(df.columns, pack)
     consumers = None
     if id_column is not None:
-        ids = df.select(F.lit(source).alias("source"), F.col(f"`{id_column}`").alias("consumer"))
-        consumers = distinct_consumers(ids, ["source"], "consumer", pack, approximate)
-    return report_from_scan(scanned, df.columns, pack, consumers, model_hits)
+        consumers = distinct_consumers(df.select(F.col(f"`{id_column}`").alias("consumer")), [], "consumer", pack, approximate).scalar()
+    hits = model_hits.agg(_hit_array(model_hits)).scalar() if model_hits is not None else None
+    return report_from_scan(scanned, df.columns, pack, consumers, hits)
 
 
 def text_report(
@@ -317,8 +320,13 @@ def text_report(
     """PII report rows of a text table, one per source value, in one scan."""
     keyed = df.withColumnRenamed(source_column, "source")
     scanned = scan(keyed, F.col(text_column), ["source"], pack, word_boundary)
-    consumers = distinct_consumers(keyed, ["source"], id_column, pack) if id_column else None
-    return report_from_scan(scanned, df.columns, pack, consumers, model_hits)
+    if id_column:
+        scanned = scanned.join(distinct_consumers(keyed, ["source"], id_column, pack), "source", "left")
+    if model_hits is not None:
+        scanned = scanned.join(model_hits.groupBy("source").agg(_hit_array(model_hits).alias("by_model")), "source", "left")
+    return report_from_scan(
+        scanned, df.columns, pack, F.col("unique_consumers") if id_column else None,
+        F.col("by_model") if model_hits is not None else None)
 
 
 def column_scan(df: DataFrame, source: str, pack: RulePack = DEFAULT_PACK, columns_per_pass: int = 24) -> DataFrame:

@@ -32,14 +32,12 @@ def assemble(docs: DataFrame, entity: str, order: str, text: str, separator: str
     no text is lost and no task ever holds an oversized group.
     """
     sizes = docs.groupBy(F.col(entity).alias("__e")).agg(F.sum(F.length(text) + len(separator)).alias("__chars"))
-    sized = docs.join(sizes, F.col(entity).eqNullSafe(F.col("__e"))).drop("__e")
-    small = sized.where(F.coalesce("__chars", F.lit(0)) <= max_chars)
-    large = sized.where(F.col("__chars") > max_chars)
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
-    joined = small.groupBy(F.col(entity).alias("entity_id")).agg(
+    sized = docs.join(sizes, F.col(entity).eqNullSafe(F.col("__e"))).select(
+        F.col(entity).alias("entity_id"),
+        F.when(F.col("__chars") > max_chars, F.col(order).cast("string")).alias("part"),
+        F.struct(F.col(order).alias("o"), F.coalesce(F.col(text), F.lit("")).alias("t")).alias("doc"),
+    )
+    return sized.groupBy("entity_id", "part").agg(
         F.count(F.lit(1)).alias("n_docs"),
-        F.array_join(F.transform(ordered, lambda d: F.coalesce(d["t"], F.lit(""))), separator).alias("text"),
-    ).select("entity_id", F.lit(None).cast("string").alias("part"), "n_docs", "text")
-    kept = large.select(F.col(entity).alias("entity_id"), F.col(order).cast("string").alias("part"),
-                        F.lit(1).cast("bigint").alias("n_docs"), F.col(text).alias("text"))
-    return joined.unionByName(kept)
+        F.array_join(F.transform(F.array_sort(F.collect_list("doc")), lambda d: d["t"]), separator).alias("text"),
+    )
