@@ -205,10 +205,16 @@ def summary_export_lines(spark, folder):
     return RP.risk_scores(document_violations(spark, folder), entities).select(summary_line().alias("value"))
 
 
-@query("K1 F24", f"""WITH {SQL_VIOLATIONS} SELECT entity_id, '{{"type":"' || type || '","severity":"' || severity || '","source_file":"' || source_file || '"}}' AS document FROM v WHERE "right" IS NULL AND data_category IS NULL""")
+def _json_part(column: str, comma: str = ",") -> str:
+    name = column.strip('"')
+    return f"coalesce('{comma}\"{name}\":\"' || {column} || '\"', '')"
+
+
+@query("K1 F24", f"""WITH {SQL_VIOLATIONS} SELECT entity_id, '{{' || {_json_part('type', '')} || {_json_part('severity')} || {_json_part('"right"')} ||
+{_json_part('data_category')} || {_json_part('source_file')} || '}}' AS document FROM v""")
 def report_json_rows(spark, folder):
-    found = document_violations(spark, folder).where(F.col("right").isNull() & F.col("data_category").isNull())
-    return found.select("entity_id", F.to_json(F.struct("type", "severity", "source_file")).alias("document"))
+    found = document_violations(spark, folder)
+    return found.select("entity_id", F.to_json(F.struct("type", "severity", "right", "data_category", "source_file")).alias("document"))
 
 
 def _usage(spark, folder):
