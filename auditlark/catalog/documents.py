@@ -97,7 +97,7 @@ SELECT event_id, CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'PASS' END AS s
        CASE WHEN event_id % 2 = 0 THEN value ELSE 0.0 END AS total_cost_usd, CASE WHEN event_id % 2 = 0 THEN 'm1' ELSE 'unknown' END AS model
 FROM events""")
 def saved_report_fields(spark, folder):
-    return _saved_reports(spark, folder).select("event_id", *RP.report_fields(F.col("document")))
+    return RP.report_fields(_saved_reports(spark, folder), ["event_id"], "document")
 
 
 @query("P11", """

@@ -81,11 +81,6 @@ def unwrap_json(text: Column, depth: int = 4) -> Column:
     return X.let(reduce(lambda c, _: X.let(c, unwrap), range(depth), text), finish)
 
 
-def first_key(document: Column, *paths: str) -> Column:
-    """The first of several JSON paths that is present."""
-    return F.coalesce(*[F.get_json_object(document, p) for p in paths])
-
-
 def missing_key_message(document: Column, required) -> Column:
     """'Valid', or the first required key that the JSON object lacks."""
     keys = F.coalesce(F.json_object_keys(document), F.array().cast("array<string>"))

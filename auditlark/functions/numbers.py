@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from auditlark.functions.literals import constant
 
-MICROS_PER_DAY = 86_400_000_000
-
-
 def round_exact(value: Column, digits: int) -> Column:
     """Round the exact binary value, ties to even, to at most seven digits.
 
@@ -34,10 +31,16 @@ def round_exact(value: Column, digits: int) -> Column:
 
 
 def whole_days(start: Column, end: Column) -> Column:
-    """Floor of the whole days between two zone-free timestamps."""
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    floored = micros - F.pmod(micros, F.lit(MICROS_PER_DAY))
-    return (floored / F.lit(MICROS_PER_DAY)).cast("bigint")
+    """Floor of the whole days between two zone-free timestamps.
+
+    Dates and times of day are compared apart, so no session time zone and no
+    clock change can shift the result.
+    """
+    def time_of_day(t: Column) -> Column:
+        return t - t.cast("date").cast("timestamp_ntz")
+
+    days = F.datediff(end.cast("date"), start.cast("date"))
+    return (days - F.when(time_of_day(end) < time_of_day(start), 1).otherwise(0)).cast("bigint")
 
 
 def dot(a: Column, b: Column) -> Column:

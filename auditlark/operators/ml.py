@@ -36,7 +36,7 @@ def top_terms(texts: DataFrame, limit: int = MAX_TERMS) -> list[str]:
     with_terms = texts.select("text")
     for stage in _term_stages():
         with_terms = stage.transform(with_terms)
-    counts = with_terms.select(F.explode("terms").alias("term")).groupBy("term").count()
+    counts = with_terms.select(X.once(F.struct("terms"))).select(F.explode("terms").alias("term")).groupBy("term").count()
     return sorted(r["term"] for r in counts.orderBy(F.desc("count"), "term").limit(limit).collect())
 
 

@@ -136,14 +136,17 @@ def missing_rights(coverage: DataFrame, required: DataFrame | None = None, pack:
     """MISSING_RIGHT rows: required rights an entity's policy does not cover.
 
     ``required`` (``entity_id, right``) limits the rights looked at; entities
-    without a row there are held to every right of the pack.
+    without a row there are held to the policy rights of the pack.
     """
-    texts = F.create_map(*[x for r, d, _ in pack.policy_rights for x in (F.lit(r), F.lit(d))])
+    texts = F.map_from_entries(constant([{"right": r, "text": d} for r, d, _ in pack.described_rights]))
+    standard = F.col("right").isin([r for r, _, _ in pack.policy_rights])
     if required is not None:
         listed = required.groupBy("entity_id").agg(F.collect_set("right").alias("listed"))
         coverage = coverage.join(listed, "entity_id", "left").where(
-            F.col("listed").isNull() | F.array_contains("listed", F.col("right"))
+            F.coalesce(F.array_contains("listed", F.col("right")), standard)
         )
+    else:
+        coverage = coverage.where(standard)
     best = F.col("best_score")
     return coverage.where(~F.col("covered")).select(
         "entity_id",

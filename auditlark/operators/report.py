@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlark.functions import jsontext as J
 from auditlark.functions import numbers as N
 from auditlark.functions import text as X
 from auditlark.operators.violations import severity_count
@@ -181,38 +180,51 @@ def latest_reports(reports: DataFrame, entity: str, generated_at: str) -> DataFr
     return reports.groupBy(entity).agg(newest.alias("r")).select(entity, "r.*")
 
 
-def report_fields(document: Column) -> list[Column]:
-    """The shown fields of a saved report, whichever of its layouts it uses."""
-    return [
-        J.first_key(document, "$.executive_summary.overall_compliance_status",
-                    "$.executive_summary.overall_status").alias("status"),
-        F.coalesce(J.first_key(document, "$.executive_summary.risk_grade",
-                               "$.executive_summary.risk_assessment.grade"), F.lit("?")).alias("risk_grade"),
-        F.coalesce(J.first_key(document, "$.executive_summary.risk_level",
-                               "$.executive_summary.risk_assessment.label"), F.lit("")).alias("risk_level"),
-        F.coalesce(J.first_key(document, "$.violations_summary.total_violations",
-                               "$.executive_summary.total_violations").try_cast("bigint"), F.lit(0)).alias("total_violations"),
-        F.coalesce(J.first_key(document, "$.violations_summary.critical_violations", "$.violations_summary.critical",
-                               "$.executive_summary.critical_violations", "$.executive_summary.critical")
-                   .try_cast("bigint"), F.lit(0)).alias("critical"),
-        F.coalesce(J.first_key(document, "$.violations_summary.high_violations", "$.violations_summary.high",
-                               "$.executive_summary.high_violations", "$.executive_summary.high")
-                   .try_cast("bigint"), F.lit(0)).alias("high"),
-        F.coalesce(J.first_key(document, "$._cost_summary.total_cost_usd").try_cast("double"), F.lit(0.0)).alias("total_cost_usd"),
-        F.coalesce(J.first_key(document, "$._cost_summary.model"), F.lit("unknown")).alias("model"),
-    ]
+SUMMARY_FIELDS = (
+    "executive_summary struct<overall_compliance_status:string,overall_status:string,risk_grade:string,risk_level:string,"
+    "risk_assessment:struct<grade:string,label:string>,total_violations:string,critical_violations:string,critical:string,"
+    "high_violations:string,high:string>, "
+    "violations_summary struct<total_violations:string,critical_violations:string,critical:string,high_violations:string,high:string>, "
+    "_cost_summary struct<total_cost_usd:string,model:string>"
+)
+
+
+def report_fields(reports: DataFrame, keys: list[str], document: str) -> DataFrame:
+    """The shown fields of saved reports, whichever of their layouts they use.
+
+    A document is parsed once; every field is the first of its names present.
+    """
+    parsed = reports.select(*keys, X.once(F.from_json(F.col(document), SUMMARY_FIELDS)))
+    count = lambda *names: F.coalesce(*[F.col(n).try_cast("bigint") for n in names], F.lit(0).cast("bigint"))
+    counted = lambda name: count(
+        f"violations_summary.{name}_violations", f"violations_summary.{name}",
+        f"executive_summary.{name}_violations", f"executive_summary.{name}")
+    return parsed.select(
+        *keys,
+        F.coalesce("executive_summary.overall_compliance_status", "executive_summary.overall_status").alias("status"),
+        F.coalesce("executive_summary.risk_grade", "executive_summary.risk_assessment.grade", F.lit("?")).alias("risk_grade"),
+        F.coalesce("executive_summary.risk_level", "executive_summary.risk_assessment.label", F.lit("")).alias("risk_level"),
+        count("violations_summary.total_violations", "executive_summary.total_violations").alias("total_violations"),
+        counted("critical").alias("critical"),
+        counted("high").alias("high"),
+        F.coalesce(F.col("_cost_summary.total_cost_usd").try_cast("double"), F.lit(0.0)).alias("total_cost_usd"),
+        F.coalesce("_cost_summary.model", F.lit("unknown")).alias("model"),
+    )
 
 
 def flatten_findings(reports: DataFrame, keys: list[str], document: str) -> DataFrame:
     """One row per finding of a saved report: its detections, its column
     indicators, and the entries of the older map layout."""
-    doc = F.col(document)
-    findings = F.coalesce(F.get_json_object(doc, "$.pii_detection_findings"), F.get_json_object(doc, "$.pii_findings"))
-    detail = "array<struct<file:string,error:string,detection_details:array<struct<type:string,method:string,count:bigint,confidence:double>>,column_pii_indicators:array<struct<column:string,likely_pii_type:string>>>>"
-    parsed = reports.select(*keys, X.once(F.struct(
-        F.from_json(F.get_json_object(findings, "$.details"), detail).alias("details"),
-        F.from_json(F.get_json_object(findings, "$.pii_detected"), "map<string,struct<count:bigint,confidence:double>>").alias("old"),
-    )))
+    layout = (
+        "details:array<struct<file:string,error:string,"
+        "detection_details:array<struct<type:string,method:string,count:bigint,confidence:double>>,"
+        "column_pii_indicators:array<struct<column:string,likely_pii_type:string>>>>,"
+        "pii_detected:map<string,struct<count:bigint,confidence:double>>"
+    )
+    parsed = reports.select(*keys, X.once(F.from_json(
+        F.col(document), f"pii_detection_findings struct<{layout}>, pii_findings struct<{layout}>"))).select(
+        *keys, F.coalesce("pii_detection_findings", "pii_findings").alias("findings")).select(
+        *keys, F.col("findings.details").alias("details"), F.col("findings.pii_detected").alias("old"))
 
     def finding(kind, file, name, pii_type, method, count, confidence):
         return F.struct(

@@ -58,7 +58,8 @@ def run_audit(
         "jurisdiction", "left",
     )
 
-    coverage = hold(policy.coverage_from_text(policies, "entity_id", "text", pack))
+    described = pack.replace(policy_rights=pack.described_rights)
+    coverage = hold(policy.coverage_from_text(policies, "entity_id", "text", described))
     required = by_entity.where(F.size("rights") > 0).select("entity_id", F.explode("rights").alias("right"))
     missing = policy.missing_rights(coverage, required, pack)
 

@@ -280,6 +280,14 @@ class RulePack:
     def replace(self, **changes) -> "RulePack":
         return dataclasses.replace(self, **changes)
 
+    @property
+    def described_rights(self) -> tuple:
+        """The policy rights, and statute rights without a description under a generic one."""
+        known = {right for right, _, _ in self.policy_rights}
+        return self.policy_rights + tuple(
+            (right, f"right to {right}", ()) for right, _ in self.statute_rights if right not in known
+        )
+
     def needs(self, pattern: str) -> tuple:
         return dict(self.pattern_needs).get(pattern, ())
 

@@ -101,3 +101,17 @@ def test_threshold_and_default_rights(spark):
     assert {v["right"] for v in found if v["right"]} == {r for r, _ in S.CLAUSES}
     fired = [v for v in found if v["type"] == "THRESHOLD_TRIGGERED"]
     assert fired[0]["total_unique"] == 35000 and fired[0]["confidence"] == 0.9
+
+
+def test_statute_right_without_description(spark):
+    from auditlark.rulepack import DEFAULT_PACK
+
+    pack = DEFAULT_PACK.replace(statute_rights=DEFAULT_PACK.statute_rights + (("object", ("right to object",)),))
+    policies = spark.createDataFrame([("a", "X", "nothing"), ("b", "X", "This is our statement on the right to object."), ("c", "Y", "nothing")],
+                                     "entity_id string, jurisdiction string, text string")
+    statutes = spark.createDataFrame([("X", 1, "right to object, right to delete")], "jurisdiction string, doc_id int, text string")
+    report = FO.text_report(spark.createDataFrame([("s", "x")], "source string, text string"), "text").withColumn("entity_id", F.lit("a"))
+    found = [v for v in run_audit(policies, report, statutes, pack=pack, keep=False).violations.collect() if v["type"] == "MISSING_RIGHT"]
+    rights = {e: {v["right"] for v in found if v["entity_id"] == e} for e in "abc"}
+    assert rights == {"a": {"delete", "object"}, "b": {"delete"}, "c": {r for r, _ in S.CLAUSES}}
+    assert {v["description"] for v in found if v["right"] == "object"} == {"right to object"}

@@ -77,3 +77,14 @@ def test_violations(frame):
     assert (late["late_count"], late["total_count"], late["late_percentage"]) == (2, 3, 66.7)
     assert rows["a", "EXTREME_LATE_RESPONSE"]["description"] == "1 requests exceeded even the extended 90-day limit (45 + 45 extension)."
     assert {r["type"] for r in sla.appeal_violations(appeals).collect()} == {"CRITICAL_NO_APPEAL", "WEAK_APPEAL_PROCESS"}
+
+
+def test_no_time_zone_shifts_days(spark, frame):
+    df = frame([("e", "2024-03-01", "2024-04-15"), ("e", "2024-10-01", "2024-11-16"), ("e", "2024-03-10 02:30:00", "2024-03-11 02:30:00")], SCHEMA)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "UTC", "Australia/Lord_Howe"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert sorted(r["days"] for r in sla.response_days(df).collect()) == [1, 45, 46]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

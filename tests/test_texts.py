@@ -94,7 +94,7 @@ def test_saved_report_layouts(frame):
     newer = {"executive_summary": {"overall_compliance_status": "X", "risk_grade": "B"}, "violations_summary": {"total_violations": 3, "critical": 1}}
     older = {"executive_summary": {"overall_status": "FAIL", "risk_assessment": {"grade": "D", "label": "High Risk"}, "total_violations": 2, "high_violations": 1}}
     df = frame([(1, json.dumps(newer)), (2, json.dumps(older)), (3, "{}")], "i int, d string")
-    got = {r["i"]: r for r in df.select("i", *RP.report_fields(F.col("d"))).collect()}
+    got = {r["i"]: r for r in RP.report_fields(df, ["i"], "d").collect()}
     assert (got[1]["status"], got[1]["risk_grade"], got[1]["total_violations"], got[1]["critical"], got[1]["model"]) == ("X", "B", 3, 1, "unknown")
     assert (got[2]["status"], got[2]["risk_grade"], got[2]["risk_level"], got[2]["high"]) == ("FAIL", "D", "High Risk", 1)
     assert (got[3]["status"], got[3]["risk_grade"], got[3]["total_cost_usd"]) == (None, "?", 0.0)
