@@ -78,10 +78,25 @@ def pattern_count(text: Column, pattern: str, needs=(), possible: Column | None
     return F.coalesce(hits, F.lit(0).cast("bigint"))
 
 
-def probes(text: Column, pack: RulePack = DEFAULT_PACK) -> dict[str, Column]:
-    """Every distinct probe of the pack as a named boolean column."""
-    wanted = dict.fromkeys(pack.probe(p) for _, p in pack.patterns if pack.probe(p))
-    return {probe: has_pattern(text, probe).alias(f"probe{i}") for i, probe in enumerate(wanted)}
+def with_probes(text: Column, pack: RulePack, body) -> Column:
+    """``body(possible)`` with every distinct probe of the pack tried once on
+    the text; ``possible(pattern)`` is None for a pattern without a probe."""
+    wanted = list(dict.fromkeys(pack.probe(p) for _, p in pack.patterns if pack.probe(p)))
+    if not wanted:
+        return body(lambda pattern: None)
+    tried = F.array(*[has_pattern(text, probe) for probe in wanted])
+
+    def chosen(results: Column):
+        return lambda pattern: F.get(results, F.lit(wanted.index(pack.probe(pattern)))) if pack.probe(pattern) else None
+
+    return let(tried, lambda results: body(chosen(results)))
+
+
+def pattern_counts(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
+    """Matches per pattern as an array in the pack's order."""
+    return with_probes(text, pack, lambda possible: F.array(*[
+        pattern_count(text, p, pack.needs(p), possible(p)) for _, p in pack.patterns
+    ]))
 
 
 def has_pattern(text: Column, pattern: str, needs=()) -> Column:

@@ -63,32 +63,24 @@ def scan(
     ``headers`` adds column names to what the keyword search sees.
     """
     terms = [t for _, t in pack.terms()]
-    # Several counts read a probe, so Catalyst computes it in a projection of its own.
-    probed = df.select(*keys, F.coalesce(text, F.lit("")).alias("__text")).select(
-        *keys, "__text", *X.probes(F.col("__text"), pack).values()
-    )
-    possible = {probe: F.col(f"probe{i}") for i, probe in enumerate(X.probes(F.col("__text"), pack))}
-    text = F.col("__text")
-    rows = probed.select(
-        *keys,
-        *[
-            X.pattern_count(text, p, pack.needs(p), possible.get(pack.probe(p))).alias(f"p{i}")
-            for i, (_, p) in enumerate(pack.patterns)
-        ],
-        X.once(X.let(F.lower(text), lambda t: F.struct(*[
-            m.alias(f"m{j}") for j, m in enumerate(X.term_masks(t, terms, word_boundary))
-        ]))),
-    )
+    def measure(t: Column) -> Column:
+        masks = X.let(F.lower(t), lambda lowered: F.array(*X.term_masks(lowered, terms, word_boundary)))
+        return F.struct(X.pattern_counts(t, pack).alias("counts"), masks.alias("masks"))
+
+    rows = df.select(*keys, X.once(X.let(F.coalesce(text, F.lit("")), measure)))
     n_masks = -(-len(terms) // X.TERMS_PER_MASK)
     header_text = F.lower(F.lit("\n".join(headers or [])))
     header_masks = X.term_masks(header_text, terms, word_boundary)
     seen = [
-        F.coalesce(F.bit_or(f"m{j}"), F.lit(0).cast("bigint")).bitwiseOR(header_masks[j]).alias(f"m{j}")
+        F.coalesce(F.bit_or(F.get("masks", F.lit(j))), F.lit(0).cast("bigint")).bitwiseOR(header_masks[j]).alias(f"m{j}")
         for j in range(n_masks)
     ]
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.coalesce(F.sum(f"p{i}"), F.lit(0).cast("bigint")).alias(f"p{i}") for i in range(len(pack.patterns))],
+        *[
+            F.coalesce(F.sum(F.get("counts", F.lit(i))), F.lit(0).cast("bigint")).alias(f"p{i}")
+            for i in range(len(pack.patterns))
+        ],
         *seen,
     )
 
@@ -340,16 +332,19 @@ def column_scan(df: DataFrame, source: str, pack: RulePack = DEFAULT_PACK, colum
     blocks = [names[i:i + columns_per_pass] for i in range(0, len(names), columns_per_pass)]
     parts = []
     for block in blocks:
+        counted = df.select(X.once(F.struct(*[
+            X.let(F.coalesce(cell_text(c, types[c]), F.lit("")), lambda t: X.pattern_counts(t, pack)).alias(f"c{n}")
+            for n, c in enumerate(block)
+        ])))
         sums = [
-            F.coalesce(F.sum(X.pattern_count(cell_text(c, types[c]), p, pack.needs(p))), F.lit(0).cast("bigint"))
-            .alias(f"c{n}_{i}")
-            for n, c in enumerate(block) for i, (kind, p) in enumerate(pack.patterns)
+            F.coalesce(F.sum(F.get(f"c{n}", F.lit(i))), F.lit(0).cast("bigint")).alias(f"c{n}_{i}")
+            for n in range(len(block)) for i in range(len(pack.patterns))
         ]
         cells = [
             F.struct(F.lit(c).alias("column"), F.lit(kind).alias("type"), F.col(f"c{n}_{i}").alias("count"))
             for n, c in enumerate(block) for i, (kind, _) in enumerate(pack.patterns)
         ]
-        parts.append(df.agg(*sums).select(F.lit(source).alias("source"), F.inline(F.array(*cells))))
+        parts.append(counted.agg(*sums).select(F.lit(source).alias("source"), F.inline(F.array(*cells))))
     return reduce(DataFrame.unionByName, parts).where(F.col("count") > 0)
 
 
@@ -359,20 +354,15 @@ def row_flags(df: DataFrame, text: Column, pack: RulePack = DEFAULT_PACK) -> Dat
     No shuffle. Filters and generators on the result do not repeat the search,
     as nothing is pushed below the generator that computes it.
     """
-    def flags(t: Column, possible: Column, slot: dict[str, int]) -> Column:
+    def flags(t: Column, possible) -> Column:
         hits = []
         for kind, pattern in pack.patterns:
             hit = X.has_pattern(t, pattern, pack.needs(pattern))
-            probe = pack.probe(pattern)
-            if probe:
-                hit = F.get(possible, F.lit(slot[probe])) & hit
-            hits.append(F.when(hit, F.lit(kind)))
+            likely = possible(pattern)
+            hits.append(F.when(hit if likely is None else likely & hit, F.lit(kind)))
         return F.struct(F.array_compact(F.array(*hits)).alias("pii_types"))
 
-    probes = X.probes(F.lit(""), pack)
-    slot = {probe: i for i, probe in enumerate(probes)}
-    search = X.let(text, lambda t: X.let(
-        F.array(*([X.has_pattern(t, probe) for probe in probes] or [F.lit(True)])), lambda possible: flags(t, possible, slot)))
+    search = X.let(F.coalesce(text, F.lit("")), lambda t: X.with_probes(t, pack, lambda possible: flags(t, possible)))
     return df.select("*", X.once(search))
 
 

@@ -50,22 +50,25 @@ def coverage_from_text(
 ) -> DataFrame:
     """Coverage rows ``entity_id, right, best_score, keyword_found, covered``.
 
-    An entity may own any number of policy documents. Each is scored alone;
-    the shuffle carries one row per entity and right from every task.
+    An entity may own any number of policy documents. Each is scored alone and
+    folds into one maximum and one flag per right before the shuffle; rows per
+    right exist only after it.
     """
+    best = F.transform(lexical_scores(F.col(text), pack), lambda s: s["best"])
     scored = policies.select(
         F.col(entity).alias("entity_id"),
-        X.once(F.struct(lexical_scores(F.col(text), pack).alias("scores"), keyword_flags(F.col(text), pack).alias("flags"))),
+        X.once(F.struct(best.alias("scores"), keyword_flags(F.col(text), pack).alias("flags"))),
     )
-    rows = scored.select("entity_id", F.posexplode("scores").alias("pos", "score"), "flags").select(
-        "entity_id", "score.right", "score.best", F.get("flags", F.col("pos")).alias("flag")
-    )
-    return _covered(
-        rows.groupBy("entity_id", "right").agg(
-            F.greatest(F.max("best"), F.lit(0.0)).alias("best_score"), F.bool_or("flag").alias("keyword_found")
-        ),
-        pack,
+    places = range(len(pack.policy_rights))
+    grouped = scored.groupBy("entity_id").agg(
+        *[F.max(F.get("scores", F.lit(i))).alias(f"s{i}") for i in places],
+        *[F.bool_or(F.get("flags", F.lit(i))).alias(f"k{i}") for i in places],
     )
+    scores, flags = F.array(*[F.col(f"s{i}") for i in places]), F.array(*[F.col(f"k{i}") for i in places])
+    rows = F.transform(constant([r for r, _, _ in pack.policy_rights]), lambda right, i: F.struct(
+        right.alias("right"), F.greatest(F.get(scores, i), F.lit(0.0)).alias("best_score"),
+        F.coalesce(F.get(flags, i), F.lit(False)).alias("keyword_found")))
+    return _covered(grouped.select("entity_id", F.inline(rows)), pack)
 
 
 def best_vector_match(
@@ -81,18 +84,19 @@ def best_vector_match(
     parts = []
     for i in range(n_passes):
         block = rights.where(F.pmod(F.xxhash64(right), F.lit(n_passes)) == i) if n_passes > 1 else rights
+        size = block.count() if n_passes > 1 else n_rights
         packed = block.agg(F.sort_array(F.collect_list(F.struct(
             F.col(right).alias("right"), F.col(right_vector).cast("array<double>").alias("vector")
         ))))
-        parts.append(
-            vectors.select(F.col(entity).alias("entity_id"), F.col(vector).cast("array<double>").alias("v"),
-                           packed.scalar().alias("refs"))
-            .select("entity_id", X.once(F.struct(F.transform("refs", lambda r: F.struct(
-                r["right"].alias("right"), N.cosine(F.col("v"), r["vector"]).alias("score"))).alias("matches"))))
-            .select("entity_id", F.explode("matches").alias("m"))
-            .groupBy("entity_id", F.col("m.right").alias("right"))
-            .agg(F.greatest(F.max("m.score"), F.lit(0.0)).alias("best_score"))
+        scores = F.transform("refs", lambda r: N.cosine(F.col("v"), r["vector"]))
+        best = (
+            vectors.select(F.col(entity).alias("entity_id"), F.col(vector).cast("array<double>").alias("v"), packed.scalar().alias("refs"))
+            .select("entity_id", X.once(F.struct(scores.alias("scores"))))
+            .groupBy("entity_id").agg(*[F.max(F.get("scores", F.lit(k))).alias(f"s{k}") for k in range(size)])
         )
+        maxima = F.array(*[F.greatest(F.col(f"s{k}"), F.lit(0.0)) for k in range(size)])
+        rows = F.transform("refs", lambda r, k: F.struct(r["right"].alias("right"), F.get(maxima, k).alias("best_score")))
+        parts.append(best.select("*", packed.scalar().alias("refs")).select("entity_id", F.inline(rows)))
     return reduce(DataFrame.unionByName, parts)
 
 
