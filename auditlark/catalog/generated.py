@@ -75,7 +75,25 @@ def generated_policies(spark, folder):
     return S.policies(users, "user_id").withColumn("covered_rights", F.array_join("covered_rights", ","))
 
 
-@query("M6")
+def _sql_labelled() -> str:
+    k = "o_orderkey"
+    pick = lambda salt, values: sql_pick(k, salt, values)
+    number = lambda salt, low, high: f"{sql_between(k, salt, low, high)}::VARCHAR"
+    texts = {
+        "email": f"'Contact: ' || lower({pick('n', S.FIRST_NAMES)}) || {number('e', 1, 9999)} || '@example.org for this account'",
+        "ssn": f"'Social security number ' || concat_ws('-', {number('s1', 100, 999)}, {number('s2', 10, 99)}, {number('s3', 1000, 9999)}) || ' kept for verification'",
+        "phone": f"'Phone number ' || concat_ws('-', {number('p1', 200, 999)}, {number('p2', 200, 999)}, {number('p3', 1000, 9999)}) || ' is the main contact'",
+        "name": f"'Customer name: ' || {pick('f', S.FIRST_NAMES)} || ' ' || {pick('l', S.LAST_NAMES)} || ', holder since 2020'",
+        "address": f"'Mailing address: ' || {number('h', 1, 9999)} || ' ' || {pick('s', S.STREETS)} || ', ' || {pick('t', [t for t, _ in S.TOWNS])}",
+        "health_data": pick("health", S.HEALTH_TEXTS), "biometric_data": pick("bio", S.BIOMETRIC_TEXTS),
+        "neural_data": pick("neural", S.NEURAL_TEXTS), "clean": pick("clean", S.CLEAN_TEXTS),
+    }
+    label = "[" + ", ".join(quoted(c) for c in S.CLASSES) + f"][1 + {k} % {len(S.CLASSES)}]"
+    return (f"SELECT {k} AS id, {label} AS label, CASE {label} " + " ".join(f"WHEN {quoted(c)} THEN {t}" for c, t in texts.items())
+            + " END AS text FROM orders")
+
+
+@query("M6", _sql_labelled())
 def generated_labelled_texts(spark, folder):
     return S.labelled_texts(table(spark, folder, "orders", ["o_orderkey"]), "o_orderkey")
 

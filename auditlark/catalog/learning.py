@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from auditlark.catalog.registry import query, table
+from auditlark.catalog.registry import query, quoted, sql_round, table
+from auditlark.functions.numbers import round_exact
+from auditlark.functions.text import WORD, once
 from auditlark.operators import evaluate as E
 from auditlark.operators import ml as ML
 from auditlark.operators.ranking import hash_rank, stratified_split
@@ -30,12 +32,24 @@ def _examples(spark, folder):
     return docs.select("doc_id", "text", F.col("lang").alias("label"))
 
 
-@query("M1")
+SQL_TFIDF = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), {quoted(WORD)}) AS ws FROM documents),
+t AS (SELECT doc_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS term FROM w),
+tf AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY ALL),
+vocabulary AS (SELECT term, count(*) AS df FROM tf GROUP BY term ORDER BY sum(n) DESC, term LIMIT 5000),
+weights AS (SELECT doc_id, n * (ln(((SELECT count(*) FROM documents) + 1) / (df + 1)::DOUBLE) + 1) AS v FROM tf JOIN vocabulary USING (term)),
+docs AS (SELECT doc_id, count(*) AS n_terms, max(v) / sqrt(sum(v * v)) AS top FROM weights GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_terms, 0) AS n_terms, coalesce({sql_round('top', 4)}, 0.0) AS top_weight FROM documents d LEFT JOIN docs ON d.doc_id = docs.doc_id"""
+
+
+@query("M1", SQL_TFIDF)
 def tfidf_features(spark, folder):
     texts = _examples(spark, folder)
-    model = ML.tfidf_model(texts)
-    return model.transform(texts.select("doc_id", "text")).select("doc_id", ML.vector_to_array("features").alias("weights")).select(
-        "doc_id", F.size(F.filter("weights", lambda w: w != 0)).cast("bigint").alias("n_terms"))
+    vectors = ML.tfidf_model(texts).transform(texts.select("doc_id", "text"))
+    weights = vectors.select("doc_id", once(F.struct(ML.vector_to_array("features").alias("weights"))))
+    return weights.select(
+        "doc_id", F.size(F.filter("weights", lambda w: w != 0)).cast("bigint").alias("n_terms"),
+        round_exact(F.array_max("weights"), 4).alias("top_weight"))
 
 
 @query("M2 M4 A16")
