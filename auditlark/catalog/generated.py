@@ -13,8 +13,13 @@ from auditlark.plans.audit import run_audit
 K = "c_custkey"
 
 
+def sql_padded(value: str, width: int) -> str:
+    digits = f"CAST({value} AS VARCHAR)"
+    return f"lpad({digits}, greatest(length({digits}), {width})::INTEGER, '0')"
+
+
 def _sql_customers() -> str:
-    pad = lambda v, w: f"lpad(CAST({v} AS VARCHAR), {w}, '0')"
+    pad = sql_padded
     first, last = sql_pick(K, "first", S.FIRST_NAMES), sql_pick(K, "last", S.LAST_NAMES)
     condition = f"CASE WHEN {sql_uniform(K, 'has_condition')} % 100 < 60 THEN {sql_pick(K, 'condition', S.CONDITIONS)} ELSE '' END"
     town = sql_between(K, "town", 1, len(S.TOWNS))
@@ -33,7 +38,7 @@ CASE WHEN {sql_uniform(K, 'has_faith')} % 100 < 20 THEN {sql_pick(K, 'faith', S.
 
 
 def _customers(spark, folder):
-    return S.customers(table(spark, folder, "customer", [K]), K)
+    return S.customers(table(spark, folder, "customer", [K], heavy=True), K)
 
 
 @query("G1 K3", _sql_customers())
@@ -41,8 +46,8 @@ def generated_customers(spark, folder):
     return _customers(spark, folder)
 
 
-SQL_REQUESTS = f"""SELECT 'R' || lpad(o_orderkey::VARCHAR, greatest(4, 4), '0') AS request_id, o_orderkey,
-'C' || lpad(CAST({sql_between('o_orderkey', 'customer', 1, 1000)} AS VARCHAR), 6, '0') AS customer_id, {sql_pick('o_orderkey', 'kind', S.REQUEST_TYPES)} AS request_type,
+SQL_REQUESTS = f"""SELECT 'R' || {sql_padded('o_orderkey', 4)} AS request_id, o_orderkey,
+'C' || {sql_padded(sql_between('o_orderkey', 'customer', 1, 1000), 6)} AS customer_id, {sql_pick('o_orderkey', 'kind', S.REQUEST_TYPES)} AS request_type,
 DATE '2024-01-01' + {sql_between('o_orderkey', 'asked', 0, 364)}::INTEGER AS request_date,
 CASE WHEN {sql_between('o_orderkey', 'roll', 0, 99)} < 5 THEN {sql_between('o_orderkey', 'very_late', 91, 150)}
      WHEN {sql_between('o_orderkey', 'roll', 0, 99)} < 20 THEN {sql_between('o_orderkey', 'late', 46, 90)} ELSE {sql_between('o_orderkey', 'on_time', 1, 44)} END AS days,
@@ -51,13 +56,13 @@ CASE WHEN {sql_uniform('o_orderkey', 'pending')} % 100 < 10 THEN 'pending' ELSE
 
 @query("G2 K3", f"SELECT request_id, customer_id, request_type, strftime(request_date, '%Y-%m-%d') AS request_date, strftime(request_date + days::INTEGER, '%Y-%m-%d') AS response_date, status FROM ({SQL_REQUESTS})")
 def generated_requests(spark, folder):
-    log = S.request_log(table(spark, folder, "orders", ["o_orderkey"]), 1000, "o_orderkey")
+    log = S.request_log(table(spark, folder, "orders", ["o_orderkey"], heavy=True), 1000, "o_orderkey")
     return log.withColumns({c: F.col(c).cast("string") for c in ("request_date", "response_date")})
 
 
 @query("G2 A8", f"SELECT status, CASE WHEN days > 90 THEN 'very_late' WHEN days > 45 THEN 'late' ELSE 'on_time' END AS bucket, count(*) AS n_requests FROM ({SQL_REQUESTS}) GROUP BY ALL")
 def generated_request_buckets(spark, folder):
-    log = S.request_log(table(spark, folder, "orders", ["o_orderkey"]), 1000, "o_orderkey")
+    log = S.request_log(table(spark, folder, "orders", ["o_orderkey"], heavy=True), 1000, "o_orderkey")
     return sla.sla_buckets(log, ["status"])
 
 
@@ -95,13 +100,13 @@ def _sql_labelled() -> str:
 
 @query("M6", _sql_labelled())
 def generated_labelled_texts(spark, folder):
-    return S.labelled_texts(table(spark, folder, "orders", ["o_orderkey"]), "o_orderkey")
+    return S.labelled_texts(table(spark, folder, "orders", ["o_orderkey"], heavy=True), "o_orderkey")
 
 
 def audit_inputs(spark, folder):
     """Market segments are businesses: their customers hold generated personal
     data, nations of a segment have policies, orders are requests."""
-    customer = table(spark, folder, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"])
+    customer = table(spark, folder, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"], heavy=True)
     rows = S.customers(customer, "c_custkey").withColumn("__k", F.substring("customer_id", 2, 20).cast("bigint"))
     data = rows.join(customer, F.col("__k") == F.col("c_custkey")).withColumnRenamed("c_mktsegment", "entity_id")
     columns = [c for c in rows.columns if c != "__k"]

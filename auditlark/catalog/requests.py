@@ -14,7 +14,7 @@ def request_log(spark, folder):
     """Shipments as a log whose date columns carry accepted alias names, as
     text; returned items have an unreadable response date."""
     orders = table(spark, folder, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority"])
-    items = table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag"])
+    items = table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag"], heavy=True)
     shipped = F.date_format("l_shipdate", "yyyy-MM-dd")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).where(F.col("l_shipdate") >= F.col("o_orderdate")).select(
         F.col("o_orderpriority").alias("entity_id"),

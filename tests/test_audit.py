@@ -115,3 +115,9 @@ def test_statute_right_without_description(spark):
     rights = {e: {v["right"] for v in found if v["entity_id"] == e} for e in "abc"}
     assert rights == {"a": {"delete", "object"}, "b": {"delete"}, "c": {r for r, _ in S.CLAUSES}}
     assert {v["description"] for v in found if v["right"] == "object"} == {"right to object"}
+
+
+def test_long_keys_are_not_cut(frame):
+    ids = frame([(1234567,), (12,)], "id bigint")
+    assert {r["customer_id"] for r in S.customers(ids).collect()} == {"C1234567", "C000012"}
+    assert {r["request_id"] for r in S.request_log(ids, 5).collect()} == {"R1234567", "R0012"}
