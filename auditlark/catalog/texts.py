@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from auditlark.catalog.registry import query, table
 from auditlark.functions import jsontext as J
+from auditlark.functions import text as X
 from auditlark.operators import report as RP
 
 NARRATIVE_KEYS = "event_id % 3"
 
 
 def _narratives(spark, folder):
-    e = table(spark, folder, "events", ["event_id", "event_type", "user_id"])
+    e = table(spark, folder, "events", ["event_id", "event_type", "user_id"], heavy=True)
     third = F.pmod("event_id", F.lit(3))
     status = F.when(third == 0, "NON-COMPLIANT").when(third == 1, "Compliant").otherwise("pending")
     head = F.concat(F.lit("Status: "), status, F.lit("\n"), F.when(third < 2, F.concat(F.lit("Risk Grade: **"), F.get(F.array(*[F.lit(g) for g in "abcdf"]), F.pmod("user_id", F.lit(5)).cast("int")), F.lit("**\n"))).otherwise(""))
@@ -43,7 +44,7 @@ def narrative_violations(spark, folder):
 
 
 def _payload_texts(spark, folder):
-    e = table(spark, folder, "events", ["event_id", "event_type", "props"])
+    e = table(spark, folder, "events", ["event_id", "event_type", "props"], heavy=True)
     sixth = F.pmod("event_id", F.lit(6))
     nested = F.concat(F.lit('{"a": {"b": ['), F.col("event_id").cast("string"), F.lit(", 2]}, \"p\": "), F.col("props"), F.lit("}"))
     return e.select("event_id", F.when(sixth == 0, F.col("props"))
@@ -60,12 +61,14 @@ CASE event_id % 6 WHEN 0 THEN props WHEN 1 THEN props WHEN 2 THEN nested WHEN 3
      ELSE 'nothing {here: ' || event_type END AS payload_or_text FROM e""")
 def json_payloads(spark, folder):
     texts = _payload_texts(spark, folder)
-    return texts.select("event_id", J.json_payload(F.col("raw")).alias("payload"), J.json_payload_or_text(F.col("raw")).alias("payload_or_text"))
+    found = texts.select("event_id", X.once(X.let(F.col("raw"), lambda t: F.struct(
+        t.alias("raw"), J.json_payload(t).alias("payload")))))
+    return found.select("event_id", "payload", F.coalesce("payload", F.nullif("raw", F.lit("")), F.lit("{}")).alias("payload_or_text"))
 
 
 @query("F23 F24", """SELECT event_id, CASE event_id % 4 WHEN 3 THEN '{"raw":"' || event_type || '"}' ELSE props END AS document FROM events""")
 def double_encoded_json(spark, folder):
-    e = table(spark, folder, "events", ["event_id", "event_type", "props"])
+    e = table(spark, folder, "events", ["event_id", "event_type", "props"], heavy=True)
     quote = lambda c: F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
     once, kind = quote(F.col("props")), F.pmod("event_id", F.lit(4))
     raw = F.when(kind == 0, F.col("props")).when(kind == 1, once).when(kind == 2, quote(once)).otherwise(quote(F.col("event_type")))

@@ -47,12 +47,12 @@ def json_payload(text: Column) -> Column:
     blocks = F.filter(
         F.transform(F.regexp_extract_all(text, F.lit(FENCED_BLOCK), F.lit(1)), X.strip), is_json
     )
-    braces, brackets = _first_balanced(text, "{", "}"), _first_balanced(text, "[", "]")
+    valid = lambda candidate: X.let(candidate, lambda c: F.when(is_json(c), c))
     return F.coalesce(
         F.when(is_json(text), text),
         F.get(blocks, F.lit(0)),
-        F.when(is_json(braces), braces),
-        F.when(is_json(brackets), brackets),
+        valid(_first_balanced(text, "{", "}")),
+        valid(_first_balanced(text, "[", "]")),
     )
 
 

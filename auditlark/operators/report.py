@@ -270,8 +270,8 @@ def narrative_findings(raw: Column) -> dict[str, Column]:
 
 
 def parse_narratives(reports: DataFrame, keys: list[str], raw: str) -> DataFrame:
-    found = narrative_findings(F.col(raw))
-    return reports.select(*keys, X.once(F.struct(*[c.alias(n) for n, c in found.items()])))
+    found = lambda text: F.struct(*[c.alias(n) for n, c in narrative_findings(text).items()])
+    return reports.select(*keys, X.once(X.let(F.col(raw), found)))
 
 
 def evidence_text(violations: DataFrame, scores: DataFrame, advice: DataFrame | None = None, max_lines: int = 100_000) -> DataFrame:
