@@ -34,7 +34,7 @@ from auditlark.llm import store
 
 # White space as the pre-token pattern sees it. A match never spans a change from other
 # characters to white space, so a run of white space and the word after it split by themselves.
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 BLOCK_CHARS = 12_000_000

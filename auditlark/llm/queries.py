@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlark.llm import bpe
+from auditlark.llm import bpe, jaccard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,3 +34,41 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
     return bpe.decode(encoded, path).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# --- 3: n-gram Jaccard join --------------------------------------------------------
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, folder, "documents"), words=3, threshold="0.9").select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+SQL["op3_ngram_jaccard"] = rf"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE
+        WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
+    FROM texts
+), classes AS (
+    SELECT doc_id, len(s) AS n, s, CASE WHEN len(s) > 0 THEN min(doc_id) OVER (PARTITION BY s) ELSE doc_id END AS class_id FROM sets
+), shingles AS (
+    SELECT doc_id, n, unnest(s) AS shingle FROM classes WHERE doc_id = class_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), ends AS (
+    SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
+), reach AS (
+    SELECT class_id AS node, class_id AS other FROM classes
+    UNION
+    SELECT r.node, e.b FROM reach r JOIN ends e ON r.other = e.a
+), groups AS (
+    SELECT node, min(other) AS component_id FROM reach GROUP BY node
+)
+SELECT c.doc_id, CAST(c.n AS BIGINT) AS n_shingles, g.component_id, c.class_id FROM classes c JOIN groups g ON c.class_id = g.node
+"""
