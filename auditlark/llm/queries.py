@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlark.llm import bpe, jaccard
+from auditlark.llm import bpe, jaccard, langid, toxicity
+from auditlark.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,3 +73,24 @@ WITH RECURSIVE texts AS (
 )
 SELECT c.doc_id, CAST(c.n AS BIGINT) AS n_shingles, g.component_id, c.class_id FROM classes c JOIN groups g ON c.class_id = g.node
 """
+
+
+# --- 4: language ID ------------------------------------------------------------------
+
+@query
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model = langid.fit(docs, F.coalesce(fold("doc_id", 4) != 2, F.lit(False)))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+# --- 5: toxicity -----------------------------------------------------------------------
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels").where(fold("doc_id", 5) != 0))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("offending").alias("n_offending"))
