@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlark.llm import bpe, jaccard, langid, toxicity
+from auditlark.llm import bpe, embeddings, jaccard, langid, toxicity
 from auditlark.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# --- 1: embedding near-duplicates ----------------------------------------------------
+
+@query
+def op1_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
+
+
 # --- 2: byte-level BPE -----------------------------------------------------------
 
 RANKS = "byte_bpe_multi_50k.tiktoken"

@@ -64,54 +64,58 @@ def noisy_or(scores: np.ndarray) -> float:
     return float(-np.expm1(np.log1p(-np.minimum(kept, 1 - 1e-15)).sum()))
 
 
-def _train(texts: list[str], labels: np.ndarray, weight: np.ndarray, bits: int, rounds: int, rate: float, l1: float, l2: float, eps: float = 1e-6) -> Model:
+def _train(texts: list[str], labels: np.ndarray, weight: np.ndarray, bits: int, rounds: int, rate: float, l1: float, least: int) -> Model:
+    """Proximal gradient with momentum on the log loss of the noisy-or; features of fewer than ``least`` texts stay at zero."""
     numbers: dict[str, int] = {}
-    words, per_sentence, per_text = [], [], []
-    for text in texts:
-        spans = sentences(text)
-        count = 0
-        for a, b in spans:
-            found = {numbers.setdefault(w, len(numbers)) for w in WORD.findall(text[a:b].lower())}
-            if found:
-                words.extend(sorted(found))
-                per_sentence.append(len(found))
-                count += 1
-        per_text.append(count)
-    keep = np.array(per_text) > 0
-    labels, weight, per_text = labels[keep], weight[keep], np.array(per_text)[keep]
-    if not len(labels) or labels.min() == labels.max():
+    features: list[list[int]] = []
+    seen = np.zeros(1 << bits, "i4")
+    words, sentence_of, text_of = [], [], []
+    for i, text in enumerate(texts):
+        own: set[int] = set()
+        for a, b in sentences(text):
+            for word in set(WORD.findall(text[a:b].lower())):
+                k = numbers.setdefault(word, len(numbers))
+                if k == len(features):
+                    features.append(word_features(word, bits))
+                own.update(features[k])
+                words.append(k)
+                sentence_of.append(len(text_of))
+            text_of.append(i)
+        seen[list(own)] += 1
+    text_of = np.array(text_of, "i8")
+    labels = np.asarray(labels)
+    if not len(text_of) or labels.min() == labels.max():
         return Model(np.zeros(1 << bits), -40.0, bits)
-    words, per_sentence = np.array(words), np.array(per_sentence)
-    s_start, t_start = np.cumsum(per_sentence) - per_sentence, np.cumsum(per_text) - per_text
-    features = [word_features(w, bits) for w in numbers]
     size = np.array([len(f) for f in features])
-    flat = np.fromiter(itertools.chain.from_iterable(features), "i8", int(size.sum()))
-    f_start, scale = np.cumsum(size) - size, 1 / np.sqrt(size)
-    sentence_of = np.repeat(np.arange(len(per_sentence)), per_sentence)
-    text_of = np.repeat(np.arange(len(per_text)), per_text)
-    w, b = np.zeros(1 << bits), -4.0
-    m, v, mb, vb = np.zeros(1 << bits), np.zeros(1 << bits), 0.0, 0.0
+    flat, word_of = np.fromiter(itertools.chain.from_iterable(features), "i8", int(size.sum())), np.repeat(np.arange(len(size)), size)
+    scale = 1 / np.sqrt(size)
+    used = seen[flat] >= least
+    flat, word_of = flat[used], word_of[used]
+    words, sentence_of = np.array(words, "i8"), np.array(sentence_of, "i8")
+    used = np.bincount(word_of, minlength=len(size))[words] > 0
+    words, sentence_of = words[used], sentence_of[used]
+    n_s, n_t, n_w, all_ = len(text_of), len(texts), len(size), weight.sum()
+    w, b, m, mb = np.zeros(1 << bits), -4.0, np.zeros(1 << bits), 0.0
+    v, vb = np.zeros(1 << bits), 0.0
     for step in range(1, rounds + 1):
-        score = np.add.reduceat(w[flat], f_start) * scale
-        z = b + np.add.reduceat(score[words], s_start)
-        p = _sigmoid(z)
-        total = np.add.reduceat(np.logaddexp(0, z), t_start)  # -log of the probability that no sentence is toxic
-        blame = np.where(labels == 1, -np.exp(-total) / -np.expm1(-np.maximum(total, 1e-12)), 1.0) * weight
-        g_z = p * blame[text_of]
-        g_word = np.bincount(words, g_z[sentence_of], len(size))
-        g = np.bincount(flat, np.repeat(g_word * scale, size), 1 << bits) / weight.sum() + l2 * w
-        g_b = g_z.sum() / weight.sum()
+        score = np.bincount(word_of, w[flat], n_w) * scale
+        z = b + np.bincount(sentence_of, score[words], n_s)
+        total = np.bincount(text_of, np.logaddexp(0, z), n_t)  # -log of the probability that no sentence is toxic
+        blame = np.where(labels == 1, -np.exp(-total) / -np.expm1(-np.maximum(total, 1e-12)), 1.0) * weight / all_
+        g_z = _sigmoid(z) * blame[text_of]
+        g_word = np.bincount(words, g_z[sentence_of], n_w) * scale
+        g, g_b = np.bincount(flat, g_word[word_of], 1 << bits), g_z.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * g_b, 0.99 * vb + 0.01 * g_b * g_b
         c1, c2 = 1 - 0.9 ** step, 1 - 0.99 ** step
-        w -= rate * (m / c1) / (np.sqrt(v / c2) + eps)
-        w = np.sign(w) * np.maximum(np.abs(w) - rate * l1, 0)
-        b -= rate * (mb / c1) / (np.sqrt(vb / c2) + 1e-3)
+        w -= rate * (m / c1) / (np.sqrt(v / c2) + 3e-3)  # small gradients, those of rare features, take small steps
+        w = np.maximum(w - rate * l1, 0)  # a word can only speak for toxicity: no neighbour talks a sentence clean
+        b -= rate * (mb / c1) / (np.sqrt(vb / c2) + 3e-3)
     return Model(w, float(b), bits)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", bits: int = 18,
-        per_class: int = 2500, max_chars: int = 100_000, rounds: int = 120, rate: float = 0.08, l1: float = 0.002, l2: float = 1e-6, seed: int = 11) -> Model:
+        per_class: int = 1500, max_chars: int = 100_000, rounds: int = 400, rate: float = 0.2, l1: float = 0.03, least: int = 3, seed: int = 11) -> Model:
     """``labels`` holds the rows to learn from only."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
     sample, share = draw(known.groupBy("id").agg(F.max("label").alias("label")), "id", "label", per_class, seed)
@@ -120,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows.sort(key=lambda r: (r["id"], r["text"]))
     y = np.array([r["label"] for r in rows], "i8")
     weight = np.array([1 / share[r["label"]] for r in rows])
-    return _train([r["text"] for r in rows], y, weight, bits, rounds, rate, l1, l2)
+    return _train([r["text"] for r in rows], y, weight, bits, rounds, rate, l1, least)
 
 
 FOUND = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())]))
