@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlark.llm import bpe, embeddings, jaccard, langid, toxicity
+from auditlark.llm import bpe, embeddings, htmltext, jaccard, langid, toxicity
 from auditlark.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,11 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+# --- 10: main text of pages ----------------------------------------------------------------
+
+@query
+def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return htmltext.extract(pages.select("page_id", "url", "html"), htmltext.fit(pages)).select("page_id", "url", "text", "n_chars")
