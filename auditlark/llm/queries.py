@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlark.llm import bpe, embeddings, htmltext, jaccard, langid, toxicity
+from auditlark.llm import bpe, embeddings, htmltext, jaccard, langid, licenses, toxicity
 from auditlark.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,53 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("offending").alias("n_offending"))
 
 
+# --- 6: license scans ------------------------------------------------------------------------
+
+@query
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def _license_sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def places(phrase: str) -> str:
+        test = " AND ".join(f"w[i + {k}] = {quoted(x)}" for k, x in enumerate(phrase.split(" ")))
+        return f"list_transform(list_filter(range(1, len(w) + 1), lambda i: {test}), lambda i: i - 1)"
+
+    phrases = ", ".join(f"{places(p)} AS p{k}" for k, (p, _) in enumerate(licenses.PHRASES))
+    every = "list_concat(" * (len(licenses.PHRASES) - 1) + "p0" + "".join(f", p{k})" for k in range(1, len(licenses.PHRASES)))
+    base = "list_filter([" + ", ".join(f"CASE WHEN len(p{k}) > 0 THEN {quoted(x)} END" for k, (_, x) in enumerate(licenses.PHRASES)) + "], lambda x: x IS NOT NULL)"
+    templates = ", ".join(f"({quoted(x)}, list_distinct(string_split({quoted(t)}, ' ')))" for x, t in licenses.TEMPLATES)
+    words = f"regexp_extract_all(translate(%s, '{UPPER}', '{LOWER}'), '{licenses.WORD}')"
+    return f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, {words % "coalesce(text, '')"} AS w FROM documents
+), placed AS (
+    SELECT doc_id, len(w) AS n_words, {phrases} FROM texts
+), base AS (
+    SELECT doc_id, n_words, {every} AS places, {base} AS base FROM placed
+), blocks AS (
+    SELECT doc_id, {words % "line"} AS words FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
+), templates(label, wanted) AS (
+    VALUES {templates}
+), found AS (
+    SELECT doc_id, label, len(list_intersect(list_distinct(words), wanted)) / len(wanted) AS containment FROM blocks, templates
+    WHERE len(list_intersect(list_distinct(words), wanted)) >= ceil(9 * len(wanted) / 10)
+), per_doc AS (
+    SELECT doc_id, list(DISTINCT label) AS own, max(containment) AS best FROM found GROUP BY doc_id
+)
+SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+    array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+    array_to_string(list_sort(list_distinct(list_concat(base, coalesce(own, [])))), ',') AS labels,
+    CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(best, 0) END::DOUBLE AS score
+FROM base b LEFT JOIN per_doc USING (doc_id)"""
+
+
+SQL["op6_license_scan"] = _license_sql()
+
+
 # --- 10: main text of pages ----------------------------------------------------------------
 
 @query
