@@ -2,9 +2,8 @@
 
 Equal sets are one class from the start. For the others:
 
-1. *Size bands.* Similar sets have similar sizes, so a set only meets its own band and the next ones:
-   every pair of bands within reach is a tile. In a tile two similar sets differ in at most ``d``
-   shingles. The shingle universe is dealt by hash into ``d + 1`` parts, so similar sets agree
+1. *Size bands.* Similar sets have similar sizes, so a set only meets its own band and the ones beside it:
+   two neighbouring bands are a tile. In a tile two similar sets differ in at most ``d`` shingles. The shingle universe is dealt by hash into ``d + 1`` parts, so similar sets agree
    wholly in one part at least, and the hash of that part's shingles is a key both have. No similar pair
    is missed, and unrelated texts that merely share a passage almost never get a common key.
 2. *Stars.* In each key every set is compared with the smallest one; links join components.
@@ -39,7 +38,7 @@ from auditlark.llm.components import components
 
 BITMAP_WORDS = 16
 TILE_ROWS = 128
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 150_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -95,26 +94,18 @@ class Bands:
         a, b = self.tops[low], self.tops[high]
         return math.floor((1 - self.t) / (1 + self.t) * (a + b))
 
-    def tiles(self, size: int) -> list[tuple[int, int]]:
-        """The pairs of bands in which a set of this size can have similar sets."""
+    def tiles(self, size: int) -> list[int]:
+        """The tiles of a size: tile ``b`` holds the bands ``b`` and ``b + 1``; sizes within the threshold share one at least."""
         own = self.of(size)
-        found, low = [(own, own)], own
-        self.of(math.floor(size / self.t))
-        while low > 0 and self.tops[low - 1] >= math.ceil(size * self.t):
-            low -= 1
-            found.append((low, own))
-        high = own
-        while high + 1 < len(self.tops) and self.tops[high] + 1 <= math.floor(size / self.t):
-            high += 1
-            found.append((own, high))
-        return found
+        self.of(self.tops[own] + 1)
+        return [own, own - 1] if own else [own]
 
 
 def _keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     out = []
-    for low, high in bands.tiles(len(shingles)):
-        parts = bands.differing(low, high) + 1
-        salt = np.uint64((low << 20 | high) * 0x9E3779B1 % (1 << 63))
+    for tile in bands.tiles(len(shingles)):
+        parts = bands.differing(tile, tile + 1) + 1
+        salt = np.uint64((tile + 1) * 0x9E3779B97F4A7C15 % (1 << 63))
         part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         sums = np.zeros(parts, "u8")
         np.add.at(sums, part.astype("i8"), _mix(shingles ^ salt))
@@ -232,14 +223,14 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = store.written(chosen.groupBy("digest", "n_shingles").agg(F.min("doc").alias("class_id")), "classes")
     member = store.written(chosen.join(classes, ["digest", "n_shingles"]), "members")
     firsts = member.where("doc = class_id AND n_shingles > 0").select("doc", "digest")
-    reps = signed.join(firsts, ["doc", "digest"], "left_semi").dropDuplicates(["doc"])
+    reps = signed.join(firsts, ["doc", "digest"], "left_semi")  # a repeated row merely repeats its keys
 
     # Keys with more than one set, each with its smallest set.
     keyed = reps.select(F.explode("keys").alias("key"), F.col("doc").alias("rep"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key", "low")
     hits = store.written(keyed.join(shared, "key"), "shared_keys")
     info = store.written(reps.join(hits.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
-                         .select(F.col("doc").alias("rep"), "n_shingles", "bitmap"), "bitmaps")
+                         .select(F.col("doc").alias("rep"), "n_shingles", "bitmap").dropDuplicates(["rep"]), "bitmaps")
     wanted = info.select(F.col("rep").alias("doc"))
     sets = texts.join(wanted, "doc", "left_semi").mapInArrow(lambda it: _sets(it, words), "rep long, digest binary, shingles binary")
     sets = store.written(sets.join(firsts.withColumnRenamed("doc", "rep"), ["rep", "digest"], "left_semi").dropDuplicates(["rep"]).drop("digest"), "sets")
