@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlark.llm import bpe, embeddings, htmltext, jaccard, langid, licenses, toxicity
+from auditlark.llm import bpe, embeddings, htmltext, imatch, jaccard, langid, licenses, toxicity
 from auditlark.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,6 +150,64 @@ FROM base b LEFT JOIN per_doc USING (doc_id)"""
 SQL["op6_license_scan"] = _license_sql()
 
 
+# --- 9: document fingerprints ------------------------------------------------------------------
+
+@query
+def op9_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.compare_edits(table(spark, folder, "documents"))
+
+
+def _imatch_sql() -> str:
+    subsets = [(d, r) for d in imatch.DENSITIES for r in range(imatch.REPEATS)]
+    number = "CAST(('0x' || substr(md5(%s), 1, %d)) AS BIGINT)"
+    chosen = ", ".join(f"{number % (f"term || '#{r}'", 8)} % {d} = 0 AS s{k}" for k, (d, r) in enumerate(subsets))
+    words = f"trim(regexp_replace(translate(%s, '{UPPER}', '{LOWER}'), '{imatch.NO_WORD}', ' ', 'g'))"
+    parts = ", ".join(f"bit_xor(CASE WHEN s{k} THEN hash END) AS c{k}" for k in range(len(subsets)))
+    array = "[" + ", ".join(f"c{k}" for k in range(len(subsets))) + "]"
+
+    def alike(a: str, b: str) -> str:
+        return f"""CASE WHEN {b}.c IS NULL THEN 0
+            WHEN len(list_filter(list_zip({a}.c, {b}.c), lambda x: x[1] IS NOT NULL OR x[2] IS NOT NULL)) > 0
+            THEN len(list_filter(list_zip({a}.c, {b}.c), lambda x: x[1] = x[2])) / len(list_filter(list_zip({a}.c, {b}.c), lambda x: x[1] IS NOT NULL OR x[2] IS NOT NULL))
+            ELSE CAST({a}.hash_all = {b}.hash_all AS DOUBLE) END::DOUBLE"""
+
+    return f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text FROM documents
+), terms AS (
+    SELECT unnest(list_distinct(string_split({words % "text"}, ' '))) AS term FROM texts
+), counts AS (
+    SELECT term, count(*) AS n FROM terms WHERE term != '' GROUP BY term HAVING count(*) > 1
+), lexicon AS (
+    SELECT term, {number % ("term", 15)} AS hash, {chosen} FROM counts
+    WHERE n >= {imatch.LOW} * (SELECT count(*) FROM texts) AND n <= {imatch.HIGH} * (SELECT count(*) FROM texts)
+), ordered AS (
+    SELECT doc_id, text, coalesce(lead(doc_id) OVER o, (SELECT min(doc_id) FROM texts)) AS next_id,
+        coalesce(lead(text) OVER o, (SELECT arg_min(text, doc_id) FROM texts)) AS next_text
+    FROM texts WINDOW o AS (ORDER BY doc_id)
+), edits AS (
+    SELECT doc_id, next_id, text, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited FROM ordered
+), sides AS (
+    SELECT doc_id, 0 AS side, {words % "text"} AS w FROM edits UNION ALL SELECT doc_id, 1, {words % "edited"} FROM edits
+), hits AS (
+    SELECT doc_id, side, unnest(list_distinct(string_split(w, ' '))) AS term FROM sides
+), parts AS (
+    SELECT doc_id, side, {parts} FROM hits LEFT JOIN lexicon USING (term) GROUP BY doc_id, side
+), prints AS (
+    SELECT doc_id, side, {array} AS c, md5(w) AS hash_all,
+        CASE WHEN len(list_filter({array}, lambda x: x IS NOT NULL)) = 0 THEN md5(w)
+        ELSE array_to_string(list_transform({array}, lambda x: coalesce(CAST(x AS VARCHAR), '')), '.') END AS print
+    FROM parts JOIN sides USING (doc_id, side)
+)
+SELECT e.doc_id, length(e.text) AS n_chars, sha256(e.edited) AS edited_sha256, p.print AS fingerprint, q.print AS edited_fingerprint,
+    {alike("p", "q")} AS near_edited, {alike("p", "r")} AS near_next
+FROM edits e JOIN prints p ON p.doc_id = e.doc_id AND p.side = 0 JOIN prints q ON q.doc_id = e.doc_id AND q.side = 1
+LEFT JOIN prints r ON r.doc_id = e.next_id AND r.side = 0"""
+
+
+SQL["op9_imatch"] = _imatch_sql()
+
+
 # --- 10: main text of pages ----------------------------------------------------------------
 
 @query
