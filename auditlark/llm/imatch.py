@@ -23,7 +23,7 @@ from auditlark.llm import store
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOW, HIGH = 0.002, 0.2
-DENSITIES = (2, 8, 32, 128)
+DENSITIES = (8, 16, 32, 64, 128, 256)
 REPEATS = 4
 
 
