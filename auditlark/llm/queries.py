@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlark.llm import bpe, embeddings, htmltext, imatch, jaccard, langid, licenses, toxicity
+from auditlark.llm import bpe, embeddings, htmltext, imatch, jaccard, langid, licenses, linededup, mixing, toxicity
 from auditlark.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,6 +150,58 @@ FROM base b LEFT JOIN per_doc USING (doc_id)"""
 SQL["op6_license_scan"] = _license_sql()
 
 
+# --- 7: line dedup ----------------------------------------------------------------------------
+
+@query
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = linededup.dedupe(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+SQL["op7_line_dedup"] = rf"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL
+), hashed AS (
+    SELECT *, md5(line) AS h, coalesce(lag(md5(line)) OVER (PARTITION BY doc_id ORDER BY i), '') AS before FROM lines
+), ended AS (
+    SELECT *, CAST(substr(md5(before || h), 1, 1) IN {linededup.BOUNDARY_DIGITS} AS INT) AS ends FROM hashed
+), numbered AS (
+    SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM ended
+), chunks AS (
+    SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n FROM numbered GROUP BY doc_id, pos
+), placed AS (
+    SELECT *, CASE WHEN n >= 2 AND regexp_matches(chunk, '[\p{{L}}\p{{N}}]')
+        THEN row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) ELSE 1 END AS place FROM chunks
+), kept AS (
+    SELECT doc_id, sum(n) AS n_lines, sum(n) FILTER (place > 1) AS n_removed, string_agg(chunk, chr(10) ORDER BY pos) FILTER (place = 1) AS text FROM placed GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    length(coalesce(k.text, '')) AS n_chars, sha256(coalesce(k.text, '')) AS text_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+
+# --- 8: mixing to target weights ------------------------------------------------------------------
+
+LANGUAGE_TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
+QUALITY_TARGETS = {1: 0.9, 0: 0.1}
+TARGETS = {f"{lang}/{quality}": a * b for lang, a in LANGUAGE_TARGETS.items() for quality, b in QUALITY_TARGETS.items()}
+
+
+def domain_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table: language and quality of the documents that have a quality label."""
+    return labels.select("doc_id", "quality").join(docs.select("doc_id", "lang"), "doc_id").select(
+        "doc_id", F.concat_ws("/", "lang", F.col("quality").cast("string")).alias("domain"))
+
+
+@query
+def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    mixed = mixing.mix(docs.select("doc_id", "text", "lang"), domain_labels(docs, table(spark, folder, "labels")), TARGETS)
+    return mixed.select("doc_id", "n_tokens", "domain", "membership", "rate", "copies")
+
+
 # --- 9: document fingerprints ------------------------------------------------------------------
 
 @query
