@@ -103,12 +103,16 @@ def following(ids: DataFrame, id_col: str, buckets: int = 64) -> DataFrame:
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, next_id, text, edited)``: the last quarter of each text replaced by as much of the start of the next document."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    one = docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(F.struct(F.xxhash64(text).alias("mark"), text.alias("text"))).alias("v")).select("id", "v.text")
-    order = store.written(following(docs.select(F.col(id_col).cast("long").alias("id")), "id"), "order")
-    sizes = docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(F.length(text)).alias("most"))
+    # Both joins read the same texts dealt by id; the filter on both sides keeps them one shuffle.
+    known = docs.where(F.col(id_col).isNotNull())
+    one = known.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(F.struct(F.xxhash64(text).alias("mark"), text.alias("text"))).alias("v")).select("id", "v.text")
+    order = store.written(following(known.select(F.col(id_col).cast("long").alias("id")), "id"), "order")
+    sizes = known.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(F.length(text)).alias("most"))
     wanted = order.join(sizes, "id").select(F.col("id").alias("for_id"), F.col("next_id").alias("id"), F.floor(F.col("most") / 4).cast("int").alias("most"))
     starts = one.join(wanted, "id").select(F.col("for_id").alias("id"), F.col("id").alias("next_id"), F.substring("text", F.lit(1), F.col("most")).alias("start"))
-    rows = one.join(starts, "id", "left")
+    loose = docs.where(F.col(id_col).isNull()).agg(F.min(F.struct(F.xxhash64(text).alias("mark"), text.alias("text"))).alias("v")).where("v IS NOT NULL")
+    loose = loose.select(F.lit(None).cast("long").alias("id"), "v.text", F.lit(None).cast("long").alias("next_id"), F.lit(None).cast("string").alias("start"))
+    rows = one.join(starts, "id", "left").unionByName(loose)
     n = F.length("text")
     part = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - part), F.substring(F.coalesce("start", F.lit("")), F.lit(1), part))

@@ -86,8 +86,8 @@ def matches(blocks: DataFrame, templates: Sequence[tuple[str, str]], threshold:
     pairs = offered.join(F.broadcast(probe), "rank").where(
         (F.size("own") >= F.col("needed")) & (F.col("j") <= F.size("own") - F.col("needed"))
         & (1 + F.least(F.col("size") - 1 - F.col("i"), F.size("own") - 1 - F.col("j")) >= F.col("needed")))
-    common = F.size(F.array_intersect("own", "ranks"))
-    return pairs.withColumn("common", common).where("common >= needed").select(*keys, "label", (F.col("common") / F.col("size")).alias("containment"))
+    shared = pairs.withColumn("shared", F.array_intersect("own", "ranks")).where(F.col("rank") == F.array_min("shared"))  # each pair once, at its rarest word
+    return shared.withColumn("common", F.size("shared")).where("common >= needed").select(*keys, "label", (F.col("common") / F.col("size")).alias("containment"))
 
 
 def _spaced(words: str) -> str:

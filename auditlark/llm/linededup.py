@@ -71,14 +71,15 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_
     held = store.written(held.select("id", "mark", "m.*", F.get(F.col("chunks"), F.col("m.pos"))["text"].alias("chunk")), "repeated_texts")
     kept = held.where("first").groupBy("key").agg(F.first("chunk").alias("kept"))
     gone = held.where("NOT first").join(kept, "key").where("chunk = kept").groupBy("id", "mark").agg(F.collect_set("pos").alias("gone"))
+    gone = gone.select(F.col("id").alias("__gone_id"), F.col("mark").alias("__gone_mark"), F.col("gone").alias("__gone"))
 
     rows = docs.select(*(F.col(f"`{c}`") for c in others), F.col(f"`{id_col}`").cast("long").alias("__id"), F.xxhash64(text).alias("__mark"))
-    rows = rows.join(gone, rows["__id"].eqNullSafe(gone["id"]) & (rows["__mark"] == gone["mark"]), "left")
+    rows = rows.join(gone, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__mark") == F.col("__gone_mark")), "left")
     n_lines = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     stay = F.filter(F.transform(chunks(text), lambda c, i: F.struct(i.alias("pos"), c["n"].alias("n"), c["text"].alias("text"))),
-                    lambda c: ~F.array_contains("gone", c["pos"]))
+                    lambda c: ~F.array_contains("__gone", c["pos"]))
     left = F.struct(F.array_join(F.transform(stay, lambda c: c["text"]), "\n").alias("text"), F.aggregate(stay, F.lit(0), lambda s, c: s + c["n"]).alias("n"))
-    rows = rows.withColumn("__left", F.when(F.col("gone").isNotNull(), left))
+    rows = rows.withColumn("__left", F.when(F.col("__gone").isNotNull(), left))
     return rows.select(
         *(F.coalesce(F.col("__left.text"), text).alias(c) if c == text_col else F.col(f"`{c}`") for c in others),
-        n_lines.cast("long").alias("n_lines"), F.when(F.col("gone").isNotNull(), n_lines - F.col("__left.n")).otherwise(0).cast("long").alias("n_removed"))
+        n_lines.cast("long").alias("n_lines"), F.when(F.col("__gone").isNotNull(), n_lines - F.col("__left.n")).otherwise(0).cast("long").alias("n_removed"))
