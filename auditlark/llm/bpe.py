@@ -37,7 +37,7 @@ from auditlark.llm import store
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 8_000_000
 LONG_WORD = 48
 
 
