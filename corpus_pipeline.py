@@ -5,6 +5,8 @@ Each stage takes (spark, docs, sf_dir); all but the last return the columns of d
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,19 @@ QUALITY = {1: 0.9, 0: 0.1}
 TARGETS = {f"{lang}/{quality}": a * b for lang, a in LANGUAGES.items() for quality, b in QUALITY.items()}
 
 
+def stage(f):
+    """A stage owns the intermediate tables written for it. When the next one starts, its input is a table of its own, so those
+    that the input does not read are deleted; a chain of stages that was never written keeps what it needs."""
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        store.release("pipeline", docs)
+        with store.owned("pipeline"):
+            return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose likeliest language has under half the probability; fills a missing ``lang``.
 
@@ -31,6 +46,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns)
 
 
+@stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated chunks of lines out of the texts; a document of which nothing but blanks is left goes."""
     kept = linededup.dedupe(docs)
@@ -38,6 +54,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
+@stage
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similar five-word shingles the one with the smallest id stays; rows without id stay."""
     groups = jaccard.similar_groups(docs, words=5, threshold="0.8")
@@ -45,12 +62,14 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
+@stage
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents so that the domains' tokens approach the target weights; every document stays at least once."""
     labels = queries.domain_labels(docs, queries.table(spark, sf_dir, "labels"))
     return mixing.expand(mixing.mix(docs, labels, TARGETS, keep_all=True, at_least=1), docs.columns)
 
 
+@stage
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text as packed little-endian 32-bit integers, and the digest of the bytes they decode to."""
     path = public_tokenizers.path(queries.RANKS)
@@ -72,6 +91,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = queries.table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = store.written(stage(spark, docs, sf_dir), name)
+    for name, step in STAGES[:-1]:
+        kept = step(spark, docs, sf_dir)
+        with store.owned("pipeline"):
+            docs = store.written(kept, name)
     return STAGES[-1][1](spark, docs, sf_dir)
