@@ -3,8 +3,8 @@
 Equal sets are one class from the start. For the others:
 
 1. *Size bands.* Similar sets have similar sizes, so a set only meets its own band and the ones beside it:
-   two neighbouring bands are a tile. In a tile two similar sets differ in at most ``d`` shingles. The shingle universe is dealt by hash into ``d + 1`` parts, so similar sets agree
-   wholly in one part at least, and the hash of that part's shingles is a key both have. No similar pair
+   two neighbouring bands are a tile. In a tile two similar sets differ in at most ``d`` shingles. The shingle universe is dealt by hash into more
+   than ``d`` parts, so similar sets agree wholly in some, and the hash of such a part's shingles is a key both have. No similar pair
    is missed, and unrelated texts that merely share a passage almost never get a common key.
 2. *Stars.* In each key every set is compared with the smallest one; links join components.
 3. *Bitmap tiles.* Keys that still hold sets of different components are cut into tiles of rows. In each pair of tiles
@@ -30,7 +30,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlark.llm import store
@@ -101,15 +101,33 @@ class Bands:
         return [own, own - 1] if own else [own]
 
 
+SPARE_PARTS = 1.3
+
+
 def _keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
+    """Hashes of the fullest ``d + 1`` parts per tile.
+
+    There are more parts than that. At most ``d`` of them differ, so two similar sets share all but ``d`` of their non-empty parts; taking
+    the fullest first (equal parts are equally full) both have a shared one among their first ``d + 1``. Only sets with at most ``d``
+    non-empty parts, which can agree in empty ones alone, give those too.
+    """
     out = []
     for tile in bands.tiles(len(shingles)):
-        parts = bands.differing(tile, tile + 1) + 1
+        d = bands.differing(tile, tile + 1)
+        parts = int(SPARE_PARTS * (d + 1)) if d else 1
         salt = np.uint64((tile + 1) * 0x9E3779B97F4A7C15 % (1 << 63))
-        part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        part = (((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype("i8")
+        order = np.argsort(part, kind="stable")
+        size = np.bincount(part, minlength=parts)
+        starts = np.cumsum(size) - size
+        full = np.flatnonzero(size)
         sums = np.zeros(parts, "u8")
-        np.add.at(sums, part.astype("i8"), _mix(shingles ^ salt))
-        out.append(_mix(sums + np.arange(parts, dtype="u8") * _M1 + salt))
+        sums[full] = np.add.reduceat(_mix(shingles ^ salt)[order], starts[full])
+        keys = _mix(sums + np.arange(parts, dtype="u8") * _M1 + salt)
+        if len(full) > d:
+            full = full[np.lexsort((keys[full], -size[full]))[:d + 1]]
+            keys = keys[full]
+        out.append(keys)
     return np.concatenate(out).view("i8")
 
 
@@ -225,10 +243,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     firsts = member.where("doc = class_id AND n_shingles > 0").select("doc", "digest")
     reps = signed.join(firsts, ["doc", "digest"], "left_semi")  # a repeated row merely repeats its keys
 
-    # Keys with more than one set, each with its smallest set.
+    # Keys with more than one set, each with its smallest set: one shuffle, read as a stream in key order.
     keyed = reps.select(F.explode("keys").alias("key"), F.col("doc").alias("rep"))
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key", "low")
-    hits = store.written(keyed.join(shared, "key"), "shared_keys")
+    in_key = Window.partitionBy("key").orderBy("rep")
+    low = F.min("rep").over(in_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hits = keyed.select("key", "rep", low.alias("low"), F.lead("rep").over(in_key).alias("after"))
+    hits = store.written(hits.where("low < rep OR after > rep").select("key", "rep", "low"), "shared_keys")
     info = store.written(reps.join(hits.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
                          .select(F.col("doc").alias("rep"), "n_shingles", "bitmap").dropDuplicates(["rep"]), "bitmaps")
     wanted = info.select(F.col("rep").alias("doc"))
