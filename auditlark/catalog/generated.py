@@ -21,17 +21,15 @@ def sql_padded(value: str, width: int) -> str:
 def _sql_customers() -> str:
     pad = sql_padded
     first, last = sql_pick(K, "first", S.FIRST_NAMES), sql_pick(K, "last", S.LAST_NAMES)
-    condition = f"CASE WHEN {sql_uniform(K, 'has_condition')} % 100 < 60 THEN {sql_pick(K, 'condition', S.CONDITIONS)} ELSE '' END"
-    town = sql_between(K, "town", 1, len(S.TOWNS))
-    listed = lambda values: "[" + ", ".join(quoted(v) for v in values) + "]"
+    finding = f"CASE WHEN {sql_uniform(K, 'has_finding')} % 100 < 60 THEN {sql_pick(K, 'finding', S.FINDINGS)} ELSE '' END"
     return f"""SELECT 'C' || {pad(K, 6)} AS customer_id, {first} AS first_name, {last} AS last_name,
 lower({first}) || '.' || lower({last}) || {K} || '@example.com' AS email,
 concat_ws('-', {sql_pick(K, 'area', S.AREA_CODES)}, {pad(sql_between(K, 'p1', 200, 999), 3)}, {pad(sql_between(K, 'p2', 0, 9999), 4)}) AS phone,
 concat_ws('-', {pad(sql_between(K, 's1', 100, 899), 3)}, {pad(sql_between(K, 's2', 1, 99), 2)}, {pad(sql_between(K, 's3', 1, 9999), 4)}) AS ssn,
 {sql_between(K, 'house', 1, 9999)} || ' ' || {sql_pick(K, 'street', S.STREETS)} AS address,
-{listed([t for t, _ in S.TOWNS])}[{town}] AS city, 'CT' AS state, {listed([z for _, z in S.TOWNS])}[{town}] AS zip,
-strftime(DATE '1940-01-01' + {sql_between(K, 'born', 0, 23000)}::INTEGER, '%m/%d/%Y') AS date_of_birth, {condition} AS diagnosis,
-CASE WHEN {condition} <> '' THEN {sql_pick(K, 'care', S.CARE_PLANS)} ELSE '' END AS treatment_plan,
+{sql_pick(K, 'place', S.PLACES)} AS city, 'CT' AS state, {pad(sql_between(K, 'zip', 1, 99999), 5)} AS zip,
+strftime(DATE '1940-01-01' + {sql_between(K, 'born', 0, 23000)}::INTEGER, '%m/%d/%Y') AS date_of_birth, {finding} AS diagnosis,
+CASE WHEN {finding} <> '' THEN {sql_pick(K, 'care', S.CARE)} ELSE '' END AS treatment_plan,
 CASE WHEN {sql_uniform(K, 'has_origin')} % 100 < 30 THEN {sql_pick(K, 'origin', S.ORIGINS)} ELSE '' END AS racial_ethnic_origin,
 CASE WHEN {sql_uniform(K, 'has_faith')} % 100 < 20 THEN {sql_pick(K, 'faith', S.FAITHS)} ELSE '' END AS religion,
 {sql_pick(K, 'notes', S.NOTES)} AS notes, CASE WHEN {sql_uniform(K, 'active')} % 100 < 80 THEN 'Active' ELSE 'Inactive' END AS account_status FROM customer"""
@@ -85,14 +83,12 @@ def _sql_labelled() -> str:
     pick = lambda salt, values: sql_pick(k, salt, values)
     number = lambda salt, low, high: f"{sql_between(k, salt, low, high)}::VARCHAR"
     texts = {
-        "email": f"'Contact: ' || lower({pick('n', S.FIRST_NAMES)}) || {number('e', 1, 9999)} || '@example.org for this account'",
-        "ssn": f"'Social security number ' || concat_ws('-', {number('s1', 100, 999)}, {number('s2', 10, 99)}, {number('s3', 1000, 9999)}) || ' kept for verification'",
-        "phone": f"'Phone number ' || concat_ws('-', {number('p1', 200, 999)}, {number('p2', 200, 999)}, {number('p3', 1000, 9999)}) || ' is the main contact'",
-        "name": f"'Customer name: ' || {pick('f', S.FIRST_NAMES)} || ' ' || {pick('l', S.LAST_NAMES)} || ', holder since 2020'",
-        "address": f"'Mailing address: ' || {number('h', 1, 9999)} || ' ' || {pick('s', S.STREETS)} || ', ' || {pick('t', [t for t, _ in S.TOWNS])}",
-        "health_data": pick("health", S.HEALTH_TEXTS), "biometric_data": pick("bio", S.BIOMETRIC_TEXTS),
-        "neural_data": pick("neural", S.NEURAL_TEXTS), "clean": pick("clean", S.CLEAN_TEXTS),
-    }
+        "email": f"'write to ' || lower({pick('n', S.FIRST_NAMES)}) || {number('e', 1, 9999)} || '@example.org before Friday'",
+        "ssn": f"'filed under ' || concat_ws('-', {number('s1', 100, 999)}, {number('s2', 10, 99)}, {number('s3', 1000, 9999)}) || ' at the pension office'",
+        "phone": f"'ring ' || concat_ws('-', {number('p1', 200, 999)}, {number('p2', 200, 999)}, {number('p3', 1000, 9999)}) || ' after lunch'",
+        "name": f"'the parcel is for ' || {pick('f', S.FIRST_NAMES)} || ' ' || {pick('l', S.LAST_NAMES)} || ' in person'",
+        "address": f"'deliver to ' || {number('h', 1, 9999)} || ' ' || {pick('s', S.STREETS)} || ', ' || {pick('t', S.PLACES)}",
+    } | {name: pick(name, sentences) for name, sentences in S.SENTENCES.items()}
     label = "[" + ", ".join(quoted(c) for c in S.CLASSES) + f"][1 + {k} % {len(S.CLASSES)}]"
     return (f"SELECT {k} AS id, {label} AS label, CASE {label} " + " ".join(f"WHEN {quoted(c)} THEN {t}" for c, t in texts.items())
             + " END AS text FROM orders")
@@ -104,20 +100,16 @@ def generated_labelled_texts(spark, folder):
 
 
 def audit_inputs(spark, folder):
-    """Market segments are businesses: their customers hold generated personal
-    data, nations of a segment have policies, orders are requests."""
-    customer = table(spark, folder, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"], heavy=True)
-    rows = S.customers(customer, "c_custkey").withColumn("__k", F.substring("customer_id", 2, 20).cast("bigint"))
-    data = rows.join(customer, F.col("__k") == F.col("c_custkey")).withColumnRenamed("c_mktsegment", "entity_id")
-    columns = [c for c in rows.columns if c != "__k"]
-    text = FO.row_text(rows.select(columns), columns)
-    scanned = FO.scan(data, text, ["entity_id"]).withColumnRenamed("entity_id", "source")
+    """Market segments are businesses: their customers hold generated personal data and have made one request each; every segment has a policy."""
+    customer = table(spark, folder, "customer", ["c_custkey", "c_mktsegment"], heavy=True)
+    rows = S.customers(customer, "c_custkey", keep=("c_mktsegment",)).withColumnRenamed("c_mktsegment", "entity_id")
+    columns = [c for c in rows.columns if c != "entity_id"]
+    scanned = FO.scan(rows, FO.row_text(rows, columns), ["entity_id"]).withColumnRenamed("entity_id", "source")
     found = FO.report_from_scan(scanned, columns).withColumn("entity_id", F.col("source"))
     policies = S.policies(customer.select("c_mktsegment").distinct(), "c_mktsegment").select(
         "entity_id", F.lit("CT").alias("jurisdiction"), "text")
     statutes = table(spark, folder, "documents", ["doc_id", "text"], heavy=True).select(F.lit("CT").alias("jurisdiction"), "doc_id", "text")
-    log = S.request_log(customer, 1000, "c_custkey").withColumn("__k", F.substring("request_id", 2, 20).cast("bigint"))
-    requests = log.join(customer, F.col("__k") == F.col("c_custkey")).withColumnRenamed("c_mktsegment", "entity_id").drop("__k", "c_custkey", "c_nationkey")
+    requests = S.request_log(customer, 1000, "c_custkey", keep=("c_mktsegment",)).withColumnRenamed("c_mktsegment", "entity_id")
     return policies, found, statutes, requests
 
 
