@@ -16,7 +16,7 @@ def request_log(spark, folder):
     orders = table(spark, folder, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority"])
     items = table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag"], heavy=True)
     shipped = F.date_format("l_shipdate", "yyyy-MM-dd")
-    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).where(F.col("l_shipdate") >= F.col("o_orderdate")).select(
+    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_orderpriority").alias("entity_id"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("request_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("Date_Requested"),
@@ -29,7 +29,7 @@ log AS (SELECT o_orderpriority AS entity_id, concat_ws('-', l_orderkey, l_linenu
                CAST(o_orderdate AS DATE) AS request_date,
                CASE WHEN l_returnflag <> 'R' THEN CAST(l_shipdate AS DATE) END AS response_date,
                CASE WHEN l_returnflag <> 'R' THEN date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) END AS days
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate >= o_orderdate)"""
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 SQL_SUMMARY = f"""
 summary AS (SELECT entity_id, count(days) AS total_requests, count(*) FILTER (WHERE days > 45) AS late_responses,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlark.operators.sla import resolve_date_columns
+from auditlark.operators.sla import date_columns
 from auditlark.rulepack import DEFAULT_PACK, RulePack
 from auditlark.sources.tables import read_table
 
@@ -16,12 +16,7 @@ def read_request_log(spark: SparkSession, path: str, pack: RulePack = DEFAULT_PA
 
 
 def canonical_log(log: DataFrame, pack: RulePack = DEFAULT_PACK) -> DataFrame:
-    request, response = resolve_date_columns(log.columns, pack)
-    if request is None or response is None:
-        raise ValueError(
-            f"Could not identify date columns. Found: {log.columns}. Expected 'request'/'request_date' and "
-            "'response'/'response_date'."
-        )
+    request, response = date_columns(log.columns, pack)
     chosen = {request: "request_date", response: "response_date"}
     rest = [c for c in log.columns if c not in chosen and c not in chosen.values()]
     return log.select(*[F.col(f"`{c}`") for c in rest], *[F.col(f"`{c}`").alias(n) for c, n in chosen.items()])
