@@ -166,12 +166,11 @@ def missing_rights(coverage: DataFrame, required: DataFrame | None = None, pack:
 def appeal_quality(policies: DataFrame, entity: str, text: str, pack: RulePack = DEFAULT_PACK) -> DataFrame:
     """Appeal clause per entity: ``has_appeal, quality, matched_terms, confidence``."""
     terms = list(pack.appeal_terms) + list(pack.appeal_detail_terms)
-    mask = X.let(F.lower(F.coalesce(F.col(text), F.lit(""))), lambda t: F.struct(X.term_masks(t, terms)[0].alias("mask")))
-    per_entity = (
-        policies.select(F.col(entity).alias("entity_id"), X.once(mask)).groupBy("entity_id").agg(F.bit_or("mask").alias("mask"))
-    )
+    names = [f"mask_{i}" for i in range(len(X.term_masks(F.lit(""), terms)))]
+    masks = X.let(F.lower(F.coalesce(F.col(text), F.lit(""))), lambda t: F.struct(*[m.alias(n) for m, n in zip(X.term_masks(t, terms), names)]))
+    per_entity = policies.select(F.col(entity).alias("entity_id"), X.once(masks)).groupBy("entity_id").agg(*[F.bit_or(n).alias(n) for n in names])
     numbered = X.mask_terms([("basic", pack.appeal_terms), ("detailed", pack.appeal_detail_terms)])
-    basic, detailed = [X.seen_terms([F.col("mask")], constant(row["terms"])) for row in numbered]
+    basic, detailed = [X.seen_terms([F.col(n) for n in names], constant(row["terms"])) for row in numbered]
     confidence = F.create_map(*[x for q, c in APPEAL_CONFIDENCE
                                 for x in (F.lit(q), F.lit(c))])
     return (

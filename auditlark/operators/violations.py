@@ -32,13 +32,21 @@ def union_violations(*parts: DataFrame) -> DataFrame:
 
 def disclosed_categories(policies: DataFrame, entity: str, text: str, pack: RulePack = DEFAULT_PACK) -> DataFrame:
     """Per entity: categories its policies mention. Texts stay where they are read."""
-    table = constant([{"name": c, "terms": list(terms), "bit": 1 << i} for i, (c, terms) in enumerate(pack.disclosure_terms)])
-    mask = X.let(F.lower(F.coalesce(F.col(text), F.lit(""))), lambda t: F.struct(F.aggregate(
-        table, F.lit(0).cast("bigint"),
-        lambda acc, c: F.when(F.exists(c["terms"], lambda k: F.contains(t, k)), acc.bitwiseOR(c["bit"])).otherwise(acc),
-    ).alias("mask")))
-    grouped = policies.select(F.col(entity).alias("entity_id"), X.once(mask)).groupBy("entity_id").agg(F.bit_or("mask").alias("mask"))
-    named = F.filter(table, lambda c: F.col("mask").bitwiseAND(c["bit"]) != 0)
+    tables = {
+        f"mask_{start}": constant([{"name": c, "terms": list(terms), "bit": 1 << i} for i, (c, terms) in enumerate(pack.disclosure_terms[start:start + X.TERMS_PER_MASK])])
+        for start in range(0, len(pack.disclosure_terms), X.TERMS_PER_MASK)
+    }
+
+    def mask(table: Column, t: Column) -> Column:
+        return F.aggregate(table, F.lit(0).cast("bigint"), lambda acc, c: F.when(
+            F.exists(c["terms"], lambda k: F.contains(t, k)), acc.bitwiseOR(c["bit"])).otherwise(acc))
+
+    masks = X.let(F.lower(F.coalesce(F.col(text), F.lit(""))), lambda t: F.struct(*[mask(table, t).alias(n) for n, table in tables.items()]))
+    grouped = policies.select(F.col(entity).alias("entity_id"), X.once(masks)).groupBy("entity_id").agg(*[F.bit_or(n).alias(n) for n in tables])
+    def seen(name: str, table: Column) -> Column:
+        return F.filter(table, lambda c: F.col(name).bitwiseAND(c["bit"]) != 0)
+
+    named = F.concat(*[seen(n, table) for n, table in tables.items()])
     return grouped.select("entity_id", F.transform(named, lambda c: c["name"]).alias("disclosed"))
 
 

@@ -146,3 +146,18 @@ def test_pack_is_replaceable(frame):
     detected = frame([("a", "t", "email")], "entity_id string, source string, type string")
     policies = frame([("a", "we store mail"), ("b", "no")], "e string, text string")
     assert V.undisclosed_data(detected, policies, "e", "text", pack).count() == 0
+
+
+def test_more_appeal_terms_than_one_mask(frame):
+    pack = P.DEFAULT_PACK.replace(appeal_terms=tuple(f"basic term {i:02d}" for i in range(62)), appeal_detail_terms=("submit an appeal",))
+    df = frame([("a", "You may submit an appeal."), ("b", "see basic term 61"), ("c", "nothing")], "entity string, text string")
+    got = {r["entity_id"]: (r["quality"], list(r["matched_terms"])) for r in P.appeal_quality(df, "entity", "text", pack).collect()}
+    assert got == {"a": ("DETAILED", ["submit an appeal"]), "b": ("BASIC", ["basic term 61"]), "c": ("MISSING", [])}
+
+
+def test_more_categories_than_one_mask(frame):
+    pack = P.DEFAULT_PACK.replace(disclosure_terms=tuple((f"kind_{i:02d}", (f"word{i:02d}",)) for i in range(65)))
+    policies = frame([("a", "word00 word63 WORD64")], "entity string, text string")
+    detected = frame([("a", "f", f"kind_{i:02d}") for i in range(65)], "entity_id string, source string, type string")
+    open_kinds = {r["data_category"] for r in V.undisclosed_data(detected, policies, "entity", "text", pack).collect()}
+    assert open_kinds == {f"kind_{i:02d}" for i in range(65)} - {"kind_00", "kind_63", "kind_64"}
