@@ -149,7 +149,7 @@ def first_matching_recommendation(spark, folder):
         "entity_id", "type", "right", "source_file", "action_priority", "action")
 
 
-SQL_ID = "md5(concat_ws('|', entity_id, type, coalesce(\"right\", ''), coalesce(data_category, ''), source_file))"
+SQL_ID = "md5(concat_ws('|', length(entity_id) || ':' || entity_id, length(type) || ':' || type, length(coalesce(\"right\", '')) || ':' || coalesce(\"right\", ''), length(coalesce(data_category, '')) || ':' || coalesce(data_category, ''), length(coalesce(source_file, '')) || ':' || coalesce(source_file, '')))"
 
 
 def _overrides(spark, folder):
@@ -220,15 +220,15 @@ def report_json_rows(spark, folder):
 def _usage(spark, folder):
     e = table(spark, folder, "events", ["event_id", "event_type", "value", "props"])
     return e.select(
-        F.col("event_type").alias("agent"), F.get_json_object("props", "$.k").cast("bigint").alias("input_tokens"),
+        F.when(F.col("event_id") % 17 != 0, F.col("event_type")).alias("agent"), F.get_json_object("props", "$.k").cast("bigint").alias("input_tokens"),
         F.pmod("event_id", F.lit(101)).alias("output_tokens"), F.round(F.col("value") * 100).cast("bigint").alias("total_cost_usd"),
         F.pmod("event_id", F.lit(1009)).alias("duration_ms"))
 
 
-SQL_USAGE = """u AS (SELECT event_type AS agent, CAST(json_extract_string(props, '$.k') AS BIGINT) AS i, event_id % 101 AS o, round(value * 100)::BIGINT AS c, event_id % 1009 AS d FROM events)"""
+SQL_USAGE = """u AS (SELECT CASE WHEN event_id % 17 <> 0 THEN event_type END AS agent, CAST(json_extract_string(props, '$.k') AS BIGINT) AS i, event_id % 101 AS o, round(value * 100)::BIGINT AS c, event_id % 1009 AS d FROM events)"""
 
 
-@query("A17", f"""WITH {SQL_USAGE} SELECT agent, count(*) AS n_calls, sum(i)::BIGINT AS total_input_tokens, sum(o)::BIGINT AS total_output_tokens,
+@query("A17", f"""WITH {SQL_USAGE} SELECT grouping(agent) = 1 AS is_total, agent, count(*) AS n_calls, sum(i)::BIGINT AS total_input_tokens, sum(o)::BIGINT AS total_output_tokens,
 (sum(i) + sum(o))::BIGINT AS total_tokens, sum(c)::BIGINT AS total_cost_usd, sum(d)::BIGINT AS total_duration_ms FROM u GROUP BY ROLLUP (agent)""")
 def usage_rollup(spark, folder):
     return RP.usage_rollup(_usage(spark, folder))

@@ -101,10 +101,17 @@ def with_first_recommendation(violations: DataFrame, advice: DataFrame) -> DataF
     repeated violations never multiply. ``position`` orders advice if present.
     """
     order = F.col("position") if "position" in advice.columns else F.col("recommendation")
-    first = F.min_by(F.struct("priority", "recommendation"), order)
-    by_right = advice.groupBy("entity_id", F.col("for_violation").alias("type"),
-                              F.coalesce("right", F.lit("")).alias("__right")).agg(first.alias("exact"))
-    by_type = advice.groupBy("entity_id", F.col("for_violation").alias("type")).agg(first.alias("any"))
+
+    def first(name: str, *by: Column) -> DataFrame:
+        """One piece of advice per group, chosen before the shuffle."""
+        place = F.row_number().over(Window.partitionBy("entity_id", *by).orderBy(order, "priority", "recommendation"))
+        chosen = advice.withColumn("__place", place).where("__place = 1")
+        return chosen.select("entity_id", *by, F.struct("priority", "recommendation").alias(name))
+
+    kind = F.col("for_violation").alias("type")
+    advice = advice.select("*", kind, F.coalesce("right", F.lit("")).alias("__right")) if "type" not in advice.columns else advice.withColumns(
+        {"type": F.col("for_violation"), "__right": F.coalesce("right", F.lit(""))})
+    by_right, by_type = first("exact", F.col("type"), F.col("__right")), first("any", F.col("type"))
     right = F.coalesce("right", F.lit(""))
     joined = (
         violations.withColumn("__right", right)
@@ -121,7 +128,8 @@ def with_first_recommendation(violations: DataFrame, advice: DataFrame) -> DataF
 
 def violation_id(keys=("entity_id", "type", "right", "data_category", "source_file")) -> Column:
     """A stable hash of what a violation is about."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return F.md5(F.concat_ws("|", *[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]))
 
 
 def apply_overrides(violations: DataFrame, overrides: DataFrame, on: str = "violation_id") -> DataFrame:
@@ -152,8 +160,9 @@ def display_title() -> Column:
 # --- usage ---------------------------------------------------------------
 
 def usage_rollup(usage: DataFrame, agent: str = "agent") -> DataFrame:
-    """Tokens, cost and time per agent, and a total row with a null agent."""
+    """Tokens, cost and time per agent, and the total; ``is_total`` tells it from calls without an agent."""
     return usage.rollup(agent).agg(
+        (F.grouping(agent) == 1).alias("is_total"),
         F.count(F.lit(1)).alias("n_calls"),
         F.sum("input_tokens").cast("bigint").alias("total_input_tokens"),
         F.sum("output_tokens").cast("bigint").alias("total_output_tokens"),
@@ -174,10 +183,11 @@ def cost_ranking(usage: DataFrame, agent: str = "agent") -> DataFrame:
 # --- reports as rows, as JSON and back -----------------------------------
 
 def latest_reports(reports: DataFrame, entity: str, generated_at: str) -> DataFrame:
-    """The newest report of each entity, as a hash aggregate instead of a sort."""
-    rest = [c for c in reports.columns if c != entity]
-    newest = F.max_by(F.struct(*rest), F.struct(F.col(generated_at), *[F.col(c) for c in rest if c != generated_at]))
-    return reports.groupBy(entity).agg(newest.alias("r")).select(entity, "r.*")
+    """The newest report of each entity; of equally new ones the largest. Each task keeps one row per entity before the shuffle."""
+    rest = [c for c in reports.columns if c not in (entity, generated_at)]
+    newest = Window.partitionBy(entity).orderBy(F.desc(generated_at), *[F.desc(c) for c in rest])
+    ranked = reports.withColumn("__place", F.row_number().over(newest)).where("__place = 1")
+    return ranked.select(entity, *[c for c in reports.columns if c != entity])
 
 
 SUMMARY_FIELDS = (
@@ -304,7 +314,7 @@ def evidence_text(violations: DataFrame, scores: DataFrame, advice: DataFrame |
         every = every.unionByName(p)
     sizes = every.groupBy("entity_id").agg(F.ceil(F.count(F.lit(1)) / max_lines).alias("n_parts"))
     dealt = every.join(sizes, "entity_id").withColumn(
-        "part", F.when(F.col("section") == 0, 0).otherwise(F.pmod(F.xxhash64("sort_key", "line"), F.col("n_parts"))).cast("int"))
+        "part", F.when(F.col("section") == 0, 0).otherwise(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("n_parts"))).cast("int"))
     return dealt.groupBy("entity_id", "part").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section", "sort_key", "line"))), lambda x: x["line"]), "\n").alias("answer")
     )

@@ -107,3 +107,22 @@ def test_union_of_violations(frame):
     df = V.union_violations(a, b)
     assert df.columns == list(V.VIOLATION_COLUMNS)
     assert {(r["type"], r["right"], r["late_count"]) for r in df.collect()} == {("A", "access", None), ("B", None, 5)}
+
+
+def test_ids_tell_joined_parts_apart(frame):
+    df = frame([("a|b", "c"), ("a", "b|c")], "entity_id string, type string").selectExpr("*", "'' AS right", "'' AS data_category", "'' AS source_file")
+    assert df.select(RP.violation_id().alias("i")).distinct().count() == 2
+
+
+def test_calls_without_agent_are_not_the_total(frame):
+    usage = frame([(None, 1, 2, 0.5, 10), ("a", 3, 4, 0.25, 20)], "agent string, input_tokens int, output_tokens int, total_cost_usd double, duration_ms int")
+    got = {(r["is_total"], r["agent"]): r["n_calls"] for r in RP.usage_rollup(usage).collect()}
+    assert got == {(False, None): 1, (False, "a"): 1, (True, None): 2}
+
+
+def test_equal_rows_of_one_entity_go_to_many_parts(frame, spark):
+    from auditlark.plans.audit import _dealt
+
+    rows = spark.range(20_000, numPartitions=4).selectExpr("'e' AS entity_id", "'same' AS recommendation")
+    parts = _dealt(rows, 1000).groupBy("part").count().collect()
+    assert len(parts) == 20 and max(r["count"] for r in parts) < 1300
