@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from auditlark.catalog.registry import joined, query, quoted, sql_round, table
+from auditlark.catalog.registry import joined, query, quoted, sql_any, sql_round, table
 from auditlark.operators import evaluate as E
 from auditlark.operators import forensics as FO
 from auditlark.rulepack import DEFAULT_PACK, GROUND_TRUTH_KEYS
@@ -59,6 +59,7 @@ def precision_recall(spark, folder):
 EXPECTED_TYPES = ("email", "SSN", "Phone", "health_data", "ip_address")
 SQL_TYPES = (
     "det AS (" + " UNION ALL ".join(f"SELECT DISTINCT source, {quoted(k)} AS type FROM documents WHERE regexp_matches(text, {quoted(p)})" for k, p in DEFAULT_PACK.patterns)
+    + "".join(f" UNION SELECT DISTINCT source, {quoted(c)} FROM documents WHERE {sql_any('lower(text)', terms)}" for c, terms in DEFAULT_PACK.keywords)
     + "), exp AS (SELECT DISTINCT source, lower(t) AS type FROM documents, (VALUES " + ", ".join(f"({quoted(t)})" for t in EXPECTED_TYPES) + ") AS x(t))")
 
 
@@ -70,7 +71,7 @@ SELECT source, coalesce(string_agg(type, ',' ORDER BY type) FILTER (WHERE d), ''
 FROM m GROUP BY source""")
 def pii_type_lists(spark, folder):
     docs = table(spark, folder, "documents", ["source", "text"], heavy=True)
-    report = FO.text_report(docs, "text", pack=DEFAULT_PACK.replace(keywords=DEFAULT_PACK.keywords[:1]))
+    report = FO.text_report(docs, "text")
     detected = report.select("source", F.explode("pii_detected").alias("type"))
     expected = table(spark, folder, "documents", ["source"]).distinct().select(
         "source", F.explode(F.array(*[F.lit(t) for t in EXPECTED_TYPES])).alias("type"))

@@ -119,7 +119,22 @@ def best_detection_per_type(spark, folder):
     return FO.best_per_type(found, ["doc_id"]).select("doc_id", "type", "method", "confidence")
 
 
-REPORT_TABLES = ("customer", "supplier", "part", "orders", "events", "conversations")
+REPORT_COLUMNS = {
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
+    "conversations": ("conv_id", "turn", "role", "text"),
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
+    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+    "pages": ("page_id", "url", "html"),
+    "benchmark": ("item_id", "text"),
+    "labels": ("doc_id", "quality", "toxic"),
+    "embeddings": ("vec_id", "embedding", "label"),
+}
 
 
 def _sql_hint(column: str) -> str:
@@ -128,14 +143,7 @@ def _sql_hint(column: str) -> str:
 
 
 def _sql_table_report() -> str:
-    columns = {
-        "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
-        "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
-        "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
-        "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
-        "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
-        "conversations": ("conv_id", "turn", "role", "text"),
-    }
+    columns = REPORT_COLUMNS
     ids = {"events": "user_id"}
     ctes, selects = [], []
     for name, cols in columns.items():
@@ -159,10 +167,8 @@ SELECT 'missing.parquet', NULL, NULL, NULL, NULL, NULL, NULL, 'File not found'""
 
 @query("S1 A1 A3 A4 A5 A19 F3 W2 P10", _sql_table_report())
 def table_pii_reports(spark, folder):
-    paths = [f"{folder}/{name}.parquet" for name in (*REPORT_TABLES, "missing")]
-    tables, report = read_tables(spark, paths)
-    for name, df in tables.items():
-        report = report.unionByName(FO.table_report(df, name))
+    tables, failed = read_tables(spark, [f"{folder}/{name}.parquet" for name in (*REPORT_COLUMNS, "missing")])
+    report = failed.unionByName(FO.table_reports(tables))
     return report.select(
         "source", "n_rows", F.col("n_cols").cast("bigint").alias("n_cols"), joined("pii_detected").alias("pii_detected"),
         F.array_join(F.transform("column_pii", lambda c: F.concat(c["column"], F.lit(":"), c["likely_pii_type"])), ",").alias("column_pii"),
@@ -230,10 +236,11 @@ def total_consumers_deduplicated(spark, folder):
 
 @query("A6", "SELECT string_agg(type, ',' ORDER BY type) AS pii_types_detected FROM ("
        + " UNION ALL ".join(f"SELECT {quoted(k)} AS type WHERE EXISTS (SELECT 1 FROM documents WHERE regexp_matches(text, {quoted(p)}))"
-                            for k, p in DEFAULT_PACK.patterns) + ")")
+                            for k, p in DEFAULT_PACK.patterns)
+       + "".join(f" UNION SELECT {quoted(c)} AS type WHERE EXISTS (SELECT 1 FROM documents WHERE {sql_any('lower(text)', terms)})" for c, terms in DEFAULT_PACK.keywords) + ")")
 def pii_types_over_sources(spark, folder):
     docs = table(spark, folder, "documents", ["source", "text"], heavy=True)
-    report = FO.text_report(docs, "text", pack=DEFAULT_PACK.replace(keywords=DEFAULT_PACK.keywords[:1]))
+    report = FO.text_report(docs, "text")
     kinds = report.where(F.col("error").isNull()).select(F.explode("pii_detected").alias("type"))
     return kinds.agg(joined(F.array_sort(F.collect_set("type"))).alias("pii_types_detected"))
 

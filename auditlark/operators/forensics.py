@@ -130,15 +130,11 @@ def best_per_type(found: DataFrame, keys: list[str]) -> DataFrame:
 
     The position of a type is that of its first detection by any method.
     """
-    rank = F.element_at(
-        F.create_map(*[x for m, r in METHOD_RANK.items() for x in (F.lit(m), F.lit(-r))]), F.col("method")
-    )
-    best = F.max_by(F.struct("method", "count", "matched_terms", "confidence"), F.struct("confidence", rank))
-    return (
-        found.groupBy(*keys, "type")
-        .agg(F.min("ordinal").alias("ordinal"), best.alias("best"))
-        .select(*keys, "ordinal", "type", "best.*")
-    )
+    rank = F.element_at(F.create_map(*[x for m, r in METHOD_RANK.items() for x in (F.lit(m), F.lit(r))]), F.col("method"))
+    group = Window.partitionBy(*keys, "type")
+    placed = found.withColumns({
+        "__place": F.row_number().over(group.orderBy(F.desc("confidence"), rank, "ordinal")), "__first": F.min("ordinal").over(group)})
+    return placed.where("__place = 1").select(*keys, F.col("__first").alias("ordinal"), "type", "method", "count", "matched_terms", "confidence")
 
 
 def best_in_row(details: Column) -> Column:
@@ -239,8 +235,14 @@ def _conform(report: DataFrame) -> DataFrame:
     return report.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _best_hits(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """One detection per key and type, the most confident: as many as the model has classes."""
+    best = hits.groupBy(*keys, "type").agg(F.max("confidence").alias("confidence"), F.min("ordinal").alias("ordinal"), F.min("method").alias("method"))
+    return best.withColumns({"count": F.lit(None).cast("bigint"), "matched_terms": F.lit(None).cast("array<string>")})
+
+
 def _hit_array(hits: DataFrame) -> Column:
-    """Aggregate: the detection rows of a group, at most one per class of the model."""
+    """Aggregate: the detection rows of a group that ``_best_hits`` made, one per class of the model."""
     return F.collect_list(F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DETECTION.fields]))
 
 
@@ -296,10 +298,40 @@ def table_report(
     consumers = None
     if id_column is not None:
         consumers = distinct_consumers(df.select(F.col(f"`{id_column}`").alias("consumer")), [], "consumer", pack, approximate).scalar()
-    hits = model_hits.agg(_hit_array(model_hits)).scalar() if model_hits is not None else None
+    best = _best_hits(model_hits, []) if model_hits is not None else None
+    hits = best.agg(_hit_array(best)).scalar() if model_hits is not None else None
     return report_from_scan(scanned, df.columns, pack, consumers, hits)
 
 
+def table_reports(tables: dict[str, DataFrame], pack: RulePack = DEFAULT_PACK, cell_separator: str = X.CELL_SEPARATOR,
+                  word_boundary: bool = False) -> DataFrame:
+    """Report rows of many whole tables, one per name: their rows are laid under one another and scanned once.
+
+    The scan's expression is built once, however many tables there are; partial sums leave one row per table and task.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    rows, ids, about = None, None, []
+    for name, df in tables.items():
+        part = df.select(F.lit(name).alias("source"), row_text(df, df.columns, cell_separator).alias("row_text"))
+        rows = part if rows is None else rows.unionAll(part)
+        about.append((name, df.columns))
+        if id_column := consumer_column(df.columns, pack):
+            some = df.select(F.lit(name).alias("source"), F.col(f"`{id_column}`").cast("string").alias("consumer"))
+            ids = some if ids is None else ids.unionAll(some)
+    known = spark.createDataFrame(about, "source string, columns array<string>")
+    scanned = known.join(scan(rows, F.col("row_text"), ["source"], pack, word_boundary), "source", "left")
+    counters = [c for c in scanned.columns if c not in ("source", "columns")]
+    scanned = scanned.select("source", "columns", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counters])
+    counted = ids.groupBy("source").agg(F.count_distinct("consumer").alias("unique_consumers")) if ids is not None else known.select("source", F.lit(None).cast("bigint").alias("unique_consumers"))
+    named = [n for n, columns in about if consumer_column(columns, pack)]
+    scanned = scanned.join(counted, "source", "left")
+    unique = F.when(F.col("source").isin(*named), F.coalesce("unique_consumers", F.lit(0))).otherwise(F.col("n_rows"))
+    report = report_from_scan(scanned, [], pack, unique)
+    hints = F.filter(F.transform("columns", lambda c: F.struct(c.alias("column"), X.column_hint(c, pack).alias("likely_pii_type"))), lambda h: h["likely_pii_type"].isNotNull())
+    columns = known.select("source", F.size("columns").alias("n_cols"), hints.alias("column_pii"))
+    return _conform(report.drop("n_cols", "column_pii").join(columns, "source"))
+
+
 def text_report(
     df: DataFrame,
     text_column: str,
@@ -311,10 +343,12 @@ def text_report(
 ) -> DataFrame:
     """PII report rows of a text table, one per source value, in one scan."""
     keyed = df.withColumnRenamed(source_column, "source")
+    id_column = id_column or consumer_column(df.columns, pack)
     scanned = scan(keyed, F.col(text_column), ["source"], pack, word_boundary)
     if id_column:
         scanned = scanned.join(distinct_consumers(keyed, ["source"], id_column, pack), "source", "left")
     if model_hits is not None:
+        model_hits = _best_hits(model_hits, ["source"])
         scanned = scanned.join(model_hits.groupBy("source").agg(_hit_array(model_hits).alias("by_model")), "source", "left")
     return report_from_scan(
         scanned, df.columns, pack, F.col("unique_consumers") if id_column else None,

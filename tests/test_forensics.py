@@ -145,3 +145,15 @@ def test_more_terms_than_one_mask(frame):
     df = frame([("s", "word000 word059"), ("s", "word060 word129")], "source string, text string")
     row = FO.text_report(df, "text", pack=pack).collect()[0]
     assert row["detection_details"][0]["matched_terms"] == ["word000", "word059", "word060", "word129"]
+
+
+def test_text_report_counts_consumers_by_the_id_column(frame):
+    df = frame([("s", "x", "c1"), ("s", "y", "c1"), ("t", "z", None)], "source string, text string, customer_id string")
+    assert {r["source"]: r["unique_consumers"] for r in FO.text_report(df, "text").collect()} == {"s": 1, "t": 0}
+
+
+def test_reports_of_many_tables_equal_single_ones(frame):
+    tables = {"a": frame([("c1", "mail x@y.org"), ("c1", "ssn 123-45-6789")], "customer_id string, note string"), "b": frame([(1, 2.5)], "n int, v double"), "c": frame([], "email string")}
+    many = {r["source"]: r for r in FO.table_reports(tables).collect()}
+    for name, df in tables.items():
+        assert many[name] == FO.table_report(df, name).collect()[0]
