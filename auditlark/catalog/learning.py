@@ -54,12 +54,12 @@ def tfidf_features(spark, folder):
 
 @query("M2 M4 A16")
 def classifier_report(spark, folder):
-    _, scored = ML.train_and_evaluate(_examples(spark, folder), "doc_id", max_iter=100)
+    _, scored = ML.train_and_evaluate(_examples(spark, folder), "doc_id")
     return E.classification_report(scored)
 
 
 @query("M5 P5 U1")
 def model_detections(spark, folder):
-    texts = _examples(spark, folder)
-    model = ML.train_classifier(texts, max_iter=30)
-    return ML.model_detections(texts, ["doc_id"], "text", model, clean="en").select("doc_id", "type", "method", "confidence")
+    split = stratified_split(_examples(spark, folder), "doc_id", "label")
+    model = ML.train_classifier(split.where("is_train"))
+    return ML.model_detections(split.where("NOT is_train"), ["doc_id"], "text", model, clean="en").select("doc_id", "type", "method", "confidence")

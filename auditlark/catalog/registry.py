@@ -41,10 +41,11 @@ def load_all() -> dict[str, Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None, heavy: bool = False) -> DataFrame:
-    """A standard table; ``heavy`` deals a small one over all cores."""
+    """A standard table; ``heavy`` ones are dealt over ``spark.auditlark.partitions`` tasks if that is set."""
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     df = df.select(*columns) if columns else df
-    return spread(df) if heavy else df
+    asked = spark.conf.get("spark.auditlark.partitions", None) if heavy else None
+    return spread(df, int(asked) if asked else None)
 
 
 # --- SQL text helpers ------------------------------------------------------

@@ -100,13 +100,15 @@ def statute_rules_fixed_pack(spark, folder):
 
 
 @query("J13 W2", "SELECT doc_id, " + sql_first("lower(text)", [t for _, ts in DATA_PACK.statute_rights for t in ts]) + " AS first_phrase, "
-       + sql_any("lower(text)", DATA_PACK.exemptions[0][1]) + " AS permissive FROM documents WHERE "
-       + sql_any("lower(text)", [t for _, ts in DATA_PACK.statute_rights for t in ts]))
+       + "array_to_string(" + sql_kept(f"CASE WHEN {sql_any('lower(text)', ts)} THEN {quoted(n)} END" for n, ts in DATA_PACK.exemptions) + ", ',') AS exemptions, "
+       + "array_to_string(" + sql_kept(f"CASE WHEN contains(lower(text), {quoted(c)}) THEN {quoted(c)} END" for c in DATA_PACK.categories) + ", ',') AS categories FROM documents")
 def dictionary_probe(spark, folder):
     from auditlark.functions import text as X
 
     docs = table(spark, folder, "documents", ["doc_id", "text"], heavy=True)
     terms = [t for _, ts in DATA_PACK.statute_rights for t in ts]
     probed = docs.select("doc_id", X.once(X.let(F.lower("text"), lambda t: F.struct(
-        X.first_term(t, terms).alias("first_phrase"), X.contains_any(t, DATA_PACK.exemptions[0][1]).alias("permissive")))))
-    return probed.where(F.col("first_phrase").isNotNull())
+        X.first_term(t, terms).alias("first_phrase"),
+        joined(F.array_compact(F.array(*[F.when(X.contains_any(t, ts), n) for n, ts in DATA_PACK.exemptions]))).alias("exemptions"),
+        joined(F.array_compact(F.array(*[F.when(F.contains(t, F.lit(c)), c) for c in DATA_PACK.categories]))).alias("categories")))))
+    return probed

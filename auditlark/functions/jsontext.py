@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,10 +59,11 @@ def json_payload_or_text(text: Column) -> Column:
     return F.coalesce(json_payload(text), F.nullif(text, F.lit("")), F.lit("{}"))
 
 
-def unwrap_json(text: Column, depth: int = 4) -> Column:
+def unwrap_json(text: Column) -> Column:
     """JSON that was encoded as a string once or more, as an object or array.
 
-    A plain string is wrapped as ``{"raw": ...}``; malformed text is null.
+    Each level of encoding doubles the backslashes before the inner quotes, so a
+    text has fewer levels than its length has binary digits. A plain string is wrapped as ``{"raw": ...}``; malformed text is null.
     """
     def string_in(c: Column) -> Column:
         """The text inside a JSON string, null for any other value."""
@@ -78,7 +77,9 @@ def unwrap_json(text: Column, depth: int = 4) -> Column:
         wrapped = F.to_json(F.struct(string_in(c).alias("raw")))
         return F.when(string_in(c).isNotNull(), wrapped).when(is_json(c), c)
 
-    return X.let(reduce(lambda c, _: X.let(c, unwrap), range(depth), text), finish)
+    levels = F.ceil(F.log2(F.length(text) + 2)).cast("int")
+    bare = F.aggregate(F.sequence(F.lit(1), levels), text, lambda c, _: X.let(c, unwrap))
+    return X.let(bare, finish)
 
 
 def missing_key_message(document: Column, required) -> Column:

@@ -56,15 +56,15 @@ def tfidf_model(texts: DataFrame, limit: int = MAX_TERMS) -> PipelineModel:
 
 
 def train_classifier(train: DataFrame, label: str = "label", max_terms: int = MAX_TERMS, max_iter: int = 1000,
-                     strength: float = 1.0) -> PipelineModel:
-    """Tf-idf and multinomial logistic regression with an L2 penalty of 1 / (C n)."""
+                     strength: float = 1.0, tolerance: float = 1e-4) -> PipelineModel:
+    """Tf-idf and multinomial logistic regression with an L2 penalty of 1 / (C n), until a round gains less than ``tolerance``."""
     features = tfidf_model(train, max_terms)
     prepared = features.transform(train).select(F.col(label).cast("string").alias("label"), "features").persist()
     try:
         n_rows = prepared.count()
         indexer = StringIndexer(inputCol="label", outputCol="label_index", stringOrderType="alphabetAsc").fit(prepared)
         regression = LogisticRegression(
-            featuresCol="features", labelCol="label_index", family="multinomial", maxIter=max_iter,
+            featuresCol="features", labelCol="label_index", family="multinomial", maxIter=max_iter, tol=tolerance,
             regParam=1.0 / (strength * n_rows), standardization=False, predictionCol="prediction_index",
         ).fit(indexer.transform(prepared))
     finally:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,16 +25,13 @@ def get_session(app_name: str = "auditlark", master: str | None = None, **conf)
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a small result once that several later plans read.
 
-    Uses the cluster's shared checkpoint folder, so the result survives lost
-    executors and no later plan repeats the scan behind it. Without such a
-    folder a local session makes its own; a cluster falls back to persist.
+    With ``spark.checkpoint.dir`` it is checkpointed there, so it survives lost executors and no later plan repeats the scan behind it;
+    without such a folder it is persisted at first use.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="auditlark-checkpoint-")
         if folder is None:
             return df.persist(StorageLevel.MEMORY_AND_DISK)
         context.setCheckpointDir(folder)

@@ -18,15 +18,15 @@ def write_reports(reports: DataFrame, path: str, generated_at: str = "generated_
 def read_reports(spark: SparkSession, path: str, schema) -> DataFrame:
     """Saved reports with an explicit schema; a missing cost block gets zeros."""
     reports = spark.read.schema(schema).json(path)
-    if "cost_summary" not in reports.columns:
+    if "_cost_summary" not in reports.columns:
         return reports
-    fields = reports.schema["cost_summary"].dataType.fields
+    fields = reports.schema["_cost_summary"].dataType.fields
     filled = F.struct(*[
-        F.coalesce(F.col(f"cost_summary.{f.name}"),
+        F.coalesce(F.col(f"_cost_summary.{f.name}"),
                    F.lit("unknown" if f.name == "model" else EMPTY_COST.get(f.name)).cast(f.dataType)).alias(f.name)
         for f in fields
     ])
-    return reports.withColumn("cost_summary", filled)
+    return reports.withColumn("_cost_summary", filled)
 
 
 def saved_report_names(spark: SparkSession, path: str) -> DataFrame:

@@ -12,17 +12,12 @@ from pyspark.sql import functions as F
 
 from auditlark.operators.forensics import REPORT_SCHEMA
 
-SMALL_INPUT_BYTES = 1 << 30
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows over ``partitions`` tasks before costly per-row work, where the caller asks for it.
 
-
-def spread(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Deal a small input over all cores before costly per-row work.
-
-    A file is split by row group only, so a small one is a single task. Large
-    inputs have row groups enough and are left where they are read.
+    A file is split by row group only, so a small one is a single task; large inputs have row groups enough.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < limit else df
+    return df.repartition(partitions) if partitions else df
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:

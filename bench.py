@@ -34,7 +34,7 @@ def main() -> None:
     wanted = os.environ.get("BENCH_QUERIES")
     names = wanted.split(",") if wanted else HEADLINE
     spark = get_session("bench", f"local[{cpus}]", **{
-        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g",
+        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": cpus, "spark.auditlark.partitions": cpus, "spark.driver.memory": "12g",
     })
     spark.sparkContext.setLogLevel("ERROR")
     catalog = load_all()

@@ -50,10 +50,10 @@ def test_oversized_entities_stay_in_parts(frame):
 def test_report_sink_and_source(spark, frame, tmp_path):
     when = datetime.datetime(2024, 5, 1, 10)
     df = frame([("e", when, "A", None), ("e", when + datetime.timedelta(days=1), "B", (1.5, "m"))],
-               "entity_id string, generated_at timestamp, risk_grade string, cost_summary struct<total_cost_usd:double,model:string>")
+               "entity_id string, generated_at timestamp, risk_grade string, _cost_summary struct<total_cost_usd:double,model:string>")
     R.write_reports(df, str(tmp_path / "out"))
     back = R.read_reports(spark, str(tmp_path / "out"), df.schema)
-    costs = {r["risk_grade"]: tuple(r["cost_summary"]) for r in back.collect()}
+    costs = {r["risk_grade"]: tuple(r["_cost_summary"]) for r in back.collect()}
     assert costs == {"A": (0.0, "unknown"), "B": (1.5, "m")}
     assert RP.latest_reports(back, "entity_id", "generated_at").collect()[0]["risk_grade"] == "B"
     names = [r["file"] for r in R.saved_report_names(spark, str(tmp_path / "out")).collect() if r["file"].endswith(".json")]
