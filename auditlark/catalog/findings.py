@@ -184,14 +184,14 @@ def display_titles(spark, folder):
 lines AS (SELECT entity_id, 0 AS section, '' AS k, 'Compliance Status: ' || overall_status || chr(10) || 'Risk Grade: ' || risk_grade AS line FROM sc
   UNION ALL SELECT entity_id, 1, concat_ws('|', type, coalesce("right", ''), coalesce(data_category, ''), coalesce(source_file, '')),
   'Violation: ' || type || ' - ' || coalesce("right", '') || ' (' || severity || ')' FROM v)
-SELECT entity_id, 0::BIGINT AS part, string_agg(line, chr(10) ORDER BY section, k, line) AS answer FROM lines GROUP BY entity_id""")
+SELECT entity_id, string_agg(line, chr(10) ORDER BY section, k, line) AS answer FROM lines GROUP BY entity_id""")
 def evidence_text(spark, folder):
     entities = table(spark, folder, "documents", ["source"]).select(F.col("source").alias("entity_id"))
     found = materialize(document_violations(spark, folder))
-    return RP.evidence_text(found, RP.risk_scores(found, entities)).withColumn("part", F.col("part").cast("bigint"))
+    return RP.evidence_text(found, RP.risk_scores(found, entities))
 
 
-@query("F26 (contexts)", """SELECT event_id, left('PII Findings: ' || '{"type":"' || event_type || '","user":' || user_id || '}', 2014) AS context FROM events""")
+@query("F26 (contexts)", """SELECT event_id, 'PII Findings: ' || '{"type":"' || event_type || '","user":' || user_id || '}' AS context FROM events""")
 def evidence_contexts(spark, folder):
     events = table(spark, folder, "events", ["event_id", "event_type", "user_id"])
     return events.select("event_id", RP.context_text("PII Findings", F.struct(F.col("event_type").alias("type"), F.col("user_id").alias("user"))).alias("context"))

@@ -8,7 +8,7 @@ from auditlark.catalog.registry import quoted, query, sql_between, sql_pick, sql
 from auditlark.operators import forensics as FO
 from auditlark.operators import sla
 from auditlark.operators import synth as S
-from auditlark.plans.audit import run_audit
+from auditlark.plans.audit import report_items, report_rows, run_audit
 
 K = "c_custkey"
 
@@ -118,3 +118,14 @@ def full_audit(spark, folder):
     policies, found, statutes, requests = audit_inputs(spark, folder)
     audit = run_audit(policies, found, statutes, requests)
     return audit.scores.join(audit.severity.select("entity_id", "status", "risk_level"), "entity_id")
+
+
+@query("K1 §3.1: the blocks of every report")
+def audit_report_rows(spark, folder):
+    audit = run_audit(*audit_inputs(spark, folder))
+    return report_rows(audit, "2024-06-01 00:00:00").select("entity_id", F.to_json(F.struct("executive_summary", "pii_findings", "compliance_findings")).alias("blocks"))
+
+
+@query("K1 P11 §3.1: what the reports list, one row each")
+def audit_report_items(spark, folder):
+    return report_items(run_audit(*audit_inputs(spark, folder)))

@@ -284,12 +284,8 @@ def parse_narratives(reports: DataFrame, keys: list[str], raw: str) -> DataFrame
     return reports.select(*keys, X.once(X.let(F.col(raw), found)))
 
 
-def evidence_text(violations: DataFrame, scores: DataFrame, advice: DataFrame | None = None, max_lines: int = 100_000) -> DataFrame:
-    """Audit answer per entity in parts of at most ``max_lines`` lines.
-
-    Lines are dealt to parts by hash, so an entity with very many violations
-    becomes several rows and never one oversized group.
-    """
+def evidence_lines(violations: DataFrame, scores: DataFrame, advice: DataFrame | None = None) -> DataFrame:
+    """Audit answer as lines in the order of ``section, sort_key, line``: nothing is grouped, so entities of any size are alike."""
     head = scores.select(
         "entity_id", F.lit(0).alias("section"), F.lit("").alias("sort_key"),
         F.concat_ws("\n",
@@ -312,14 +308,16 @@ def evidence_text(violations: DataFrame, scores: DataFrame, advice: DataFrame |
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
-    sizes = every.groupBy("entity_id").agg(F.ceil(F.count(F.lit(1)) / max_lines).alias("n_parts"))
-    dealt = every.join(sizes, "entity_id").withColumn(
-        "part", F.when(F.col("section") == 0, 0).otherwise(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("n_parts"))).cast("int"))
-    return dealt.groupBy("entity_id", "part").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section", "sort_key", "line"))), lambda x: x["line"]), "\n").alias("answer")
-    )
+    return every
+
+
+def evidence_text(violations: DataFrame, scores: DataFrame, advice: DataFrame | None = None) -> DataFrame:
+    """The lines of an entity as one text, for a judge that reads an answer whole: one row per entity, always."""
+    lines = F.array_sort(F.collect_list(F.struct("section", "sort_key", "line")))
+    return evidence_lines(violations, scores, advice).groupBy("entity_id").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("answer"))
 
 
-def context_text(label: str, value: Column, limit: int = 2000) -> Column:
-    """A labelled context cut at ``limit`` characters, as the evaluation defines it."""
-    return F.concat(F.lit(f"{label}: "), F.left(F.to_json(value), F.lit(limit)))
+def context_text(label: str, value: Column, limit: int | None = None) -> Column:
+    """A labelled context; a caller whose reader takes no more may cut its JSON at ``limit`` characters."""
+    whole = F.to_json(value)
+    return F.concat(F.lit(f"{label}: "), whole if limit is None else F.left(whole, F.lit(limit)))

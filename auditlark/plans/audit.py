@@ -14,9 +14,6 @@ from auditlark.rulepack import DEFAULT_PACK, RulePack
 from auditlark.session import materialize
 
 
-MAX_LISTED = 100_000
-
-
 @dataclasses.dataclass
 class Audit:
     entities: DataFrame
@@ -90,20 +87,19 @@ def run_audit(
     )
 
 
-def _dealt(rows: DataFrame, limit: int) -> DataFrame:
-    """Rows plus ``part``: an entity with more than ``limit`` rows gets several."""
-    sizes = rows.groupBy("entity_id").agg(F.ceil(F.count(F.lit(1)) / limit).alias("__parts"))
-    # Numbered by place, not by content: equal rows of one entity go to different parts.
-    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__parts")).cast("int")
-    return rows.join(sizes, "entity_id").withColumn("part", spread).drop("__parts")
+def report_items(audit: Audit) -> DataFrame:
+    """What a report lists, one row each: ``entity_id, kind, row`` with the row as JSON. Nothing is grouped, so no entity is too large."""
+    def items(rows: DataFrame, kind: str, columns: list[str]) -> DataFrame:
+        return rows.select("entity_id", F.lit(kind).alias("kind"), F.to_json(F.struct(*columns)).alias("row"))
 
+    details = [c for c in audit.pii_report.columns if c != "entity_id"]
+    found = [c for c in audit.violations.columns if c != "entity_id"]
+    return items(audit.pii_report, "detail", details).unionByName(items(audit.violations, "violation", found)).unionByName(
+        items(audit.recommendations, "recommendation", ["for_violation", "right", "data_category", "priority", "recommendation"]))
 
-def report_rows(audit: Audit, generated_at=None, max_listed: int = MAX_LISTED) -> DataFrame:
-    """Nested report rows ready for the JSON sink, one per entity.
 
-    Lists longer than ``max_listed`` continue in further rows (``part`` 1, 2,
-    ...) that repeat the summary, so no group outgrows a task.
-    """
+def report_rows(audit: Audit, generated_at=None) -> DataFrame:
+    """The blocks of a report that have one value per entity, ready for the JSON sink; ``report_items`` has the lists."""
     stamp = F.lit(generated_at).cast("timestamp") if generated_at else F.current_timestamp()
     clean = F.col("error").isNull()
     totals = audit.pii_report.groupBy("entity_id").agg(
@@ -114,29 +110,19 @@ def report_rows(audit: Audit, generated_at=None, max_listed: int = MAX_LISTED) -
     types = audit.pii_report.where(clean).select("entity_id", F.explode("pii_detected").alias("t")).groupBy("entity_id").agg(
         F.array_sort(F.collect_set("t")).alias("pii_types_detected"))
 
-    def listed(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
-        return _dealt(rows.select("entity_id", *columns), max_listed).groupBy("entity_id", "part").agg(
-            F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
-
-    details = [c for c in audit.pii_report.columns if c not in ("entity_id",)]
-    lists = [
-        listed(audit.pii_report, "details", details),
-        listed(audit.violations, "violations", [c for c in audit.violations.columns if c != "entity_id"]),
-        listed(audit.recommendations, "recommendations", ["for_violation", "right", "data_category", "priority", "recommendation"]),
-    ]
-    parts = reduce(lambda a, b: a.join(b, ["entity_id", "part"], "full_outer"), lists)
     appeals = audit.appeals.select("entity_id", F.struct("has_appeal", "quality", "matched_terms", "confidence").alias("appeal_procedure"))
     summary = audit.scores.select("entity_id", F.struct(
         "overall_status", "risk_score", "risk_grade", "risk_label", "total_violations", "critical_violations", "high_violations",
     ).alias("executive_summary"))
-    singles = [totals, types, appeals]
+    rules = audit.entities.select("entity_id", F.struct(*[c for c in audit.entities.columns if c != "entity_id"]).alias("applicable_rules"))
+    compliance = audit.severity.select("entity_id", F.struct("status", "risk_level").alias("compliance_findings"))
+    singles = [totals, types, appeals, rules, compliance]
     if audit.sla is not None:
         singles.append(audit.sla.select("entity_id", F.struct(*[c for c in audit.sla.columns if c != "entity_id"]).alias("timeline_analysis")))
     heads = reduce(lambda a, b: a.join(b, "entity_id", "left"), singles, summary)
-    rows = heads.join(parts, "entity_id", "left").withColumn("part", F.coalesce("part", F.lit(0)))
-    findings = F.struct("files_analyzed", "total_unique_consumers", "pii_types_detected", "details").alias("pii_findings")
-    rest = [c for c in ("appeal_procedure", "timeline_analysis", "violations", "recommendations") if c in rows.columns]
-    return rows.select("entity_id", "part", stamp.alias("generated_at"), "executive_summary", findings, *rest)
+    findings = F.struct("files_analyzed", "total_unique_consumers", "pii_types_detected").alias("pii_findings")
+    rest = [c for c in ("applicable_rules", "compliance_findings", "appeal_procedure", "timeline_analysis") if c in heads.columns]
+    return heads.select("entity_id", stamp.alias("generated_at"), "executive_summary", findings, *rest)
 
 
 def evaluate_audit(audit: Audit, expected: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auditlark.functions import text as X
 
 NEXT_DOCUMENT = "\n\n--- Next Document ---\n\n"
-MAX_ASSEMBLED_CHARS = 32 << 20
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -22,22 +21,19 @@ def html_documents(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(F.col(key).alias("doc_id"), X.html_to_text(F.col(html)).alias("text"))
 
 
-def assemble(docs: DataFrame, entity: str, order: str, text: str, separator: str = NEXT_DOCUMENT,
-             max_chars: int = MAX_ASSEMBLED_CHARS) -> DataFrame:
-    """An entity's documents as one text, in the order of ``order``.
+def ordered_documents(docs: DataFrame, entity: str, order: str, text: str) -> DataFrame:
+    """An entity's documents as rows in reading order: ``entity_id, position, text``, the form for entities of any size."""
+    place = F.row_number().over(Window.partitionBy(F.col(entity)).orderBy(F.col(order)))
+    return docs.select(F.col(entity).alias("entity_id"), place.alias("position"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
-    Sizes are added up first. Only entities of at most ``max_chars`` are
-    assembled; a larger one keeps a row per document (``part`` is its order
-    key), which every operator that takes an entity column accepts alike. So
-    no text is lost and no task ever holds an oversized group.
+
+def assemble(docs: DataFrame, entity: str, order: str, text: str, separator: str = NEXT_DOCUMENT) -> DataFrame:
+    """An entity's documents as one text, in the order of ``order``: one row per entity, always.
+
+    For texts a reader takes whole. The operators accept the rows of ``ordered_documents`` alike and never need the joined form.
     """
-    sizes = docs.groupBy(F.col(entity).alias("__e")).agg(F.sum(F.length(text) + len(separator)).alias("__chars"))
-    sized = docs.join(sizes, F.col(entity).eqNullSafe(F.col("__e"))).select(
-        F.col(entity).alias("entity_id"),
-        F.when(F.col("__chars") > max_chars, F.col(order).cast("string")).alias("part"),
-        F.struct(F.col(order).alias("o"), F.coalesce(F.col(text), F.lit("")).alias("t")).alias("doc"),
-    )
-    return sized.groupBy("entity_id", "part").agg(
+    rows = docs.select(F.col(entity).alias("entity_id"), F.struct(F.col(order).alias("o"), F.coalesce(F.col(text), F.lit("")).alias("t")).alias("doc"))
+    return rows.groupBy("entity_id").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.array_join(F.transform(F.array_sort(F.collect_list("doc")), lambda d: d["t"]), separator).alias("text"),
     )

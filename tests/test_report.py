@@ -91,14 +91,12 @@ def test_usage(frame):
     assert [(r["agent"], r["cost_rank"]) for r in RP.cost_ranking(usage).collect()] == [("b", 1), ("a", 2)]
 
 
-def test_evidence_is_split_not_cut(frame):
-    df = rows(frame, *["HIGH"] * 50)
+def test_evidence_holds_every_line(frame):
+    df = frame([("e", f"T{i}", None, None, None, "HIGH", 0.9) for i in range(50)] + [("e", "same", None, None, None, "HIGH", 0.9)] * 30, SCHEMA)
     scores = RP.risk_scores(df)
+    assert RP.evidence_lines(df, scores).count() == 81
     one = RP.evidence_text(df, scores).collect()
-    assert len(one) == 1 and one[0]["answer"].count("Violation: ") == 50
-    df2 = frame([("e", f"T{i}", None, None, None, "HIGH", 0.9) for i in range(50)], SCHEMA)
-    parts = RP.evidence_text(df2, RP.risk_scores(df2), max_lines=10).collect()
-    assert len(parts) > 1 and sum(p["answer"].count("Violation: ") for p in parts) == 50
+    assert len(one) == 1 and one[0]["answer"].count("Violation: ") == 80 and one[0]["answer"].startswith("Compliance Status: ")
 
 
 def test_union_of_violations(frame):
@@ -118,11 +116,3 @@ def test_calls_without_agent_are_not_the_total(frame):
     usage = frame([(None, 1, 2, 0.5, 10), ("a", 3, 4, 0.25, 20)], "agent string, input_tokens int, output_tokens int, total_cost_usd double, duration_ms int")
     got = {(r["is_total"], r["agent"]): r["n_calls"] for r in RP.usage_rollup(usage).collect()}
     assert got == {(False, None): 1, (False, "a"): 1, (True, None): 2}
-
-
-def test_equal_rows_of_one_entity_go_to_many_parts(frame, spark):
-    from auditlark.plans.audit import _dealt
-
-    rows = spark.range(20_000, numPartitions=4).selectExpr("'e' AS entity_id", "'same' AS recommendation")
-    parts = _dealt(rows, 1000).groupBy("part").count().collect()
-    assert len(parts) == 20 and max(r["count"] for r in parts) < 1300

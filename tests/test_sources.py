@@ -40,11 +40,12 @@ def test_whole_documents_and_assembly(spark, tmp_path):
     assert len(row) == 1 and row[0]["text"] == "first\n\n--- Next Document ---\n\nsecond\nline" and row[0]["n_docs"] == 2
 
 
-def test_oversized_entities_stay_in_parts(frame):
-    docs = frame([("big", i, "x" * 50) for i in range(5)] + [("small", 1, "a"), ("small", 0, "b")], "e string, n int, t string")
-    rows = D.assemble(docs, "e", "n", "t", max_chars=200).collect()
-    assert sum(len(r["text"]) for r in rows if r["entity_id"] == "big") == 250 and len([r for r in rows if r["entity_id"] == "big"]) == 5
-    assert [r["text"] for r in rows if r["entity_id"] == "small"] == ["b\n\n--- Next Document ---\n\na"]
+def test_ordered_documents(frame):
+    docs = frame([("big", i, "x" * 50) for i in range(5)] + [("small", 1, "a"), ("small", 0, None)], "e string, n int, t string")
+    rows = D.ordered_documents(docs, "e", "n", "t").collect()
+    assert sorted((r["position"], r["text"]) for r in rows if r["entity_id"] == "small") == [(1, ""), (2, "a")]
+    joined = {r["entity_id"]: r["text"] for r in D.assemble(docs, "e", "n", "t").collect()}
+    assert joined["small"] == "\n\n--- Next Document ---\n\na" and joined["big"].count("x") == 250 + 4
 
 
 def test_report_sink_and_source(spark, frame, tmp_path):
