@@ -5,7 +5,7 @@ rows (``per_language`` texts of at most ``max_chars`` code points per language);
 calibrates the probabilities on texts held back from the fit. The document frequencies behind the IDF
 weights are counted over all texts. Prediction reads every whole text once and shuffles nothing.
 
-A null text, or one without a letter, is ``und`` with score 0. So is every text if no labelled text has a letter.
+A null text, or one without a letter (a mark alone is none), is ``und`` with score 0. So is every text if no labelled text has a letter.
 Rows that share an id are predicted each by itself; other columns are ignored.
 """
 
@@ -189,8 +189,9 @@ def predict(texts: DataFrame, model: Model, text_col: str = "text", lang_out: st
         for batch in batches:
             languages, scores = [], []
             for text in batch.column(len(others)):
-                found, counts = ngram_counts(text.as_py(), m.bits)
-                if len(found) and m.languages:
+                text = text.as_py() or ""
+                if m.languages and any(map(str.isalpha, text)):
+                    found, counts = ngram_counts(text, m.bits)
                     p = m.probabilities(found, counts)
                     best = int(p.argmax())
                     languages.append(m.languages[best])
