@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from pyspark import TaskContext
 
 from auditlark.llm import store
+from auditlark.llm.batches import small_batches
 
 # White space as the pre-token pattern sees it. A match never spans a change from other
 # characters to white space, so a run of white space and the word after it split by themselves.
@@ -262,7 +263,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     spark = docs.sparkSession
     buckets = max(64, store.shuffle_partitions(spark))
     ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))  # one entry per token of the vocabulary
-    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     blocks = store.bucketed(
         texts.mapInArrow(lambda it: _blocks(it, pattern, buckets, block_chars), BLOCKS), "bpe_blocks", "block_id", store.shuffle_partitions(spark))
     lists = blocks.select("block_id", F.posexplode(F.arrays_zip("words", "numbers")).alias("bucket", "list"))
@@ -298,7 +299,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out: str =
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(others))), pa.array(found, pa.binary())], names=[*others, out])
 
     schema = T.StructType([*(encoded.schema[c] for c in others), T.StructField(out, T.BinaryType())])
-    return encoded.select(*others).mapInArrow(run, schema)
+    return small_batches(encoded).select(*others).mapInArrow(run, schema)
 
 
 def unpacked(ids) -> list[int]:

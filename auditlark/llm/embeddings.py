@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlark.llm import store
+from auditlark.llm.batches import small_batches
 from auditlark.llm.components import components
 from auditlark.llm.samples import uniform
 
@@ -137,7 +138,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     on either side of a split, as a share of the typical width of a pair at the threshold.
     """
     values = F.col(vector_col).cast("array<double>")
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), values.alias("vector")).where("id IS NOT NULL")
+    rows = small_batches(vectors).select(F.col(id_col).cast("long").alias("id"), values.alias("vector")).where("id IS NOT NULL")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.coalesce((F.size("vector") > 0) & finite & F.exists("vector", lambda x: x != 0), F.lit(False))
     rows = rows.select("id", F.when(usable, F.transform("vector", lambda x: x + F.lit(0.0))).alias("vector"))  # -0.0 becomes 0.0

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from auditlark.llm.batches import with_text
 from auditlark.llm.samples import uniform
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -263,13 +264,14 @@ def extract(pages: DataFrame, model: Model, html_col: str = "html", cut: float =
     """All columns of ``pages`` with ``text`` and its code points ``n_chars``; existing columns of these names are replaced."""
     shared = pages.sparkSession.sparkContext.broadcast(model)  # one weight per name seen in the sample
     others = [c for c in pages.columns if c not in ("text", "n_chars")]
+    rows, at = with_text(pages, others, html_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            texts = ["\n".join(main_blocks(m, markup.as_py(), cut)) for markup in batch.column(len(others))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+            texts = ["\n".join(main_blocks(m, markup.as_py(), cut)) for markup in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(others)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              names=[*others, "text", "n_chars"])
 
     schema = T.StructType([*(pages.schema[c] for c in others), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return pages.select(*(F.col(f"`{c}`") for c in others), F.col(html_col).cast("string").alias("__html")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

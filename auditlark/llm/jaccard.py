@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlark.llm import store
+from auditlark.llm.batches import small_batches
 from auditlark.llm.components import components
 
 BITMAP_WORDS = 16
@@ -235,7 +236,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     t = Fraction(threshold)
     if not 0 < t <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).where("doc IS NOT NULL")
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).where("doc IS NOT NULL")
     signed = store.written(texts.mapInArrow(lambda it: _sign(it, words, t), SIGNED), "shingled")
     chosen = signed.groupBy("doc").agg(F.max(F.struct("n_shingles", "digest")).alias("set")).select("doc", "set.n_shingles", "set.digest")
     classes = store.written(chosen.groupBy("digest", "n_shingles").agg(F.min("doc").alias("class_id")), "classes")

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auditlark.llm.batches import small_batches, with_text
 from auditlark.llm.samples import per_class, uniform
 
 UNKNOWN = "und"
@@ -149,7 +150,7 @@ def fit(texts: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
         per_language: int = 800, max_chars: int = 200_000, epochs: int = 3, alpha: float = 2.0, beta: float = 1.0,
         l1: float = 0.02, l2: float = 0.5, held_back: float = 0.15, seed: int = 7) -> Model:
     """Fit on a sample of the rows where ``train`` holds and a language is given; see the module for what is counted over all."""
-    rows = texts.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), train.alias("train"))
+    rows = small_batches(texts).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), train.alias("train"))
     labelled = rows.where(F.col("train") & F.col("lang").isNotNull() & (F.length("text") <= max_chars)).select("id", "text", "lang")
     sample, _ = per_class(labelled, "id", "lang", per_language, seed)
 
@@ -183,12 +184,13 @@ def predict(texts: DataFrame, model: Model, text_col: str = "text", lang_out: st
     """All columns of ``texts`` with the likeliest language and its calibrated probability; existing columns of these names are replaced."""
     shared = texts.sparkSession.sparkContext.broadcast(model)  # 2^bits rows of as many weights as languages
     others = [c for c in texts.columns if c not in (lang_out, score_out)]
+    rows, at = with_text(texts, others, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             languages, scores = [], []
-            for text in batch.column(len(others)):
+            for text in batch.column(at):
                 text = text.as_py() or ""
                 if m.languages and any(map(str.isalpha, text)):
                     found, counts = ngram_counts(text, m.bits)
@@ -199,10 +201,10 @@ def predict(texts: DataFrame, model: Model, text_col: str = "text", lang_out: st
                 else:
                     languages.append(UNKNOWN)
                     scores.append(0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(others)], pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*others, lang_out, score_out])
 
     from pyspark.sql import types as T
 
     schema = T.StructType([*(texts.schema[c] for c in others), T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())])
-    return texts.select(*(F.col(f"`{c}`") for c in others), F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

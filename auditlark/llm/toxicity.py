@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from auditlark.llm.batches import with_text
 from auditlark.llm.samples import per_class as draw
 
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
@@ -134,13 +135,14 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", cut: float = 0.
     """All columns of ``docs`` with ``score`` and ``offending``: start, end and score of the sentences at or above ``cut``, in text order."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^bits weights
     others = [c for c in docs.columns if c not in ("score", "offending")]
+    rows, at = with_text(docs, others, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, known = shared.value, {}
         type_ = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         for batch in batches:
             scores, blamed = [], []
-            for text in batch.column(len(others)):
+            for text in batch.column(at):
                 text, spans, z = text.as_py() or "", [], []
                 for a, b in sentences(text):
                     total, some = m.bias, False
@@ -157,7 +159,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", cut: float = 0.
                 p = _sigmoid(np.array(z))
                 scores.append(noisy_or(p) if len(p) else 0.0)
                 blamed.append([{"start": spans[i][0], "end": spans[i][1], "score": float(p[i])} for i in np.flatnonzero(p >= cut)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array(blamed, type_)], names=[*others, "score", "offending"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(others)], pa.array(scores, pa.float64()), pa.array(blamed, type_)], names=[*others, "score", "offending"])
 
     schema = T.StructType([*(docs.schema[c] for c in others), T.StructField("score", T.DoubleType()), T.StructField("offending", FOUND)])
-    return docs.select(*(F.col(f"`{c}`") for c in others), F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
