@@ -26,32 +26,37 @@ from auditlark.functions.text import once
 from auditlark.llm import store
 from auditlark.llm.samples import uniform
 
-SYMBOLS = "!\"#$%&()*+/:;<=>?@[]^_{|}~"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+NO_CAPITALS = "[^A-Z]+"
+NO_SYMBOLS = r"""[^!"#$%&()*+/:;<=>?@\[\]^_{|}~]+"""
 FEATURES = ("f_lang", "f_size", "f_capitals", "f_symbols", "f_word")
 
 
 def token_count(text: Column) -> Column:
-    """Words between blanks."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")).cast("long")
+    """Pieces between blanks and line feeds; none in an empty text."""
+    apart = F.length(text) - F.length(F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\n"), F.lit("")))
+    return F.when(text == "", 0).otherwise(apart + 1).cast("long")
 
 
 def statistics(docs: DataFrame, text_col: str, lang_col: str | None, languages: list[str]) -> DataFrame:
     """``docs`` with ``n_tokens`` and the binned statistics; languages beyond the listed ones are one value."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    size = F.greatest(F.length(text), F.lit(1))
 
-    def share(symbols: str) -> Column:
-        return (F.length(text) - F.length(F.translate(text, symbols, ""))) / size
+    def left(pattern: str) -> Column:
+        return F.length(F.regexp_replace(text, pattern, ""))
+
+    # Every text is gone through once for each measure; the bins work on the numbers.
+    measures = once(F.struct(token_count(text).alias("n_tokens"), F.greatest(F.length(text), F.lit(1)).alias("__size"),
+                             left(NO_CAPITALS).alias("__capitals"), left(NO_SYMBOLS).alias("__symbols")))
 
     def binned(value: Column, cuts: tuple[float, ...]) -> Column:
         return sum(((value >= c).cast("int") for c in cuts[1:]), (value >= cuts[0]).cast("int"))
 
+    size = F.col("__size")
     lang = F.when(F.col(f"`{lang_col}`").isin(*languages), F.col(f"`{lang_col}`")).otherwise("") if lang_col and languages else F.lit("")
-    counted = docs.withColumn("n_tokens", token_count(F.col(f"`{text_col}`").cast("string")))
-    return counted.select(
-        "*", lang.alias("f_lang"), F.least(F.lit(16), F.floor(F.log2(size.cast("double"))).cast("int")).alias("f_size"), binned(share(CAPITALS), (0.05, 0.15, 0.4)).alias("f_capitals"),
-        binned(share(SYMBOLS), (0.005, 0.03, 0.1)).alias("f_symbols"), binned(size / (F.col("n_tokens") + 1), (5.0, 6.0, 7.0, 8.0, 10.0)).alias("f_word"))
+    return docs.select("*", measures).select(
+        *(F.col(f"`{c}`") for c in docs.columns), "n_tokens", lang.alias("f_lang"), F.least(F.lit(16), F.floor(F.log2(size.cast("double"))).cast("int")).alias("f_size"),
+        binned(F.col("__capitals") / size, (0.05, 0.15, 0.4)).alias("f_capitals"), binned(F.col("__symbols") / size, (0.005, 0.03, 0.1)).alias("f_symbols"),
+        binned(size / (F.col("n_tokens") + 1), (5.0, 6.0, 7.0, 8.0, 10.0)).alias("f_word"))
 
 
 def _posteriors(cells: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame:
