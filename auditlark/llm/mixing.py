@@ -4,9 +4,9 @@
    Its posteriors make every document, labelled or not, a member of all domains in parts.
 2. Documents with equal statistics have equal posteriors; they form a cell. Cells are bounded by the number of statistic values
    (``max_cells``), not by the corpus, and carry their token sums.
-3. Projected gradient on the least squares between the expected share of each domain's tokens and its target, each residual in
-   units of the domain's present share. Every step is one aggregation over the cells; a cell's rate follows from the list
-   of all residuals so far, which is as long as steps times domains.
+3. Projected gradient on the least squares between the expected share of each domain's tokens and its target, in the metric of the
+   domains' overlap among the cells that still have a rate: a step that nothing clips meets the targets at once. Every step is one
+   aggregation over the cells; a cell's rate follows from the list of all steps so far, which is as long as steps times domains.
 4. A document is taken floor(rate + u) times, u a number in [0, 1) drawn from its id, and ``at_least`` times.
 
 Null or empty texts have no tokens and take no part in the fit; they get the rate of their cell. Domains without target weight are
@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from auditlark.llm.samples import uniform
 
 NO_CAPITALS = "[^A-Z]+"
 NO_SYMBOLS = r"""[^!"#$%&()*+/:;<=>?@\[\]^_{|}~]+"""
+RIDGE = 1e-3          # share of the tokens below which a domain's overlap does not speed its step up
 FEATURES = ("f_lang", "f_size", "f_capitals", "f_symbols", "f_word")
 
 
@@ -92,7 +94,7 @@ def _rate(steps: list[list[float]]) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
-        keep_all: bool = False, steps: int = 40, tolerance: float = 1e-4, max_cells: int = 200_000) -> tuple[DataFrame, list[str], list[str]]:
+        keep_all: bool = False, steps: int = 12, tolerance: float = 1e-4, max_cells: int = 200_000) -> tuple[DataFrame, list[str], list[str]]:
     """The cells with ``p`` and ``rate``, the domains in the order of ``p``, and the languages told apart.
 
     ``labels`` has ``id_col`` and ``domain``. The targets are shares of the present number of tokens, or, with ``keep_all``, of the
@@ -117,26 +119,30 @@ def fit(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col
 
     cells.persist()
 
-    def shares(rate: Column) -> list[float]:
-        taken_now = cells.select("tokens", "p", once(F.struct(rate.alias("rate"))))
-        r = taken_now.agg(F.sum("tokens").alias("all"), *(F.sum(F.col("tokens") * F.col("rate") * F.col("p")[i]).alias(f"d{i}") for i in range(len(domains)))).first()
-        return [(r[f"d{i}"] or 0.0) / r["all"] for i in range(len(domains))] if r["all"] else []
-
-    now = shares(F.lit(1.0))
+    def measured(rate: Column) -> tuple[np.ndarray, np.ndarray]:
+        """Expected share of each domain, and how much domains overlap in the cells with a rate."""
+        now = cells.select("tokens", "p", once(F.struct(rate.alias("rate"))))
+        k = range(len(domains))
+        taken = [F.sum(F.col("tokens") * F.col("rate") * F.col("p")[i]) for i in k]
+        overlap = [F.sum(F.when(F.col("rate") > 0, F.col("tokens")) * F.col("p")[i] * F.col("p")[j]) for i in k for j in k]
+        r = now.agg(F.sum("tokens").cast("double").alias("all"), F.array(*taken).alias("taken"), F.array(*overlap).alias("overlap")).first()
+        if not r["all"]:
+            return np.zeros(0), np.zeros(0)
+        return np.array([x or 0.0 for x in r["taken"]]) / r["all"], np.array([x or 0.0 for x in r["overlap"]]).reshape(len(domains), -1) / r["all"]
+
+    now, overlap = measured(F.lit(1.0))
     taken: list[list[float]] = []
-    if now:
-        goal = [targets[d] for d in domains]
-        goal = [g / sum(goal) for g in goal] if sum(goal) else goal
+    if len(now):
+        goal = np.array([targets[d] for d in domains], "f8")
+        goal = goal / goal.sum() if goal.sum() else goal
         if keep_all:
-            factor = max((n / g for n, g in zip(now, goal) if g), default=1.0)
-            goal = [g * factor for g in goal]
-        present = [max(n, 1e-9) for n in now]
+            goal = goal * max((n / g for n, g in zip(now, goal) if g), default=1.0)
         for _ in range(steps):
-            miss = [n - g for n, g in zip(now, goal)]
-            if max(abs(m) for m in miss) < tolerance:
+            miss = now - goal
+            if np.abs(miss).max() < tolerance:
                 break
-            taken.append([m / n for m, n in zip(miss, present)])
-            now = shares(_rate(taken))
+            taken.append(np.linalg.solve(overlap + RIDGE * np.eye(len(domains)), miss).tolist())
+            now, overlap = measured(_rate(taken))
     cells.unpersist()
     return cells.select(*FEATURES, "p", _rate(taken).alias("rate")), domains, languages
 
