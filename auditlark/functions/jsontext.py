@@ -6,8 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from auditlark.functions import text as X
-
-FENCED_BLOCK = r"```(?:json)?\s*\n?([\s\S]*?)\n?```"
+from auditlark.rulepack import FENCED_BLOCK
 
 
 def is_json(text: Column) -> Column:

@@ -8,14 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from auditlark.functions.literals import constant
-from auditlark.rulepack import DEFAULT_PACK, RulePack
+from auditlark.rulepack import DEFAULT_PACK, PARAGRAPH_BREAK, RulePack
 
 # Unicode character classes, and a dot that stops at line feeds only.
 REGEX_FLAGS = "(?Ud)"
 BLANK = r"[\s\x1c-\x1f]"
 # A cell separator that no PII pattern can match, so that none joins two cells.
 CELL_SEPARATOR = "\u0001"
-PARAGRAPH_BREAK = r"\n\s*\n|(?=\n\s*(?:\d+\.|[A-Z][.)]\s|#{1,3}\s|Section\s))"
 TERMS_PER_MASK = 60
 
 

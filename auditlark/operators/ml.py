@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from auditlark.functions import numbers as N
 from auditlark.functions import text as X
 from auditlark.operators.ranking import stratified_split
+from auditlark.rulepack import DEFAULT_PACK, RulePack
 
 MAX_TERMS = 5000
 WORD_PATTERN = r"(?U)\b\w\w+\b"
@@ -31,28 +32,38 @@ def _term_stages() -> list:
     ]
 
 
-def top_terms(texts: DataFrame, limit: int = MAX_TERMS) -> list[str]:
-    """The most frequent words and word pairs, ties in alphabetical order."""
-    with_terms = texts.select("text")
+def _terms(texts: DataFrame) -> DataFrame:
+    """The words and word pairs of every text, extracted once."""
+    found = texts.select("text")
     for stage in _term_stages():
-        with_terms = stage.transform(with_terms)
-    counts = with_terms.select(X.once(F.struct("terms"))).select(F.explode("terms").alias("term")).groupBy("term").count()
+        found = stage.transform(found)
+    return found.select(X.once(F.struct("terms")))
+
+
+def _most_frequent(terms: DataFrame, limit: int) -> list[str]:
+    counts = terms.select(F.explode("terms").alias("term")).groupBy("term").count()
     return sorted(r["term"] for r in counts.orderBy(F.desc("count"), "term").limit(limit).collect())
 
 
+def top_terms(texts: DataFrame, limit: int = MAX_TERMS) -> list[str]:
+    """The most frequent words and word pairs, ties in alphabetical order."""
+    return _most_frequent(_terms(texts), limit)
+
+
 def tfidf_model(texts: DataFrame, limit: int = MAX_TERMS) -> PipelineModel:
     """Smooth tf-idf over words and word pairs, L2-normed.
 
-    Spark's idf is ``ln((n + 1) / (df + 1))``; one is added to every weight, so
-    that terms found in all texts keep a weight of one.
+    The vocabulary is the ``limit`` most frequent terms, a feature of the model. Spark's idf is ``ln((n + 1) / (df + 1))``;
+    one is added to every weight, so that terms found in all texts keep a weight of one.
     """
-    stages = _term_stages()
-    vocabulary = top_terms(texts, limit)
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="tf")
-    counted = PipelineModel([*stages, counter]).transform(texts.select("text"))
-    idf = IDF(inputCol="tf", outputCol="unused").fit(counted).idf.toArray()
+    terms = _terms(texts).persist()
+    try:
+        counter = CountVectorizerModel.from_vocabulary(_most_frequent(terms, limit), inputCol="terms", outputCol="tf")
+        idf = IDF(inputCol="tf", outputCol="unused").fit(counter.transform(terms)).idf.toArray()
+    finally:
+        terms.unpersist()
     weigh = ElementwiseProduct(scalingVec=Vectors.dense(idf + 1.0), inputCol="tf", outputCol="weighted")
-    return PipelineModel([*stages, counter, weigh, Normalizer(p=2.0, inputCol="weighted", outputCol="features")])
+    return PipelineModel([*_term_stages(), counter, weigh, Normalizer(p=2.0, inputCol="weighted", outputCol="features")])
 
 
 def train_classifier(train: DataFrame, label: str = "label", max_terms: int = MAX_TERMS, max_iter: int = 1000,
@@ -93,7 +104,7 @@ def load_classifier(path: str) -> PipelineModel | None:
 
 
 def model_detections(df: DataFrame, keys: list[str], text: str, model: PipelineModel | None, cut: float = 0.5,
-                     clean: str = "clean", first_ordinal: int = 14) -> DataFrame:
+                     clean: str = "clean", pack: RulePack = DEFAULT_PACK) -> DataFrame:
     """Detection rows of the classifier: per key and class the highest
     probability above ``cut``. Without a model an empty frame of that shape."""
     if model is None:
@@ -104,6 +115,7 @@ def model_detections(df: DataFrame, keys: list[str], text: str, model: PipelineM
             F.lit(0.0).alias("confidence"),
         )
     names = class_names(model)
+    first_ordinal = len(pack.patterns) + len(pack.keywords)  # model classes come after the pack's types
     scored = model.transform(df.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("text")))
     labels = F.array(*[F.lit(n) for n in names])
     chances = X.once(F.struct(vector_to_array("probability").alias("chances")))

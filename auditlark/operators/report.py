@@ -11,6 +11,7 @@ from auditlark.operators.violations import severity_count
 from auditlark.rulepack import (
     DEFAULT_PACK, GRADE_BELOW_LADDER, GRADE_LADDER, GRADE_NO_FINDINGS, MAX_RISK_SCORE, RulePack, citation_frame,
     recommendation_frame, severity_weight_frame,
+    NARRATIVE_GRADE, NARRATIVE_SUMMARY, NARRATIVE_VIOLATION,
 )
 
 
@@ -258,7 +259,7 @@ def flatten_findings(reports: DataFrame, keys: list[str], document: str) -> Data
 def narrative_findings(raw: Column) -> dict[str, Column]:
     """Status, grade, summary and violations read from a report written as prose."""
     upper = F.upper(raw)
-    blocks = F.regexp_extract_all(raw, F.lit(r"(?is)VIOLATION\s*\d+[:\s]*(.*?)(?:\n\n|\z)"), F.lit(1))
+    blocks = F.regexp_extract_all(raw, F.lit(NARRATIVE_VIOLATION), F.lit(1))
 
     def violation(block: Column) -> Column:
         body = X.strip(block)
@@ -268,8 +269,8 @@ def narrative_findings(raw: Column) -> dict[str, Column]:
         return F.struct(title.alias("type"), severity.alias("severity"),
                         F.replace(body, F.lit("*"), F.lit("")).alias("finding"))
 
-    grade = F.upper(F.regexp_extract(raw, r"(?i)(?:Risk Grade|Grade)[:\s]*\*{0,2}\s*\*{0,2}([A-F])", 1))
-    summary = F.regexp_extract(raw, r"(?is)(?:EXECUTIVE SUMMARY|SUMMARY)\s*\n+(.*?)(?:\n\n|\n---|\n###)", 1)
+    grade = F.upper(F.regexp_extract(raw, NARRATIVE_GRADE, 1))
+    summary = F.regexp_extract(raw, NARRATIVE_SUMMARY, 1)
     return {
         "status": F.when(F.contains(upper, F.lit("NON-COMPLIANT")) | F.contains(upper, F.lit("NON_COMPLIANT")), "NON_COMPLIANT")
         .when(F.contains(upper, F.lit("COMPLIANT")), "COMPLIANT").otherwise("UNKNOWN"),

@@ -222,6 +222,14 @@ GROUND_TRUTH_KEYS = ("expected_violations", "expected_pii_types", "expected_righ
 TOTAL_CLAUSES = 6
 STAGE_GATE = 0.7
 
+# How texts are taken apart and joined.
+PARAGRAPH_BREAK = r"\n\s*\n|(?=\n\s*(?:\d+\.|[A-Z][.)]\s|#{1,3}\s|Section\s))"
+FENCED_BLOCK = r"```(?:json)?\s*\n?([\s\S]*?)\n?```"
+NEXT_DOCUMENT = "\n\n--- Next Document ---\n\n"
+NARRATIVE_VIOLATION = r"(?is)VIOLATION\s*\d+[:\s]*(.*?)(?:\n\n|\z)"
+NARRATIVE_GRADE = r"(?i)(?:Risk Grade|Grade)[:\s]*\*{0,2}\s*\*{0,2}([A-F])"
+NARRATIVE_SUMMARY = r"(?is)(?:EXECUTIVE SUMMARY|SUMMARY)\s*\n+(.*?)(?:\n\n|\n---|\n###)"
+
 # --------------------------------------------------------------------------
 # End of the fixed values.
 # --------------------------------------------------------------------------

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auditlark.functions import text as X
-
-NEXT_DOCUMENT = "\n\n--- Next Document ---\n\n"
+from auditlark.rulepack import NEXT_DOCUMENT
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
