@@ -119,20 +119,23 @@ def fit(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col
 
     cells.persist()
 
+    everything = cells.agg(F.sum("tokens").cast("double")).first()[0]
+
     def measured(rate: Column) -> tuple[np.ndarray, np.ndarray]:
-        """Expected share of each domain, and how much domains overlap in the cells with a rate."""
-        now = cells.select("tokens", "p", once(F.struct(rate.alias("rate"))))
-        k = range(len(domains))
-        taken = [F.sum(F.col("tokens") * F.col("rate") * F.col("p")[i]) for i in k]
-        overlap = [F.sum(F.when(F.col("rate") > 0, F.col("tokens")) * F.col("p")[i] * F.col("p")[j]) for i in k for j in k]
-        r = now.agg(F.sum("tokens").cast("double").alias("all"), F.array(*taken).alias("taken"), F.array(*overlap).alias("overlap")).first()
-        if not r["all"]:
-            return np.zeros(0), np.zeros(0)
-        return np.array([x or 0.0 for x in r["taken"]]) / r["all"], np.array([x or 0.0 for x in r["overlap"]]).reshape(len(domains), -1) / r["all"]
-
-    now, overlap = measured(F.lit(1.0))
+        """Expected share of each domain, and how much domains overlap in the cells with a rate: one row per pair of domains."""
+        now = cells.select("tokens", "p", once(F.struct(rate.alias("rate")))).select("tokens", "rate", "p", F.posexplode("p").alias("i", "a"))
+        now = now.select("tokens", "rate", "i", "a", F.posexplode("p").alias("j", "b"))
+        part = F.col("tokens") * F.col("a") * F.col("b") / F.lit(everything)
+        pairs = now.groupBy("i", "j").agg(F.sum(part * F.col("rate")).alias("taken"), F.sum(F.when(F.col("rate") > 0, part).otherwise(0.0)).alias("overlap"))
+        taken, overlap = np.zeros(len(domains)), np.zeros((len(domains), len(domains)))
+        for r in pairs.collect():
+            taken[r["i"]] += r["taken"]  # over all j the memberships of a cell add up to one
+            overlap[r["i"], r["j"]] = r["overlap"]
+        return taken, overlap
+
     taken: list[list[float]] = []
-    if len(now):
+    if everything:
+        now, overlap = measured(F.lit(1.0))
         goal = np.array([targets[d] for d in domains], "f8")
         goal = goal / goal.sum() if goal.sum() else goal
         if keep_all:
