@@ -1,16 +1,18 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by repeated passages of lines.
 
-A rolling hash over each line's hash and the one before it ends a chunk where it falls into a quarter of its range, so the boundaries
-depend on nearby lines only: a line put in or taken out changes its own chunk and the next, and all later ones stay as they
-are. A chunk of at least ``min_lines`` lines that stands anywhere else too keeps its first place (smallest id, then
-position) and is removed at the others, once its bytes have been compared with those of the first place.
+A passage is a run of ``min_lines`` or more lines with a letter or digit, with whatever lines stand between them. Every ``min_lines``
+neighbouring such lines are one window, so a passage, wherever it begins and ends, is the union of its windows. A window that stands anywhere
+else too keeps its first place (smallest id, then position) and is removed at the others, once its bytes have been compared with those of
+the first place. As windows overlap, this removes whole repeated runs, and as each goes back to an earlier place, no line vanishes from the corpus.
+Lines without a letter or digit before the first and after the last window of a text have windows of their own, so a whole copy is emptied.
 
-Only hashes are grouped over the corpus, with partial counts, so a chunk that a third of all documents hold costs one row per task.
-Texts move twice, to meet the decisions made about their own chunks.
+Only hashes are grouped over the corpus, with partial counts, so a window that a third of all documents hold costs one row per task.
+Texts move twice, to meet the decisions made about their own windows.
 
-A null text stays null, an empty text and a text of one line stay as they are; nothing but whole chunks is taken out. Chunks
-without a letter or digit are left alone. A row repeated wholly is the same place, so all its copies keep the same text; rows without id
-come first in the order. Other columns pass through.
+A null text stays null, texts with fewer than ``min_lines`` lines with a letter or digit stay as they are. A row repeated wholly is the same
+place, so all its copies keep the same text; rows without id come first in the order. Other columns pass through.
+
+``chunks`` cuts a text where a rolling hash says so; the SQL of ``op7_line_dedup`` still describes dedup by such chunks.
 """
 
 from __future__ import annotations
@@ -49,37 +51,64 @@ def chunks(text: Column) -> Column:
     return let(F.split(text, "\n"), cut)
 
 
+def windows(text: Column, min_lines: int) -> Column:
+    """The windows of a text: first line ``s``, last line ``e`` and the hash ``key`` of the lines between."""
+    def placed(lines: Column) -> Column:
+        last = F.size(lines) - 1
+
+        def spans(wordy: Column) -> Column:
+            m = F.size(wordy)
+            begin, end = F.get(wordy, F.lit(0)), F.get(wordy, m - 1)
+            inner = F.transform(F.sequence(F.lit(0), m - min_lines), lambda k: F.struct(F.get(wordy, k).alias("s"), F.get(wordy, k + min_lines - 1).alias("e")))
+            head = F.when(begin > 0, F.array(F.struct(F.lit(0).alias("s"), F.get(wordy, F.lit(min_lines - 1)).alias("e")))).otherwise(F.array())
+            tail = F.when(end < last, F.array(F.struct(F.get(wordy, m - min_lines).alias("s"), last.alias("e")))).otherwise(F.array())
+            return F.when(m >= min_lines, F.concat(inner, head, tail))
+
+        wordy = F.filter(F.sequence(F.lit(0), last), lambda i: F.get(lines, i).rlike(r"[\p{L}\p{N}]"))
+        return F.transform(let(wordy, spans), lambda w: F.struct(w["s"].alias("s"), w["e"].alias("e"), F.xxhash64(_joined(lines, w["s"], w["e"])).alias("key")))
+
+    return let(F.split(text, "\n"), placed)
+
+
+def _joined(lines: Column, s: Column, e: Column) -> Column:
+    return F.array_join(F.slice(lines, s + 1, e - s + 1), "\n")
+
+
 def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2) -> DataFrame:
-    """``docs`` with repeated chunks taken out of ``text_col``, and the columns ``n_lines`` and ``n_removed`` (lines before, lines taken out)."""
+    """``docs`` with repeated passages taken out of ``text_col``, and the columns ``n_lines`` and ``n_removed`` (lines before, lines taken out)."""
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     text = F.col(f"`{text_col}`").cast("string")
-    keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("mark"), chunks(text).alias("chunks"))
-    listed = F.filter(F.transform("chunks", lambda c, i: F.struct(
-        i.alias("pos"), _digest(c["text"]).alias("key"), ((c["n"] >= min_lines) & c["text"].rlike(r"[\p{L}\p{N}]")).alias("ok"))), lambda c: c["ok"])
-    places = store.written(keyed.select("id", "mark", F.explode(listed).alias("c")).select("id", "mark", "c.pos", "c.key"), "chunk_places")
+    keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    places = keyed.select("id", "mark", F.explode(windows(F.col("text"), min_lines)).alias("w")).select("id", "mark", "w.*")
+    places = store.written(places, "window_places")
 
-    repeated = places.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("id", "pos", "mark")).alias("first")).where("n > 1").select("key", "first")
-    repeated = store.written(repeated, "repeated_chunks")
-    is_first = F.struct("id", "pos", "mark").eqNullSafe(F.col("first"))
-    marked = places.join(repeated, "key").select("id", "mark", "pos", "key", is_first.alias("first"))
-    by_text = marked.groupBy("id", "mark").agg(F.collect_set(F.struct("pos", "key", "first")).alias("marked"))  # no longer than the text
+    place = F.struct("id", "s", "e", "mark")
+    repeated = places.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("key", "first")
+    repeated = store.written(repeated, "repeated_windows")
+    marked = places.join(repeated, "key").select("id", "mark", "s", "e", "key", place.eqNullSafe(F.col("first")).alias("first"))
+    by_text = marked.groupBy("id", "mark").agg(F.collect_set(F.struct("s", "e", "key", "first")).alias("marked"))  # as many as the text has lines
 
     def same(a: DataFrame, b: DataFrame):
         return a["id"].eqNullSafe(b["id"]) & (a["mark"] == b["mark"])
 
-    held = keyed.join(by_text, same(keyed, by_text)).select(keyed["id"], keyed["mark"], "chunks", F.explode("marked").alias("m"))
-    held = store.written(held.select("id", "mark", "m.*", F.get(F.col("chunks"), F.col("m.pos"))["text"].alias("chunk")), "repeated_texts")
-    kept = held.where("first").groupBy("key").agg(F.first("chunk").alias("kept"))
-    gone = held.where("NOT first").join(kept, "key").where("chunk = kept").groupBy("id", "mark").agg(F.collect_set("pos").alias("gone"))
+    held = keyed.join(by_text, same(keyed, by_text)).select(keyed["id"], keyed["mark"], F.split("text", "\n").alias("lines"), "marked")
+    cut = F.transform("marked", lambda w: F.struct(w["s"].alias("s"), w["e"].alias("e"), w["key"].alias("key"), w["first"].alias("first"),
+                                                   _joined(F.col("lines"), w["s"], w["e"]).alias("passage")))
+    held = store.written(held.select("id", "mark", F.explode(cut).alias("w")).select("id", "mark", "w.*"), "repeated_texts")
+    kept = held.where("first").groupBy("key").agg(F.first("passage").alias("kept"))
+    gone = held.where("NOT first").join(kept, "key").where("passage = kept").groupBy("id", "mark").agg(F.collect_set(F.struct("s", "e")).alias("gone"))
     gone = gone.select(F.col("id").alias("__gone_id"), F.col("mark").alias("__gone_mark"), F.col("gone").alias("__gone"))
 
     rows = docs.select(*(F.col(f"`{c}`") for c in others), F.col(f"`{id_col}`").cast("long").alias("__id"), F.xxhash64(text).alias("__mark"))
     rows = rows.join(gone, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__mark") == F.col("__gone_mark")), "left")
     n_lines = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
-    stay = F.filter(F.transform(chunks(text), lambda c, i: F.struct(i.alias("pos"), c["n"].alias("n"), c["text"].alias("text"))),
-                    lambda c: ~F.array_contains("__gone", c["pos"]))
-    left = F.struct(F.array_join(F.transform(stay, lambda c: c["text"]), "\n").alias("text"), F.aggregate(stay, F.lit(0), lambda s, c: s + c["n"]).alias("n"))
-    rows = rows.withColumn("__left", F.when(F.col("__gone").isNotNull(), left))
+
+    def left(lines: Column) -> Column:
+        taken = F.flatten(F.transform("__gone", lambda w: F.sequence(w["s"], w["e"])))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), taken)
+        return let(stay, lambda x: F.struct(F.array_join(F.transform(x, lambda i: F.get(lines, i)), "\n").alias("text"), F.size(x).alias("n")))
+
+    rows = rows.withColumn("__left", F.when(F.col("__gone").isNotNull(), let(F.split(text, "\n"), left)))
     return rows.select(
         *(F.coalesce(F.col("__left.text"), text).alias(c) if c == text_col else F.col(f"`{c}`") for c in others),
         n_lines.cast("long").alias("n_lines"), F.when(F.col("__gone").isNotNull(), n_lines - F.col("__left.n")).otherwise(0).cast("long").alias("n_removed"))

@@ -116,6 +116,23 @@ def test_line_dedup_removes_repeated_chunks_only(texts, awkward):
     assert len({r.text for r in got[102]}) == 1
 
 
+@pytest.mark.parametrize("size", [2, 3, 4, 5, 6])
+def test_line_dedup_removes_whole_passages(texts, size):
+    rng = random.Random(size)
+    rows, fresh = [], iter(range(10_000))
+    for i in range(20):  # each passage stands in two otherwise different documents, the second time with blank lines around it
+        passage = [f"shared {next(fresh)} {rng.random()}" for _ in range(size)]
+        passage = passage[:1] + [""] * (i % 3) + passage[1:]
+        for d in (i, 100 + i):
+            own = [[f"own {next(fresh)}" for _ in range(rng.randrange(1, 5))] for _ in range(2)]
+            rows.append((d, "\n".join(own[0] + passage + own[1])))
+    rows += [(200, "once only\nmenu\nelse"), (201, "menu\nother"), (202, "a b\na b")]
+    found = {r.doc_id: r for r in linededup.dedupe(texts(rows)).collect()}
+    for d, t in rows:
+        expected = [x for x in t.split("\n") if not x.startswith("shared") and x] if 100 <= d < 200 else t.split("\n")
+        assert found[d].text.split("\n") == expected and found[d].n_removed == len(t.split("\n")) - len(expected)
+
+
 def test_chunks_join_to_the_text(spark):
     rng = random.Random(7)
     rows = [(i, "\n".join(rng.choice(["", "a", "b b", "c"]) for _ in range(rng.randrange(1, 60)))) for i in range(40)]
