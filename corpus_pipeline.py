@@ -48,7 +48,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated chunks of lines out of the texts; a document of which nothing but blanks is left goes."""
+    """Takes repeated passages out of the texts; a document of which nothing but blanks is left goes, and so do copies of two lines and more."""
     kept = linededup.dedupe(docs)
     kept = kept.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
     return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
