@@ -1,6 +1,6 @@
 """I-Match fingerprints with several randomised lexicon subsets.
 
-The lexicon holds the terms within a band of inverse document frequency, counted over all documents: common terms
+The lexicon holds the terms within a band of inverse document frequency, counted over all distinct texts (as lower-cased words): common terms
 carry no identity, rare ones break under small edits. Each of several random subsets of it, of several densities, gives one
 component: a hash of the document's distinct terms in that subset. Two documents are alike in the share of components that agree; sparse subsets
 survive edits of long texts, dense ones tell short texts apart. The hash of a set of terms is the exclusive-or of the term hashes: as with
@@ -9,7 +9,9 @@ sorted terms their order has no part in it, but no list has to be gathered or so
 The lexicon is broadcast. Its size has a bound that does not grow with the corpus: a term in it is in at least ``low`` of
 all documents, so there are at most (mean distinct terms per document) / ``low`` of them.
 
-A text without a term of the lexicon is fingerprinted by the hash of its words. Null text counts as empty; equal texts have equal
+A text without a term of the lexicon, as all of a group of near copies that holds more than the band's share of texts, is fingerprinted by all its
+terms with subsets drawn the same way, rarest and common ones alike, and is compared by these; only a text none of whose terms is in a
+subset, by the hash of its words. Null text counts as empty; equal texts have equal
 fingerprints. Of rows that share an id the one with the smallest text hash counts; other columns are ignored.
 """
 
@@ -38,9 +40,10 @@ def _number(text: Column, digits: int) -> Column:
 
 def lexicon(texts: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH, densities=DENSITIES, repeats: int = REPEATS) -> DataFrame:
     """``(term, hash, subsets)`` of the terms in the band; bit ``k`` of ``subsets`` tells whether subset ``k`` holds the term."""
-    terms = texts.select(F.explode(F.array_distinct(F.split(words(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), " "))).alias("term")).where("term != ''")
+    distinct = texts.select(words(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("words")).distinct()
+    terms = distinct.select(F.explode(F.array_distinct(F.split("words", " "))).alias("term")).where("term != ''")
     counts = store.written(terms.groupBy("term").count().where("count > 1"), "terms")
-    n = texts.count()
+    n = texts.agg(F.countDistinct(F.xxhash64(words(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))).first()[0]  # moves hashes only
     kept = counts.where((F.col("count") >= F.lit(low * n)) & (F.col("count") <= F.lit(high * n)))
     subsets, k = F.lit(0), 0
     for density in densities:
@@ -51,34 +54,50 @@ def lexicon(texts: DataFrame, text_col: str = "text", low: float = LOW, high: fl
     return store.written(kept.select("term", _number(F.col("term"), 15).alias("hash"), subsets.alias("subsets")), "lexicon")
 
 
-def _components(name: str, which: int, count: int) -> list[Column]:
-    return [F.bit_xor(F.when((F.col("which") == which) & (F.col("subsets").bitwiseAND(1 << k) != 0), F.col("hash"))).alias(f"{name}{k}") for k in range(count)]
+def _components(hash_col: Column, chosen: list[Column], name: str) -> Column:
+    return F.array(*(F.bit_xor(F.when(c, hash_col)) for c in chosen)).alias(name)
 
 
-def fingerprints(texts: DataFrame, terms: DataFrame, keys: list[str], columns: list[str], count: int = len(DENSITIES) * REPEATS) -> DataFrame:
-    """Replaces each of ``columns`` by its components, an array that is null where a subset has no term of the text, and adds
-    ``<column>_words``, the hash that stands in where all are null. One row per distinct ``keys``, already dealt by the first of them."""
+def fingerprints(texts: DataFrame, terms: DataFrame, keys: list[str], columns: list[str], densities=DENSITIES, repeats: int = REPEATS) -> DataFrame:
+    """Replaces each of ``columns`` by its components, an array that is null where a subset has no term of the text, and adds ``<column>_all``, the
+    components over all terms, and ``<column>_words``, the hash that stands in where all are null. One row per distinct ``keys``, already
+    dealt by the first of them."""
     sides = F.array(*(F.struct(F.lit(i).alias("which"), words(F.coalesce(F.col(c), F.lit(""))).alias("words")) for i, c in enumerate(columns)))
     hashes = [F.md5(words(F.coalesce(F.col(c), F.lit(""))).cast("binary")).alias(f"{c}_words") for c in columns]
     rows = texts.select(*keys, *hashes, F.explode(sides).alias("side"))
     carried = [*keys, *(f"{c}_words" for c in columns)]
     rows = rows.select(*carried, "side.which", F.explode(F.array_distinct(F.split("side.words", " "))).alias("term"))
-    hit = rows.join(F.broadcast(terms), "term", "left")
-    found = hit.groupBy(*carried).agg(*(x for i, c in enumerate(columns) for x in _components(c, i, count)))
-    return found.select(*carried, *(F.array(*(f"{c}{k}" for k in range(count))).alias(c) for c in columns))
+    hit = rows.join(F.broadcast(terms), "term", "left").select(
+        *carried, "which", "hash", "subsets", F.when(F.col("term") != "", F.xxhash64("term")).alias("own"),
+        *(F.xxhash64("term", F.lit(r)).alias(f"draw{r}") for r in range(repeats)))
+    band = [F.col("subsets").bitwiseAND(1 << k) != 0 for k in range(len(densities) * repeats)]
+    every = [F.pmod(F.col(f"draw{r}"), F.lit(d)) == 0 for d in densities for r in range(repeats)]
+    found = hit.groupBy(*carried, "which").agg(_components(F.col("hash"), band, "band"), _components(F.col("own"), every, "every"))
+    return found.groupBy(*carried).agg(*(F.max(F.when(F.col("which") == i, F.col(x))).alias(f"{c}{end}") for i, c in enumerate(columns) for x, end in (("band", ""), ("every", "_all"))))
 
 
-def rendered(components: str, fallback: str) -> Column:
+def _none(components: str) -> Column:
+    return F.forall(components, lambda x: x.isNull())
+
+
+def rendered(name: str) -> Column:
     """A fingerprint as text: the components joined by dots, or the words' hash."""
-    none = F.forall(components, lambda x: x.isNull())
-    return F.when(none, F.col(fallback)).otherwise(F.array_join(F.transform(components, lambda x: F.coalesce(x.cast("string"), F.lit(""))), "."))
+    def joined(components: str) -> Column:
+        return F.array_join(F.transform(components, lambda x: F.coalesce(x.cast("string"), F.lit(""))), ".")
+
+    return F.when(~_none(name), joined(name)).when(~_none(f"{name}_all"), joined(f"{name}_all")).otherwise(F.col(f"{name}_words"))
+
 
+def likeness(a: str, b: str) -> Column:
+    """Share of the components either has that agree, over all terms unless both have terms of the lexicon; texts without any agree if their words do."""
+    def share(x: str, y: str, otherwise: Column) -> Column:
+        same = F.aggregate(F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)).cast("int")), F.lit(0), lambda s, v: s + v)
+        some = F.aggregate(F.zip_with(x, y, lambda p, q: (p.isNotNull() | q.isNotNull()).cast("int")), F.lit(0), lambda s, v: s + v)
+        return F.when(some > 0, same / some).otherwise(otherwise)
 
-def likeness(a: str, a_words: str, b: str, b_words: str) -> Column:
-    """Share of the components either has that agree; texts without any agree if their words do."""
-    same = F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)).cast("int")), F.lit(0), lambda s, x: s + x)
-    some = F.aggregate(F.zip_with(a, b, lambda x, y: (x.isNotNull() | y.isNotNull()).cast("int")), F.lit(0), lambda s, x: s + x)
-    return F.coalesce(F.when(some > 0, same / some).otherwise((F.col(a_words) == F.col(b_words)).cast("double")), F.lit(0.0))
+    words_agree = (F.col(f"{a}_words") == F.col(f"{b}_words")).cast("double")
+    over_all = share(f"{a}_all", f"{b}_all", words_agree)
+    return F.coalesce(F.when(~_none(a) & ~_none(b), share(a, b, words_agree)).otherwise(over_all), F.lit(0.0))
 
 
 def following(ids: DataFrame, id_col: str, buckets: int = 64) -> DataFrame:
@@ -125,9 +144,8 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = edited_pairs(docs, id_col, text_col).select(
         "id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "text", "edited")
     both = store.written(fingerprints(rows, terms, ["id", "next_id", "n_chars", "edited_sha256"], ["text", "edited"]), "fingerprints")
-    other = both.select(F.col("id").alias("next_id"), F.col("text").alias("next"), F.col("text_words").alias("next_words"))
+    other = both.select(F.col("id").alias("next_id"), *(F.col(f"text{x}").alias(f"next{x}") for x in ("", "_all", "_words")))
     out = both.join(other, "next_id", "left")
     return out.select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", rendered("text", "text_words").alias("fingerprint"),
-        rendered("edited", "edited_words").alias("edited_fingerprint"), likeness("text", "text_words", "edited", "edited_words").alias("near_edited"),
-        likeness("text", "text_words", "next", "next_words").alias("near_next"))
+        F.col("id").alias(id_col), "n_chars", "edited_sha256", rendered("text").alias("fingerprint"), rendered("edited").alias("edited_fingerprint"),
+        likeness("text", "edited").alias("near_edited"), likeness("text", "next").alias("near_next"))

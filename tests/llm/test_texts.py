@@ -180,6 +180,27 @@ def test_fingerprints(spark, texts, awkward):
     assert imatch.compare_edits(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_fingerprints_of_a_large_group_and_of_few_rows(texts):
+    rng = random.Random(4)
+
+    def sample():
+        return [f"{rng.choice('abcdefgh')}{rng.randrange(150)}" for _ in range(120)]
+
+    base = [f"base{i}" for i in range(120)]
+    rows = [(i, " ".join(base[:k] + [f"new{i}"] + base[k + 1:])) for i in range(20) for k in [rng.randrange(120)]] + [(100 + i, " ".join(sample())) for i in range(40)]
+    found = {r.doc_id: r for r in imatch.compare_edits(texts(rows)).collect()}
+    nexts, edits = ([getattr(found[i], x) for i in range(19)] for x in ("near_next", "near_edited"))
+    assert np.mean(nexts) > 0.5 and min(nexts) > 0 and np.mean(edits) > 0.2 and min(edits) > 0, (nexts, edits)
+    few = {r.doc_id: r for r in imatch.compare_edits(texts([(i, " ".join(f"w{i}x{j}" for j in range(100))) for i in range(5)])).collect()}
+    assert all(r.near_next < r.near_edited for r in few.values()), few
+
+
+def test_copies_do_not_change_the_lexicon(texts):
+    rows = [(i, " ".join(f"w{(i * j) % 53}" for j in range(1, 9))) for i in range(40)]
+    one, more = (sorted(r.term for r in imatch.lexicon(texts(x), low=0.0, high=0.4).collect()) for x in (rows, rows + [(100 + i, rows[3][1]) for i in range(40)]))
+    assert one == more and one
+
+
 def numpy_rates(tokens, p, goal, steps, tolerance):
     rate, share = np.ones(len(tokens)), tokens / tokens.sum()
     for _ in range(steps):
