@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlark.llm import bpe, embeddings, htmltext, imatch, jaccard, langid, licenses, linededup, mixing, toxicity
+from auditlark.llm import bpe, embeddings, hardneg, htmltext, imatch, jaccard, langid, licenses, linededup, mixing, toxicity, urlfilter, whitening
 from auditlark.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -266,3 +266,68 @@ SQL["op9_imatch"] = _imatch_sql()
 def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return htmltext.extract(pages.select("page_id", "url", "html"), htmltext.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
+# --- 11: hard negatives --------------------------------------------------------------------
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hardneg.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+SQL["op11_hard_negatives"] = """
+WITH usable AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.id % 50 = 0 AND a.id != b.id
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), ranked AS (
+    SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INTEGER AS rank
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3"""
+
+
+# --- 12: URL filters -----------------------------------------------------------------------
+
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+@query
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge(table(spark, folder, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _url_sql() -> str:
+    rows = ", ".join(f"('{v}', '{r[:r.find('/')]}', '{r[r.find('/'):]}')" for v, r in URL_RULES)
+    return f"""
+WITH rules(verdict, host, path) AS (
+    VALUES {rows}
+), rest AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), fits AS (
+    SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict, row_number() OVER (
+        PARTITION BY p.page_id ORDER BY length(r.host) DESC NULLS LAST, length(r.path) DESC, r.verdict DESC) AS place
+    FROM parts p LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1"""
+
+
+SQL["op12_url_filter"] = _url_sql()
+
+
+# --- 13: whitening of embeddings -----------------------------------------------------------------
+
+@query
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
