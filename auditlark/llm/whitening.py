@@ -7,7 +7,8 @@ Entries become whole numbers first, ``floor(scale * c) + offset``, so that sums
    found so far, and adds up the Gram matrix of the result. Its Cholesky factor is one more triangular factor. The first pass shifts the
    diagonal, which keeps the factor well conditioned however long or flat the cloud of rows is; the next ones make the rows orthogonal to rounding.
    Passes go on until a Gram matrix is the identity to 1e-13 (in the directions that hold anything), three to six times.
-3. The composed factor R of the centred rows has their singular values and right singular vectors: its SVD on the driver gives the components.
+3. The composed factor R of the centred rows has their singular values and right singular vectors: its SVD on the driver gives the components. Directions that
+   hold nothing in the last Gram matrix hold nothing in R.
 4. A last pass projects every row, and one before it measures the covariance of the projections against the identity.
 
 Tasks reduce their rows to one Gram matrix each; matrices are added up by row of the matrix, and only sums (dimension x dimension numbers) reach the driver.
@@ -100,15 +101,15 @@ def components(rows: DataFrame, n: int, sums: np.ndarray, most: int) -> tuple[np
         gram = _gram(rows, lambda x, r=inverse: _centred(x, n, sums) @ r)
         if not gram.any():
             return np.zeros((len(sums), 0)), np.zeros(0), 0.0
-        if k:
-            values = np.linalg.eigvalsh(gram)  # ones, and zeros in directions without any extent
-            if np.minimum(np.abs(values - 1), np.abs(values)).max() < 1e-13 * len(sums):
-                break
+        values, axes = np.linalg.eigh(gram)
+        if k and np.minimum(np.abs(values - 1), np.abs(values)).max() < 1e-13 * len(sums):  # ones, and zeros in directions without any extent
+            break
         factor = _factor(gram, n, shifted=not k)
         composed = factor @ composed
         inverse = np.linalg.solve(composed, np.eye(len(sums)))
-    _, singular, right = np.linalg.svd(composed)
-    real = singular > len(sums) * np.finfo("f8").eps * singular[0]
+    extent = np.sqrt(np.where(values > 0.5, values, 0.0))
+    _, singular, right = np.linalg.svd(extent[:, None] * (axes.T @ composed))
+    real = singular > 1e-14 * len(sums) * singular[0]
     kept = min(most, int(real.sum()))
     vectors = right[:kept].T
     vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(0), range(kept)])  # of the two signs the one whose largest entry is positive
