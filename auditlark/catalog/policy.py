@@ -35,23 +35,35 @@ def policy_paragraphs(spark, folder):
         F.md5("paragraph").alias("text_md5"))
 
 
-def _words(text: str) -> str:
-    stop = "[" + ", ".join(quoted(w) for w in DATA_PACK.stop_words) + "]"
-    return f"list_filter(list_distinct(regexp_extract_all(lower({text}), {quoted(X.WORD)})), lambda w: NOT list_contains({stop}, w))"
+def _sql_terms(text: str) -> str:
+    words = f"list_transform(regexp_extract_all(lower({text}), {quoted(X.WORD)}), lambda w: left(w, 5))"
+    return f"list_concat({words}, list_transform(range(1, len({words})), lambda i: ({words})[i] || ' ' || ({words})[i + 1]))"
 
 
 def _sql_coverage() -> str:
-    rights = " UNION ALL ".join(
-        f"SELECT {quoted(r)} AS \"right\", {_words(quoted(d))} AS rw, {i} AS pos" for i, (r, d, _) in enumerate(DATA_PACK.policy_rights))
+    rights = " UNION ALL ".join(f"SELECT {quoted(r)} AS \"right\", {_sql_terms(quoted(d))} AS st, {i} AS pos" for i, (r, d, _) in enumerate(DATA_PACK.policy_rights))
     flags = "[" + ", ".join(sql_any("lower(text)", [k.lower() for k in ks]) for _, _, ks in DATA_PACK.policy_rights) + "]"
     return f"""
 rights AS ({rights}),
 docs AS (SELECT doc_id, source, {sql_paragraphs('text')} AS ps, {flags} AS flags FROM documents),
-paras AS (SELECT doc_id, source, flags, {_words('ps[i]')} AS w FROM docs, unnest(range(1, len(ps) + 1)) AS u(i)),
-scored AS (SELECT source, "right", flags[pos + 1] AS flag, CASE WHEN len(w) * len(rw) > 0
-           THEN len(list_intersect(w, rw)) / sqrt(len(w)::DOUBLE * len(rw)::DOUBLE) ELSE 0.0 END AS score FROM paras, rights),
-best AS (SELECT source AS entity_id, "right", greatest(max(score), 0.0) AS best_score, bool_or(flag) AS keyword_found FROM scored GROUP BY ALL),
-coverage AS (SELECT *, best_score >= 0.45 OR (keyword_found AND best_score >= 0.25) AS covered FROM best)"""
+words AS (SELECT doc_id, i AS p, source, list_transform(regexp_extract_all(lower(ps[i]), {quoted(X.WORD)}), lambda w: left(w, 5)) AS ws
+  FROM docs, unnest(range(1, len(ps) + 1)) AS u(i)),
+paras AS (SELECT doc_id, p, source, list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS st FROM words),
+tf AS (SELECT doc_id, p, source, stem, 1 + ln(count(*)) AS tf FROM (SELECT doc_id, p, source, unnest(st) AS stem FROM paras) GROUP BY ALL),
+rtf AS (SELECT "right", pos, stem, 1 + ln(count(*)) AS tf FROM (SELECT "right", pos, unnest(st) AS stem FROM rights) GROUP BY ALL),
+df AS (SELECT stem, count(*) AS df FROM tf GROUP BY stem),
+vocabulary AS (SELECT own.stem, coalesce(df, 0) AS df FROM (SELECT DISTINCT stem FROM rtf) own LEFT JOIN df USING (stem)
+  UNION ALL (SELECT stem, df FROM df WHERE stem NOT IN (SELECT stem FROM rtf) ORDER BY df DESC, stem LIMIT 5000)),
+idf AS (SELECT stem, ln(((SELECT count(*) FROM paras) + 1) / (df + 1)::DOUBLE) + 0.5 AS idf FROM vocabulary),
+weights AS (SELECT doc_id, p, source, stem, tf * idf AS w FROM tf JOIN idf USING (stem)),
+norms AS (SELECT doc_id, p, sqrt(sum(w * w)) AS norm FROM weights GROUP BY ALL),
+rweights AS (SELECT "right", pos, stem, tf * idf AS w FROM rtf JOIN idf USING (stem)),
+rnorms AS (SELECT "right", sqrt(sum(w * w)) AS norm FROM rweights GROUP BY ALL),
+scored AS (SELECT a.doc_id, a.p, source, b."right", sum(a.w * b.w) AS dot FROM weights a JOIN rweights b USING (stem) GROUP BY ALL),
+top AS (SELECT source, "right", max(dot / (n.norm * r.norm)) AS best FROM scored JOIN norms n USING (doc_id, p) JOIN rnorms r USING ("right") GROUP BY ALL),
+found AS (SELECT source, "right", bool_or(flags[pos + 1]) AS keyword_found FROM docs, rights GROUP BY ALL),
+best AS (SELECT f.source AS entity_id, f."right", coalesce(best, 0.0) AS best_score, keyword_found FROM found f LEFT JOIN top t ON f.source = t.source AND f."right" = t."right"),
+coverage AS (SELECT *, best_score >= 0.35 OR (keyword_found AND best_score >= 0.15) AS covered FROM best)"""
 
 
 @query("J1 A20 F12 M7", f"WITH {_sql_coverage()} SELECT entity_id, \"right\", {sql_round('best_score', 4)} AS best_score, keyword_found, covered FROM coverage")

@@ -173,15 +173,15 @@ def html_to_text(markup: Column) -> Column:
 
 
 WORD = r"[\p{L}\p{N}_]{2,}"
+PYTHON_WORD = r"\w{2,}"
 
 
-def word_set(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
-    """Distinct words of a text without stop words."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    return F.array_except(words, constant(list(pack.stop_words)))
+def frequencies(words: Column) -> Column:
+    """``(word, n)`` of the distinct words of a list: it is sorted and cut where the word changes, so long texts cost no more per word."""
+    def runs(ordered: Column) -> Column:
+        size = F.size(ordered)
+        starts = F.filter(F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return F.when(size > 0, let(starts, lambda at: F.zip_with(
+            at, F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(size)), lambda i, j: F.struct(F.get(ordered, i).alias("word"), (j - i).alias("n")))))
 
-
-def word_set_cosine(a: Column, b: Column) -> Column:
-    """Cosine of two word sets seen as 0/1 vectors; 0 when one is empty."""
-    norm = F.sqrt(F.size(a).cast("double") * F.size(b).cast("double"))
-    return F.when(norm > 0, F.size(F.array_intersect(b, a)) / norm).otherwise(F.lit(0.0))
+    return F.coalesce(let(F.sort_array(words), runs), F.array().cast("array<struct<word:string,n:int>>"))

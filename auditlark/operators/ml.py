@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
-
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
@@ -12,11 +12,12 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditlark.functions import numbers as N
 from auditlark.functions import text as X
+from auditlark.functions.literals import constant
 from auditlark.operators.ranking import stratified_split
 from auditlark.rulepack import DEFAULT_PACK, RulePack
 
@@ -67,8 +68,8 @@ def tfidf_model(texts: DataFrame, limit: int = MAX_TERMS) -> PipelineModel:
 
 
 def train_classifier(train: DataFrame, label: str = "label", max_terms: int = MAX_TERMS, max_iter: int = 1000,
-                     strength: float = 1.0, tolerance: float = 1e-4) -> PipelineModel:
-    """Tf-idf and multinomial logistic regression with an L2 penalty of 1 / (C n), until a round gains less than ``tolerance``."""
+                     strength: float = 1.0, tolerance: float = 1e-4, path: str | None = None) -> PipelineModel:
+    """Tf-idf and multinomial logistic regression with an L2 penalty of 1 / (C n), until a round gains less than ``tolerance``; saved at ``path``."""
     features = tfidf_model(train, max_terms)
     prepared = features.transform(train).select(F.col(label).cast("string").alias("label"), "features").persist()
     try:
@@ -81,7 +82,10 @@ def train_classifier(train: DataFrame, label: str = "label", max_terms: int = MA
     finally:
         prepared.unpersist()
     back = IndexToString(inputCol="prediction_index", outputCol="prediction", labels=indexer.labels)
-    return PipelineModel([*features.stages, regression, back])
+    model = PipelineModel([*features.stages, regression, back])
+    if path:
+        model.write().overwrite().save(path)
+    return model
 
 
 def class_names(model: PipelineModel) -> list[str]:
@@ -92,15 +96,106 @@ def train_and_evaluate(texts: DataFrame, key: str, label: str = "label", path: s
                        **training) -> tuple[PipelineModel, DataFrame]:
     """Split, fit and optionally save; returns the model and the scored test rows."""
     split = stratified_split(texts, key, label, 80, seed)
-    model = train_classifier(split.where("is_train"), label, **training)
-    if path:
-        model.write().overwrite().save(path)
+    model = train_classifier(split.where("is_train"), label, path=path, **training)
     return model, model.transform(split.where(~F.col("is_train")))
 
 
+# --- a linear classifier as tables: scored by a join, in any engine ------------------------------------------
+
+COEFFICIENTS = "label string, term string, idf double, weight double"
+
+
+def coefficient_table(model: PipelineModel) -> DataFrame:
+    """A classifier as rows ``label, term, idf, weight``; the row without a term holds a label's intercept. At most the vocabulary per label."""
+    stages = {type(s).__name__: s for s in model.stages}
+    regression, vocabulary = stages["LogisticRegressionModel"], stages["CountVectorizerModel"].vocabulary
+    idf = stages["ElementwiseProduct"].getScalingVec().toArray()
+    weights, intercepts = regression.coefficientMatrix.toArray(), regression.interceptVector.toArray()
+    rows = [(label, None, None, float(intercepts[k])) for k, label in enumerate(class_names(model))]
+    rows += [(label, t, float(idf[i]), float(weights[k, i])) for k, label in enumerate(class_names(model)) for i, t in enumerate(vocabulary)]
+    columns = dict(zip(("label", "term", "idf", "weight"), zip(*rows)))
+    types = {"label": pa.string(), "term": pa.string(), "idf": pa.float64(), "weight": pa.float64()}
+    return SparkSession.active().createDataFrame(pa.table({n: pa.array(list(v), types[n]) for n, v in columns.items()}))
+
+
+def term_weights(examples: DataFrame, label: str = "label", max_terms: int = MAX_TERMS) -> DataFrame:
+    """Coefficients in closed form, by counting only: the log share of a term in a class (multinomial naive Bayes, add one), and the log share of the class.
+
+    Any engine can repeat them exactly; as a start, or where a fit is not wanted. Terms are the ``max_terms`` most frequent ones of the examples.
+    """
+    rows = examples.where(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), _term_counts(F.col("text")).alias("terms"))
+    rows = rows.select("label", X.once(F.struct("terms")))
+    counts = rows.select("label", F.inline("terms")).groupBy("label", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df"))
+    totals = counts.groupBy("term").agg(F.sum("n").alias("all"), F.sum("df").alias("df")).orderBy(F.desc("all"), "term").limit(max_terms)
+    classes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
+    everything = classes.agg(F.sum("docs").alias("texts"))
+    kept = counts.drop("df").join(totals.select("term", "df"), "term")
+    sums = kept.groupBy("label").agg(F.sum("n").alias("in_class"))
+    grid = classes.crossJoin(F.broadcast(everything)).join(sums, "label", "left").crossJoin(F.broadcast(totals.select("term", "df")))  # labels x vocabulary
+    size = totals.agg(F.count(F.lit(1)).alias("size"))
+    grid = grid.join(kept.select("label", "term", "n"), ["label", "term"], "left").crossJoin(F.broadcast(size))
+    weight = F.ln((F.coalesce("n", F.lit(0)) + 1) / (F.coalesce("in_class", F.lit(0)) + F.col("size")).cast("double"))
+    idf = F.ln((F.col("texts") + 1) / (F.col("df") + 1).cast("double")) + 1
+    intercepts = classes.crossJoin(F.broadcast(everything)).select(
+        "label", F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("idf"), F.ln(F.col("docs") / F.col("texts").cast("double")).alias("weight"))
+    return grid.select("label", "term", idf.alias("idf"), weight.alias("weight")).unionByName(intercepts)
+
+
+def _term_counts(text: Column) -> Column:
+    """``(term, n)`` of the words and word pairs of a text, each once."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD_PATTERN), F.lit(0))
+
+    def with_pairs(found: Column) -> Column:
+        rest = F.greatest(F.size(found) - 1, F.lit(0))
+        return F.concat(found, F.zip_with(F.slice(found, F.lit(1), rest), F.slice(found, F.lit(2), rest), lambda a, b: F.concat(a, F.lit(" "), b)))
+
+    return F.transform(X.frequencies(X.let(words, with_pairs)), lambda p: F.struct(p["word"].alias("term"), p["n"].alias("n")))
+
+
+def linear_probabilities(texts: DataFrame, key: str, text: str, coefficients: DataFrame) -> DataFrame:
+    """``key, label, probability``: every text scored by a table of coefficients.
+
+    A text's terms are counted where it is read and joined with the vocabulary, one row per term holding the weights of all labels; only sums per text are shuffled.
+    ``key`` must be unique; a text without a known term has the probabilities of the intercepts alone.
+    """
+    labels = [r[0] for r in coefficients.select("label").distinct().orderBy("label").collect()]
+    by_label = [F.coalesce(F.max(F.when(F.col("label") == c, F.col("weight"))), F.lit(0.0)).alias(f"w{k}") for k, c in enumerate(labels)]
+    vocabulary = coefficients.where("term IS NOT NULL").groupBy("term").agg(F.max("idf").alias("idf"), *by_label)
+    start = {r["label"]: r["weight"] for r in coefficients.where("term IS NULL").collect()}
+    terms = texts.select(F.col(key), _term_counts(F.col(text)).alias("terms")).select(key, X.once(F.struct("terms"))).select(key, F.inline("terms"))
+    value = F.col("n") * F.col("idf")
+    sums = terms.join(vocabulary, "term").groupBy(key).agg(
+        F.sqrt(F.sum(value * value)).alias("norm"), *(F.sum(value * F.col(f"w{k}")).alias(f"s{k}") for k in range(len(labels))))
+    every = texts.select(key).join(sums, key, "left")
+    scores = F.array(*(F.lit(float(start.get(c, 0.0))) + F.coalesce(F.col(f"s{k}") / F.col("norm"), F.lit(0.0)) for k, c in enumerate(labels)))
+
+    def softmax(z: Column) -> Column:
+        return X.let(F.transform(z, lambda v: F.exp(v - F.array_max(z))), lambda e: F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)))
+
+    chances = every.select(key, X.once(F.struct(X.let(scores, softmax).alias("p"))))
+    return chances.select(key, F.posexplode("p").alias("k", "probability")).select(key, F.get(constant(labels), F.col("k")).alias("label"), "probability")
+
+
+def confident_classes(probabilities: DataFrame, clean: str = "clean", cut: float = 0.5) -> DataFrame:
+    """The classes other than ``clean`` whose probability is above the cut."""
+    return probabilities.where((F.col("label") != clean) & (F.col("probability") > cut))
+
+
+def calibration(model: PipelineModel, train: DataFrame, label: str = "label") -> DataFrame:
+    """``label, n_rows, expected_rows``: a fitted regression expects as many rows of each class as it was fitted on, as its intercepts are free."""
+    names = class_names(model)
+    scored = model.transform(train).select(F.col(label).cast("string").alias("label"), X.once(F.struct(vector_to_array("probability").alias("p"))))
+    sums = scored.agg(*(F.sum(F.get("p", F.lit(k))).alias(f"p{k}") for k in range(len(names))), *(F.count_if(F.col("label") == c).alias(f"n{k}") for k, c in enumerate(names)))
+    return sums.select(F.inline(F.array(*(F.struct(F.lit(c).alias("label"), F.col(f"n{k}").alias("n_rows"), F.col(f"p{k}").alias("expected_rows")) for k, c in enumerate(names)))))
+
+
 def load_classifier(path: str) -> PipelineModel | None:
-    """A saved model, or None when there is none."""
-    return PipelineModel.load(path) if os.path.exists(path) or "://" in path else None
+    """A saved model, or None when there is none; the path may be in any store that Spark reads."""
+    try:
+        SparkSession.active().read.text(f"{path}/metadata")
+    except AnalysisException:
+        return None
+    return PipelineModel.load(path)
 
 
 def model_detections(df: DataFrame, keys: list[str], text: str, model: PipelineModel | None, cut: float = 0.5,

@@ -7,8 +7,13 @@ read: no join, no row per (paragraph, right) pair.
 
 from __future__ import annotations
 
+import dataclasses
+import json
+import math
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,7 +24,7 @@ from auditlark.functions import text as X
 from auditlark.functions.literals import constant
 from auditlark.rulepack import APPEAL_CONFIDENCE, DEFAULT_PACK, RulePack
 
-RIGHTS_PER_PASS = 64
+MAX_TERMS = 5000
 
 
 def paragraph_rows(docs: DataFrame, keys: list[str], text: str, min_length: int = 30) -> DataFrame:
@@ -28,15 +33,81 @@ def paragraph_rows(docs: DataFrame, keys: list[str], text: str, min_length: int
     return docs.select(*keys, parts).select(*keys, F.posexplode("__parts").alias("para_no", "paragraph"))
 
 
-def lexical_scores(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
-    """Best paragraph score per right of one document: array of (right, best)."""
-    described = constant([{"right": r, "text": d} for r, d, _ in pack.policy_rights])
-    rights = F.transform(described, lambda r: F.struct(r["right"].alias("right"), X.word_set(r["text"], pack).alias("words")))
-    words = F.transform(X.paragraphs(text), lambda p: X.word_set(p, pack))
-    return X.let(words, lambda ws: F.transform(rights, lambda r: F.struct(
-        r["right"].alias("right"),
-        F.array_max(F.transform(ws, lambda w: X.word_set_cosine(w, r["words"]))).alias("best"),
-    )))
+def _terms(text: Column, length: int) -> Column:
+    """The words of a text in lower case, cut to ``length`` characters so that a word's forms fall together, and all pairs of neighbours."""
+    words = F.transform(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(X.WORD), F.lit(0)), lambda w: F.left(w, F.lit(length)))
+
+    def with_pairs(found: Column) -> Column:
+        rest = F.greatest(F.size(found) - 1, F.lit(0))
+        return F.concat(found, F.zip_with(F.slice(found, F.lit(1), rest), F.slice(found, F.lit(2), rest), lambda a, b: F.concat(a, F.lit(" "), b)))
+
+    return X.let(words, with_pairs)
+
+
+@dataclasses.dataclass(frozen=True)
+class TermTable:
+    """Inverse paragraph frequencies of the terms that a score looks at, and the rights as vectors over them.
+
+    It holds the terms (words and pairs) of the rights and the ``limit`` most frequent others of the paragraphs, so it is as bounded as the rule pack.
+    A term weighs (1 + ln n) (ln((paragraphs + 1) / (those with it + 1)) + 1/2): what stands everywhere counts little.
+    """
+
+    idf: dict[str, float]
+    rights: list[tuple[str, dict[str, float]]]
+    stem_length: int
+
+    @classmethod
+    def count(cls, policies: DataFrame, text: str, pack: RulePack = DEFAULT_PACK, limit: int = MAX_TERMS, stem_length: int = 5) -> TermTable:
+        """Counted over the paragraphs of all policies in one pass; only this table reaches the driver."""
+        word = re.compile(X.PYTHON_WORD)
+        rights = []
+        for right, description, _ in pack.policy_rights:
+            words = [w[:stem_length] for w in word.findall(description.lower())]
+            rights.append((right, Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])])))
+        own = sorted({w for _, words in rights for w in words})
+        paragraphs = policies.select(X.once(F.struct(X.paragraphs(F.col(text)).alias("parts")))).select(F.explode("parts").alias("part"))
+        seen = paragraphs.select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct(_terms(F.col("part"), stem_length)))).alias("word"))  # one blank word each
+        counts = seen.groupBy("word").count().withColumn("own", F.col("word").isin("", *own))
+        top = counts.orderBy(F.desc("own"), F.desc("count"), "word").limit(limit + len(own) + 1).collect()
+        found = {r["word"]: r["count"] for r in top if r["own"]}
+        n = found.pop("", 0)
+        others = [(r["word"], r["count"]) for r in top if not r["own"]][:limit]
+        frequency = {**dict.fromkeys(own, 0), **found, **dict(others)}
+        idf = {w: math.log((n + 1) / (k + 1)) + 0.5 for w, k in frequency.items()}
+
+        def unit(words: Counter) -> dict[str, float]:
+            weights = {w: (1 + math.log(k)) * idf[w] for w, k in sorted(words.items())}
+            norm = math.sqrt(sum(x * x for x in weights.values())) or 1.0
+            return {w: x / norm for w, x in weights.items()}
+
+        return cls(idf, [(r, unit(words)) for r, words in rights], stem_length)
+
+    def scores(self, text: Column) -> Column:
+        """Best cosine of a text's paragraphs per right, in the order of the rights."""
+        own = sorted({w for _, weights in self.rights for w in weights})
+        slot = {w: i for i, w in enumerate(own)}
+        n_cells = max(1, len(self.idf) // 4)
+        cells = [{} for _ in range(n_cells)]  # a map is searched from its start, so the table is many short maps
+        for w, x in self.idf.items():
+            cells[zlib.crc32(w.encode()) % n_cells][w] = {"idf": x, "slot": slot.get(w, -1)}
+        table = F.from_json(F.lit(json.dumps(cells)), "array<map<string,struct<idf:double,slot:int>>>")
+        vectors = F.from_json(F.lit(json.dumps([[weights.get(w, 0.0) for w in own] for _, weights in self.rights])), "array<array<double>>")
+
+        def weighted(pair: Column) -> Column:
+            cell = F.get(table, F.pmod(F.crc32(pair["word"].cast("binary")), F.lit(n_cells)).cast("int"))
+            return X.let(F.try_element_at(cell, pair["word"]), lambda e: F.when(e.isNotNull(), F.struct(
+                e["slot"].alias("slot"), ((1 + F.ln(pair["n"].cast("double"))) * e["idf"]).alias("w"))))
+
+        def paragraph(terms: Column) -> Column:
+            norm = F.sqrt(F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t["w"] * t["w"]))
+            hits = F.filter(terms, lambda t: t["slot"] >= 0)
+            dots = X.let(hits, lambda h: F.transform(vectors, lambda v: F.aggregate(h, F.lit(0.0), lambda acc, t: acc + t["w"] * F.get(v, t["slot"]))))
+            return X.let(norm, lambda length: F.transform(dots, lambda d: F.when(length > 0, d / length).otherwise(F.lit(0.0))))
+
+        per_paragraph = F.transform(X.paragraphs(text), lambda p: X.let(
+            F.array_compact(F.transform(X.frequencies(_terms(p, self.stem_length)), weighted)), paragraph))
+        return X.let(per_paragraph, lambda rows: F.transform(
+            F.sequence(F.lit(0), F.lit(len(self.rights) - 1)), lambda k: F.array_max(F.transform(rows, lambda r: F.get(r, k)))))
 
 
 def keyword_flags(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
@@ -46,15 +117,18 @@ def keyword_flags(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
 
 
 def coverage_from_text(
-    policies: DataFrame, entity: str, text: str, pack: RulePack = DEFAULT_PACK
+    policies: DataFrame, entity: str, text: str, pack: RulePack = DEFAULT_PACK, terms: TermTable | None = None
 ) -> DataFrame:
     """Coverage rows ``entity_id, right, best_score, keyword_found, covered``.
 
-    An entity may own any number of policy documents. Each is scored alone and
+    A score is the cosine of TF-IDF vectors of a paragraph and a right's description. An
+    entity may own any number of policy documents. Each is scored where it is
+    read, against ``terms`` (counted over these policies unless given), and
     folds into one maximum and one flag per right before the shuffle; rows per
     right exist only after it.
     """
-    best = F.transform(lexical_scores(F.col(text), pack), lambda s: s["best"])
+    terms = terms or TermTable.count(policies, text, pack)
+    best = terms.scores(F.col(text))
     scored = policies.select(
         F.col(entity).alias("entity_id"),
         X.once(F.struct(best.alias("scores"), keyword_flags(F.col(text), pack).alias("flags"))),
@@ -68,7 +142,7 @@ def coverage_from_text(
     rows = F.transform(constant([r for r, _, _ in pack.policy_rights]), lambda right, i: F.struct(
         right.alias("right"), F.greatest(F.get(scores, i), F.lit(0.0)).alias("best_score"),
         F.coalesce(F.get(flags, i), F.lit(False)).alias("keyword_found")))
-    return _covered(grouped.select("entity_id", F.inline(rows)), pack)
+    return _covered(grouped.select("entity_id", F.inline(rows)), pack.lexical_strong, pack.lexical_with_keyword)
 
 
 def best_vector_match(
@@ -76,28 +150,14 @@ def best_vector_match(
 ) -> DataFrame:
     """Best cosine per entity and right over vector columns, at least 0.
 
-    The right vectors enter as scalar subqueries of ``RIGHTS_PER_PASS`` rows
-    each; more rights than that take more passes, so any number is exact.
+    The rights, few as a rule pack's, enter every row as one scalar subquery; a task keeps one maximum per entity and right.
     """
-    n_rights = rights.count()
-    n_passes = max(1, -(-n_rights // RIGHTS_PER_PASS))
-    parts = []
-    for i in range(n_passes):
-        block = rights.where(F.pmod(F.xxhash64(right), F.lit(n_passes)) == i) if n_passes > 1 else rights
-        size = block.count() if n_passes > 1 else n_rights
-        packed = block.agg(F.sort_array(F.collect_list(F.struct(
-            F.col(right).alias("right"), F.col(right_vector).cast("array<double>").alias("vector")
-        ))))
-        scores = F.transform("refs", lambda r: N.cosine(F.col("v"), r["vector"]))
-        best = (
-            vectors.select(F.col(entity).alias("entity_id"), F.col(vector).cast("array<double>").alias("v"), packed.scalar().alias("refs"))
-            .select("entity_id", X.once(F.struct(scores.alias("scores"))))
-            .groupBy("entity_id").agg(*[F.max(F.get("scores", F.lit(k))).alias(f"s{k}") for k in range(size)])
-        )
-        maxima = F.array(*[F.greatest(F.col(f"s{k}"), F.lit(0.0)) for k in range(size)])
-        rows = F.transform("refs", lambda r, k: F.struct(r["right"].alias("right"), F.get(maxima, k).alias("best_score")))
-        parts.append(best.select("*", packed.scalar().alias("refs")).select("entity_id", F.inline(rows)))
-    return reduce(DataFrame.unionByName, parts)
+    packed = rights.agg(F.sort_array(F.collect_list(F.struct(
+        F.col(right).alias("right"), F.col(right_vector).cast("array<double>").alias("vector")
+    ))))
+    scores = F.transform("refs", lambda r: F.struct(r["right"].alias("right"), N.cosine(F.col("v"), r["vector"]).alias("score")))
+    rows = vectors.select(F.col(entity).alias("entity_id"), F.col(vector).cast("array<double>").alias("v"), packed.scalar().alias("refs"))
+    return rows.select("entity_id", F.inline(scores)).groupBy("entity_id", "right").agg(F.greatest(F.max("score"), F.lit(0.0)).alias("best_score"))
 
 
 def coverage_from_scores(scores: DataFrame, policies: DataFrame, entity: str, text: str, pack: RulePack = DEFAULT_PACK) -> DataFrame:
@@ -112,7 +172,7 @@ def coverage_from_scores(scores: DataFrame, policies: DataFrame, entity: str, te
     joined = scores.join(flags, ["entity_id", "right"], "left").withColumn(
         "keyword_found", F.coalesce("keyword_found", F.lit(False))
     )
-    return _covered(joined, pack)
+    return _covered(joined, pack.similarity_strong, pack.similarity_with_keyword)
 
 
 def encode(texts: DataFrame, text: str, make_encoder, output: str = "vector") -> DataFrame:
@@ -130,9 +190,9 @@ def encode(texts: DataFrame, text: str, make_encoder, output: str = "vector") ->
     return texts.withColumn(output, run(F.col(text)))
 
 
-def _covered(rows: DataFrame, pack: RulePack) -> DataFrame:
+def _covered(rows: DataFrame, strong: float, with_keyword: float) -> DataFrame:
     best = F.col("best_score")
-    covered = (best >= pack.similarity_strong) | (F.col("keyword_found") & (best >= pack.similarity_with_keyword))
+    covered = (best >= strong) | (F.col("keyword_found") & (best >= with_keyword))
     return rows.select("entity_id", "right", "best_score", "keyword_found", covered.alias("covered"))
 
 

@@ -245,8 +245,9 @@ PATTERN_NEEDS = (
 )
 PATTERN_PROBES = tuple((p, DIGIT_GROUPS) for kind, p in PII_PATTERNS if kind != "email")
 
-# Words left out of the lexical policy score.
-STOP_WORDS = ("the", "of", "to", "in", "and", "or", "is", "that", "their", "have", "for", "by", "on")
+# Cuts for TF-IDF scores, which are lower than an encoder's.
+LEXICAL_STRONG = 0.35
+LEXICAL_WITH_KEYWORD = 0.15
 
 
 @dataclasses.dataclass(frozen=True)
@@ -271,6 +272,8 @@ class RulePack:
     high_severity_rights: tuple = HIGH_SEVERITY_RIGHTS
     similarity_strong: float = SIMILARITY_STRONG
     similarity_with_keyword: float = SIMILARITY_WITH_KEYWORD
+    lexical_strong: float = LEXICAL_STRONG
+    lexical_with_keyword: float = LEXICAL_WITH_KEYWORD
     disclosure_terms: tuple = DISCLOSURE_TERMS
     appeal_terms: tuple = APPEAL_TERMS
     appeal_detail_terms: tuple = APPEAL_DETAIL_TERMS
@@ -283,7 +286,6 @@ class RulePack:
     default_severity_weight: int = DEFAULT_SEVERITY_WEIGHT
     citations: tuple = LAW_CITATIONS
     ground_truth_keys: tuple = GROUND_TRUTH_KEYS
-    stop_words: tuple = STOP_WORDS
 
     def replace(self, **changes) -> "RulePack":
         return dataclasses.replace(self, **changes)

@@ -36,3 +36,9 @@ def materialize(df: DataFrame) -> DataFrame:
             return df.persist(StorageLevel.MEMORY_AND_DISK)
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: the one of ``spark.checkpoint.dir``, else the warehouse of the session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    return folder.rstrip("/")

@@ -73,3 +73,53 @@ def test_absent_model(frame, tmp_path):
     df = frame([("s", "text")], "source string, text string")
     assert ML.load_classifier(str(tmp_path / "none")) is None
     assert ML.model_detections(df, ["source"], "text", None).count() == 0
+
+
+def examples(frame, n=240):
+    texts = S.labelled_texts(frame([(i,) for i in range(n)], "id long"), "id")
+    return texts.unionByName(frame([(n, None, ""), (n + 1, None, "name"), (n + 2, "1 2 3", None), (n + 3, "x", "name")], "id long, text string, label string").select(*texts.columns))
+
+
+def test_coefficient_table_scores_like_the_model(frame):
+    texts = examples(frame).where("label IS NOT NULL AND text IS NOT NULL")
+    model = ML.train_classifier(texts, max_iter=40)
+    table = ML.linear_probabilities(texts, "id", "text", ML.coefficient_table(model)).collect()
+    names = ML.class_names(model)
+    expected = {(r.id, names[k]): p for r in model.transform(texts).select("id", "probability").collect() for k, p in enumerate(r.probability)}
+    got = {(r.id, r.label): r.probability for r in table}
+    assert got.keys() == expected.keys()
+    assert max(abs(got[k] - expected[k]) for k in got) < 1e-9
+
+
+def test_closed_form_coefficients_by_hand(frame):
+    rows = [(1, "red fox", "a"), (2, "red", "b"), (3, "red fox fox", "a"), (4, "", "b"), (5, None, None)]
+    table = {(r.label, r.term): r for r in ML.term_weights(frame(rows, "id int, text string, label string")).collect()}
+    terms = {"red": (3, 3), "fox": (3, 2), "red fox": (2, 2), "fox fox": (1, 1)}
+    assert {t for _, t in table if t} == set(terms)
+    counts = {("a", "red"): 2, ("a", "fox"): 3, ("a", "red fox"): 2, ("a", "fox fox"): 1, ("b", "red"): 1}
+    for (label, term), row in table.items():
+        if term is None:
+            assert math.isclose(row.weight, math.log(0.5))
+            continue
+        total = sum(n for (c, _), n in counts.items() if c == label)
+        assert math.isclose(row.weight, math.log((counts.get((label, term), 0) + 1) / (total + 4)))
+        assert math.isclose(row.idf, math.log(5 / (terms[term][1] + 1)) + 1)
+
+
+def test_probabilities_add_up_and_cut(frame):
+    texts = examples(frame)
+    coefficients = ML.term_weights(texts)
+    found = ML.linear_probabilities(texts, "id", "text", coefficients)
+    sums = {r.id: r["sum(probability)"] for r in found.groupBy("id").sum("probability").collect()}
+    assert set(sums) == {r.id for r in texts.collect()} and all(abs(s - 1) < 1e-9 for s in sums.values())
+    cut = ML.confident_classes(found, cut=0.5).collect()
+    assert cut and all(r.label != "clean" and r.probability > 0.5 for r in cut)
+    unknown = {r.label: r.probability for r in found.where("id = 242").collect()}  # no term is known: the shares of the classes
+    shares = {r.label: r["count"] for r in texts.where("label IS NOT NULL").groupBy("label").count().collect()}
+    assert all(math.isclose(unknown[c], n / sum(shares.values()), rel_tol=1e-9) for c, n in shares.items())
+
+
+def test_a_fitted_model_expects_its_class_sizes(frame):
+    texts = examples(frame).where("label IS NOT NULL AND text IS NOT NULL")
+    for r in ML.calibration(ML.train_classifier(texts, max_iter=100, tolerance=1e-8), texts).collect():
+        assert abs(r.expected_rows - r.n_rows) < 0.02 * r.n_rows

@@ -1,13 +1,14 @@
 import math
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from auditlark.functions import text as X
 from auditlark.operators import policy as P
 from auditlark.operators import violations as V
-from auditlark.rulepack import DEFAULT_PACK, POLICY_RIGHTS, STOP_WORDS
+from auditlark.rulepack import DEFAULT_PACK, POLICY_RIGHTS
 
 POLICY = """Shop privacy notice
 
@@ -24,7 +25,8 @@ We protect data from unauthorized use.
 
 
 def words(text):
-    return {w for w in re.findall(r"[^\W]{2,}", text.lower())} - set(STOP_WORDS)
+    found = [w[:5] for w in re.findall(r"\w{2,}", text.lower())]
+    return Counter(found + [f"{a} {b}" for a, b in zip(found, found[1:])])
 
 
 def paragraphs(text):
@@ -32,9 +34,21 @@ def paragraphs(text):
     return [p for p in parts if len(p) >= 30] or [text]
 
 
-def best(text, description):
-    d = words(description)
-    return max([0.0] + [len(words(p) & d) / math.sqrt(len(words(p)) * len(d)) for p in paragraphs(text) if words(p)])
+class Tfidf:
+    """Words and pairs, sublinear counts, smooth inverse paragraph frequencies, unit length."""
+
+    def __init__(self, texts):
+        every = [words(p) for t in texts for p in paragraphs(t)]
+        self.n, self.df = len(every), Counter(w for p in every for w in p)
+
+    def vector(self, text):
+        weights = {w: (1 + math.log(k)) * (math.log((self.n + 1) / (self.df[w] + 1)) + 0.5) for w, k in words(text).items()}
+        norm = math.sqrt(sum(x * x for x in weights.values())) or 1
+        return {w: x / norm for w, x in weights.items()}
+
+    def best(self, text, description):
+        d = self.vector(description)
+        return max([0.0] + [sum(x * d.get(w, 0) for w, x in self.vector(p).items()) for p in paragraphs(text)])
 
 
 def random_policies(n):
@@ -56,9 +70,10 @@ def test_scores_agree_with_brute_force(frame):
     texts = random_policies(60) + [POLICY]
     df = frame([(f"e{i % 20}", t) for i, t in enumerate(texts)], "entity string, text string")
     got = {(r["entity_id"], r["right"]): r["best_score"] for r in P.coverage_from_text(df, "entity", "text").collect()}
+    tfidf = Tfidf(texts)
     for e in range(20):
         for right, description, _ in POLICY_RIGHTS:
-            want = max(best(t, description) for i, t in enumerate(texts) if i % 20 == e)
+            want = max(tfidf.best(t, description) for i, t in enumerate(texts) if i % 20 == e)
             assert abs(got[f"e{e}", right] - want) < 1e-12
 
 
@@ -73,6 +88,71 @@ def test_coverage_of_a_policy(frame):
         assert row["confidence"] == round(1 - rows[row["right"]]["best_score"], 4)
 
 
+LONG_POLICY = """NORTHWIND OUTFITTERS PRIVACY NOTICE
+In force since: May 3, 2023
+
+1. ABOUT THIS NOTICE
+Northwind Outfitters ("we") values the trust of the people who shop with us.
+This notice explains how personal data is gathered, used and shared.
+
+2. WHAT WE GATHER
+- Names, e-mail and postal addresses, phone numbers
+- Birth dates
+- Orders and payments
+- Health-related data of members of the walking club
+- Browser and device details
+
+3. WHAT IT IS USED FOR
+We use personal data for:
+- Running and improving the shop
+- Handling transactions
+- Newsletters and promotions
+- Statistics and profiling so that offers suit you
+- Partners who deliver parcels
+
+4. WHAT YOU CAN DO
+(a) Access: You may ask whether your personal data is being processed, and request a copy of the personal data.
+(b) Correction: If personal data is inaccurate, you may ask us to correct it.
+
+5. HOW LONG WE KEEP IT
+Records stay as long as these purposes or the law require.
+
+6. SAFETY
+Reasonable measures guard data against unauthorized access, loss or destruction.
+
+7. CHILDREN
+The shop is not meant for people under 16.
+
+8. CHANGES
+We may change this notice and will post the new one on our site.
+"""
+
+
+def test_coverage_of_a_long_policy_has_a_margin(frame):
+    """Only access and correct are covered, at some distance from the right whose keyword is there by chance."""
+    df = frame([("e", LONG_POLICY)], "entity string, text string")
+    scores = {r["right"]: (r["best_score"], r["keyword_found"], r["covered"]) for r in P.coverage_from_text(df, "entity", "text").collect()}
+    assert {r for r, (_, _, covered) in scores.items() if covered} == {"access", "correct"}
+    with_keyword = {r: s for r, (s, found, _) in scores.items() if found}
+    assert set(with_keyword) == {"access", "correct", "opt-out"}
+    assert min(with_keyword["access"], with_keyword["correct"]) >= with_keyword["opt-out"] + 0.04
+    assert all(s < DEFAULT_PACK.lexical_strong - 0.05 for r, (s, _, covered) in scores.items() if not covered)
+
+
+def test_terms_beyond_the_table_are_left_out(frame):
+    df = frame([("e", "alpha beta gamma delta " * 3), ("f", "alpha beta")], "entity string, text string")
+    table = P.TermTable.count(df, "text", limit=1)
+    own = {w for _, d, _ in POLICY_RIGHTS for w in words(d)}
+    assert set(table.idf) == own | {"alpha"}
+    assert P.TermTable.count(df.limit(0), "text").scores(F.lit("access")) is not None
+
+
+def test_very_long_and_empty_policies(frame):
+    df = frame([("a", None), ("b", ""), ("c", "personal data access " * 20_000), ("d", "\n\n")], "entity string, text string")
+    rows = {(r["entity_id"], r["right"]): r["best_score"] for r in P.coverage_from_text(df, "entity", "text").collect()}
+    assert len(rows) == 24 and all(rows[e, "access"] == 0.0 for e in "abd") and rows["c", "access"] > 0.2
+
+
 def test_whole_policy_keyword_counts(frame):
     """The keyword may stand anywhere, even as part of another word."""
     rows = {r["right"]: r for r in P.coverage_from_text(frame([("e", "unauthorized ACCESSories")], "entity string, text string"), "entity", "text").collect()}
