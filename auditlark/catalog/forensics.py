@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from auditlark.catalog.registry import (
@@ -9,6 +11,8 @@ from auditlark.catalog.registry import (
 )
 from auditlark.operators import forensics as FO
 from auditlark.rulepack import DEFAULT_PACK
+from auditlark.session import scratch_folder
+from auditlark.sources.files import read_csv_files
 from auditlark.sources.tables import read_tables, table_catalog
 
 
@@ -176,6 +180,49 @@ def table_pii_reports(spark, folder):
     )
 
 
+FILE_TABLES = ("customer", "supplier", "nation", "events")
+
+
+def _sql_file_reports() -> str:
+    ctes, selects = [], []
+    for name in FILE_TABLES:
+        cols = REPORT_COLUMNS[name]
+        cells = ", ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+        ctes.append(f"{name}_t AS (SELECT '{name}' AS source, concat_ws(chr(1), {cells}) AS text FROM {name})")
+        ctes.append(f"{name}_s AS ({sql_scan(name + '_t', 'text', 'source', DEFAULT_PACK)})")
+        ctes.append(f"{name}_f AS ({sql_detections(name + '_s', 'source', DEFAULT_PACK)})")
+        consumers = "count(DISTINCT user_id)" if name == "events" else "count(*)"
+        hints = f"""(SELECT string_agg(c || ':' || hint, ',' ORDER BY i) FROM (SELECT c, i, {_sql_hint('c')} AS hint
+            FROM (VALUES {', '.join(f"({quoted(c)}, {i})" for i, c in enumerate(cols))}) AS x(c, i)) WHERE hint IS NOT NULL)"""
+        selects.append(f"""
+SELECT '{name}' AS source, (SELECT count(*) FROM {name}) AS n_rows, {len(cols)}::BIGINT AS n_cols,
+    coalesce((SELECT string_agg(type, ',' ORDER BY ordinal) FROM {name}_f), '') AS pii_detected, coalesce({hints}, '') AS column_pii,
+    (SELECT {consumers} FROM {name}) AS unique_consumers, CAST(NULL AS VARCHAR) AS error""")
+    selects.append(" SELECT 'part', NULL, NULL, NULL, NULL, NULL, 'Could not read CSV: ' || (SELECT count(*) FROM part WHERE p_partkey % 3 = 0) || ' malformed rows'")
+    selects.append(" SELECT 'region', NULL, NULL, NULL, NULL, NULL, 'File not found'")
+    return "WITH " + ", ".join(ctes) + " UNION ALL ".join(selects)
+
+
+@query("S1 A1 A3 F3 (CSV files)", _sql_file_reports())
+def csv_file_reports(spark, folder):
+    """Tables written as CSV files of different layouts and read back in one scan; a file with broken lines and a missing one are error rows."""
+    out = f"{scratch_folder(spark)}/csv-tables-{uuid.uuid4().hex}"
+    for name in FILE_TABLES:
+        df = table(spark, folder, name, list(REPORT_COLUMNS[name]))
+        df.select(*(F.col(c).cast("string") for c in df.columns)).coalesce(1).write.option("header", True).option("escape", '"').csv(f"{out}/{name}")
+    extra = F.when(F.col("p_partkey") % 3 == 0, ",surplus").otherwise("")  # a cell too many
+    lines = table(spark, folder, "part", ["p_partkey", "p_size"]).select(F.concat_ws(",", "p_partkey", "p_size").alias("line"), extra.alias("extra"))
+    header = lines.limit(0).sparkSession.createDataFrame([("p_partkey,p_size", "")], "line string, extra string")
+    header.unionByName(lines).coalesce(1).select(F.concat("line", "extra").alias("value")).write.text(f"{out}/part")
+    files = read_csv_files(spark, out, expected=["region"])
+    name = F.split("source", "/")[0].alias("source")
+    status = files.status.withColumn("source", name)
+    report = FO.file_reports(files.rows.withColumn("source", name), status)
+    return report.select(
+        "source", "n_rows", F.col("n_cols").cast("bigint").alias("n_cols"), joined("pii_detected").alias("pii_detected"),
+        F.array_join(F.transform("column_pii", lambda c: F.concat(c["column"], F.lit(":"), c["likely_pii_type"])), ",").alias("column_pii"), "unique_consumers", "error")
+
+
 @query("S1 A19", "SELECT 'region.parquet' AS source, count(*) AS n_rows, 2::BIGINT AS n_cols FROM region"
        " UNION ALL SELECT 'lineitem.parquet', count(*), 11 FROM lineitem"
        " UNION ALL SELECT 'orders.parquet', count(*), 6 FROM orders"

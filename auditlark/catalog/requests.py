@@ -3,11 +3,14 @@ requests and responses; the order priority is the entity."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from auditlark.catalog.registry import query, quoted, sql_round, table
 from auditlark.operators import sla
-from auditlark.sources.requests import canonical_log
+from auditlark.session import scratch_folder
+from auditlark.sources.requests import canonical_log, read_request_logs
 
 
 def request_log(spark, folder):
@@ -32,7 +35,7 @@ log AS (SELECT o_orderpriority AS entity_id, concat_ws('-', l_orderkey, l_linenu
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 SQL_SUMMARY = f"""
-summary AS (SELECT entity_id, count(days) AS total_requests, count(*) FILTER (WHERE days > 45) AS late_responses,
+summary AS (SELECT entity_id, count(days) AS total_requests, count(*) - count(days) AS dropped_requests, count(*) FILTER (WHERE days > 45) AS late_responses,
                    count(*) FILTER (WHERE days > 90) AS extreme_late_responses,
                    {sql_round('count(*) FILTER (WHERE days > 45)::DOUBLE / count(days) * 100', 1)} AS late_percentage,
                    {sql_round('sum(days)::DOUBLE / count(days)', 1)} AS average_response_days, max(days) AS max_response_days
@@ -104,3 +107,87 @@ def sla_violations(spark, folder):
     appeals = table(spark, folder, "orders", ["o_orderpriority"]).groupBy(F.col("o_orderpriority").alias("entity_id")).agg(
         F.count(F.lit(1)).alias("n")).select("entity_id", quality.alias("quality"), confidence.alias("confidence"))
     return sla.appeal_violations(appeals, summary)
+
+
+#: How dates are written, by the remainder of the line number; the last one is no date.
+WRITTEN = ("yyyy-MM-dd", "MM/dd/yyyy", "dd.MM.yyyy", "yyyyMMdd", "MMM d, yyyy", "d-MMM-yyyy", "'week' w")
+SQL_WRITTEN = ("%Y-%m-%d", "%m/%d/%Y", "%d.%m.%Y", "%Y%m%d", "%b %-d, %Y", "%-d-%b-%Y")
+
+
+def _written(date: str, key: str):
+    out = F.lit("some day")
+    for k, pattern in enumerate(WRITTEN[:-1]):
+        out = F.when(F.pmod(F.col(key), F.lit(len(WRITTEN))) == k, F.date_format(date, pattern)).otherwise(out)
+    return out
+
+
+def written_log(spark, folder):
+    """Shipments with both dates as texts of many formats; some are blank or no dates at all."""
+    orders = table(spark, folder, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority"])
+    items = table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_returnflag"], heavy=True)
+    joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(
+        F.col("o_orderpriority").alias("entity_id"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("request_id"),
+        F.when(F.col("l_partkey") % 11 == 0, "  ").otherwise(F.concat(F.lit(" "), _written("o_orderdate", "l_orderkey"))).alias("submitted"),
+        F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(_written("l_shipdate", "l_partkey")).alias("Date_Responded"))
+
+
+def _sql_written(date: str, key: str) -> str:
+    cases = " ".join(f"WHEN {k} THEN strftime({date}, '{p}')" for k, p in enumerate(SQL_WRITTEN))
+    return f"CASE {key} % {len(WRITTEN)} {cases} ELSE 'some day' END"
+
+
+_SQL_FORMATS = "[" + ", ".join(quoted(p) for p in ("%Y-%m-%d", "%m/%d/%Y", "%d.%m.%Y", "%Y%m%d", "%b %d, %Y", "%d-%b-%Y")) + "]"
+SQL_READ = f"""
+texts AS (SELECT o_orderpriority AS entity_id, l_orderkey || '-' || l_linenumber AS request_id,
+    CASE WHEN l_partkey % 11 = 0 THEN '  ' ELSE ' ' || {_sql_written('o_orderdate', 'l_orderkey')} END AS submitted,
+    CASE WHEN l_returnflag <> 'R' THEN {_sql_written('l_shipdate', 'l_partkey')} END AS responded FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+parsed AS (SELECT *, try_strptime(trim(submitted), {_SQL_FORMATS}) AS a, try_strptime(trim(responded), {_SQL_FORMATS}) AS b FROM texts),
+outcomes AS (SELECT *, CASE WHEN trim(coalesce(submitted, '')) = '' THEN 'no request date' WHEN a IS NULL THEN 'unreadable request date'
+    WHEN trim(coalesce(responded, '')) = '' THEN 'no response date' WHEN b IS NULL THEN 'unreadable response date' ELSE 'valid' END AS outcome FROM parsed)"""
+
+
+@query("P1 (ledger)", f"""WITH {SQL_READ} SELECT entity_id, outcome, count(*) AS n_rows,
+    count(*) FILTER (WHERE regexp_matches(trim(submitted), '^[A-Z0-9-]+[a-z]{{2}}')) AS n_named_months,
+    sum(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN date_diff('day', a::DATE, b::DATE) END)::BIGINT AS sum_days FROM outcomes GROUP BY ALL""")
+def request_date_ledger(spark, folder):
+    found = sla.date_outcomes(written_log(spark, folder))
+    return found.groupBy("entity_id", "outcome").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("request_format").isin("name_day", "day_name")).alias("n_named_months"), F.sum("days").alias("sum_days"))
+
+
+def _write_logs(spark, folder) -> str:
+    """Request logs as CSV files of different headers, one folder per priority; one has no dates, one is empty."""
+    out = f"{scratch_folder(spark)}/request-logs-{uuid.uuid4().hex}"
+    log = written_log(spark, folder)
+    layouts = {
+        "1-URGENT": ("request_id", "submitted", "Date_Responded"),
+        "2-HIGH": (" Completed ", "Request_Date", "request_id"),
+        "3-MEDIUM": ("request", "note, internal", "response"),
+        "4-NOT SPECIFIED": ("completed", "Submitted", "response"),   # two candidates for the response: the rightmost counts
+        "5-LOW": ("request_id", "opened", "closed"),
+    }
+    for priority, names in layouts.items():
+        rows = log.where(F.col("entity_id") == priority)
+        columns = {"1-URGENT": ("request_id", "submitted", "Date_Responded"), "2-HIGH": ("Date_Responded", "submitted", "request_id"),
+                   "3-MEDIUM": ("submitted", "request_id", "Date_Responded"), "4-NOT SPECIFIED": ("request_id", "submitted", "Date_Responded"),
+                   "5-LOW": ("request_id", "submitted", "Date_Responded")}[priority]
+        named = rows.select(*(F.col(c).alias(n) for c, n in zip(columns, names)))
+        named.coalesce(1).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{out}/{priority[0]}")
+    log.limit(0).select("request_id").coalesce(1).write.text(f"{out}/6")
+    return out
+
+
+@query("S5 P1 A7", f"""WITH {SQL_READ}, d AS (SELECT *, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN date_diff('day', a::DATE, b::DATE) END AS days FROM outcomes)
+SELECT left(entity_id, 1) AS log, count(days) AS total_requests, count(*) - count(days) AS dropped_requests, count(*) FILTER (WHERE days > 45) AS late_responses,
+    max(days) AS max_response_days, CAST(NULL AS VARCHAR) AS error FROM d WHERE entity_id <> '5-LOW' GROUP BY 1
+UNION ALL SELECT '5', NULL, NULL, NULL, NULL, 'Could not identify date columns. Found: request_id, opened, closed'
+UNION ALL SELECT '6', NULL, NULL, NULL, NULL, 'Could not read CSV: no columns'
+UNION ALL SELECT '7', NULL, NULL, NULL, NULL, 'File not found'""")
+def request_log_files(spark, folder):
+    """Logs written with other headers each, read in one scan; a missing, an empty and a date-less one are error rows."""
+    logs = read_request_logs(spark, _write_logs(spark, folder), expected=["7"])
+    by_folder = F.split("source", "/")[0].alias("source")
+    status = logs.status.groupBy(by_folder).agg(F.min("error").alias("error"))  # all part files of a log have one header
+    found = sla.log_summaries(logs.rows.select(by_folder, "request_date", "response_date"), status)
+    return found.select(F.col("entity_id").alias("log"), "total_requests", "dropped_requests", "late_responses", "max_response_days", "error")

@@ -332,6 +332,31 @@ def table_reports(tables: dict[str, DataFrame], pack: RulePack = DEFAULT_PACK, c
     return _conform(report.drop("n_cols", "column_pii").join(columns, "source"))
 
 
+def file_reports(rows: DataFrame, status: DataFrame, pack: RulePack = DEFAULT_PACK, cell_separator: str = X.CELL_SEPARATOR, word_boundary: bool = False) -> DataFrame:
+    """Report rows of files of any layout: ``rows`` with ``source, cells``, ``status`` with ``source, n_rows, header, error`` of every file.
+
+    A file with an error is a row with that error; the others are scanned once, together.
+    """
+    scanned = scan(rows.select("source", F.array_join("cells", cell_separator).alias("row_text")), F.col("row_text"), ["source"], pack, word_boundary)
+    names = F.array(*(F.lit(c) for c in pack.consumer_id_columns))
+    first = F.get(F.filter(names, lambda n: F.array_contains("header", n)), F.lit(0))
+    about = status.where(F.col("error").isNull()).select("source", "header", (F.array_position("header", first) - 1).cast("int").alias("id_at"))
+    ids = rows.join(about.where(F.col("id_at").isNotNull()).select("source", "id_at"), "source")
+    counted = ids.groupBy("source").agg(F.count_distinct(F.get("cells", F.col("id_at"))).alias("distinct_ids"))
+    scanned = about.join(scanned, "source", "left").join(counted, "source", "left")
+    counters = [c for c in scanned.columns if c not in ("source", "header", "id_at", "distinct_ids")]
+    scanned = scanned.select("source", "header", "id_at", "distinct_ids", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counters])
+    unique = F.when(F.col("id_at").isNotNull(), F.coalesce("distinct_ids", F.lit(0))).otherwise(F.col("n_rows"))
+    report = report_from_scan(scanned, [], pack, unique)
+    hints = F.filter(F.transform("header", lambda c: F.struct(c.alias("column"), X.column_hint(c, pack).alias("likely_pii_type"))), lambda h: h["likely_pii_type"].isNotNull())
+    columns = about.select("source", F.size("header").alias("n_cols"), hints.alias("column_pii"))
+    good = _conform(report.drop("n_cols", "column_pii").join(columns, "source"))
+    fields = T._parse_datatype_string(REPORT_SCHEMA).fields
+    broken = status.where(F.col("error").isNotNull()).select(*(
+        F.col(f.name) if f.name in ("source", "error") else F.lit(None).cast(f.dataType).alias(f.name) for f in fields))
+    return good.unionByName(broken)
+
+
 def text_report(
     df: DataFrame,
     text_column: str,

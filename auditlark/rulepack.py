@@ -249,6 +249,21 @@ PATTERN_PROBES = tuple((p, DIGIT_GROUPS) for kind, p in PII_PATTERNS if kind !=
 LEXICAL_STRONG = 0.35
 LEXICAL_WITH_KEYWORD = 0.15
 
+# Ways dates are written, in the order they are tried: name, what a text of that kind looks like, and Spark's pattern for it (None: as ISO).
+# Where day and month could be either, the month comes first, as in the United States.
+DATE_FORMATS = (
+    ("iso", r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$", None),
+    ("month_first", r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    ("month_first_time", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    ("day_first", r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    ("year_slashes", r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    ("dots", r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+    ("compact", r"^\d{8}$", "yyyyMMdd"),
+    ("day_name", r"^\d{1,2}[- ][A-Z][a-z]{2}[- ]\d{4}$", "d-MMM-yyyy"),
+    ("name_day", r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    ("year_month", r"^\d{4}(-\d{2})?$", None),
+)
+
 
 @dataclasses.dataclass(frozen=True)
 class RulePack:
@@ -279,6 +294,7 @@ class RulePack:
     appeal_detail_terms: tuple = APPEAL_DETAIL_TERMS
     request_date_names: tuple = REQUEST_DATE_NAMES
     response_date_names: tuple = RESPONSE_DATE_NAMES
+    date_formats: tuple = DATE_FORMATS
     response_limit_days: int = RESPONSE_LIMIT_DAYS
     extension_days: int = EXTENSION_DAYS
     recommendations: tuple = RECOMMENDATIONS
