@@ -13,7 +13,7 @@ from auditlark.operators import forensics as FO
 from auditlark.operators import report as RP
 from auditlark.operators import violations as V
 from auditlark.rulepack import (
-    DEFAULT_PACK, GRADE_BELOW_LADDER, GRADE_LADDER, GRADE_NO_FINDINGS, LAW_CITATIONS, RECOMMENDATIONS, SEVERITY_WEIGHTS,
+    DEFAULT_PACK, GRADE_BELOW_LADDER, GRADE_LADDER, GRADE_NO_FINDINGS, LAW_CITATIONS, RECOMMENDATIONS, SEVERITY_WEIGHTS, VIOLATION_ORDER,
 )
 from auditlark.session import materialize
 from auditlark.sources.reports import summary_line
@@ -87,7 +87,7 @@ def severity_summary(spark, folder):
     return V.severity_summary(document_violations(spark, folder), entities)
 
 
-def _sql_scores(key: str) -> str:
+def sql_scores(key: str) -> str:
     weight = "CASE severity " + " ".join(f"WHEN '{s}' THEN {w}" for s, w in SEVERITY_WEIGHTS) + " ELSE 4 END"
     ladder = lambda i: "CASE WHEN n = 0 THEN '" + GRADE_NO_FINDINGS[i] + "' " + " ".join(
         f"WHEN score >= {step[0]} THEN '{step[i + 1]}'" for step in GRADE_LADDER) + f" ELSE '{GRADE_BELOW_LADDER[i]}' END"
@@ -100,33 +100,33 @@ SELECT entity_id, n AS total_violations, critical AS critical_violations, high A
        {ladder(0)} AS risk_grade, {ladder(1)} AS risk_label, CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS overall_status FROM s"""
 
 
-@query("A10 J5 F15 F16", f"WITH {SQL_VIOLATIONS}, entities AS (SELECT DISTINCT source AS entity_id FROM documents), {_sql_scores('entity_id')}")
+@query("A10 J5 F15 F16", f"WITH {SQL_VIOLATIONS}, entities AS (SELECT DISTINCT source AS entity_id FROM documents), {sql_scores('entity_id')}")
 def risk_scores(spark, folder):
     entities = table(spark, folder, "documents", ["source"]).select(F.col("source").alias("entity_id"))
     return RP.risk_scores(document_violations(spark, folder), entities)
 
 
-@query("A10 F15 (per document: every rung)", f"WITH {SQL_VIOLATIONS}, entities AS (SELECT 'doc' || doc_id AS entity_id FROM documents), {_sql_scores('source_file')}")
+@query("A10 F15 (per document: every rung)", f"WITH {SQL_VIOLATIONS}, entities AS (SELECT 'doc' || doc_id AS entity_id FROM documents), {sql_scores('source_file')}")
 def document_risk_scores(spark, folder):
     entities = table(spark, folder, "documents", ["doc_id"]).select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("entity_id"))
     found = document_violations(spark, folder).drop("entity_id").withColumnRenamed("source_file", "entity_id")
     return RP.risk_scores(found, entities)
 
 
-def _sql_advice() -> str:
+def sql_advice(relation: str = "v", more: str = "") -> str:
     rights = [(r, t) for k, r, t in RECOMMENDATIONS if k == "MISSING_RIGHT"]
     others = [(k, t) for k, r, t in RECOMMENDATIONS if not r]
     return f"""
-advice AS (SELECT entity_id, type AS for_violation, CASE WHEN type = 'MISSING_RIGHT' THEN "right" END AS "right",
+advice AS (SELECT {more}entity_id, type AS for_violation, CASE WHEN type = 'MISSING_RIGHT' THEN "right" END AS "right",
        CASE WHEN type = 'UNDISCLOSED_SENSITIVE_DATA' THEN data_category END AS data_category,
        CASE WHEN type = 'MISSING_RIGHT' THEN CASE WHEN "right" IN ('access', 'delete', 'opt-out') THEN 'HIGH' ELSE 'MEDIUM' END
             WHEN type = 'UNDISCLOSED_SENSITIVE_DATA' THEN 'CRITICAL' ELSE severity END AS priority,
        CASE WHEN type = 'MISSING_RIGHT' THEN coalesce({_case('"right"', rights)}, 'Add the ''' || "right" || ''' right to your privacy policy.')
             WHEN type = 'UNDISCLOSED_SENSITIVE_DATA' THEN replace({_case('type', others)}, '{{data_category}}', data_category)
-            ELSE {_case('type', others)} END AS recommendation FROM v)"""
+            ELSE {_case('type', others)} END AS recommendation FROM {relation})"""
 
 
-@query("J4", f"WITH {SQL_VIOLATIONS}, {_sql_advice()} SELECT * FROM advice WHERE recommendation IS NOT NULL")
+@query("J4", f"WITH {SQL_VIOLATIONS}, {sql_advice()} SELECT * FROM advice WHERE recommendation IS NOT NULL")
 def recommendations(spark, folder):
     return RP.recommendations(document_violations(spark, folder))
 
@@ -137,14 +137,27 @@ def law_citations(spark, folder):
     return RP.with_citations(document_violations(spark, folder)).select("entity_id", "type", "right", "source_file", "section", "quote")
 
 
-@query("J7", f"""WITH {SQL_VIOLATIONS}, {_sql_advice()},
+def _sql_rank(column: str, names) -> str:
+    return f"coalesce(list_position([{', '.join(quoted(n) for n in names)}], {column}), {len(names) + 1})"
+
+
+SQL_PLACED = f"""placed AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY {_sql_rank('type', VIOLATION_ORDER)}, type,
+    {_sql_rank('"right"', [r for r, _, _ in DEFAULT_PACK.described_rights])}, "right" NULLS FIRST, coalesce(data_category, ''), coalesce(source_file, '')) AS position FROM v)"""
+
+
+@query("J7 (list order)", f"""WITH {SQL_VIOLATIONS}, {SQL_PLACED} SELECT entity_id, position, type, "right", data_category, source_file FROM placed""")
+def violation_positions(spark, folder):
+    return V.in_order(document_violations(spark, folder)).select("entity_id", "position", "type", "right", "data_category", "source_file")
+
+
+@query("J7", f"""WITH {SQL_VIOLATIONS}, {SQL_PLACED}, {sql_advice('placed', 'position, ')},
 ranked AS (SELECT v.entity_id, v.type, v."right", v.source_file, v.severity, a.priority, a.recommendation,
-           row_number() OVER (PARTITION BY v.entity_id, v.type, v.source_file ORDER BY a.recommendation NULLS LAST) AS rn
+           row_number() OVER (PARTITION BY v.entity_id, v.type, v.source_file ORDER BY a.position NULLS LAST) AS rn
            FROM v LEFT JOIN (SELECT * FROM advice WHERE recommendation IS NOT NULL) a ON a.entity_id = v.entity_id AND a.for_violation = v.type
             AND (v."right" IS NULL OR a."right" = v."right"))
 SELECT entity_id, type, "right", source_file, coalesce(priority, severity) AS action_priority, recommendation AS action FROM ranked WHERE rn = 1""")
 def first_matching_recommendation(spark, folder):
-    found = materialize(document_violations(spark, folder))
+    found = materialize(V.in_order(document_violations(spark, folder)))
     return RP.with_first_recommendation(found, RP.recommendations(found)).select(
         "entity_id", "type", "right", "source_file", "action_priority", "action")
 
@@ -180,7 +193,7 @@ def display_titles(spark, folder):
     return document_violations(spark, folder).groupBy(RP.display_title().alias("title")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("F26", f"""WITH {SQL_VIOLATIONS}, entities AS (SELECT DISTINCT source AS entity_id FROM documents), sc AS (SELECT * FROM (WITH {_sql_scores('entity_id')})),
+@query("F26", f"""WITH {SQL_VIOLATIONS}, entities AS (SELECT DISTINCT source AS entity_id FROM documents), sc AS (SELECT * FROM (WITH {sql_scores('entity_id')})),
 lines AS (SELECT entity_id, 0 AS section, '' AS k, 'Compliance Status: ' || overall_status || chr(10) || 'Risk Grade: ' || risk_grade AS line FROM sc
   UNION ALL SELECT entity_id, 1, concat_ws('|', type, coalesce("right", ''), coalesce(data_category, ''), coalesce(source_file, '')),
   'Violation: ' || type || ' - ' || coalesce("right", '') || ' (' || severity || ')' FROM v)
@@ -197,7 +210,7 @@ def evidence_contexts(spark, folder):
     return events.select("event_id", RP.context_text("PII Findings", F.struct(F.col("event_type").alias("type"), F.col("user_id").alias("user"))).alias("context"))
 
 
-@query("K2", f"""WITH {SQL_VIOLATIONS}, entities AS (SELECT DISTINCT source AS entity_id FROM documents), sc AS (SELECT * FROM (WITH {_sql_scores('entity_id')}))
+@query("K2", f"""WITH {SQL_VIOLATIONS}, entities AS (SELECT DISTINCT source AS entity_id FROM documents), sc AS (SELECT * FROM (WITH {sql_scores('entity_id')}))
 SELECT '## ' || entity_id || chr(10) || '- Status: ' || overall_status || chr(10) || '- Risk grade: ' || risk_grade || ' (' || risk_label || ')' || chr(10) ||
 '- Risk score: ' || risk_score || chr(10) || '- Violations: ' || total_violations AS value FROM sc""")
 def summary_export_lines(spark, folder):

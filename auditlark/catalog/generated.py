@@ -1,14 +1,12 @@
-"""Synthetic inputs keyed by rows of the given tables, and a whole audit of them."""
+"""Synthetic inputs keyed by rows of the given tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from auditlark.catalog.registry import quoted, query, sql_between, sql_pick, sql_uniform, table
-from auditlark.operators import forensics as FO
 from auditlark.operators import sla
 from auditlark.operators import synth as S
-from auditlark.plans.audit import report_items, report_rows, run_audit
 
 K = "c_custkey"
 
@@ -18,11 +16,11 @@ def sql_padded(value: str, width: int) -> str:
     return f"lpad({digits}, greatest(length({digits}), {width})::INTEGER, '0')"
 
 
-def _sql_customers() -> str:
+def sql_customers(more: str = "") -> str:
     pad = sql_padded
     first, last = sql_pick(K, "first", S.FIRST_NAMES), sql_pick(K, "last", S.LAST_NAMES)
     finding = f"CASE WHEN {sql_uniform(K, 'has_finding')} % 100 < 60 THEN {sql_pick(K, 'finding', S.FINDINGS)} ELSE '' END"
-    return f"""SELECT 'C' || {pad(K, 6)} AS customer_id, {first} AS first_name, {last} AS last_name,
+    return f"""SELECT {more}'C' || {pad(K, 6)} AS customer_id, {first} AS first_name, {last} AS last_name,
 lower({first}) || '.' || lower({last}) || {K} || '@example.com' AS email,
 concat_ws('-', {sql_pick(K, 'area', S.AREA_CODES)}, {pad(sql_between(K, 'p1', 200, 999), 3)}, {pad(sql_between(K, 'p2', 0, 9999), 4)}) AS phone,
 concat_ws('-', {pad(sql_between(K, 's1', 100, 899), 3)}, {pad(sql_between(K, 's2', 1, 99), 2)}, {pad(sql_between(K, 's3', 1, 9999), 4)}) AS ssn,
@@ -39,17 +37,21 @@ def _customers(spark, folder):
     return S.customers(table(spark, folder, "customer", [K], heavy=True), K)
 
 
-@query("G1 K3", _sql_customers())
+@query("G1 K3", sql_customers())
 def generated_customers(spark, folder):
     return _customers(spark, folder)
 
 
-SQL_REQUESTS = f"""SELECT 'R' || {sql_padded('o_orderkey', 4)} AS request_id, o_orderkey,
-'C' || {sql_padded(sql_between('o_orderkey', 'customer', 1, 1000), 6)} AS customer_id, {sql_pick('o_orderkey', 'kind', S.REQUEST_TYPES)} AS request_type,
-DATE '2024-01-01' + {sql_between('o_orderkey', 'asked', 0, 364)}::INTEGER AS request_date,
-CASE WHEN {sql_between('o_orderkey', 'roll', 0, 99)} < 5 THEN {sql_between('o_orderkey', 'very_late', 91, 150)}
-     WHEN {sql_between('o_orderkey', 'roll', 0, 99)} < 20 THEN {sql_between('o_orderkey', 'late', 46, 90)} ELSE {sql_between('o_orderkey', 'on_time', 1, 44)} END AS days,
-CASE WHEN {sql_uniform('o_orderkey', 'pending')} % 100 < 10 THEN 'pending' ELSE 'completed' END AS status FROM orders"""
+def sql_requests(key: str, relation: str, more: str = "") -> str:
+    return f"""SELECT {more} 'R' || {sql_padded(key, 4)} AS request_id, {key},
+'C' || {sql_padded(sql_between(key, 'customer', 1, 1000), 6)} AS customer_id, {sql_pick(key, 'kind', S.REQUEST_TYPES)} AS request_type,
+DATE '2024-01-01' + {sql_between(key, 'asked', 0, 364)}::INTEGER AS request_date,
+CASE WHEN {sql_between(key, 'roll', 0, 99)} < 5 THEN {sql_between(key, 'very_late', 91, 150)}
+     WHEN {sql_between(key, 'roll', 0, 99)} < 20 THEN {sql_between(key, 'late', 46, 90)} ELSE {sql_between(key, 'on_time', 1, 44)} END AS days,
+CASE WHEN {sql_uniform(key, 'pending')} % 100 < 10 THEN 'pending' ELSE 'completed' END AS status FROM {relation}"""
+
+
+SQL_REQUESTS = sql_requests("o_orderkey", "orders")
 
 
 @query("G2 K3", f"SELECT request_id, customer_id, request_type, strftime(request_date, '%Y-%m-%d') AS request_date, strftime(request_date + days::INTEGER, '%Y-%m-%d') AS response_date, status FROM ({SQL_REQUESTS})")
@@ -64,15 +66,15 @@ def generated_request_buckets(spark, folder):
     return sla.sla_buckets(log, ["status"])
 
 
-def _sql_policies() -> str:
-    held = {r: f"{sql_uniform('user_id', f'clause_{r}')} % 100 < 50" for r, _ in S.CLAUSES}
+def sql_policies(key: str = "user_id", relation: str = "events") -> str:
+    held = {r: f"{sql_uniform(key, f'clause_{r}')} % 100 < 50" for r, _ in S.CLAUSES}
     clauses = ", ".join(f"CASE WHEN {held[r]} THEN {quoted(c)} END" for r, c in S.CLAUSES)
     rights = ", ".join(f"CASE WHEN {held[r]} THEN {quoted(r)} END" for r, _ in S.CLAUSES)
-    return f"""SELECT user_id AS entity_id, concat_ws(chr(10) || chr(10), {quoted(S.POLICY_HEAD)}, {clauses}, {quoted(S.POLICY_TAIL)}) AS text,
-concat_ws(',', {rights}) AS covered_rights FROM (SELECT DISTINCT user_id FROM events)"""
+    return f"""SELECT {key} AS entity_id, concat_ws(chr(10) || chr(10), {quoted(S.POLICY_HEAD)}, {clauses}, {quoted(S.POLICY_TAIL)}) AS text,
+concat_ws(',', {rights}) AS covered_rights FROM (SELECT DISTINCT {key} FROM {relation})"""
 
 
-@query("G3", _sql_policies())
+@query("G3", sql_policies())
 def generated_policies(spark, folder):
     users = table(spark, folder, "events", ["user_id"]).distinct()
     return S.policies(users, "user_id").withColumn("covered_rights", F.array_join("covered_rights", ","))
@@ -97,35 +99,3 @@ def _sql_labelled() -> str:
 @query("M6", _sql_labelled())
 def generated_labelled_texts(spark, folder):
     return S.labelled_texts(table(spark, folder, "orders", ["o_orderkey"], heavy=True), "o_orderkey")
-
-
-def audit_inputs(spark, folder):
-    """Market segments are businesses: their customers hold generated personal data and have made one request each; every segment has a policy."""
-    customer = table(spark, folder, "customer", ["c_custkey", "c_mktsegment"], heavy=True)
-    rows = S.customers(customer, "c_custkey", keep=("c_mktsegment",)).withColumnRenamed("c_mktsegment", "entity_id")
-    columns = [c for c in rows.columns if c != "entity_id"]
-    scanned = FO.scan(rows, FO.row_text(rows, columns), ["entity_id"]).withColumnRenamed("entity_id", "source")
-    found = FO.report_from_scan(scanned, columns).withColumn("entity_id", F.col("source"))
-    policies = S.policies(customer.select("c_mktsegment").distinct(), "c_mktsegment").select(
-        "entity_id", F.lit("CT").alias("jurisdiction"), "text")
-    statutes = table(spark, folder, "documents", ["doc_id", "text"], heavy=True).select(F.lit("CT").alias("jurisdiction"), "doc_id", "text")
-    requests = S.request_log(customer, 1000, "c_custkey", keep=("c_mktsegment",)).withColumnRenamed("c_mktsegment", "entity_id")
-    return policies, found, statutes, requests
-
-
-@query("§3.1: rules, detection, coverage, deadlines, violations, scores in one audit")
-def full_audit(spark, folder):
-    policies, found, statutes, requests = audit_inputs(spark, folder)
-    audit = run_audit(policies, found, statutes, requests)
-    return audit.scores.join(audit.severity.select("entity_id", "status", "risk_level"), "entity_id")
-
-
-@query("K1 §3.1: the blocks of every report")
-def audit_report_rows(spark, folder):
-    audit = run_audit(*audit_inputs(spark, folder))
-    return report_rows(audit, "2024-06-01 00:00:00").select("entity_id", F.to_json(F.struct("executive_summary", "pii_findings", "compliance_findings")).alias("blocks"))
-
-
-@query("K1 P11 §3.1: what the reports list, one row each")
-def audit_report_items(spark, folder):
-    return report_items(run_audit(*audit_inputs(spark, folder)))

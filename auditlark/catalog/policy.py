@@ -40,12 +40,12 @@ def _sql_terms(text: str) -> str:
     return f"list_concat({words}, list_transform(range(1, len({words})), lambda i: ({words})[i] || ' ' || ({words})[i + 1]))"
 
 
-def _sql_coverage() -> str:
-    rights = " UNION ALL ".join(f"SELECT {quoted(r)} AS \"right\", {_sql_terms(quoted(d))} AS st, {i} AS pos" for i, (r, d, _) in enumerate(DATA_PACK.policy_rights))
-    flags = "[" + ", ".join(sql_any("lower(text)", [k.lower() for k in ks]) for _, _, ks in DATA_PACK.policy_rights) + "]"
+def sql_coverage(pack=DATA_PACK, relation: str = "documents", entity: str = "source") -> str:
+    rights = " UNION ALL ".join(f"SELECT {quoted(r)} AS \"right\", {_sql_terms(quoted(d))} AS st, {i} AS pos" for i, (r, d, _) in enumerate(pack.policy_rights))
+    flags = "[" + ", ".join((sql_any("lower(text)", [k.lower() for k in ks]) if ks else "false") for _, _, ks in pack.policy_rights) + "]"
     return f"""
 rights AS ({rights}),
-docs AS (SELECT doc_id, source, {sql_paragraphs('text')} AS ps, {flags} AS flags FROM documents),
+docs AS (SELECT doc_id, {entity} AS source, {sql_paragraphs('text')} AS ps, {flags} AS flags FROM {relation}),
 words AS (SELECT doc_id, i AS p, source, list_transform(regexp_extract_all(lower(ps[i]), {quoted(X.WORD)}), lambda w: left(w, 5)) AS ws
   FROM docs, unnest(range(1, len(ps) + 1)) AS u(i)),
 paras AS (SELECT doc_id, p, source, list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS st FROM words),
@@ -63,10 +63,10 @@ scored AS (SELECT a.doc_id, a.p, source, b."right", sum(a.w * b.w) AS dot FROM w
 top AS (SELECT source, "right", max(dot / (n.norm * r.norm)) AS best FROM scored JOIN norms n USING (doc_id, p) JOIN rnorms r USING ("right") GROUP BY ALL),
 found AS (SELECT source, "right", bool_or(flags[pos + 1]) AS keyword_found FROM docs, rights GROUP BY ALL),
 best AS (SELECT f.source AS entity_id, f."right", coalesce(best, 0.0) AS best_score, keyword_found FROM found f LEFT JOIN top t ON f.source = t.source AND f."right" = t."right"),
-coverage AS (SELECT *, best_score >= 0.35 OR (keyword_found AND best_score >= 0.15) AS covered FROM best)"""
+coverage AS (SELECT *, best_score >= {pack.lexical_strong} OR (keyword_found AND best_score >= {pack.lexical_with_keyword}) AS covered FROM best)"""
 
 
-@query("J1 A20 F12 M7", f"WITH {_sql_coverage()} SELECT entity_id, \"right\", {sql_round('best_score', 4)} AS best_score, keyword_found, covered FROM coverage")
+@query("J1 A20 F12 M7", f"WITH {sql_coverage()} SELECT entity_id, \"right\", {sql_round('best_score', 4)} AS best_score, keyword_found, covered FROM coverage")
 def rights_coverage(spark, folder):
     docs = table(spark, folder, "documents", ["source", "text"], heavy=True)
     return P.coverage_from_text(docs, "source", "text", DATA_PACK).withColumn("best_score", N.round_exact(F.col("best_score"), 4))
@@ -76,7 +76,7 @@ def _sql_descriptions() -> str:
     return "CASE \"right\" " + " ".join(f"WHEN {quoted(r)} THEN {quoted(d)}" for r, d, _ in DATA_PACK.policy_rights) + " END"
 
 
-@query("J3 F13", f"""WITH {_sql_coverage()}
+@query("J3 F13", f"""WITH {sql_coverage()}
 SELECT entity_id, 'MISSING_RIGHT' AS type, "right", CASE WHEN "right" IN ('use', 'reserve') THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
        {sql_round('1 - best_score', 4)} AS confidence, {sql_round('best_score', 4)} AS similarity_score, {_sql_descriptions()} AS description
 FROM coverage WHERE NOT covered""")

@@ -22,7 +22,7 @@ class Query:
 
 
 QUERIES: dict[str, Query] = {}
-MODULES = ("forensics", "documents", "requests", "rules", "policy", "findings", "evaluation", "texts", "learning", "generated")
+MODULES = ("forensics", "documents", "requests", "rules", "policy", "findings", "evaluation", "texts", "learning", "generated", "audit")
 
 
 def query(covers: str, sql: str | None = None):

@@ -15,7 +15,7 @@ def sql_digits(text: str, pack) -> str:
     return text
 
 
-def sql_corpora(pack) -> str:
+def sql_corpora(pack, relation: str = "documents") -> str:
     """Per corpus: term flags, threshold levels, first captures."""
     terms = {
         "c": list(pack.categories),
@@ -32,13 +32,13 @@ def sql_corpora(pack) -> str:
         for key, patterns in pack.timelines for i, p in enumerate(patterns)
     ]
     return (
-        f"docs AS (SELECT source, doc_id, text, lower(text) AS lc, {sql_digits('lower(text)', pack)} AS dg FROM documents), "
+        f"docs AS (SELECT source, doc_id, text, lower(text) AS lc, {sql_digits('lower(text)', pack)} AS dg FROM {relation}), "
         f"corpora AS (SELECT source AS corpus_id, count(*) AS n_docs, sum(length(text))::BIGINT AS total_text_length, "
         f"{', '.join(flags + levels + captures)} FROM docs GROUP BY source)"
     )
 
 
-def sql_rules(pack) -> str:
+def sql_rules(pack, relation: str = "documents") -> str:
     position = 0
     evidence, rights = [], []
     for right, terms in pack.statute_rights:
@@ -57,7 +57,7 @@ def sql_rules(pack) -> str:
     default_key, default_days, default_source = pack.default_timeline
     found = " + ".join(f"(CASE WHEN {d} IS NOT NULL THEN 1 ELSE 0 END)" for d in days.values())
     return f"""
-WITH {sql_corpora(pack)}, lists AS (SELECT *, {sql_kept(categories)} AS cats, {sql_kept(rights)} AS rights,
+WITH {sql_corpora(pack, relation)}, lists AS (SELECT *, {sql_kept(categories)} AS cats, {sql_kept(rights)} AS rights,
      {sql_kept(evidence)} AS evidence, {sql_kept(exemptions)} AS exempt FROM corpora)
 SELECT corpus_id, n_docs, total_text_length, CAST({value} AS BIGINT) AS threshold, CAST({confidence} AS DOUBLE) AS threshold_confidence,
        array_to_string(cats, ',') AS categories, CASE WHEN len(cats) > 0 THEN 0.9 ELSE 0.4 END::DOUBLE AS category_confidence,

@@ -40,3 +40,25 @@ def stratified_split(df: DataFrame, key: str, label: str, train_percent: int = 8
     # Integer form of (rank - 1) / (size - 1) < share, the percent rank of a row.
     train = (F.col("__rank") - 1) * 100 < F.lit(train_percent) * F.greatest(F.col("group_size") - 1, F.lit(1))
     return ranked.withColumn("is_train", train).drop("__rank", "group_size")
+
+
+def ordered_position(df: DataFrame, group: list[str], order: list[str], output: str = "position", ranges: int = 64) -> DataFrame:
+    """Position of each row, from 1, within its group by ``order``, which should tell rows apart.
+
+    A window over the group would sort a hot group in one task. Here a bounded sample of keys cuts the order of all rows into even ranges:
+    rows are numbered within their range, and what earlier ranges hold of a group is added. The sample decides about the cost only.
+    """
+    key = F.struct(*group, *order)
+    drawn = df.select(key.alias("k"), F.xxhash64(*group, *order).alias("h")).orderBy("h").limit(16 * ranges)
+    cuts = drawn.agg(F.sort_array(F.collect_list("k")).alias("k")).select(
+        F.filter("k", lambda _, i: i % 16 == 15).alias("cuts"))  # at most as many as there are ranges
+    placed = df.withColumn("__cuts", cuts.scalar()).withColumn("__range", F.size(F.filter("__cuts", lambda c: c <= key))).drop("__cuts")
+    counts = placed.groupBy(*group, "__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # at most ``ranges`` rows of a group
+    offsets = counts.select(*(F.col(g).alias(f"__{g}") for g in group), F.col("__range").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    within = Window.partitionBy(*group, "__range").orderBy(*order)
+    same = F.col("__range") == F.col("__of")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
+    numbered = placed.withColumn("__place", F.row_number().over(within)).join(offsets, same)
+    return numbered.withColumn(output, F.col("__offset") + F.col("__place")).drop("__range", "__of", "__offset", "__place", *(f"__{g}" for g in group))

@@ -65,7 +65,7 @@ def recommendations(violations: DataFrame, pack: RulePack = DEFAULT_PACK) -> Dat
     """One recommendation per violation whose type has one.
 
     A missing right has a text of its own or a generic one; the data category
-    is filled into the text; types without a text are dropped.
+    is filled into the text; types without a text are dropped. The violations' ``position`` is kept if they have one.
     """
     texts = recommendation_frame(violations.sparkSession, pack)
     right = F.when(F.col("type") == "MISSING_RIGHT", F.coalesce("right", F.lit(""))).otherwise("")
@@ -85,6 +85,7 @@ def recommendations(violations: DataFrame, pack: RulePack = DEFAULT_PACK) -> Dat
         F.when(is_right, F.coalesce("text", generic))
         .when(is_data, F.replace(F.col("text"), F.lit("{data_category}"), category))
         .otherwise(F.col("text")).alias("recommendation"),
+        *(["position"] if "position" in violations.columns else []),
     ).where(F.col("recommendation").isNotNull())
 
 
@@ -181,6 +182,28 @@ def cost_ranking(usage: DataFrame, agent: str = "agent") -> DataFrame:
     ).orderBy("cost_rank", agent)
 
 
+COST = ("struct<total_cost_usd:double,total_input_tokens:bigint,total_output_tokens:bigint,total_tokens:bigint,total_duration_ms:bigint,model:string,"
+        "per_agent:array<struct<agent:string,input_tokens:bigint,output_tokens:bigint,total_cost_usd:double,duration_ms:bigint>>>")
+
+
+def empty_cost() -> Column:
+    """The cost block of a report that has none: zeros, an unknown model and no agents."""
+    zeros = [F.lit(0).alias(n) for n in ("total_cost_usd", "total_input_tokens", "total_output_tokens", "total_tokens", "total_duration_ms")]
+    return F.struct(*zeros, F.lit("unknown").alias("model"), F.array().alias("per_agent")).cast(COST)
+
+
+def cost_blocks(usage: DataFrame, model: str = "unknown") -> DataFrame:
+    """``entity_id, _cost_summary``: totals of the usage records and one entry per agent, of which there are few."""
+    sums = usage.groupBy("entity_id", "agent").agg(*(F.sum(c).alias(c) for c in ("input_tokens", "output_tokens", "total_cost_usd", "duration_ms")))
+    entry = F.struct("agent", "input_tokens", "output_tokens", "total_cost_usd", "duration_ms")
+    rows = sums.groupBy("entity_id").agg(
+        F.sum("total_cost_usd").alias("total_cost_usd"), F.sum("input_tokens").alias("i"), F.sum("output_tokens").alias("o"), F.sum("duration_ms").alias("d"),
+        F.sort_array(F.collect_list(entry)).alias("per_agent"))
+    block = F.struct("total_cost_usd", F.col("i").alias("total_input_tokens"), F.col("o").alias("total_output_tokens"), (F.col("i") + F.col("o")).alias("total_tokens"),
+                     F.col("d").alias("total_duration_ms"), F.lit(model).alias("model"), "per_agent")
+    return rows.select("entity_id", block.cast(COST).alias("_cost_summary"))
+
+
 # --- reports as rows, as JSON and back -----------------------------------
 
 def latest_reports(reports: DataFrame, entity: str, generated_at: str) -> DataFrame:

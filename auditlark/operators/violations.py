@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from auditlark.functions import text as X
 from auditlark.functions.literals import constant
-from auditlark.rulepack import DEFAULT_PACK, RulePack
+from auditlark.operators.ranking import ordered_position
+from auditlark.rulepack import APPEAL_VIOLATIONS, DEFAULT_PACK, VIOLATION_ORDER, RulePack
 
 VIOLATION_COLUMNS = {
     "entity_id": "string", "type": "string", "right": "string", "data_category": "string", "source_file": "string",
@@ -101,6 +102,27 @@ def threshold_violations(consumers: DataFrame, rules: DataFrame, key: str = "ent
     )
 
 
+def in_order(violations: DataFrame, pack: RulePack = DEFAULT_PACK) -> DataFrame:
+    """Violations with their ``position`` in an entity's list: by type in the order of the audit's steps, then by right in the pack's order, category and file.
+
+    Types and rights that the pack doesn't name come last, by name.
+    """
+    def rank(column: str, names) -> Column:
+        place = F.array_position(F.array(*(F.lit(n) for n in names)), F.coalesce(F.col(column), F.lit("")))
+        return F.when(place > 0, place).otherwise(len(names) + 1)
+
+    keyed = violations.withColumns({
+        "__type": rank("type", VIOLATION_ORDER), "__right": rank("right", [r for r, _, _ in pack.described_rights]),
+        **{f"__{c}": F.coalesce(c, F.lit("")) for c in ("data_category", "source_file")}})
+    order = ["__type", "type", "__right", "right", "__data_category", "__source_file"]
+    return ordered_position(keyed, ["entity_id"], order).drop("__type", "__right", "__data_category", "__source_file")
+
+
+def found_by_appeals() -> Column:
+    """Violations of the appeals step; the others are those of the compliance check."""
+    return F.col("type").isin(*APPEAL_VIOLATIONS)
+
+
 def severity_count(severity: str) -> Column:
     return F.count_if(F.col("severity") == severity)
 

@@ -249,6 +249,16 @@ PATTERN_PROBES = tuple((p, DIGIT_GROUPS) for kind, p in PII_PATTERNS if kind !=
 LEXICAL_STRONG = 0.35
 LEXICAL_WITH_KEYWORD = 0.15
 
+# The head of every report.
+REPORT_TITLE = "Privacy compliance audit"
+REPORT_FRAMEWORK = "Connecticut Data Privacy Act, Conn. Gen. Stat. Sec. 42-515 et seq."
+REPORT_SCOPE = "Connecticut only"
+
+# The order in which an audit lists its violations, and which of them the appeals step finds.
+VIOLATION_ORDER = ("MISSING_RIGHT", "UNDISCLOSED_SENSITIVE_DATA", "THRESHOLD_TRIGGERED", "CRITICAL_NO_APPEAL", "WEAK_APPEAL_PROCESS", "LATE_RESPONSE",
+                   "EXTREME_LATE_RESPONSE")
+APPEAL_VIOLATIONS = VIOLATION_ORDER[3:]
+
 # Ways dates are written, in the order they are tried: name, what a text of that kind looks like, and Spark's pattern for it (None: as ISO).
 # Where day and month could be either, the month comes first, as in the United States.
 DATE_FORMATS = (

@@ -1,3 +1,5 @@
+import glob
+import json
 import re
 
 from pyspark.sql import functions as F
@@ -5,8 +7,9 @@ from pyspark.sql import functions as F
 from auditlark.operators import forensics as FO
 from auditlark.operators import sla
 from auditlark.operators import synth as S
-from auditlark.plans.audit import evaluate_audit, report_items, report_rows, run_audit
+from auditlark.plans.audit import report_documents, evaluate_audit, report_items, report_rows, run_audit
 from auditlark.rulepack import PII_PATTERNS
+from auditlark.sources import reports as store
 from auditlark.sources.reports import write_reports
 
 STATUTE = ("This act applies to persons who control personal data of not less than 100,000 consumers. The right to access, the right to correct, "
@@ -121,3 +124,54 @@ def test_long_keys_are_not_cut(frame):
     ids = frame([(1234567,), (12,)], "id bigint")
     assert {r["customer_id"] for r in S.customers(ids).collect()} == {"C1234567", "C000012"}
     assert {r["request_id"] for r in S.request_log(ids, 5).collect()} == {"R1234567", "R0012"}
+
+
+USAGE = "entity_id string, agent string, input_tokens long, output_tokens long, total_cost_usd double, duration_ms long"
+
+
+def test_documents_are_whole_reports(spark, frame, tmp_path):
+    made, report, statutes, requests = planted(spark)
+    audit = run_audit(made.withColumn("jurisdiction", F.lit("CT")).select("entity_id", "jurisdiction", "text"), report, statutes, requests)
+    usage = frame([("0", "b", 5, 6, 0.5, 7), ("0", "a", 1, 2, 0.25, 3), ("0", "a", 1, 1, 0.25, 3)], USAGE)
+    lines = report_documents(audit, "2024-06-01 00:00:00", usage)
+    out = store.write_documents(lines, str(tmp_path / "store"), "20240601_000000")
+    documents = {}
+    for path in glob.glob(f"{out}/entity_id=*/*.txt"):
+        documents[re.search("entity_id=([^/]+)", path)[1]] = json.loads(open(path).read())  # one file per entity, valid as a whole
+    violations = [v.asDict() for v in audit.violations.collect()]
+    assert set(documents) == {r.entity_id for r in made.collect()}
+    for entity, d in documents.items():
+        own = sorted((v for v in violations if v["entity_id"] == entity), key=lambda v: v["position"])
+        assert [v["type"] for v in d["violations"]] == [v["type"] for v in own] and [v["position"] for v in own] == list(range(1, len(own) + 1))
+        assert d["executive_summary"]["total_violations"] == len(own)
+        assert [v["type"] for v in d["compliance_findings"]["violations"] + d["appeals_findings"]["violations"]] == [v["type"] for v in own]
+        assert d["compliance_findings"]["summary"]["total_violations"] == len(d["compliance_findings"]["violations"])
+        assert len(d["pii_findings"]["details"]) == d["pii_findings"]["files_analyzed"]
+        severities = {v["severity"] for v in d["appeals_findings"]["violations"]}
+        assert d["appeals_findings"]["risk"] == ("CRITICAL" if "CRITICAL" in severities else "HIGH" if "HIGH" in severities else "MEDIUM" if severities else "LOW")
+        assert set(d) == {"metadata", "executive_summary", "regulatory_analysis", "pii_findings", "compliance_findings", "appeals_findings", "violations", "recommendations", "_cost_summary"}
+        assert "applicable_rules" in d["regulatory_analysis"] and d["metadata"]["scope"]
+    assert documents["0"]["_cost_summary"] == {
+        "total_cost_usd": 1.0, "total_input_tokens": 7, "total_output_tokens": 9, "total_tokens": 16, "total_duration_ms": 13, "model": "unknown", "per_agent": [
+            {"agent": "a", "input_tokens": 2, "output_tokens": 3, "total_cost_usd": 0.5, "duration_ms": 6}, {"agent": "b", "input_tokens": 5, "output_tokens": 6, "total_cost_usd": 0.5, "duration_ms": 7}]}
+    assert documents["1"]["_cost_summary"]["per_agent"] == [] and documents["1"]["_cost_summary"]["total_tokens"] == 0
+
+
+def test_report_store_reads_every_layout(spark, tmp_path):
+    def save(run, entity, text):
+        folder = tmp_path / f"report_{run}" / f"entity_id={entity}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.txt").write_text(text)
+
+    save("20240101_000000", "a", json.dumps({"executive_summary": {"overall_status": "PASS"}}, indent=2))
+    save("20240301_000000", "a", json.dumps({"executive_summary": {"risk_grade": "C"}, "_cost_summary": {"total_tokens": 5, "per_agent": [{"agent": "x", "input_tokens": 5}]}, "new_block": {"k": 1}}))
+    save("20240201_000000", "b", "{ broken")
+    save("20240101_000000", "b", json.dumps({"violations": [{"type": "T", "severity": "HIGH"}]}))
+    saved = store.read_documents_store(spark, str(tmp_path))
+    rows = [(r.run, r.entity_id, r.error) for r in store.newest_first(saved).collect()]
+    assert [r[0] for r in rows] == sorted((r[0] for r in rows), reverse=True) and ("20240201_000000", "b", "Could not read report") in rows
+    newest = {r.entity_id: r for r in store.newest_of_each(saved).collect()}
+    assert newest["a"].run == "20240301_000000" and newest["a"].executive_summary.risk_grade == "C" and newest["b"].violations[0].type == "T"
+    cost = newest["a"]._cost_summary
+    assert (cost.total_tokens, cost.total_cost_usd, cost.model, cost.per_agent[0].agent) == (5, 0.0, "unknown", "x")
+    assert newest["b"]._cost_summary.per_agent == [] and newest["b"]._cost_summary.total_tokens == 0

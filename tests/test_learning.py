@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from auditlark.operators import evaluate as E
 from auditlark.operators import ml as ML
 from auditlark.operators import synth as S
-from auditlark.operators.ranking import hash_rank, stratified_split
+from auditlark.operators.ranking import hash_rank, ordered_position, stratified_split
 
 
 def test_ranks_are_exact_for_any_cell_size(frame):
@@ -24,6 +24,20 @@ def test_ranks_are_exact_for_any_cell_size(frame):
         assert got == want
 
 
+def test_ordered_positions_in_groups_of_any_size(frame):
+    import random
+
+    rng = random.Random(5)
+    rows = [("hot" if rng.random() < 0.7 else rng.choice(["a", None]), rng.choice(["x", "y", None]), i) for i in range(3000)]
+    got = {r.i: r.position for r in ordered_position(frame(rows, "g string, k string, i int"), ["g"], ["k", "i"], ranges=8).collect()}
+    for g in ("hot", "a", None):
+        members = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is not None, r[1] or "", r[2]))
+        assert [got[r[2]] for r in members] == list(range(1, len(members) + 1))
+    assert len(got) == len(rows)
+    assert ordered_position(frame([], "g string, k string, i int"), ["g"], ["k", "i"]).count() == 0
+    assert [r.position for r in ordered_position(frame([("a", "x", 1)], "g string, k string, i int"), ["g"], ["k"]).collect()] == [1]
+
+
 def test_split_keeps_proportions(frame):
     df = frame([(i, "a" if i < 100 else "b") for i in range(150)], "id int, label string")
     counts = {(r["label"], r["is_train"]): r["count"] for r in stratified_split(df, "id", "label").groupBy("label", "is_train").count().collect()}
