@@ -12,6 +12,7 @@ from auditlark.catalog.registry import query, quoted, sql_round, table
 from auditlark.operators import forensics as FO
 from auditlark.operators import report as RP
 from auditlark.operators import violations as V
+from auditlark.operators.ranking import ordered_position
 from auditlark.rulepack import (
     DEFAULT_PACK, GRADE_BELOW_LADDER, GRADE_LADDER, GRADE_NO_FINDINGS, LAW_CITATIONS, RECOMMENDATIONS, SEVERITY_WEIGHTS, VIOLATION_ORDER,
 )
@@ -193,15 +194,39 @@ def display_titles(spark, folder):
     return document_violations(spark, folder).groupBy(RP.display_title().alias("title")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("F26", f"""WITH {SQL_VIOLATIONS}, entities AS (SELECT DISTINCT source AS entity_id FROM documents), sc AS (SELECT * FROM (WITH {sql_scores('entity_id')})),
-lines AS (SELECT entity_id, 0 AS section, '' AS k, 'Compliance Status: ' || overall_status || chr(10) || 'Risk Grade: ' || risk_grade AS line FROM sc
-  UNION ALL SELECT entity_id, 1, concat_ws('|', type, coalesce("right", ''), coalesce(data_category, ''), coalesce(source_file, '')),
-  'Violation: ' || type || ' - ' || coalesce("right", '') || ' (' || severity || ')' FROM v)
-SELECT entity_id, string_agg(line, chr(10) ORDER BY section, k, line) AS answer FROM lines GROUP BY entity_id""")
+@query("F26", f"""WITH {SQL_VIOLATIONS}, {SQL_PLACED}, {sql_advice('placed', 'position, ')}, entities AS (SELECT DISTINCT source AS entity_id FROM documents), sc AS (SELECT * FROM (WITH {sql_scores('entity_id')})),
+lines AS (SELECT entity_id, 0 AS section, 0 AS k, 'Compliance Status: ' || overall_status || chr(10) || 'Risk Grade: ' || risk_grade || chr(10) || 'Summary: ' || total_violations || ' findings' AS line FROM sc WHERE total_violations <> 1
+  UNION ALL SELECT entity_id, 1, position, 'Violation: ' || type || ' - ' || coalesce("right", '') || ' (' || severity || ')' FROM placed
+  UNION ALL SELECT entity_id, 2, position, 'Recommendation: ' || recommendation FROM advice WHERE recommendation IS NOT NULL),
+told AS (SELECT entity_id, string_agg(line, chr(10) ORDER BY section, k, line) AS answer FROM lines WHERE entity_id IN (SELECT entity_id FROM sc WHERE total_violations <> 1) GROUP BY entity_id)
+SELECT e.entity_id, coalesce(answer, 'No structured data found in report.') AS answer FROM entities e LEFT JOIN told ON told.entity_id = e.entity_id""")
 def evidence_text(spark, folder):
+    """Sources with one finding stand in for entities without a report."""
     entities = table(spark, folder, "documents", ["source"]).select(F.col("source").alias("entity_id"))
-    found = materialize(document_violations(spark, folder))
-    return RP.evidence_text(found, RP.risk_scores(found, entities))
+    found = materialize(V.in_order(document_violations(spark, folder)))
+    scores = materialize(RP.risk_scores(found, entities).where("total_violations <> 1").withColumn("summary", F.concat(F.col("total_violations").cast("string"), F.lit(" findings"))))
+    kept = found.join(scores.select("entity_id"), "entity_id", "left_semi")
+    return RP.evidence_text(kept, scores, RP.recommendations(kept), entities)
+
+
+@query("F26 (three labels, cut, fallback)", """
+WITH e AS (SELECT source, count(*) AS n, min(lang) AS lang FROM documents GROUP BY source),
+listed AS (SELECT source, string_agg('{"doc":' || doc_id || ',"lang":"' || lang || '"}', ',' ORDER BY doc_id) AS rows FROM documents GROUP BY source),
+c AS (SELECT source, CASE WHEN n % 3 <> 0 THEN 'Regulatory Analysis: ' || left('{"lang":"' || lang || '","n_docs":' || n || '}', 2000) END AS a,
+    CASE WHEN n % 3 <> 0 THEN 'PII Findings: ' || left('{"files":' || n || ',"details":[' || rows || ']}', 2000) END AS b,
+    CASE WHEN n % 3 = 1 THEN 'Appeals Findings: ' || left('{"risk":"LOW"}', 2000) END AS d FROM e JOIN listed USING (source)),
+l AS (SELECT source, list_filter([a, b, d], lambda x: x IS NOT NULL) AS l FROM c)
+SELECT source AS entity_id, 1 AS position, 'No context available' AS context FROM l WHERE len(l) = 0
+UNION ALL SELECT source, i::INTEGER, l[i] FROM l, unnest(range(1, len(l) + 1)) AS u(i)""")
+def report_contexts(spark, folder):
+    docs = table(spark, folder, "documents", ["doc_id", "source", "lang"])
+    blocks = docs.groupBy(F.col("source").alias("entity_id")).agg(F.count(F.lit(1)).alias("n"), F.min("lang").alias("lang"))
+    some = F.col("n") % 3 != 0
+    blocks = blocks.select("entity_id", F.when(some, F.struct("lang", F.col("n").alias("n_docs"))).alias("regulatory_analysis"), F.when(some, F.struct(F.col("n").alias("files"))).alias("pii_findings"),
+                           F.when(F.col("n") % 3 == 1, F.struct(F.lit("LOW").alias("risk"))).alias("appeals_findings"))
+    details = ordered_position(docs.withColumnRenamed("source", "entity_id"), ["entity_id"], ["doc_id"]).select(
+        "entity_id", "position", F.to_json(F.struct(F.col("doc_id").alias("doc"), "lang")).alias("row"))
+    return RP.contexts(blocks, details)
 
 
 @query("F26 (contexts)", """SELECT event_id, 'PII Findings: ' || '{"type":"' || event_type || '","user":' || user_id || '}' AS context FROM events""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlark.functions import numbers as N
 from auditlark.functions import text as X
@@ -308,26 +309,86 @@ def parse_narratives(reports: DataFrame, keys: list[str], raw: str) -> DataFrame
     return reports.select(*keys, X.once(X.let(F.col(raw), found)))
 
 
+REPORT_LAYOUT = ("struct<executive_summary:struct<overall_compliance_status:string,overall_status:string,risk_grade:string,risk_assessment:struct<grade:string>,summary:string>,"
+                 "violations:array<struct<type:string,severity:string,finding:string,description:string>>,status:string,error:string,message:string,raw_response:string>")
+
+
+def normalize_reports(reports: DataFrame, keys: list[str], document: str) -> DataFrame:
+    """Reports of any shape in one: ``branch, status, risk_grade, summary, violations`` (type, severity, finding) and their number.
+
+    The document becomes one variant, and what it holds decides the branch: ``structured`` (a summary and violations: taken as they are), ``failed`` (a status FAILED or an
+    error), ``narrative`` (prose in ``raw_response``, or a text that is no JSON object at all: read by patterns, where the report has no such field of its own), else ``plain``.
+    """
+    text = F.col(document)
+    variant = F.try_parse_json(text)
+    is_object = F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
+    parts = F.struct(is_object.alias("is_object"), F.when(is_object, variant).alias("v"))
+    rows = reports.select(*keys, text.alias("__text"), X.once(parts))
+    # Each field by itself: one of another type than expected is taken as absent and spoils no other.
+    fields = {f.name: f.dataType for f in T._parse_datatype_string(REPORT_LAYOUT).fields}
+    rows = rows.select(*keys, X.once(F.struct(
+        *[F.try_variant_get("v", f"$.{n}", t.simpleString()).alias(n) for n, t in fields.items()],
+        F.try_variant_get("v", "$.executive_summary", "variant").isNotNull().alias("has_summary"), F.try_variant_get("v", "$.violations", "variant").isNotNull().alias("has_violations"),
+        F.coalesce(F.schema_of_variant(F.try_variant_get("v", "$.executive_summary", "variant")) != "OBJECT<>", F.lit(False)).alias("full_summary"),
+        F.when(F.col("is_object"), F.try_variant_get("v", "$.raw_response", "string")).otherwise(F.col("__text")).alias("raw"))))
+    filled = lambda c: F.coalesce(c, F.lit("")) != ""
+    branch = (
+        F.when(F.col("full_summary") & (F.size(F.coalesce("violations", F.array())) > 0), "structured")
+        .when((F.coalesce("status", F.lit("")) == "FAILED") | filled(F.col("error")), "failed")
+        .when(filled(F.col("raw")), "narrative").otherwise("plain"))
+    told = X.let(F.coalesce("raw", F.lit("")), lambda t: F.struct(*[c.alias(n) for n, c in narrative_findings(t).items()]))
+    rows = rows.withColumn("branch", branch).select("*", X.once(F.struct(F.when(F.col("branch") == "narrative", told).alias("told"))))
+
+    own = F.col("executive_summary")
+    trouble = F.concat(F.lit("Pipeline error: "), F.coalesce("error", F.lit("Unknown error")), F.lit(". "), F.coalesce("message", F.lit("")))
+    fresh = ~F.col("has_summary")
+    listed = F.transform(F.coalesce("violations", F.array()), lambda v: F.struct(v["type"].alias("type"), v["severity"].alias("severity"),
+                                                                             F.coalesce(v["finding"], v["description"]).alias("finding")))
+    found = F.when((F.col("branch") == "narrative") & ~F.col("has_violations"), F.col("told.violations")).otherwise(listed)
+    shown = rows.select(
+        *keys, "branch",
+        F.when(fresh & (F.col("branch") == "failed"), "ERROR").when(fresh & (F.col("branch") == "narrative"), F.col("told.status"))
+        .otherwise(F.coalesce(own["overall_compliance_status"], own["overall_status"])).alias("status"),
+        F.when(fresh & (F.col("branch") == "failed"), "?").when(fresh & (F.col("branch") == "narrative"), F.col("told.risk_grade"))
+        .otherwise(F.coalesce(own["risk_grade"], own["risk_assessment"]["grade"], F.lit("?"))).alias("risk_grade"),
+        F.when(fresh & (F.col("branch") == "failed"), trouble).when((F.col("branch") == "narrative") & filled(F.col("told.summary")), F.col("told.summary"))
+        .otherwise(F.coalesce(own["summary"], F.lit(""))).alias("summary"),
+        found.alias("violations"))
+    severity = lambda level: F.size(F.filter("violations", lambda v: v["severity"] == level)).cast("bigint")
+    return shown.select("*", F.size("violations").cast("bigint").alias("total_violations"), *[severity(s.upper()).alias(f"{s}_violations") for s in ("critical", "high", "medium")])
+
+
+NO_ANSWER = "No structured data found in report."
+NO_CONTEXT = "No context available"
+
+
 def evidence_lines(violations: DataFrame, scores: DataFrame, advice: DataFrame | None = None) -> DataFrame:
-    """Audit answer as lines in the order of ``section, sort_key, line``: nothing is grouped, so entities of any size are alike."""
+    """Audit answer as lines in the order of ``section, sort_key, line``: nothing is grouped, so entities of any size are alike.
+
+    ``scores`` may have a ``summary``. The order of violations and advice is their ``position`` where they have one.
+    """
+    summary = F.coalesce(F.col("summary").cast("string"), F.lit("")) if "summary" in scores.columns else F.lit("")
     head = scores.select(
         "entity_id", F.lit(0).alias("section"), F.lit("").alias("sort_key"),
         F.concat_ws("\n",
-                    F.concat(F.lit("Compliance Status: "), F.col("overall_status")),
-                    F.concat(F.lit("Risk Grade: "), F.col("risk_grade"))).alias("line"),
+                    F.concat(F.lit("Compliance Status: "), F.coalesce("overall_status", F.lit("Unknown"))),
+                    F.concat(F.lit("Risk Grade: "), F.coalesce("risk_grade", F.lit("?"))),
+                    F.concat(F.lit("Summary: "), summary)).alias("line"),
     )
     empty = F.lit("")
+
+    def place(rows: DataFrame, *columns: str) -> Column:
+        return F.lpad(F.col("position").cast("string"), 19, "0") if "position" in rows.columns else F.concat_ws("|", *(F.coalesce(c, empty) for c in columns))
+
     lines = violations.select(
-        "entity_id", F.lit(1).alias("section"),
-        F.concat_ws("|", "type", F.coalesce("right", empty), F.coalesce("data_category", empty), F.coalesce("source_file", empty)).alias("sort_key"),
+        "entity_id", F.lit(1).alias("section"), place(violations, "type", "right", "data_category", "source_file").alias("sort_key"),
         F.concat(F.lit("Violation: "), F.coalesce("type", empty), F.lit(" - "), F.coalesce("right", empty),
                  F.lit(" ("), F.coalesce("severity", empty), F.lit(")")).alias("line"),
     )
     parts = [head, lines]
     if advice is not None:
         parts.append(advice.select(
-            "entity_id", F.lit(2).alias("section"),
-            F.concat_ws("|", "for_violation", F.coalesce("right", empty), F.coalesce("data_category", empty)).alias("sort_key"),
+            "entity_id", F.lit(2).alias("section"), place(advice, "for_violation", "right", "data_category").alias("sort_key"),
             F.concat(F.lit("Recommendation: "), F.coalesce("recommendation", empty)).alias("line")))
     every = parts[0]
     for p in parts[1:]:
@@ -335,10 +396,41 @@ def evidence_lines(violations: DataFrame, scores: DataFrame, advice: DataFrame |
     return every
 
 
-def evidence_text(violations: DataFrame, scores: DataFrame, advice: DataFrame | None = None) -> DataFrame:
-    """The lines of an entity as one text, for a judge that reads an answer whole: one row per entity, always."""
+def evidence_text(violations: DataFrame, scores: DataFrame, advice: DataFrame | None = None, entities: DataFrame | None = None) -> DataFrame:
+    """The lines of an entity as one text, for a judge that reads an answer whole: one row per entity, always.
+
+    Entities without any line, where ``entities`` names them, have a text that says so.
+    """
     lines = F.array_sort(F.collect_list(F.struct("section", "sort_key", "line")))
-    return evidence_lines(violations, scores, advice).groupBy("entity_id").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("answer"))
+    answers = evidence_lines(violations, scores, advice).groupBy("entity_id").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("answer"))
+    if entities is None:
+        return answers
+    return entities.select("entity_id").distinct().join(answers, "entity_id", "left").withColumn("answer", F.coalesce("answer", F.lit(NO_ANSWER)))
+
+
+def contexts(blocks: DataFrame, details: DataFrame | None = None, limit: int = 2000) -> DataFrame:
+    """What a judge may rely on, ``entity_id, position, context``: up to three labelled texts per entity, each block cut at ``limit`` characters.
+
+    ``blocks`` has ``entity_id`` and any of ``regulatory_analysis``, ``pii_findings``, ``appeals_findings``. ``details`` (``entity_id, position, row``), the
+    list in the PII findings, may be of any length: no more than ``limit`` of its rows can be in a text, as each has a character at least, so no more are gathered.
+    An entity without any block has one text that says so.
+    """
+    labels = (("regulatory_analysis", "Regulatory Analysis"), ("pii_findings", "PII Findings"), ("appeals_findings", "Appeals Findings"))
+    rows = blocks
+    if details is not None:
+        few = details.where(F.col("position") <= limit).groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("position", "row"))).alias("__rows"))
+        rows = rows.join(few, "entity_id", "left")
+
+    def whole(name: str) -> Column:
+        text = F.to_json(F.col(name))
+        if name == "pii_findings" and details is not None:
+            listed = F.array_join(F.transform(F.coalesce("__rows", F.array()), lambda r: r["row"]), ",")
+            text = F.concat(F.left(text, F.length(text) - 1), F.lit(',"details":['), listed, F.lit("]}"))
+        return text
+
+    texts = [F.concat(F.lit(f"{label}: "), F.left(whole(name), F.lit(limit))) for name, label in labels if name in blocks.columns]
+    found = X.let(F.array_compact(F.array(*texts)), lambda t: F.when(F.size(t) > 0, t).otherwise(F.array(F.lit(NO_CONTEXT))))
+    return rows.select("entity_id", F.posexplode(found).alias("position", "context")).withColumn("position", F.col("position") + 1)
 
 
 def context_text(label: str, value: Column, limit: int | None = None) -> Column:

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 
 from auditlark.operators import report as RP
@@ -116,3 +118,49 @@ def test_calls_without_agent_are_not_the_total(frame):
     usage = frame([(None, 1, 2, 0.5, 10), ("a", 3, 4, 0.25, 20)], "agent string, input_tokens int, output_tokens int, total_cost_usd double, duration_ms int")
     got = {(r["is_total"], r["agent"]): r["n_calls"] for r in RP.usage_rollup(usage).collect()}
     assert got == {(False, None): 1, (False, "a"): 1, (True, None): 2}
+
+
+STRUCTURED = {"executive_summary": {"overall_status": "FAIL", "risk_assessment": {"grade": "D"}}, "violations": [{"type": "T", "severity": "HIGH", "description": "d"}, {"type": "U", "severity": "INFO", "finding": "f"}]}
+PROSE = "Status: compliant\nGrade: b\n\nSUMMARY\n\n*All* fine.\n\nVIOLATION 1: High delay\nbody"
+SHAPES = {
+    "structured": (json.dumps(STRUCTURED), ("structured", "FAIL", "D", "", [("T", "HIGH", "d"), ("U", "INFO", "f")])),
+    "failed": (json.dumps({"status": "FAILED", "message": "m"}), ("failed", "ERROR", "?", "Pipeline error: Unknown error. m", [])),
+    "error": (json.dumps({"error": "E", "violations": []}), ("failed", "ERROR", "?", "Pipeline error: E. ", [])),
+    "error with summary": (json.dumps({"error": "E", "executive_summary": {"risk_grade": "A", "summary": "s"}}), ("failed", None, "A", "s", [])),
+    "narrative": (json.dumps({"raw_response": PROSE}), ("narrative", "COMPLIANT", "B", "All fine.", [("High delay", "HIGH", "High delay\nbody")])),
+    "no json": (PROSE, ("narrative", "COMPLIANT", "B", "All fine.", [("High delay", "HIGH", "High delay\nbody")])),
+    "narrative with own fields": (json.dumps({"raw_response": PROSE, "executive_summary": {"risk_grade": "F"}, "violations": []}), ("narrative", None, "F", "All fine.", [])),
+    "empty summary": (json.dumps({**STRUCTURED, "executive_summary": {}, "raw_response": "nothing"}), ("narrative", None, "?", "", [("T", "HIGH", "d"), ("U", "INFO", "f")])),
+    "plain": (json.dumps({"other": 1}), ("plain", None, "?", "", [])),
+    "wrong types": (json.dumps({"executive_summary": 5, "violations": "none", "raw_response": ""}), ("plain", None, "?", "", [])),
+    "a list": ("[1, 2]", ("narrative", "UNKNOWN", "?", "", [])),
+    "empty": ("", ("plain", None, "?", "", [])), "null": (None, ("plain", None, "?", "", [])),
+}
+
+
+def test_reports_of_any_shape(frame):
+    df = frame([(k, d) for k, (d, _) in SHAPES.items()], "k string, d string")
+    for r in RP.normalize_reports(df, ["k"], "d").collect():
+        found = (r.branch, r.status, r.risk_grade, r.summary, [tuple(v) for v in r.violations])
+        assert found == SHAPES[r.k][1], r.k
+        assert r.total_violations == len(r.violations) and r.high_violations == sum(v.severity == "HIGH" for v in r.violations)
+
+
+def test_answers_and_fallback(frame):
+    scores = frame([("a", "FAIL", "C", "two gaps"), ("b", "PASS", "A", None)], "entity_id string, overall_status string, risk_grade string, summary string")
+    found = frame([("a", "T", None, "HIGH", 2), ("a", "U", "delete", None, 1)], "entity_id string, type string, right string, severity string, position long")
+    advice = frame([("a", "T", None, None, "do it", 2), ("a", "U", None, None, None, 1)], "entity_id string, for_violation string, right string, data_category string, recommendation string, position long")
+    entities = frame([("a",), ("b",), ("c",)], "entity_id string")
+    got = {r.entity_id: r.answer for r in RP.evidence_text(found, scores, advice, entities).collect()}
+    assert got["a"] == ("Compliance Status: FAIL\nRisk Grade: C\nSummary: two gaps\nViolation: U - delete ()\nViolation: T -  (HIGH)\nRecommendation: \nRecommendation: do it")
+    assert got["b"] == "Compliance Status: PASS\nRisk Grade: A\nSummary: " and got["c"] == "No structured data found in report."
+
+
+def test_contexts_are_cut_and_bounded(frame):
+    blocks = frame([("a", ("CT",), (3,), ("LOW",)), ("b", None, None, None), ("c", None, (0,), None)],
+                   "entity_id string, regulatory_analysis struct<law:string>, pii_findings struct<files:int>, appeals_findings struct<risk:string>")
+    details = frame([("a", i, '{"n":%d}' % i) for i in range(1, 500)], "entity_id string, position long, row string")
+    got = {(r.entity_id, r.position): r.context for r in RP.contexts(blocks, details, limit=100).collect()}
+    whole = '{"files":3,"details":[' + ",".join('{"n":%d}' % i for i in range(1, 500)) + "]}"
+    assert got == {("a", 1): 'Regulatory Analysis: {"law":"CT"}', ("a", 2): "PII Findings: " + whole[:100], ("a", 3): 'Appeals Findings: {"risk":"LOW"}',
+                   ("b", 1): "No context available", ("c", 1): 'PII Findings: {"files":0,"details":[]}'}
