@@ -2,24 +2,28 @@
 
 The lexicon holds the terms within a band of inverse document frequency, counted over all distinct texts (as lower-cased words): common terms
 carry no identity, rare ones break under small edits. Each of several random subsets of it, of several densities, gives one
-component: a hash of the document's distinct terms in that subset. Two documents are alike in the share of components that agree; sparse subsets
-survive edits of long texts, dense ones tell short texts apart. The hash of a set of terms is the exclusive-or of the term hashes: as with
-sorted terms their order has no part in it, but no list has to be gathered or sorted.
+component: the hash of the document's distinct terms in that subset, sorted. Two documents are alike in the share of components that agree; sparse subsets
+survive edits of long texts, dense ones tell short texts apart.
 
-The lexicon is broadcast. Its size has a bound that does not grow with the corpus: a term in it is in at least ``low`` of
-all documents, so there are at most (mean distinct terms per document) / ``low`` of them.
+All that happens to a text happens in its row: its terms are sorted once, looked up in the lexicon and hashed; only counts, and the texts that meet their
+neighbours, are shuffled. The lexicon travels as a constant. Its size has a bound that does not grow with the corpus: a term in it is in at
+least ``low`` of all documents, so there are at most (mean distinct terms per document) / ``low`` of them.
 
-A text without a term of the lexicon, as all of a group of near copies that holds more than the band's share of texts, is fingerprinted by all its
-terms with subsets drawn the same way, rarest and common ones alike, and is compared by these; only a text none of whose terms is in a
-subset, by the hash of its words. Null text counts as empty; equal texts have equal
+A few more components stand for texts without a term of the lexicon, as all of a group of near copies that holds more than the band's share of texts: the same over subsets
+of all terms. They are part of every fingerprint, as is the hash of all words, and decide where either of two texts has no component of the lexicon. Likeness is always that of the
+two fingerprints as returned. Null text counts as empty; equal texts have equal
 fingerprints. Of rows that share an id the one with the smallest text hash counts; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from auditlark.functions.text import let, once
 from auditlark.llm import store
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -27,6 +31,7 @@ NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOW, HIGH = 0.002, 0.2
 DENSITIES = (8, 16, 32, 64, 128, 256)
 REPEATS = 4
+REST_DENSITIES = (32, 64, 128, 256)   # of the components over all terms
 
 
 def words(text: Column) -> Column:
@@ -39,11 +44,12 @@ def _number(text: Column, digits: int) -> Column:
 
 
 def lexicon(texts: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH, densities=DENSITIES, repeats: int = REPEATS) -> DataFrame:
-    """``(term, hash, subsets)`` of the terms in the band; bit ``k`` of ``subsets`` tells whether subset ``k`` holds the term."""
-    distinct = texts.select(words(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("words")).distinct()
-    terms = distinct.select(F.explode(F.array_distinct(F.split("words", " "))).alias("term")).where("term != ''")
-    counts = store.written(terms.groupBy("term").count().where("count > 1"), "terms")
-    n = texts.agg(F.countDistinct(F.xxhash64(words(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))).first()[0]  # moves hashes only
+    """``(term, subsets)`` of the terms in the band; bit ``k`` of ``subsets`` tells whether subset ``k`` holds the term."""
+    said = words(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    marked = texts.select(once(F.struct(said.alias("words")))).select("words", F.xxhash64("words").alias("mark"))
+    terms = marked.select("mark", F.explode(F.array_distinct(F.split("words", " "))).alias("term")).where("term != ''")
+    counts = store.written(terms.groupBy("term").agg(F.count_distinct("mark").alias("count")).where("count > 1"), "terms")  # moves terms and marks, no texts
+    n = marked.agg(F.count_distinct("mark")).first()[0]
     kept = counts.where((F.col("count") >= F.lit(low * n)) & (F.col("count") <= F.lit(high * n)))
     subsets, k = F.lit(0), 0
     for density in densities:
@@ -51,53 +57,74 @@ def lexicon(texts: DataFrame, text_col: str = "text", low: float = LOW, high: fl
             chosen = _number(F.concat("term", F.lit(f"#{r}")), 8) % density == 0
             subsets = subsets.bitwiseOR(F.when(chosen, 1 << k).otherwise(0))
             k += 1
-    return store.written(kept.select("term", _number(F.col("term"), 15).alias("hash"), subsets.alias("subsets")), "lexicon")
+    return store.written(kept.select("term", subsets.alias("subsets")).where("subsets != 0"), "lexicon")
+
+
+class Fingerprinter:
+    """The components of texts, as an expression over one row."""
+
+    def __init__(self, terms: DataFrame, densities=DENSITIES, repeats: int = REPEATS):
+        self.n_band = len(densities) * repeats
+        listed = [(r["term"], r["subsets"]) for r in terms.collect()]  # bounded, see above
+        self.cells = max(1, len(listed) // 4)
+        cells: list[dict[str, int]] = [{} for _ in range(self.cells)]  # a map is searched from its start, so the lexicon is many short maps
+        for term, subsets in listed:
+            cells[zlib.crc32(term.encode()) % self.cells][term] = subsets
+        self.table = F.from_json(F.lit(json.dumps(cells)), "array<map<string,bigint>>")
+
+    def components(self, text: Column) -> Column:
+        """``band``, ``rest``: arrays that are null where a subset has no term of the text; ``words``: the hash of all of them."""
+        def subsets(term: Column) -> Column:
+            cell = F.get(self.table, F.pmod(F.crc32(term.cast("binary")), F.lit(self.cells)).cast("int"))
+            return F.coalesce(F.try_element_at(cell, term), F.lit(0).cast("bigint"))
+
+        def folded(chosen: Column) -> Column:
+            return let(chosen, lambda c: F.when(F.size(c) > 0, _number(F.array_join(F.transform(c, lambda x: x["term"]), " "), 15)))
+
+        def rest(terms: Column) -> Column:
+            def draws(t: Column) -> Column:
+                return let(F.md5(t.cast("binary")), lambda m: F.struct(
+                    t.alias("term"), *(F.conv(F.substring(m, 8 * r + 1, 8), 16, 10).cast("bigint").alias(f"d{r}") for r in range(REPEATS))))
 
+            return let(F.transform(terms, draws), lambda d: F.array(*(
+                folded(F.filter(d, lambda x: x[f"d{r}"] % density == 0)) for density in REST_DENSITIES for r in range(REPEATS))))
 
-def _components(hash_col: Column, chosen: list[Column], name: str) -> Column:
-    return F.array(*(F.bit_xor(F.when(c, hash_col)) for c in chosen)).alias(name)
+        def found(terms: Column) -> Column:
+            hits = F.filter(F.transform(terms, lambda t: F.struct(t.alias("term"), subsets(t).alias("subsets"))), lambda x: x["subsets"] != 0)
+            band = let(hits, lambda h: F.transform(F.sequence(F.lit(0), F.lit(self.n_band - 1)), lambda k: folded(
+                F.filter(h, lambda x: F.call_function("shiftright", x["subsets"], k).bitwiseAND(F.lit(1).cast("bigint")) != 0))))
+            return F.struct(band.alias("band"), rest(terms).alias("rest"))
 
+        def of(said: Column) -> Column:
+            distinct = F.array_sort(F.filter(F.array_distinct(F.split(said, " ")), lambda t: t != ""))
+            return let(distinct, lambda t: let(found(t), lambda f: F.struct(f["band"].alias("band"), f["rest"].alias("rest"), F.md5(said.cast("binary")).alias("words"))))
 
-def fingerprints(texts: DataFrame, terms: DataFrame, keys: list[str], columns: list[str], densities=DENSITIES, repeats: int = REPEATS) -> DataFrame:
-    """Replaces each of ``columns`` by its components, an array that is null where a subset has no term of the text, and adds ``<column>_all``, the
-    components over all terms, and ``<column>_words``, the hash that stands in where all are null. One row per distinct ``keys``, already
-    dealt by the first of them."""
-    sides = F.array(*(F.struct(F.lit(i).alias("which"), words(F.coalesce(F.col(c), F.lit(""))).alias("words")) for i, c in enumerate(columns)))
-    hashes = [F.md5(words(F.coalesce(F.col(c), F.lit(""))).cast("binary")).alias(f"{c}_words") for c in columns]
-    rows = texts.select(*keys, *hashes, F.explode(sides).alias("side"))
-    carried = [*keys, *(f"{c}_words" for c in columns)]
-    rows = rows.select(*carried, "side.which", F.explode(F.array_distinct(F.split("side.words", " "))).alias("term"))
-    hit = rows.join(F.broadcast(terms), "term", "left").select(
-        *carried, "which", "hash", "subsets", F.when(F.col("term") != "", F.xxhash64("term")).alias("own"),
-        *(F.xxhash64("term", F.lit(r)).alias(f"draw{r}") for r in range(repeats)))
-    band = [F.col("subsets").bitwiseAND(1 << k) != 0 for k in range(len(densities) * repeats)]
-    every = [F.pmod(F.col(f"draw{r}"), F.lit(d)) == 0 for d in densities for r in range(repeats)]
-    found = hit.groupBy(*carried, "which").agg(_components(F.col("hash"), band, "band"), _components(F.col("own"), every, "every"))
-    return found.groupBy(*carried).agg(*(F.max(F.when(F.col("which") == i, F.col(x))).alias(f"{c}{end}") for i, c in enumerate(columns) for x, end in (("band", ""), ("every", "_all"))))
+        return let(words(F.coalesce(text, F.lit(""))), of)
 
 
-def _none(components: str) -> Column:
+def _none(components: Column) -> Column:
     return F.forall(components, lambda x: x.isNull())
 
 
 def rendered(name: str) -> Column:
-    """A fingerprint as text: the components joined by dots, or the words' hash."""
-    def joined(components: str) -> Column:
+    """A fingerprint as text: the components over the lexicon, those over all terms, and the hash of the words."""
+    def joined(components: Column) -> Column:
         return F.array_join(F.transform(components, lambda x: F.coalesce(x.cast("string"), F.lit(""))), ".")
 
-    return F.when(~_none(name), joined(name)).when(~_none(f"{name}_all"), joined(f"{name}_all")).otherwise(F.col(f"{name}_words"))
+    return F.concat_ws("|", joined(F.col(f"{name}.band")), joined(F.col(f"{name}.rest")), F.col(f"{name}.words"))
 
 
 def likeness(a: str, b: str) -> Column:
-    """Share of the components either has that agree, over all terms unless both have terms of the lexicon; texts without any agree if their words do."""
-    def share(x: str, y: str, otherwise: Column) -> Column:
+    """Share of the components either has that agree: over the lexicon if both have some there, else over all terms; texts without any agree if their words do."""
+    def share(x: Column, y: Column, otherwise: Column) -> Column:
         same = F.aggregate(F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)).cast("int")), F.lit(0), lambda s, v: s + v)
         some = F.aggregate(F.zip_with(x, y, lambda p, q: (p.isNotNull() | q.isNotNull()).cast("int")), F.lit(0), lambda s, v: s + v)
         return F.when(some > 0, same / some).otherwise(otherwise)
 
-    words_agree = (F.col(f"{a}_words") == F.col(f"{b}_words")).cast("double")
-    over_all = share(f"{a}_all", f"{b}_all", words_agree)
-    return F.coalesce(F.when(~_none(a) & ~_none(b), share(a, b, words_agree)).otherwise(over_all), F.lit(0.0))
+    words_agree = (F.col(f"{a}.words") == F.col(f"{b}.words")).cast("double")
+    over_rest = share(F.col(f"{a}.rest"), F.col(f"{b}.rest"), words_agree)
+    both = ~_none(F.col(f"{a}.band")) & ~_none(F.col(f"{b}.band"))
+    return F.coalesce(F.when(both, share(F.col(f"{a}.band"), F.col(f"{b}.band"), words_agree)).otherwise(over_rest), F.lit(0.0))
 
 
 def following(ids: DataFrame, id_col: str, buckets: int = 64) -> DataFrame:
@@ -140,11 +167,12 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: float = LOW, high: float = HIGH) -> DataFrame:
     """Fingerprints of every text and its edited text, and how alike they and the next document's are."""
-    terms = lexicon(docs, text_col, low, high)
+    prints = Fingerprinter(lexicon(docs, text_col, low, high))
     rows = edited_pairs(docs, id_col, text_col).select(
-        "id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "text", "edited")
-    both = store.written(fingerprints(rows, terms, ["id", "next_id", "n_chars", "edited_sha256"], ["text", "edited"]), "fingerprints")
-    other = both.select(F.col("id").alias("next_id"), *(F.col(f"text{x}").alias(f"next{x}") for x in ("", "_all", "_words")))
+        "id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        once(F.struct(prints.components(F.col("text")).alias("text"), prints.components(F.col("edited")).alias("edited"))))
+    both = store.written(rows, "fingerprints")
+    other = both.select(F.col("id").alias("next_id"), F.col("text").alias("next"))
     out = both.join(other, "next_id", "left")
     return out.select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", rendered("text").alias("fingerprint"), rendered("edited").alias("edited_fingerprint"),

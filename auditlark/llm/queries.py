@@ -213,26 +213,37 @@ def _imatch_sql() -> str:
     subsets = [(d, r) for d in imatch.DENSITIES for r in range(imatch.REPEATS)]
     number = "CAST(('0x' || substr(md5(%s), 1, %d)) AS BIGINT)"
     chosen = ", ".join(f"{number % (f"term || '#{r}'", 8)} % {d} = 0 AS s{k}" for k, (d, r) in enumerate(subsets))
+    drawn = ", ".join(f"CAST(('0x' || substr(md5(term), {8 * r + 1}, 8)) AS BIGINT) % {d} = 0 AS t{k}"
+                      for k, (d, r) in enumerate((d, r) for d in imatch.REST_DENSITIES for r in range(imatch.REPEATS)))
+    n_rest = len(imatch.REST_DENSITIES) * imatch.REPEATS
     words = f"trim(regexp_replace(translate(%s, '{UPPER}', '{LOWER}'), '{imatch.NO_WORD}', ' ', 'g'))"
-    parts = ", ".join(f"bit_xor(CASE WHEN s{k} THEN hash END) AS c{k}" for k in range(len(subsets)))
-    array = "[" + ", ".join(f"c{k}" for k in range(len(subsets))) + "]"
+    folded = lambda flag: number % (f"string_agg(term, ' ' ORDER BY term) FILTER (WHERE {flag})", 15)
+    parts = ", ".join([f"{folded(f's{k}')} AS c{k}" for k in range(len(subsets))] + [f"{folded(f't{k}')} AS r{k}" for k in range(n_rest)])
+    band, rest = ("[" + ", ".join(f"{x}{k}" for k in range(n)) + "]" for x, n in (("c", len(subsets)), ("r", n_rest)))
+    joined = lambda array: f"array_to_string(list_transform({array}, lambda x: coalesce(CAST(x AS VARCHAR), '')), '.')"
+    none = lambda array: f"len(list_filter({array}, lambda x: x IS NOT NULL)) = 0"
 
     def alike(a: str, b: str) -> str:
-        return f"""CASE WHEN {b}.c IS NULL THEN 0
-            WHEN len(list_filter(list_zip({a}.c, {b}.c), lambda x: x[1] IS NOT NULL OR x[2] IS NOT NULL)) > 0
-            THEN len(list_filter(list_zip({a}.c, {b}.c), lambda x: x[1] = x[2])) / len(list_filter(list_zip({a}.c, {b}.c), lambda x: x[1] IS NOT NULL OR x[2] IS NOT NULL))
-            ELSE CAST({a}.hash_all = {b}.hash_all AS DOUBLE) END::DOUBLE"""
+        def share(array: str, otherwise: str) -> str:
+            zipped = f"list_zip({a}.{array}, {b}.{array})"
+            some = f"len(list_filter({zipped}, lambda x: x[1] IS NOT NULL OR x[2] IS NOT NULL))"
+            return f"CASE WHEN {some} > 0 THEN len(list_filter({zipped}, lambda x: x[1] = x[2])) / {some} ELSE {otherwise} END"
+
+        agree = f"CAST({a}.words = {b}.words AS DOUBLE)"
+        return f"""CASE WHEN {b}.band IS NULL THEN 0 WHEN NOT {none(f'{a}.band')} AND NOT {none(f'{b}.band')} THEN {share('band', agree)} ELSE {share('rest', agree)} END::DOUBLE"""
 
     return f"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text FROM documents
+), said AS (
+    SELECT DISTINCT {words % "text"} AS w FROM texts
 ), terms AS (
-    SELECT unnest(list_distinct(string_split({words % "text"}, ' '))) AS term FROM texts
+    SELECT unnest(list_distinct(string_split(w, ' '))) AS term FROM said
 ), counts AS (
     SELECT term, count(*) AS n FROM terms WHERE term != '' GROUP BY term HAVING count(*) > 1
 ), lexicon AS (
-    SELECT term, {number % ("term", 15)} AS hash, {chosen} FROM counts
-    WHERE n >= {imatch.LOW} * (SELECT count(*) FROM texts) AND n <= {imatch.HIGH} * (SELECT count(*) FROM texts)
+    SELECT term, {chosen} FROM counts
+    WHERE n >= {imatch.LOW} * (SELECT count(*) FROM said) AND n <= {imatch.HIGH} * (SELECT count(*) FROM said)
 ), ordered AS (
     SELECT doc_id, text, coalesce(lead(doc_id) OVER o, (SELECT min(doc_id) FROM texts)) AS next_id,
         coalesce(lead(text) OVER o, (SELECT arg_min(text, doc_id) FROM texts)) AS next_text
@@ -242,13 +253,13 @@ WITH texts AS (
 ), sides AS (
     SELECT doc_id, 0 AS side, {words % "text"} AS w FROM edits UNION ALL SELECT doc_id, 1, {words % "edited"} FROM edits
 ), hits AS (
-    SELECT doc_id, side, unnest(list_distinct(string_split(w, ' '))) AS term FROM sides
+    SELECT doc_id, side, nullif(unnest(list_distinct(string_split(w, ' '))), '') AS term FROM sides
+), drawn AS (
+    SELECT h.*, {", ".join(f"s{k}" for k in range(len(subsets)))}, {drawn} FROM hits h LEFT JOIN lexicon USING (term)
 ), parts AS (
-    SELECT doc_id, side, {parts} FROM hits LEFT JOIN lexicon USING (term) GROUP BY doc_id, side
+    SELECT doc_id, side, {parts} FROM drawn GROUP BY doc_id, side
 ), prints AS (
-    SELECT doc_id, side, {array} AS c, md5(w) AS hash_all,
-        CASE WHEN len(list_filter({array}, lambda x: x IS NOT NULL)) = 0 THEN md5(w)
-        ELSE array_to_string(list_transform({array}, lambda x: coalesce(CAST(x AS VARCHAR), '')), '.') END AS print
+    SELECT doc_id, side, {band} AS band, {rest} AS rest, md5(w) AS words, {joined(band)} || '|' || {joined(rest)} || '|' || md5(w) AS print
     FROM parts JOIN sides USING (doc_id, side)
 )
 SELECT e.doc_id, length(e.text) AS n_chars, sha256(e.edited) AS edited_sha256, p.print AS fingerprint, q.print AS edited_fingerprint,

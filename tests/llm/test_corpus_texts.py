@@ -1,6 +1,8 @@
 """BPE round trips, language ID, toxicity, line dedup, licenses, fingerprints, mixing, pages."""
 
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -8,7 +10,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from auditlark.llm import bpe, htmltext, imatch, langid, licenses, linededup, mixing, toxicity
+from auditlark.llm import bpe, htmltext, imatch, langid, licenses, linededup, mixing, queries, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 EMPTY = "doc_id long, text string, lang string"
@@ -201,6 +203,67 @@ def test_copies_do_not_change_the_lexicon(texts):
     assert one == more and one
 
 
+def brute_prints(texts, low, high, of=None):
+    """Fingerprints by plain Python: terms sorted, joined and hashed per subset; the lexicon is that of ``texts``."""
+    import hashlib
+
+    def number(text, digits):
+        return int(hashlib.md5(text.encode()).hexdigest()[:digits], 16)
+
+    def said(text):
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        return re.sub(imatch.NO_WORD, " ", lowered).strip(" ")
+
+    distinct = {said(t) for t in texts}
+    counts = Counter(w for t in distinct for w in set(t.split(" ")) - {""})
+    band = {w for w, n in counts.items() if n > 1 and low * len(distinct) <= n <= high * len(distinct)}
+    out = {}
+    for text in texts if of is None else of:
+        terms = sorted(set(said(text).split(" ")) - {""}, key=lambda w: w.encode())
+        fold = lambda chosen: str(number(" ".join(chosen), 15)) if chosen else ""
+        lexical = [fold([w for w in terms if w in band and number(f"{w}#{r}", 8) % d == 0]) for d in imatch.DENSITIES for r in range(imatch.REPEATS)]
+        draw = {w: hashlib.md5(w.encode()).hexdigest() for w in terms}
+        every = [fold([w for w in terms if int(draw[w][8 * r:8 * r + 8], 16) % d == 0]) for d in imatch.REST_DENSITIES for r in range(imatch.REPEATS)]
+        out[text] = (lexical, every, hashlib.md5(said(text).encode()).hexdigest())
+    return out
+
+
+def likeness(a, b):
+    for i in (0, 1):
+        if i or (any(a[0]) and any(b[0])):
+            either = [(x, y) for x, y in zip(a[i], b[i]) if x or y]
+            return sum(x == y for x, y in either) / len(either) if either else float(a[2] == b[2])
+
+
+def test_fingerprints_equal_brute_force(texts, awkward):
+    rng = random.Random(11)
+    rows = [r for r in awkward if r[0] is not None]
+    rows += [(100 + i, " ".join(rng.choice(["Ab", "cd", "éf", "g-h"]) + str(min(rng.randrange(400), rng.randrange(400))) for _ in range(rng.choice([2, 30, 300])))) for i in range(80)]
+    rows += [(300 + i, rows[-1][1]) for i in range(20)]  # copies
+    low, high = 0.03, 0.3
+    found = {r.doc_id: r for r in imatch.compare_edits(texts(rows), low=low, high=high).collect()}
+    text = {d: t or "" for d, t in rows}
+    order = sorted(text)
+    follows = dict(zip(order, order[1:] + order[:1]))
+    edited = {d: t[:len(t) - len(t) // 4] + text[follows[d]][:len(t) // 4] for d, t in text.items()}
+    counted = [t or "" for _, t in rows]
+    of_texts = brute_prints(counted, low, high)
+    show = lambda p: ".".join(p[0]) + "|" + ".".join(p[1]) + "|" + p[2]
+    for d in order:
+        changed = brute_prints(counted, low, high, [edited[d]])[edited[d]]
+        assert found[d].fingerprint == show(of_texts[text[d]]) and found[d].edited_fingerprint == show(changed)
+        assert found[d].near_edited == pytest.approx(likeness(of_texts[text[d]], changed))
+        assert found[d].near_next == pytest.approx(likeness(of_texts[text[d]], of_texts[text[follows[d]]]))
+
+
+def test_no_query_of_fingerprints_differs_from_its_parts(spark, tmp_path):
+    rows = [(i, " ".join(f"w{(i * j) % 37}" for j in range(1, 30)), "en", "s", 1) for i in range(30)] + [(40, None, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op9_imatch(spark, str(tmp_path)).collect()
+    prints = brute_prints([r[1] or "" for r in rows], imatch.LOW, imatch.HIGH)
+    assert {r.doc_id: r.fingerprint for r in found} == {r[0]: ".".join(p[0]) + "|" + ".".join(p[1]) + "|" + p[2] for r in rows for p in [prints[r[1] or ""]]}
+
+
 def numpy_rates(tokens, p, goal, steps, tolerance):
     rate, share = np.ones(len(tokens)), tokens / tokens.sum()
     for _ in range(steps):
