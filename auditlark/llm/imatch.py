@@ -9,9 +9,9 @@ All that happens to a text happens in its row: its terms are sorted once, looked
 neighbours, are shuffled. The lexicon travels as a constant. Its size has a bound that does not grow with the corpus: a term in it is in at
 least ``low`` of all documents, so there are at most (mean distinct terms per document) / ``low`` of them.
 
-A few more components stand for texts without a term of the lexicon, as all of a group of near copies that holds more than the band's share of texts: the same over subsets
-of all terms. They are part of every fingerprint, as is the hash of all words, and decide where either of two texts has no component of the lexicon. Likeness is always that of the
-two fingerprints as returned. Null text counts as empty; equal texts have equal
+A text without a component over the lexicon, as all of a group of near copies that holds more than the band's share of texts, has as many over subsets of all its terms
+instead; every fingerprint ends with the hash of all words. Likeness is that of the two fingerprints as returned: of components over the same terms, or, where one text has the one kind and one the
+other, or neither has any, whether the words are equal. Null text counts as empty; equal texts have equal
 fingerprints. Of rows that share an id the one with the smallest text hash counts; other columns are ignored.
 """
 
@@ -31,7 +31,6 @@ NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOW, HIGH = 0.002, 0.2
 DENSITIES = (8, 16, 32, 64, 128, 256)
 REPEATS = 4
-REST_DENSITIES = (32, 64, 128, 256)   # of the components over all terms
 
 
 def words(text: Column) -> Column:
@@ -43,13 +42,19 @@ def _number(text: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("long")
 
 
-def lexicon(texts: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH, densities=DENSITIES, repeats: int = REPEATS) -> DataFrame:
+def lexicon(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: float = LOW, high: float = HIGH, densities=DENSITIES, repeats: int = REPEATS) -> DataFrame:
     """``(term, subsets)`` of the terms in the band; bit ``k`` of ``subsets`` tells whether subset ``k`` holds the term."""
     said = words(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    marked = texts.select(once(F.struct(said.alias("words")))).select("words", F.xxhash64("words").alias("mark"))
-    terms = marked.select("mark", F.explode(F.array_distinct(F.split("words", " "))).alias("term")).where("term != ''")
-    counts = store.written(terms.groupBy("term").agg(F.count_distinct("mark").alias("count")).where("count > 1"), "terms")  # moves terms and marks, no texts
-    n = marked.agg(F.count_distinct("mark")).first()[0]
+    marked = texts.select(F.col(f"`{id_col}`").cast("string").alias("id"), once(F.struct(said.alias("words")))).select("id", "words", F.xxhash64("words").alias("mark"))
+    # Of equal texts one counts: rows of the smallest id share the weight. Only hashes and ids are grouped; texts stay where they are read.
+    places = marked.groupBy("mark", "id").count()
+    seen = store.written(places.groupBy("mark").agg(F.min(F.struct("id", "count")).alias("first"), F.sum("count").alias("rows")).select("mark", "first.*", "rows"), "marks")
+    n = seen.count()
+    repeated = seen.where("rows > 1").select("mark", F.col("id").alias("first"), (1 / F.col("count")).alias("share"))
+    weight = F.when(F.col("share").isNull(), 1.0).when(F.col("id").eqNullSafe(F.col("first")), F.col("share")).otherwise(0.0)
+    once_each = marked.join(repeated, "mark", "left").withColumn("weight", weight).where("weight > 0")
+    terms = once_each.select("weight", F.explode(F.array_distinct(F.split("words", " "))).alias("term")).where("term != ''")
+    counts = terms.groupBy("term").agg(F.round(F.sum("weight")).cast("long").alias("count")).where("count > 1")
     kept = counts.where((F.col("count") >= F.lit(low * n)) & (F.col("count") <= F.lit(high * n)))
     subsets, k = F.lit(0), 0
     for density in densities:
@@ -57,7 +62,7 @@ def lexicon(texts: DataFrame, text_col: str = "text", low: float = LOW, high: fl
             chosen = _number(F.concat("term", F.lit(f"#{r}")), 8) % density == 0
             subsets = subsets.bitwiseOR(F.when(chosen, 1 << k).otherwise(0))
             k += 1
-    return store.written(kept.select("term", subsets.alias("subsets")).where("subsets != 0"), "lexicon")
+    return store.written(kept.select("term", subsets.alias("subsets")), "lexicon")
 
 
 class Fingerprinter:
@@ -65,7 +70,7 @@ class Fingerprinter:
 
     def __init__(self, terms: DataFrame, densities=DENSITIES, repeats: int = REPEATS):
         self.n_band = len(densities) * repeats
-        listed = [(r["term"], r["subsets"]) for r in terms.collect()]  # bounded, see above
+        listed = [(r["term"], r["subsets"]) for r in terms.collect() if r["subsets"]]  # bounded, see above
         self.cells = max(1, len(listed) // 4)
         cells: list[dict[str, int]] = [{} for _ in range(self.cells)]  # a map is searched from its start, so the lexicon is many short maps
         for term, subsets in listed:
@@ -73,7 +78,7 @@ class Fingerprinter:
         self.table = F.from_json(F.lit(json.dumps(cells)), "array<map<string,bigint>>")
 
     def components(self, text: Column) -> Column:
-        """``band``, ``rest``: arrays that are null where a subset has no term of the text; ``words``: the hash of all of them."""
+        """``band``, ``rest``: arrays that are null where a subset has no term of the text, ``rest`` null where ``band`` has any; ``words``: the hash of all of them."""
         def subsets(term: Column) -> Column:
             cell = F.get(self.table, F.pmod(F.crc32(term.cast("binary")), F.lit(self.cells)).cast("int"))
             return F.coalesce(F.try_element_at(cell, term), F.lit(0).cast("bigint"))
@@ -87,16 +92,16 @@ class Fingerprinter:
                     t.alias("term"), *(F.conv(F.substring(m, 8 * r + 1, 8), 16, 10).cast("bigint").alias(f"d{r}") for r in range(REPEATS))))
 
             return let(F.transform(terms, draws), lambda d: F.array(*(
-                folded(F.filter(d, lambda x: x[f"d{r}"] % density == 0)) for density in REST_DENSITIES for r in range(REPEATS))))
+                folded(F.filter(d, lambda x: x[f"d{r}"] % density == 0)) for density in DENSITIES for r in range(REPEATS))))
 
         def found(terms: Column) -> Column:
             hits = F.filter(F.transform(terms, lambda t: F.struct(t.alias("term"), subsets(t).alias("subsets"))), lambda x: x["subsets"] != 0)
             band = let(hits, lambda h: F.transform(F.sequence(F.lit(0), F.lit(self.n_band - 1)), lambda k: folded(
                 F.filter(h, lambda x: F.call_function("shiftright", x["subsets"], k).bitwiseAND(F.lit(1).cast("bigint")) != 0))))
-            return F.struct(band.alias("band"), rest(terms).alias("rest"))
+            return let(band, lambda b: F.struct(b.alias("band"), F.when(_none(b), rest(terms)).alias("rest")))
 
         def of(said: Column) -> Column:
-            distinct = F.array_sort(F.filter(F.array_distinct(F.split(said, " ")), lambda t: t != ""))
+            distinct = F.sort_array(F.filter(F.array_distinct(F.split(said, " ")), lambda t: t != ""))
             return let(distinct, lambda t: let(found(t), lambda f: F.struct(f["band"].alias("band"), f["rest"].alias("rest"), F.md5(said.cast("binary")).alias("words"))))
 
         return let(words(F.coalesce(text, F.lit(""))), of)
@@ -107,24 +112,24 @@ def _none(components: Column) -> Column:
 
 
 def rendered(name: str) -> Column:
-    """A fingerprint as text: the components over the lexicon, those over all terms, and the hash of the words."""
+    """A fingerprint as text: the components over the lexicon, else those over all terms, and the hash of the words."""
     def joined(components: Column) -> Column:
-        return F.array_join(F.transform(components, lambda x: F.coalesce(x.cast("string"), F.lit(""))), ".")
+        return F.coalesce(F.array_join(F.transform(components, lambda x: F.coalesce(x.cast("string"), F.lit(""))), "."), F.lit(""))
 
     return F.concat_ws("|", joined(F.col(f"{name}.band")), joined(F.col(f"{name}.rest")), F.col(f"{name}.words"))
 
 
 def likeness(a: str, b: str) -> Column:
-    """Share of the components either has that agree: over the lexicon if both have some there, else over all terms; texts without any agree if their words do."""
+    """Share of the components either has that agree, of the same kind; else whether the words do."""
     def share(x: Column, y: Column, otherwise: Column) -> Column:
         same = F.aggregate(F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)).cast("int")), F.lit(0), lambda s, v: s + v)
         some = F.aggregate(F.zip_with(x, y, lambda p, q: (p.isNotNull() | q.isNotNull()).cast("int")), F.lit(0), lambda s, v: s + v)
         return F.when(some > 0, same / some).otherwise(otherwise)
 
     words_agree = (F.col(f"{a}.words") == F.col(f"{b}.words")).cast("double")
-    over_rest = share(F.col(f"{a}.rest"), F.col(f"{b}.rest"), words_agree)
-    both = ~_none(F.col(f"{a}.band")) & ~_none(F.col(f"{b}.band"))
-    return F.coalesce(F.when(both, share(F.col(f"{a}.band"), F.col(f"{b}.band"), words_agree)).otherwise(over_rest), F.lit(0.0))
+    rests = F.col(f"{a}.rest").isNotNull().cast("int") + F.col(f"{b}.rest").isNotNull().cast("int")
+    return F.coalesce(F.when(rests == 0, share(F.col(f"{a}.band"), F.col(f"{b}.band"), words_agree))
+                      .when(rests == 2, share(F.col(f"{a}.rest"), F.col(f"{b}.rest"), words_agree)).otherwise(words_agree), F.lit(0.0))
 
 
 def following(ids: DataFrame, id_col: str, buckets: int = 64) -> DataFrame:
@@ -167,7 +172,7 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: float = LOW, high: float = HIGH) -> DataFrame:
     """Fingerprints of every text and its edited text, and how alike they and the next document's are."""
-    prints = Fingerprinter(lexicon(docs, text_col, low, high))
+    prints = Fingerprinter(lexicon(docs, id_col, text_col, low, high))
     rows = edited_pairs(docs, id_col, text_col).select(
         "id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         once(F.struct(prints.components(F.col("text")).alias("text"), prints.components(F.col("edited")).alias("edited"))))

@@ -214,8 +214,8 @@ def _imatch_sql() -> str:
     number = "CAST(('0x' || substr(md5(%s), 1, %d)) AS BIGINT)"
     chosen = ", ".join(f"{number % (f"term || '#{r}'", 8)} % {d} = 0 AS s{k}" for k, (d, r) in enumerate(subsets))
     drawn = ", ".join(f"CAST(('0x' || substr(md5(term), {8 * r + 1}, 8)) AS BIGINT) % {d} = 0 AS t{k}"
-                      for k, (d, r) in enumerate((d, r) for d in imatch.REST_DENSITIES for r in range(imatch.REPEATS)))
-    n_rest = len(imatch.REST_DENSITIES) * imatch.REPEATS
+                      for k, (d, r) in enumerate(subsets))
+    n_rest = len(subsets)
     words = f"trim(regexp_replace(translate(%s, '{UPPER}', '{LOWER}'), '{imatch.NO_WORD}', ' ', 'g'))"
     folded = lambda flag: number % (f"string_agg(term, ' ' ORDER BY term) FILTER (WHERE {flag})", 15)
     parts = ", ".join([f"{folded(f's{k}')} AS c{k}" for k in range(len(subsets))] + [f"{folded(f't{k}')} AS r{k}" for k in range(n_rest)])
@@ -230,7 +230,8 @@ def _imatch_sql() -> str:
             return f"CASE WHEN {some} > 0 THEN len(list_filter({zipped}, lambda x: x[1] = x[2])) / {some} ELSE {otherwise} END"
 
         agree = f"CAST({a}.words = {b}.words AS DOUBLE)"
-        return f"""CASE WHEN {b}.band IS NULL THEN 0 WHEN NOT {none(f'{a}.band')} AND NOT {none(f'{b}.band')} THEN {share('band', agree)} ELSE {share('rest', agree)} END::DOUBLE"""
+        return f"""CASE WHEN {b}.band IS NULL THEN 0 WHEN NOT {none(f'{a}.band')} AND NOT {none(f'{b}.band')} THEN {share('band', agree)}
+            WHEN {none(f'{a}.band')} AND {none(f'{b}.band')} THEN {share('rest', agree)} ELSE {agree} END::DOUBLE"""
 
     return f"""
 WITH texts AS (
@@ -259,7 +260,7 @@ WITH texts AS (
 ), parts AS (
     SELECT doc_id, side, {parts} FROM drawn GROUP BY doc_id, side
 ), prints AS (
-    SELECT doc_id, side, {band} AS band, {rest} AS rest, md5(w) AS words, {joined(band)} || '|' || {joined(rest)} || '|' || md5(w) AS print
+    SELECT doc_id, side, {band} AS band, {rest} AS rest, md5(w) AS words, {joined(band)} || '|' || CASE WHEN {none(band)} THEN {joined(rest)} ELSE '' END || '|' || md5(w) AS print
     FROM parts JOIN sides USING (doc_id, side)
 )
 SELECT e.doc_id, length(e.text) AS n_chars, sha256(e.edited) AS edited_sha256, p.print AS fingerprint, q.print AS edited_fingerprint,

@@ -223,16 +223,17 @@ def brute_prints(texts, low, high, of=None):
         fold = lambda chosen: str(number(" ".join(chosen), 15)) if chosen else ""
         lexical = [fold([w for w in terms if w in band and number(f"{w}#{r}", 8) % d == 0]) for d in imatch.DENSITIES for r in range(imatch.REPEATS)]
         draw = {w: hashlib.md5(w.encode()).hexdigest() for w in terms}
-        every = [fold([w for w in terms if int(draw[w][8 * r:8 * r + 8], 16) % d == 0]) for d in imatch.REST_DENSITIES for r in range(imatch.REPEATS)]
-        out[text] = (lexical, every, hashlib.md5(said(text).encode()).hexdigest())
+        every = [fold([w for w in terms if int(draw[w][8 * r:8 * r + 8], 16) % d == 0]) for d in imatch.DENSITIES for r in range(imatch.REPEATS)]
+        out[text] = (lexical, [] if any(lexical) else every, hashlib.md5(said(text).encode()).hexdigest())
     return out
 
 
 def likeness(a, b):
-    for i in (0, 1):
-        if i or (any(a[0]) and any(b[0])):
-            either = [(x, y) for x, y in zip(a[i], b[i]) if x or y]
-            return sum(x == y for x, y in either) / len(either) if either else float(a[2] == b[2])
+    if any(a[0]) != any(b[0]):
+        return float(a[2] == b[2])
+    kind = 0 if any(a[0]) else 1
+    either = [(x, y) for x, y in zip(a[kind], b[kind]) if x or y]
+    return sum(x == y for x, y in either) / len(either) if either else float(a[2] == b[2])
 
 
 def test_fingerprints_equal_brute_force(texts, awkward):
