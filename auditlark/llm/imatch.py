@@ -87,12 +87,11 @@ class Fingerprinter:
             return let(chosen, lambda c: F.when(F.size(c) > 0, _number(F.array_join(F.transform(c, lambda x: x["term"]), " "), 15)))
 
         def rest(terms: Column) -> Column:
-            def draws(t: Column) -> Column:
-                return let(F.md5(t.cast("binary")), lambda m: F.struct(
-                    t.alias("term"), *(F.conv(F.substring(m, 8 * r + 1, 8), 16, 10).cast("bigint").alias(f"d{r}") for r in range(REPEATS))))
-
-            return let(F.transform(terms, draws), lambda d: F.array(*(
-                folded(F.filter(d, lambda x: x[f"d{r}"] % density == 0)) for density in DENSITIES for r in range(REPEATS))))
+            """Subset ``k`` draws by the two digits of a term's hash that begin at ``k``, so its draws are its own."""
+            drawn = F.transform(terms, lambda t: F.struct(t.alias("term"), F.md5(t.cast("binary")).alias("draw")))
+            densities = [density for density in DENSITIES for _ in range(REPEATS)]
+            return let(drawn, lambda d: F.array(*(
+                folded(F.filter(d, lambda x: F.conv(F.substring(x["draw"], k + 1, 2), 16, 10).cast("int") % density == 0)) for k, density in enumerate(densities))))
 
         def found(terms: Column) -> Column:
             hits = F.filter(F.transform(terms, lambda t: F.struct(t.alias("term"), subsets(t).alias("subsets"))), lambda x: x["subsets"] != 0)

@@ -213,8 +213,7 @@ def _imatch_sql() -> str:
     subsets = [(d, r) for d in imatch.DENSITIES for r in range(imatch.REPEATS)]
     number = "CAST(('0x' || substr(md5(%s), 1, %d)) AS BIGINT)"
     chosen = ", ".join(f"{number % (f"term || '#{r}'", 8)} % {d} = 0 AS s{k}" for k, (d, r) in enumerate(subsets))
-    drawn = ", ".join(f"CAST(('0x' || substr(md5(term), {8 * r + 1}, 8)) AS BIGINT) % {d} = 0 AS t{k}"
-                      for k, (d, r) in enumerate(subsets))
+    drawn = ", ".join(f"CAST(('0x' || substr(md5(term), {k + 1}, 2)) AS BIGINT) % {d} = 0 AS t{k}" for k, (d, _) in enumerate(subsets))
     n_rest = len(subsets)
     words = f"trim(regexp_replace(translate(%s, '{UPPER}', '{LOWER}'), '{imatch.NO_WORD}', ' ', 'g'))"
     folded = lambda flag: number % (f"string_agg(term, ' ' ORDER BY term) FILTER (WHERE {flag})", 15)

@@ -223,7 +223,7 @@ def brute_prints(texts, low, high, of=None):
         fold = lambda chosen: str(number(" ".join(chosen), 15)) if chosen else ""
         lexical = [fold([w for w in terms if w in band and number(f"{w}#{r}", 8) % d == 0]) for d in imatch.DENSITIES for r in range(imatch.REPEATS)]
         draw = {w: hashlib.md5(w.encode()).hexdigest() for w in terms}
-        every = [fold([w for w in terms if int(draw[w][8 * r:8 * r + 8], 16) % d == 0]) for d in imatch.DENSITIES for r in range(imatch.REPEATS)]
+        every = [fold([w for w in terms if int(draw[w][k:k + 2], 16) % d == 0]) for k, d in enumerate(d for d in imatch.DENSITIES for _ in range(imatch.REPEATS))]
         out[text] = (lexical, [] if any(lexical) else every, hashlib.md5(said(text).encode()).hexdigest())
     return out
 
