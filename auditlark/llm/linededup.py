@@ -3,7 +3,8 @@
 A passage is a run of ``min_lines`` or more lines with a letter or digit, with whatever lines stand between them. Every ``min_lines``
 neighbouring such lines are one window, so a passage, wherever it begins and ends, is the union of its windows. A window that stands anywhere
 else too keeps its first place (smallest id, then position) and is removed at the others, once its bytes have been compared with those of
-the first place. As windows overlap, this removes whole repeated runs, and as each goes back to an earlier place, no line vanishes from the corpus.
+the first place. As windows overlap, this removes whole repeated runs. The lines of a first place stay, also where another window would take them, so every
+repeated window still stands somewhere.
 Lines without a letter or digit before the first and after the last window of a text have windows of their own, so a whole copy is emptied.
 
 Only hashes are grouped over the corpus, with partial counts, so a window that a third of all documents hold costs one row per task.
@@ -12,7 +13,8 @@ Texts move twice, to meet the decisions made about their own windows.
 A null text stays null, texts with fewer than ``min_lines`` lines with a letter or digit stay as they are. A row repeated wholly is the same
 place, so all its copies keep the same text; rows without id come first in the order. Other columns pass through.
 
-``chunks`` cuts a text where a rolling hash says so; the SQL of ``op7_line_dedup`` still describes dedup by such chunks.
+Chunks between boundaries that rolling hashes of the line hashes choose were tried first. A passage then goes only where a whole chunk lies in it: most repeated
+passages lost nothing, so every line is a boundary here.
 """
 
 from __future__ import annotations
@@ -23,33 +25,6 @@ from pyspark.sql import functions as F
 from auditlark.functions.text import let
 from auditlark.llm import store
 
-BOUNDARY_DIGITS = ("0", "1", "2", "3")  # of sixteen: chunks have four lines on average
-
-
-def _digest(text: Column) -> Column:
-    return F.md5(text.cast("binary"))
-
-
-def chunks(text: Column) -> Column:
-    """The chunks of a text in order: number of lines ``n`` and ``text``; joined by line feeds they are the text again."""
-    def cut(lines: Column) -> Column:
-        def bounds(hashes: Column) -> Column:
-            n = F.size(hashes)
-
-            def ends(i: Column) -> Column:
-                rolled = _digest(F.concat(F.coalesce(F.get(hashes, i - 2), F.lit("")), F.get(hashes, i - 1)))
-                return (i == n) | F.substring(rolled, 1, 1).isin(*BOUNDARY_DIGITS)
-
-            return F.filter(F.sequence(F.lit(1), n), ends)
-
-        def pieces(ends: Column) -> Column:
-            starts = F.concat(F.array(F.lit(0)), F.slice(ends, F.lit(1), F.size(ends) - 1))
-            return F.zip_with(starts, ends, lambda s, e: F.struct((e - s).alias("n"), F.array_join(F.slice(lines, s + 1, e - s), "\n").alias("text")))
-
-        return let(let(F.transform(lines, _digest), bounds), pieces)
-
-    return let(F.split(text, "\n"), cut)
-
 
 def windows(text: Column, min_lines: int) -> Column:
     """The windows of a text: first line ``s``, last line ``e`` and the hash ``key`` of the lines between."""
@@ -96,16 +71,19 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_
                                                    _joined(F.col("lines"), w["s"], w["e"]).alias("passage")))
     held = store.written(held.select("id", "mark", F.explode(cut).alias("w")).select("id", "mark", "w.*"), "repeated_texts")
     kept = held.where("first").groupBy("key").agg(F.first("passage").alias("kept"))
-    gone = held.where("NOT first").join(kept, "key").where("passage = kept").groupBy("id", "mark").agg(F.collect_set(F.struct("s", "e")).alias("gone"))
-    gone = gone.select(F.col("id").alias("__gone_id"), F.col("mark").alias("__gone_mark"), F.col("gone").alias("__gone"))
+    gone = held.where("NOT first").join(kept, "key").where("passage = kept").select("id", "mark", "s", "e", F.lit(False).alias("first"))
+    firsts = held.where("first").select("id", "mark", "s", "e", "first")
+    spans = lambda first: F.collect_set(F.when(F.col("first") == first, F.struct("s", "e")))
+    gone = gone.unionByName(firsts).groupBy("id", "mark").agg(spans(False).alias("gone"), spans(True).alias("stay")).where(F.size("gone") > 0)
+    gone = gone.select(F.col("id").alias("__gone_id"), F.col("mark").alias("__gone_mark"), F.col("gone").alias("__gone"), F.col("stay").alias("__stay"))
 
     rows = docs.select(*(F.col(f"`{c}`") for c in others), F.col(f"`{id_col}`").cast("long").alias("__id"), F.xxhash64(text).alias("__mark"))
     rows = rows.join(gone, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__mark") == F.col("__gone_mark")), "left")
     n_lines = F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
 
     def left(lines: Column) -> Column:
-        taken = F.flatten(F.transform("__gone", lambda w: F.sequence(w["s"], w["e"])))
-        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), taken)
+        covered = lambda spans: F.flatten(F.transform(spans, lambda w: F.sequence(w["s"], w["e"])))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.array_except(covered("__gone"), covered("__stay")))
         return let(stay, lambda x: F.struct(F.array_join(F.transform(x, lambda i: F.get(lines, i)), "\n").alias("text"), F.size(x).alias("n")))
 
     rows = rows.withColumn("__left", F.when(F.col("__gone").isNotNull(), let(F.split(text, "\n"), left)))

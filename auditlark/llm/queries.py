@@ -159,25 +159,29 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
-SQL["op7_line_dedup"] = rf"""
-WITH lines AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL
-), hashed AS (
-    SELECT *, md5(line) AS h, coalesce(lag(md5(line)) OVER (PARTITION BY doc_id ORDER BY i), '') AS before FROM lines
-), ended AS (
-    SELECT *, CAST(substr(md5(before || h), 1, 1) IN {linededup.BOUNDARY_DIGITS} AS INT) AS ends FROM hashed
-), numbered AS (
-    SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM ended
-), chunks AS (
-    SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n FROM numbered GROUP BY doc_id, pos
+SQL["op7_line_dedup"] = r"""
+WITH docs AS (
+    SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL
+), wordy AS (
+    SELECT *, list_filter(range(0, len(l)), lambda i: regexp_matches(l[i + 1], '[\p{L}\p{N}]')) AS w FROM docs
+), spans AS (
+    SELECT doc_id, l, unnest(list_concat(list_transform(range(1, len(w)), lambda k: [w[k], w[k + 1]]),
+        CASE WHEN w[1] > 0 THEN [[0, w[2]]] ELSE [] END, CASE WHEN w[len(w)] < len(l) - 1 THEN [[w[len(w) - 1], len(l) - 1]] ELSE [] END)) AS se
+    FROM wordy WHERE len(w) >= 2
+), windows AS (
+    SELECT doc_id, se[1] AS s, se[2] AS e, array_to_string(l[se[1] + 1:se[2] + 1], chr(10)) AS passage FROM spans
 ), placed AS (
-    SELECT *, CASE WHEN n >= 2 AND regexp_matches(chunk, '[\p{{L}}\p{{N}}]')
-        THEN row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) ELSE 1 END AS place FROM chunks
+    SELECT doc_id, s, e, count(*) OVER (PARTITION BY passage) AS n, row_number() OVER (PARTITION BY passage ORDER BY doc_id, s, e) AS place FROM windows
+), gone AS (
+    SELECT doc_id, unnest(range(s, e + 1)) AS i FROM placed WHERE n > 1 AND place > 1
+    EXCEPT SELECT doc_id, unnest(range(s, e + 1)) FROM placed WHERE n > 1 AND place = 1
+), lines AS (
+    SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS i FROM docs
 ), kept AS (
-    SELECT doc_id, sum(n) AS n_lines, sum(n) FILTER (place > 1) AS n_removed, string_agg(chunk, chr(10) ORDER BY pos) FILTER (place = 1) AS text FROM placed GROUP BY doc_id
+    SELECT x.doc_id, count(*) AS n_lines, count(g.i) AS n_removed, string_agg(line, chr(10) ORDER BY x.i) FILTER (g.i IS NULL) AS text
+    FROM lines x LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.i = x.i GROUP BY x.doc_id
 )
-SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-    length(coalesce(k.text, '')) AS n_chars, sha256(coalesce(k.text, '')) AS text_sha256
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, length(coalesce(k.text, '')) AS n_chars, sha256(coalesce(k.text, '')) AS text_sha256
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 

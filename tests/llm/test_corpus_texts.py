@@ -135,12 +135,47 @@ def test_line_dedup_removes_whole_passages(texts, size):
         assert found[d].text.split("\n") == expected and found[d].n_removed == len(t.split("\n")) - len(expected)
 
 
-def test_chunks_join_to_the_text(spark):
-    rng = random.Random(7)
-    rows = [(i, "\n".join(rng.choice(["", "a", "b b", "c"]) for _ in range(rng.randrange(1, 60)))) for i in range(40)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    for r in df.select("text", linededup.chunks(F.col("text")).alias("c")).collect():
-        assert "\n".join(c.text for c in r.c) == r.text and all(c.n == len(c.text.split("\n")) for c in r.c)
+def brute_dedupe(texts):
+    """Texts by id without the repeated windows of two lines, as the docstring says."""
+    def spans(lines):
+        wordy = [i for i, x in enumerate(lines) if any(c.isalnum() for c in x)]
+        if len(wordy) < 2:
+            return []
+        found = list(zip(wordy, wordy[1:]))
+        return found + [(0, wordy[1])] * (wordy[0] > 0) + [(wordy[-2], len(lines) - 1)] * (wordy[-1] < len(lines) - 1)
+
+    lines = {d: t.split("\n") for d, t in texts.items()}
+    places = {}
+    for d in sorted(lines):
+        for s, e in spans(lines[d]):
+            places.setdefault("\n".join(lines[d][s:e + 1]), []).append((d, s, e))
+    gone, stay = set(), set()
+    for where in places.values():
+        if len(where) > 1:
+            first, *others = sorted(where)
+            stay |= {(first[0], i) for i in range(first[1], first[2] + 1)}
+            gone |= {(d, i) for d, s, e in others for i in range(s, e + 1)}
+    return {d: "\n".join(x for i, x in enumerate(own) if (d, i) not in gone - stay) for d, own in lines.items()}
+
+
+def test_a_kept_passage_is_not_eaten_by_another(spark):
+    docs = spark.createDataFrame([(1, "A\nB\nX"), (2, "A\nB\nC\nY"), (3, "B\nC\nD")], "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in linededup.dedupe(docs).collect()}
+    assert kept == {1: "A\nB\nX", 2: "B\nC\nY", 3: "D"}  # B C still stands in the second
+
+
+def test_line_dedup_equals_brute_force(spark, tmp_path):
+    rng = random.Random(21)
+    rows = {i: "\n".join(rng.choice(["", "--", "a", "b b", "c", "d", "e e", "f", "g", "h"]) for _ in range(rng.randrange(1, 25))) for i in range(150)}
+    rows |= {200 + i: rows[rng.randrange(150)] for i in range(20)}
+    df = spark.createDataFrame([*((i, t, "en", "s", 1) for i, t in rows.items()), (900, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    expected = brute_dedupe(rows)
+    assert {r.doc_id: r.text for r in linededup.dedupe(df).collect() if r.doc_id != 900} == expected
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    import hashlib
+    found = {r.doc_id: r.text_sha256 for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
+    assert found == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in (expected | {900: ""}).items()}
+    assert linededup.dedupe(df.limit(0)).count() == 0
 
 
 def test_license_scan(texts, awkward):
