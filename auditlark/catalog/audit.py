@@ -139,9 +139,9 @@ kinds AS (SELECT entity_id, string_agg(type, ',' ORDER BY type) AS kinds FROM (S
 blocks AS (SELECT e.entity_id, sc.overall_status, sc.risk_score, sc.risk_grade, sc.total_violations, law.threshold, law.rights AS statute_rights, 1::BIGINT AS files_analyzed,
     s.n_rows AS total_unique_consumers, coalesce(kinds, '') AS pii_types, {_STATUS.replace('critical', 'b.critical').replace('high', 'b.high').replace('total_violations', 'b.total_violations')} AS compliance_status,
     b.medium AS compliance_medium, {_RISK.replace('critical', 'a.critical').replace('high', 'a.high').replace('total_violations', 'a.total_violations')} AS appeals_risk,
-    p.quality AS appeal_quality, late.late AS late_responses, cost.tokens AS total_tokens, cost.duration AS total_duration_ms, cost.agents AS n_agents, cost.first_agent, cost.first_input
+    p.quality AS appeal_quality, late.late AS late_responses, coalesce(cost.tokens, 0) AS total_tokens, coalesce(cost.duration, 0) AS total_duration_ms, coalesce(cost.agents, 0) AS n_agents, cost.first_agent, cost.first_input
 FROM entities e JOIN sc USING (entity_id) JOIN scanned s USING (entity_id) JOIN by_check b USING (entity_id) JOIN by_appeals a USING (entity_id) JOIN appeals p USING (entity_id)
-JOIN late USING (entity_id) JOIN cost USING (entity_id) LEFT JOIN kinds USING (entity_id), law)"""
+JOIN late USING (entity_id) LEFT JOIN cost USING (entity_id) LEFT JOIN kinds USING (entity_id), law)"""
 
 
 def _flat(rows):
@@ -154,7 +154,7 @@ def _flat(rows):
         F.col("appeals_findings.risk").alias("appeals_risk"), F.col("appeals_findings.appeal_procedure.quality").alias("appeal_quality"),
         F.col("appeals_findings.timeline_analysis.late_responses").alias("late_responses"), F.col("_cost_summary.total_tokens").alias("total_tokens"),
         F.col("_cost_summary.total_duration_ms").alias("total_duration_ms"), F.size("_cost_summary.per_agent").cast("bigint").alias("n_agents"),
-        F.col("_cost_summary.per_agent")[0]["agent"].alias("first_agent"), F.col("_cost_summary.per_agent")[0]["input_tokens"].alias("first_input"))
+        F.get("_cost_summary.per_agent", F.lit(0))["agent"].alias("first_agent"), F.get("_cost_summary.per_agent", F.lit(0))["input_tokens"].alias("first_input"))
 
 
 @query("K1 F14 A17 §3.1: the blocks of every report", f"WITH {_SQL_BLOCKS} SELECT * FROM blocks")
@@ -191,18 +191,19 @@ def _stored(spark, folder):
 @query("K1 S7 W4 §3.1: whole reports as documents, written, read back, the newest of each business", f"""WITH {_SQL_BLOCKS}, {sql_advice('placed', 'position, ')},
 lists AS (SELECT e.entity_id, count(type) AS listed, string_agg(type, ',' ORDER BY position) AS types, count(*) FILTER (WHERE type IN {_APPEALS}) AS by_appeals FROM entities e LEFT JOIN placed USING (entity_id) GROUP BY 1),
 advised AS (SELECT entity_id, count(*) AS advised, arg_min(recommendation, position) AS first_advice FROM advice WHERE recommendation IS NOT NULL GROUP BY 1)
-SELECT blocks.*, listed, types, by_appeals, advised, first_advice, '20240601_000000' AS run, 1::BIGINT AS details FROM blocks JOIN lists USING (entity_id) JOIN advised USING (entity_id)""")
+SELECT blocks.*, listed, coalesce(types, '') AS types, by_appeals, coalesce(advised, 0) AS advised, first_advice, '20240601_000000' AS run, 1::BIGINT AS details FROM blocks JOIN lists USING (entity_id) LEFT JOIN advised USING (entity_id)""")
 def audit_report_documents(spark, folder):
     saved = store.newest_of_each(_stored(spark, folder))
     lists = saved.select("entity_id", F.size("violations").cast("bigint").alias("listed"), F.array_join(F.transform("violations", lambda v: v["type"]), ",").alias("types"),
                          F.size("appeals_findings.violations").cast("bigint").alias("by_appeals"), F.size("recommendations").cast("bigint").alias("advised"),
-                         F.col("recommendations")[0]["recommendation"].alias("first_advice"), "run", F.size("pii_findings.details").cast("bigint").alias("details"))
+                         F.get("recommendations", F.lit(0))["recommendation"].alias("first_advice"), "run", F.size("pii_findings.details").cast("bigint").alias("details"))
     return _flat(saved).join(lists, "entity_id")
 
 
 @query("S7 W4: stored reports by file name, newest first, cost defaults", f"""WITH {SQL_USAGE_BLOCK}
-SELECT '20240601_000000' AS run, entity_id, tokens AS total_tokens, agents AS n_agents, 'unknown' AS model FROM cost
-UNION ALL SELECT '20240501_000000', entity_id, 0, 0, 'unknown' FROM cost""")
+SELECT '20240601_000000' AS run, e.entity_id, coalesce(tokens, 0) AS total_tokens, coalesce(agents, 0) AS n_agents, 'unknown' AS model
+FROM (SELECT DISTINCT c_mktsegment AS entity_id FROM customer) e LEFT JOIN cost USING (entity_id)
+UNION ALL SELECT DISTINCT '20240501_000000', c_mktsegment, 0, 0, 'unknown' FROM customer""")
 def stored_report_costs(spark, folder):
     saved = store.newest_first(_stored(spark, folder))
     return saved.select("run", "entity_id", "_cost_summary.total_tokens", F.size("_cost_summary.per_agent").cast("bigint").alias("n_agents"), "_cost_summary.model")
