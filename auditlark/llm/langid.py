@@ -3,7 +3,7 @@
 Fitted by follow-the-regularised-leader with an elastic-net penalty, one text at a time, on a bounded sample of labelled
 rows (``per_language`` texts of at most ``max_chars`` code points per language); one temperature then
 calibrates the probabilities on texts held back from the fit. The document frequencies behind the IDF
-weights are counted over all texts. Prediction reads every whole text once and shuffles nothing.
+weights are counted over all labelled rows to learn from, so nothing of a held-out or unlabelled text enters the model. Prediction reads every whole text once and shuffles nothing.
 
 A null text, or one without a letter (a mark alone is none), is ``und`` with score 0. So is every text if no labelled text has a letter.
 Rows that share an id are predicted each by itself; other columns are ignored.
@@ -149,7 +149,7 @@ def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 def fit(texts: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bits: int = 16,
         per_language: int = 800, max_chars: int = 200_000, epochs: int = 3, alpha: float = 2.0, beta: float = 1.0,
         l1: float = 0.02, l2: float = 0.5, held_back: float = 0.15, seed: int = 7) -> Model:
-    """Fit on a sample of the rows where ``train`` holds and a language is given; see the module for what is counted over all."""
+    """Fit on a sample of the rows where ``train`` holds and a language is given; document frequencies are counted over all such rows."""
     rows = small_batches(texts).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), train.alias("train"))
     labelled = rows.where(F.col("train") & F.col("lang").isNotNull() & (F.length("text") <= max_chars)).select("id", "text", "lang")
     sample, _ = per_class(labelled, "id", "lang", per_language, seed)
@@ -163,7 +163,7 @@ def fit(texts: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
     drawn = sample.select("lang", "text", uniform("id", seed + 1).alias("u")).mapInArrow(features, "lang string, u double, found binary, counts binary")
     drawn = sorted((r for r in drawn.toArrow().to_pylist() if r["found"]), key=lambda r: (r["u"], r["lang"], r["found"]))
-    frequency, n = document_frequencies(texts, text_col, bits)
+    frequency, n = document_frequencies(rows.where(F.col("train") & F.col("lang").isNotNull()), "text", bits)
     idf = np.log((1 + n) / (1 + frequency)) + 1
     languages = sorted({r["lang"] for r in drawn})
     k = len(languages)

@@ -54,6 +54,13 @@ def test_language_id_on_held_out_texts(spark):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_language_id_learns_nothing_from_held_out_texts(spark):
+    rows = samples(random.Random(4), 200)
+    other = [(i, t if i % 3 else "zzz " * 50, lang if i % 3 else None) for i, t, lang in rows]
+    one, two = (langid.fit(spark.createDataFrame(r, EMPTY), F.col("doc_id") % 3 != 0, bits=12) for r in (rows, other))
+    assert (one.weights == two.weights).all() and (one.idf == two.idf).all() and one.temperature == two.temperature
+
+
 def test_language_id_chunks_do_not_change_counts(monkeypatch):
     text = "Zwei Wörter, then Some more of them. " * 20
     whole = [x.tolist() for x in langid.ngram_counts(text, 12)]
