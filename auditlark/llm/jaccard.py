@@ -6,13 +6,16 @@ Equal sets are one class from the start. For the others:
    two neighbouring bands are a tile. In a tile two similar sets differ in at most ``d`` shingles. The shingle universe is dealt by hash into more
    than ``d`` parts, so similar sets agree wholly in some, and the hash of such a part's shingles is a key both have. No similar pair
    is missed, and unrelated texts that merely share a passage almost never get a common key.
-2. *Stars.* In each key every set is compared with the smallest one; links join components.
-3. *Bitmap tiles.* Keys that still hold sets of different components are cut into tiles of rows. In each pair of tiles
-   the bitmaps bound the overlap from above by bit counts; only pairs that pass are compared.
-4. Passing pairs are verified by intersecting the sorted shingle arrays.
+2. *Bitmaps.* Each set has a bitmap of its shingles' parities, two to four bits a shingle whatever its size. A bit in which two bitmaps
+   differ stems from a shingle that only one set has, so bit counts bound the overlap from above. Longer bitmaps fold onto shorter ones.
+3. *Stars.* In each key every set is paired with one pivot; of the pairs whose bitmaps allow the threshold each set has one verified, and
+   links join components. The first pivot is a key's smallest set, later ones are drawn anew in the keys that still hold several components.
+4. *Tiles.* In the keys that then still hold several components, the largest component and the other sets are cut into tiles of rows. The
+   others meet one another and the largest component, which does not meet itself; pairs of different components that pass the bitmaps remain.
+5. Remaining pairs are verified by intersecting the sorted shingle arrays; only sets of such pairs are built again.
 
 Linked sets of one component need no further comparison, so a group of thousands of copies costs
-one comparison per member and key instead of all pairs.
+one comparison per member and star instead of all pairs.
 
 Words are runs of non-blank characters, A-Z lower-cased. Shingles are 64-bit hashes of word runs; a
 text with fewer words has one shingle of all its words; a null text or one without words has the empty set and links
@@ -37,8 +40,9 @@ from auditlark.llm import store
 from auditlark.llm.batches import small_batches
 from auditlark.llm.components import components
 
-BITMAP_WORDS = 16
-TILE_ROWS = 128
+BITMAP_BITS = 128     # at least
+STARS = 3
+TILE_ROWS = 256
 KNOWN_WORDS = 150_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -133,9 +137,10 @@ def _keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def _bitmap(shingles: np.ndarray) -> bytes:
-    bits = np.zeros(BITMAP_WORDS * 64, np.uint8)
-    bits[(shingles % np.uint64(BITMAP_WORDS * 64)).astype("i8")] = 1
-    return np.packbits(bits).tobytes()
+    """Parity of the shingles that fall on each bit; the number of bits is a power of two, at least twice the shingles."""
+    bits = max(BITMAP_BITS, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else BITMAP_BITS
+    count = np.bincount((shingles & np.uint64(bits - 1)).astype("i8"), minlength=bits)
+    return np.packbits((count & 1).astype(np.uint8)).tobytes()
 
 
 def _digest(shingles: bytes) -> bytes:
@@ -170,14 +175,14 @@ def _signed(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """``(a, b, shingles)`` of rows ``(a, b, text, digest)``; rows whose text gives another set than the wanted one fall out."""
     shingle = _Shingler(words)
     for batch in batches:
-        docs, texts = batch.column(0).to_pylist(), batch.column(1)
-        for low in range(0, len(docs), 500):
-            found = [shingle(t.as_py()).tobytes() for t in texts[low:low + 500]]
-            digests = [_digest(s) for s in found]
-            yield pa.RecordBatch.from_arrays([pa.array(docs[low:low + 500], pa.int64()), pa.array(digests, pa.binary()), pa.array(found, pa.binary())],
-                                             names=["rep", "digest", "shingles"])
+        for low in range(0, batch.num_rows, 200):
+            part = batch.slice(low, 200)
+            found = [shingle(t.as_py()).tobytes() for t in part.column(2)]
+            same = pa.array([_digest(s) == d for s, d in zip(found, part.column(3).to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.binary())], names=["a", "b", "shingles"]).filter(same)
 
 
 def _similar(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator[pa.RecordBatch]:
@@ -196,18 +201,27 @@ def _overlap_bound(bits_a: np.ndarray, bits_b: np.ndarray, size_a: np.ndarray, s
     return (size_a + size_b - np.bitwise_count(bits_a ^ bits_b).sum(-1, dtype="i8")) // 2
 
 
-def _bits(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "u8").reshape(len(column), BITMAP_WORDS)
+def _folded(bitmaps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps of one length in bytes as rows of ``size`` bytes: halves are laid over one another until they fit."""
+    bits = np.frombuffer(b"".join(bitmaps), "u8").reshape(len(bitmaps), -1)
+    while bits.shape[1] * 8 > size:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
 
 
 def _may_link(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator[pa.RecordBatch]:
     """Keeps the pairs whose bitmaps allow the threshold."""
     p, q = threshold.numerator, threshold.denominator
     for batch in batches:
-        if not batch.num_rows:
-            continue
         n_a, n_b = (np.asarray(batch.column(k).to_numpy(zero_copy_only=False), "i8") for k in (2, 3))
-        bound = _overlap_bound(_bits(batch.column(4)), _bits(batch.column(5)), n_a, n_b)
+        a, b = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+        bound = np.zeros(batch.num_rows, "i8")
+        lengths = np.array([(len(x), len(y)) for x, y in zip(a, b)], "i8").reshape(-1, 2)
+        for pair in np.unique(lengths, axis=0):
+            rows = np.flatnonzero((lengths == pair).all(1))
+            size = int(pair.min())
+            bound[rows] = _overlap_bound(_folded([a[r] for r in rows], size), _folded([b[r] for r in rows], size), n_a[rows], n_b[rows])
         keep = q * bound >= p * (n_a + n_b - bound)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
@@ -216,7 +230,13 @@ def _tile_pairs(group: pa.Table, threshold: Fraction) -> pa.Table:
     """Pairs of different components in one pair of row tiles whose bitmaps allow the threshold."""
     p, q = threshold.numerator, threshold.denominator
     tile, i, j, rep, comp, n = (group.column(k).to_numpy() for k in ("tile", "i", "j", "rep", "comp", "n_shingles"))
-    bits = _bits(group.column("bitmap").combine_chunks())
+    raw = group.column("bitmap").to_pylist()
+    lengths = np.array([len(x) for x in raw])
+    size = int(lengths.min())
+    bits = np.zeros((len(raw), size // 8), "u8")
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        bits[rows] = _folded([raw[r] for r in rows], size)
     left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
     found_a, found_b = [], []
     for x in left:
@@ -251,35 +271,59 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hits = keyed.select("key", "rep", low.alias("low"), F.lead("rep").over(in_key).alias("after"))
     hits = store.written(hits.where("low < rep OR after > rep").select("key", "rep", "low"), "shared_keys")
     info = store.written(reps.join(hits.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
-                         .select(F.col("doc").alias("rep"), "n_shingles", "bitmap").dropDuplicates(["rep"]), "bitmaps")
-    wanted = info.select(F.col("rep").alias("doc"))
-    sets = texts.join(wanted, "doc", "left_semi").mapInArrow(lambda it: _sets(it, words), "rep long, digest binary, shingles binary")
-    sets = store.written(sets.join(firsts.withColumnRenamed("doc", "rep"), ["rep", "digest"], "left_semi").dropDuplicates(["rep"]).drop("digest"), "sets")
+                         .select(F.col("doc").alias("rep"), "n_shingles", "bitmap", "digest").dropDuplicates(["rep"]), "bitmaps")
+    digests = info.select(F.col("rep").alias("doc"), "digest")
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*(F.col(c).alias(name if c == "rep" else f"{c}_{name}") for c in df.columns))
+    def allowed(pairs: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(info.select(F.col("rep").alias(end), F.col("n_shingles").alias(f"n_{end}"), F.col("bitmap").alias(f"bitmap_{end}")), end)
+        return pairs.select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b").mapInArrow(lambda it: _may_link(it, t), "a long, b long")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        with_sets = pairs.join(side(sets, "a"), "a").join(side(sets, "b"), "b").select("a", "b", "shingles_a", "shingles_b")
-        return with_sets.mapInArrow(lambda it: _similar(it, t), "a long, b long")
-
-    stars = hits.where("low < rep").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = stars.join(side(info, "a"), "a").join(side(info, "b"), "b").select("a", "b", "n_shingles_a", "n_shingles_b", "bitmap_a", "bitmap_b")
-    linked = store.written(verified(stars.mapInArrow(lambda it: _may_link(it, t), "a long, b long")), "star_links")
-    found = store.written(components(linked, "a", "b"), "star_groups")
-
-    # Sets of different components under one key; keys with the same sets are one.
-    placed = hits.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("c1"), F.max("comp").alias("c2"),
-                                      F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("print")).where("c1 < c2")
-    mixed = mixed.groupBy("size", "print").agg(F.min("key").alias("key"))
-    rows = placed.join(mixed.select("key", F.ceil(F.col("size") / TILE_ROWS).cast("int").alias("tiles")), "key").join(info, "rep")
-    rows = rows.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        """The linked ones of distinct pairs. The set of each ``b`` travels once, to that of its ``a``."""
+        def sets(wanted: DataFrame) -> DataFrame:
+            rows = texts.join(wanted.join(digests, "doc"), "doc").select("a", F.col("doc").alias("b"), "text", "digest")
+            return rows.mapInArrow(lambda it: _sets(it, words), "a long, b long, shingles binary")
+
+        ends = sets(pairs.select("a", F.col("b").alias("doc"))).withColumnRenamed("shingles", "shingles_b")
+        starts = sets(pairs.select("a", F.col("a").alias("doc")).distinct()).select("a", F.col("shingles").alias("shingles_a")).dropDuplicates(["a"])
+        return ends.join(starts, "a").select("a", "b", "shingles_a", "shingles_b").mapInArrow(lambda it: _similar(it, t), "a long, b long")
+
+    def mixed_keys(found: DataFrame, *more) -> tuple[DataFrame, DataFrame]:
+        """The sets with their components, and the keys of several components; keys with the same sets are one."""
+        placed = hits.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+        mixed = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("c1"), F.max("comp").alias("c2"),
+                                          F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("print"), *more).where("c1 < c2")
+        return placed, mixed.groupBy("size", "print").agg(F.min_by(F.struct("*"), "key").alias("k")).select("k.*")
+
+    links = found = None
+    for turn in range(STARS):
+        if found is None:
+            stars = hits.where("low < rep").select(F.col("low").alias("a"), F.col("rep").alias("b"))
+        else:
+            pivot = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("draw"), "rep", "comp")).alias("pivot")
+            placed, mixed = mixed_keys(found, pivot)
+            stars = placed.join(mixed.select("key", "pivot"), "key").where("comp != pivot.comp").select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"))
+        one_each = store.written(allowed(stars.distinct()).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "stars")
+        more = store.written(verified(one_each), "star_links")
+        links = more if links is None else links.unionByName(more)
+        found = store.written(components(links, "a", "b"), "star_groups")
+
+    # Sets of different components under one key: the largest component's tiles come after those of the others.
+    placed, mixed = mixed_keys(found)
+    placed = placed.join(mixed.select("key", "size"), "key")
+    largest = placed.groupBy("key", "comp").agg(F.count("*").alias("n"), F.first("size").alias("size")).groupBy("key").agg(
+        F.max(F.struct("n", "comp")).alias("top"), F.first("size").alias("size"))
+    tiles = largest.select("key", F.col("top.comp").alias("top"), F.ceil((F.col("size") - F.col("top.n")) / TILE_ROWS).cast("int").alias("others"),
+                           F.ceil(F.col("top.n") / TILE_ROWS).cast("int").alias("own"))
+    in_top = F.col("comp") == F.col("top")
+    rows = placed.drop("size").join(tiles, "key").join(info.drop("digest"), "rep")
+    rows = rows.withColumn("tile", F.when(in_top, F.col("others") + F.pmod(F.xxhash64("rep"), F.col("own"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("others"))).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1 + F.when(in_top, 0).otherwise(F.col("own")))))
     rows = rows.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "rep", "comp", "n_shingles", "bitmap")
-    rest = rows.groupBy("key", "i", "j").applyInArrow(lambda g: _tile_pairs(g, t), "a long, b long").distinct()
-    more = store.written(verified(rest), "tile_links")
-    final = components(linked.unionByName(more), "a", "b").select(F.col("node").alias("class_id"), F.col("component").alias("component_id"))
+    rest = store.written(rows.groupBy("key", "i", "j").applyInArrow(lambda g: _tile_pairs(g, t), "a long, b long").distinct(), "tile_pairs")
+    links = links.unionByName(store.written(verified(rest), "tile_links"))
+    final = components(links, "a", "b").select(F.col("node").alias("class_id"), F.col("component").alias("component_id"))
 
     group = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "class_id")).otherwise(F.col("doc"))
     class_id = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc"))

@@ -58,13 +58,47 @@ def test_similar_groups_equal_brute_force(spark, texts, awkward, n, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {d: (len(s), expected[d]) for d, s in sets.items()}
 
 
+def bound(x, y):
+    a, b = (jaccard._bitmap(s) for s in (x, y))
+    size = min(len(a), len(b))
+    return jaccard._overlap_bound(jaccard._folded([a], size), jaccard._folded([b], size), np.array([len(x)]), np.array([len(y)]))[0]
+
+
 def test_bitmap_bound_never_undercuts_the_overlap():
     rng = np.random.default_rng(1)
     for _ in range(200):
         x = np.unique(rng.integers(0, 3000, rng.integers(1, 900)).astype("u8") * np.uint64(0x9E3779B97F4A7C15))
         y = np.unique(np.concatenate([rng.choice(x, len(x) // 2), rng.integers(0, 3000, rng.integers(1, 300)).astype("u8")]))
-        a, b = (np.frombuffer(jaccard._bitmap(s), "u8") for s in (x, y))
-        assert jaccard._overlap_bound(a, b[None], len(x), np.array([len(y)]))[0] >= len(np.intersect1d(x, y))
+        assert bound(x, y) >= len(np.intersect1d(x, y))
+
+
+@pytest.mark.parametrize("size", [100, 2500, 20_000])
+def test_bitmaps_of_long_texts_tell_sets_apart(size):
+    rng = np.random.default_rng(size)
+    x = np.unique(rng.integers(0, 1 << 63, size).astype("u8"))
+    for share, most in ((0.0, 0.65), (0.8, 0.85)):
+        y = np.unique(np.concatenate([x[:int(share * size)], rng.integers(0, 1 << 63, size - int(share * size)).astype("u8")]))
+        high = bound(x, y)
+        assert len(np.intersect1d(x, y)) <= high <= most * size
+
+
+def test_long_texts_and_a_group_of_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE_ROWS", 16)  # several tiles on few rows
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(5000)]
+    short = [f"v{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(240):
+        words = list(long if i < 20 else short if i < 100 else [f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(5, 200))])
+        for _ in range(rng.choice([0, 2, 5, 8]) * len(words) // 250 if i < 100 else 0):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append(((i * 101) % 240, " ".join(words)))
+    sets = {d: shingle_set(t, 3) for d, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b])]
+    expected = groups_of(links, sets)
+    assert len(set(expected[d] for d, _ in rows[:100])) > 2 and len(links) > 200
+    found = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == expected
 
 
 def test_no_documents(spark):
