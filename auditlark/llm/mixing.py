@@ -5,8 +5,10 @@
 2. Documents with equal statistics have equal posteriors; they form a cell. Cells are bounded by the number of statistic values
    (``max_cells``), not by the corpus, and carry their token sums.
 3. Projected gradient on the least squares between the expected share of each domain's tokens and its target, in the metric of the
-   domains' overlap among the cells that still have a rate: a step that nothing clips meets the targets at once. Every step is one
-   aggregation over the cells; a cell's rate follows from the list of all steps so far, which is as long as steps times domains.
+   domains' overlap among the cells that still have a rate, plus a ridge. A step that does not bring the targets closer is taken back and
+   the ridge raised, which makes it a shorter step along the plain gradient; else the ridge falls. So every step kept descends. Every trial is
+   one aggregation over the cells; a cell's rate follows from the list of the steps kept, which is as long as steps times domains. The
+   fit ends when the targets are met or no step brings them closer; what is missed then is logged.
 4. A document is taken floor(rate + u) times, u a number in [0, 1) drawn from its id, and ``at_least`` times.
 
 Null or empty texts have no tokens and take no part in the fit; they get the rate of their cell. Domains without target weight are
@@ -16,6 +18,7 @@ is 1. Rows that share an id are drawn alike. Other columns pass through.
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Mapping
 
@@ -29,7 +32,9 @@ from auditlark.llm.samples import uniform
 
 NO_CAPITALS = "[^A-Z]+"
 NO_SYMBOLS = r"""[^!"#$%&()*+/:;<=>?@\[\]^_{|}~]+"""
-RIDGE = 1e-3          # share of the tokens below which a domain's overlap does not speed its step up
+RIDGE, LOWEST, HIGHEST = 1e-3, 1e-6, 1e3   # of the first step, and its range; in shares of the tokens
+GAIN = 1e-5           # of the squared miss: three kept steps in a row below it end the fit
+OTHER = "\0"          # languages of no labelled row
 FEATURES = ("f_lang", "f_size", "f_capitals", "f_symbols", "f_word")
 
 
@@ -40,7 +45,7 @@ def token_count(text: Column) -> Column:
 
 
 def statistics(docs: DataFrame, text_col: str, lang_col: str | None, languages: list[str]) -> DataFrame:
-    """``docs`` with ``n_tokens`` and the binned statistics; languages beyond the listed ones are one value."""
+    """``docs`` with ``n_tokens`` and the binned statistics; languages beyond the listed ones are one value, rows without one another."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
 
     def left(pattern: str) -> Column:
@@ -54,7 +59,8 @@ def statistics(docs: DataFrame, text_col: str, lang_col: str | None, languages:
         return sum(((value >= c).cast("int") for c in cuts[1:]), (value >= cuts[0]).cast("int"))
 
     size = F.col("__size")
-    lang = F.when(F.col(f"`{lang_col}`").isin(*languages), F.col(f"`{lang_col}`")).otherwise("") if lang_col and languages else F.lit("")
+    own = F.col(f"`{lang_col}`").cast("string") if lang_col and languages else None
+    lang = F.when(own.isNull(), "").when(own.isin(*languages), own).otherwise(OTHER) if own is not None else F.lit("")
     return docs.select("*", measures).select(
         *(F.col(f"`{c}`") for c in docs.columns), "n_tokens", lang.alias("f_lang"), F.least(F.lit(16), F.floor(F.log2(size.cast("double"))).cast("int")).alias("f_size"),
         binned(F.col("__capitals") / size, (0.05, 0.15, 0.4)).alias("f_capitals"), binned(F.col("__symbols") / size, (0.005, 0.03, 0.1)).alias("f_symbols"),
@@ -94,18 +100,17 @@ def _rate(steps: list[list[float]]) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
-        keep_all: bool = False, steps: int = 12, tolerance: float = 1e-4, max_cells: int = 200_000) -> tuple[DataFrame, list[str], list[str]]:
+        keep_all: bool = False, trials: int = 300, tolerance: float = 1e-4, max_cells: int = 200_000) -> tuple[DataFrame, list[str], list[str]]:
     """The cells with ``p`` and ``rate``, the domains in the order of ``p``, and the languages told apart.
 
     ``labels`` has ``id_col`` and ``domain``. The targets are shares of the present number of tokens, or, with ``keep_all``, of the
     smallest number at which no domain loses tokens. The cells are written and small.
     """
     known = labels.select(F.col(id_col).alias("__id"), "domain").where("__id IS NOT NULL AND domain IS NOT NULL")
-    if lang_col:  # the commonest languages of the corpus; the rest share one value
-        top = docs.where(F.col(lang_col).isNotNull()).groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(20)
-        languages = [r[0] for r in top.collect()]
-    else:
-        languages = []
+    languages = []
+    if lang_col:  # those of labelled rows: no other tells the classifier anything
+        tagged = docs.select(F.col(id_col).alias("__id"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL")
+        languages = sorted(r[0] for r in tagged.join(known.select("__id").distinct(), "__id", "left_semi").select("lang").distinct().collect())
     rows = store.written(statistics(docs, text_col, lang_col, languages).select(F.col(id_col).alias("__id"), "n_tokens", *FEATURES), "statistics")
     labelled = rows.join(known, "__id").select("domain", *FEATURES)
     domains = sorted(r[0] for r in known.select("domain").distinct().collect() if r[0] in targets) or []
@@ -140,12 +145,20 @@ def fit(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col
         goal = goal / goal.sum() if goal.sum() else goal
         if keep_all:
             goal = goal * max((n / g for n, g in zip(now, goal) if g), default=1.0)
-        for _ in range(steps):
-            miss = now - goal
-            if np.abs(miss).max() < tolerance:
+        ridge, idle, miss = RIDGE, 0, now - goal
+        for _ in range(trials):
+            if np.abs(miss).max() < tolerance or ridge > HIGHEST or idle == 3:
                 break
-            taken.append(np.linalg.solve(overlap + RIDGE * np.eye(len(domains)), miss).tolist())
-            now, overlap = measured(_rate(taken))
+            step = np.linalg.solve(overlap + ridge * np.eye(len(domains)), miss).tolist()
+            now, there = measured(_rate([*taken, step]))
+            gain = 1 - ((now - goal) @ (now - goal)) / (miss @ miss)
+            if gain <= 0:
+                ridge *= 4
+                continue
+            taken.append(step)
+            miss, overlap, ridge, idle = now - goal, there, max(LOWEST, ridge / 3), idle + 1 if gain < GAIN else 0
+        if np.abs(miss).max() >= tolerance:
+            logging.getLogger(__name__).warning("targets missed by %s", {d: round(float(x), 6) for d, x in zip(domains, miss)})
     cells.unpersist()
     return cells.select(*FEATURES, "p", _rate(taken).alias("rate")), domains, languages
 
