@@ -35,11 +35,31 @@ def hash_rank(df: DataFrame, key: str, group: str, seed: int = 42, prefix_digits
 
 
 def stratified_split(df: DataFrame, key: str, label: str, train_percent: int = 80, seed: int = 42, prefix_digits: int = 4) -> DataFrame:
-    """The rows plus ``is_train``: an exact share of every label, repeatable anywhere."""
-    ranked = hash_rank(df, key, label, seed, prefix_digits, "__rank")
+    """The rows plus ``is_train``: an exact share of every label, repeatable anywhere.
+
+    The train rows of a label are those up to one place in its hash order. Only keys and labels are counted and ranked to find the hash at that place, so whole
+    rows (texts) are never shuffled; one cut per label is broadcast. Rows that share the hash of a cut (repeated keys) are numbered, as only some of them are in.
+    """
+    hashed = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    narrow = df.select(F.col(label).alias("__g"), hashed.alias("__h")).withColumn("__cell", F.substring("__h", 1, prefix_digits))
+    cells = narrow.groupBy("__g", "__cell").agg(F.count(F.lit(1)).alias("__n"))
+    whole = Window.partitionBy("__g")
+    before = whole.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)  # at most 16^prefix_digits cells per label
+    placed = cells.select("__g", "__cell", "__n", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"), F.sum("__n").over(whole).alias("__size"))
     # Integer form of (rank - 1) / (size - 1) < share, the percent rank of a row.
-    train = (F.col("__rank") - 1) * 100 < F.lit(train_percent) * F.greatest(F.col("group_size") - 1, F.lit(1))
-    return ranked.withColumn("is_train", train).drop("__rank", "group_size")
+    share = F.lit(train_percent) * F.greatest(F.col("__size") - 1, F.lit(1))
+    placed = placed.withColumn("__last", F.least("__size", F.ceil(share / 100).cast("bigint")) - F.col("__before")).where(F.col("__last").between(1, F.col("__n")))
+    cut_cells = placed.select(F.col("__g").alias("__cut_g"), F.col("__cell").alias("__cut_cell"), "__last")
+    near = narrow.join(F.broadcast(cut_cells), F.col("__g").eqNullSafe(F.col("__cut_g")) & (F.col("__cell") == F.col("__cut_cell")))
+    order = Window.partitionBy("__g").orderBy("__h")  # the rows of one cell of each label
+    ranked = near.select("__g", "__h", "__last", F.row_number().over(order).alias("__place"), F.rank().over(order).alias("__first"))
+    cuts = ranked.where("__place = __last").select("__g", F.col("__h").alias("__cut"), (F.col("__place") - F.col("__first") + 1).alias("__take"))
+
+    rows = df.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("__g")), "left")
+    at_cut = F.coalesce(hashed == F.col("__cut"), F.lit(False))
+    clear = rows.where(~at_cut).withColumn("is_train", F.coalesce(hashed < F.col("__cut"), F.lit(False)))
+    tied = rows.where(at_cut).withColumn("is_train", F.row_number().over(Window.partitionBy(label).orderBy(key)) <= F.col("__take"))
+    return clear.unionByName(tied).drop("__g", "__cut", "__take")
 
 
 def ordered_position(df: DataFrame, group: list[str], order: list[str], output: str = "position", ranges: int = 64) -> DataFrame:
