@@ -12,7 +12,7 @@ from auditlark.functions.text import WORD, once
 from auditlark.operators import evaluate as E
 from auditlark.operators import ml as ML
 from auditlark.operators.ranking import hash_rank, stratified_split
-from auditlark.session import materialize, scratch_folder
+from auditlark.session import scratch_folder
 
 SQL_RANKED = """ranked AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5(concat_ws('|', doc_id::VARCHAR, '42')), doc_id) AS rank,
 count(*) OVER (PARTITION BY quality) AS group_size FROM labels)"""
@@ -49,10 +49,10 @@ SELECT d.doc_id, coalesce(n_terms, 0) AS n_terms, coalesce({sql_round('top', 4)}
 def tfidf_features(spark, folder):
     texts = _examples(spark, folder)
     vectors = ML.tfidf_model(texts).transform(texts.select("doc_id", "text"))
-    weights = vectors.select("doc_id", once(F.struct(ML.vector_to_array("features").alias("weights"))))
+    weights = vectors.select("doc_id", once(F.struct(ML.sparse_values("features")[1].alias("weights"))))
     return weights.select(
         "doc_id", F.size(F.filter("weights", lambda w: w != 0)).cast("bigint").alias("n_terms"),
-        round_exact(F.array_max("weights"), 4).alias("top_weight"))
+        round_exact(F.coalesce(F.array_max("weights"), F.lit(0.0)), 4).alias("top_weight"))
 
 
 SQL_LINEAR = f"""
@@ -82,7 +82,7 @@ texts AS (SELECT doc_id, lang AS label, text FROM documents), {SQL_LINEAR}"""
 def _linear(spark, folder):
     """Coefficients counted on the training rows, kept as a table, and the probabilities of all documents."""
     split = stratified_split(_examples(spark, folder), "doc_id", "label")
-    coefficients = materialize(ML.term_weights(split.where("is_train")))
+    coefficients = ML.term_weights(split.where("is_train"))
     return ML.linear_probabilities(_examples(spark, folder), "doc_id", "text", coefficients)
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -12,8 +16,10 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlark.functions import numbers as N
 from auditlark.functions import text as X
@@ -46,6 +52,12 @@ def _most_frequent(terms: DataFrame, limit: int) -> list[str]:
     return sorted(r["term"] for r in counts.orderBy(F.desc("count"), "term").limit(limit).collect())
 
 
+def sparse_values(vector: str) -> tuple[Column, Column]:
+    """Places and values of a sparse vector column, without its zeros."""
+    fields = F.unwrap_udt(F.col(vector))
+    return fields["indices"], fields["values"]
+
+
 def top_terms(texts: DataFrame, limit: int = MAX_TERMS) -> list[str]:
     """The most frequent words and word pairs, ties in alphabetical order."""
     return _most_frequent(_terms(texts), limit)
@@ -55,14 +67,12 @@ def tfidf_model(texts: DataFrame, limit: int = MAX_TERMS) -> PipelineModel:
     """Smooth tf-idf over words and word pairs, L2-normed.
 
     The vocabulary is the ``limit`` most frequent terms, a feature of the model. Spark's idf is ``ln((n + 1) / (df + 1))``;
-    one is added to every weight, so that terms found in all texts keep a weight of one.
+    one is added to every weight, so that terms found in all texts keep a weight of one. Terms are extracted once to be counted and once
+    for their document frequencies: kept, they would take several times the room of the texts.
     """
-    terms = _terms(texts).persist()
-    try:
-        counter = CountVectorizerModel.from_vocabulary(_most_frequent(terms, limit), inputCol="terms", outputCol="tf")
-        idf = IDF(inputCol="tf", outputCol="unused").fit(counter.transform(terms)).idf.toArray()
-    finally:
-        terms.unpersist()
+    terms = _terms(texts)
+    counter = CountVectorizerModel.from_vocabulary(_most_frequent(terms, limit), inputCol="terms", outputCol="tf")
+    idf = IDF(inputCol="tf", outputCol="unused").fit(counter.transform(terms)).idf.toArray()
     weigh = ElementwiseProduct(scalingVec=Vectors.dense(idf + 1.0), inputCol="tf", outputCol="weighted")
     return PipelineModel([*_term_stages(), counter, weigh, Normalizer(p=2.0, inputCol="weighted", outputCol="features")])
 
@@ -113,60 +123,92 @@ def coefficient_table(model: PipelineModel) -> DataFrame:
     weights, intercepts = regression.coefficientMatrix.toArray(), regression.interceptVector.toArray()
     rows = [(label, None, None, float(intercepts[k])) for k, label in enumerate(class_names(model))]
     rows += [(label, t, float(idf[i]), float(weights[k, i])) for k, label in enumerate(class_names(model)) for i, t in enumerate(vocabulary)]
-    columns = dict(zip(("label", "term", "idf", "weight"), zip(*rows)))
-    types = {"label": pa.string(), "term": pa.string(), "idf": pa.float64(), "weight": pa.float64()}
-    return SparkSession.active().createDataFrame(pa.table({n: pa.array(list(v), types[n]) for n, v in columns.items()}))
+    return _coefficient_rows(rows)
 
 
 def term_weights(examples: DataFrame, label: str = "label", max_terms: int = MAX_TERMS) -> DataFrame:
     """Coefficients in closed form, by counting only: the log share of a term in a class (multinomial naive Bayes, add one), and the log share of the class.
 
-    Any engine can repeat them exactly; as a start, or where a fit is not wanted. Terms are the ``max_terms`` most frequent ones of the examples.
+    Any engine can repeat them exactly; as a start, or where a fit is not wanted. Terms are the ``max_terms`` most frequent ones of the examples: one pass
+    finds them, a second one sums them per class. Only labels x vocabulary reach the driver.
     """
-    rows = examples.where(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), _term_counts(F.col("text")).alias("terms"))
+    rows = examples.where(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), _term_list(F.col("text")).alias("terms"))
     rows = rows.select("label", X.once(F.struct("terms")))
-    counts = rows.select("label", F.inline("terms")).groupBy("label", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df"))
-    totals = counts.groupBy("term").agg(F.sum("n").alias("all"), F.sum("df").alias("df")).orderBy(F.desc("all"), "term").limit(max_terms)
-    classes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
-    everything = classes.agg(F.sum("docs").alias("texts"))
-    kept = counts.drop("df").join(totals.select("term", "df"), "term")
-    sums = kept.groupBy("label").agg(F.sum("n").alias("in_class"))
-    grid = classes.crossJoin(F.broadcast(everything)).join(sums, "label", "left").crossJoin(F.broadcast(totals.select("term", "df")))  # labels x vocabulary
-    size = totals.agg(F.count(F.lit(1)).alias("size"))
-    grid = grid.join(kept.select("label", "term", "n"), ["label", "term"], "left").crossJoin(F.broadcast(size))
-    weight = F.ln((F.coalesce("n", F.lit(0)) + 1) / (F.coalesce("in_class", F.lit(0)) + F.col("size")).cast("double"))
-    idf = F.ln((F.col("texts") + 1) / (F.col("df") + 1).cast("double")) + 1
-    intercepts = classes.crossJoin(F.broadcast(everything)).select(
-        "label", F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("idf"), F.ln(F.col("docs") / F.col("texts").cast("double")).alias("weight"))
-    return grid.select("label", "term", idf.alias("idf"), weight.alias("weight")).unionByName(intercepts)
-
-
-def _term_counts(text: Column) -> Column:
-    """``(term, n)`` of the words and word pairs of a text, each once."""
+    vocabulary = _most_frequent(rows, max_terms)
+    counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="tf").transform(rows) if vocabulary else rows
+    summary = [Summarizer.metrics("sum", "numNonZeros").summary(F.col("tf")).alias("of")] if vocabulary else []
+    classes = counted.groupBy("label").agg(F.count(F.lit(1)).alias("docs"), *summary).orderBy("label").collect()
+    texts = sum(r["docs"] for r in classes)
+    found = [(r["label"], None, None, math.log(r["docs"] / texts)) for r in classes]
+    if vocabulary and classes:
+        frequency = sum(r["of"]["numNonZeros"].toArray() for r in classes)
+        idf = [math.log((texts + 1) / (k + 1)) + 1 for k in frequency]
+        for r in classes:
+            n = r["of"]["sum"].toArray()
+            everything = n.sum() + len(vocabulary)
+            found += [(r["label"], t, idf[i], math.log((n[i] + 1) / everything)) for i, t in enumerate(vocabulary)]
+    return _coefficient_rows(found)
+
+
+def _coefficient_rows(rows: list[tuple]) -> DataFrame:
+    types = {"label": pa.string(), "term": pa.string(), "idf": pa.float64(), "weight": pa.float64()}
+    return SparkSession.active().createDataFrame(pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(types.items())}))
+
+
+def _term_list(text: Column) -> Column:
+    """The words and word pairs of a text."""
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD_PATTERN), F.lit(0))
 
     def with_pairs(found: Column) -> Column:
         rest = F.greatest(F.size(found) - 1, F.lit(0))
         return F.concat(found, F.zip_with(F.slice(found, F.lit(1), rest), F.slice(found, F.lit(2), rest), lambda a, b: F.concat(a, F.lit(" "), b)))
 
-    return F.transform(X.frequencies(X.let(words, with_pairs)), lambda p: F.struct(p["word"].alias("term"), p["n"].alias("n")))
+    return X.let(words, with_pairs)
 
 
 def linear_probabilities(texts: DataFrame, key: str, text: str, coefficients: DataFrame) -> DataFrame:
     """``key, label, probability``: every text scored by a table of coefficients.
 
-    A text's terms are counted where it is read and joined with the vocabulary, one row per term holding the weights of all labels; only sums per text are shuffled.
+    A text's known terms are counted and weighed where it is read, as one sparse vector times the matrix of the weights; only one row of sums per text is shuffled.
     ``key`` must be unique; a text without a known term has the probabilities of the intercepts alone.
     """
-    labels = [r[0] for r in coefficients.select("label").distinct().orderBy("label").collect()]
-    by_label = [F.coalesce(F.max(F.when(F.col("label") == c, F.col("weight"))), F.lit(0.0)).alias(f"w{k}") for k, c in enumerate(labels)]
-    vocabulary = coefficients.where("term IS NOT NULL").groupBy("term").agg(F.max("idf").alias("idf"), *by_label)
-    start = {r["label"]: r["weight"] for r in coefficients.where("term IS NULL").collect()}
-    terms = texts.select(F.col(key), _term_counts(F.col(text)).alias("terms")).select(key, X.once(F.struct("terms"))).select(key, F.inline("terms"))
-    value = F.col("n") * F.col("idf")
-    sums = terms.join(vocabulary, "term").groupBy(key).agg(
-        F.sqrt(F.sum(value * value)).alias("norm"), *(F.sum(value * F.col(f"w{k}")).alias(f"s{k}") for k in range(len(labels))))
-    every = texts.select(key).join(sums, key, "left")
+    rows = coefficients.collect()  # labels x vocabulary
+    labels = sorted({r["label"] for r in rows})
+    start = {r["label"]: r["weight"] for r in rows if r["term"] is None}
+    place = {t: i for i, t in enumerate(sorted({r["term"] for r in rows if r["term"] is not None}))}
+    matrix = np.full((len(place), len(labels) + 1), -np.inf)  # the idf of a term and its weights
+    at = {c: k + 1 for k, c in enumerate(labels)}
+    for r in rows:
+        if r["term"] is not None:
+            line = matrix[place[r["term"]]]
+            line[0] = max(line[0], r["idf"])
+            line[at[r["label"]]] = max(line[at[r["label"]]], r["weight"])
+    matrix[np.isneginf(matrix)] = 0.0
+    names = ["norm", *(f"s{k}" for k in range(len(labels)))]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, values = batch.column("places"), batch.column("n")
+            size = np.diff(places.offsets.to_numpy())
+            at, n = places.flatten().to_numpy(), values.flatten().to_numpy()
+            value = n * matrix[at, 0]
+            parts = np.concatenate([(value * value)[:, None], value[:, None] * matrix[at, 1:]], axis=1)
+            first = np.concatenate([[0], np.cumsum(size)[:-1]])  # no text is without a place here
+            total = np.add.reduceat(parts, first, axis=0) if len(size) else parts
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(total[:, k]) for k in range(len(names)))], ["key", *names])
+
+    every = texts.select(key)
+    if place:
+        terms = texts.select(F.col(key).alias("key"), _term_list(F.col(text)).alias("terms"))
+        counted = CountVectorizerModel.from_vocabulary(list(place), inputCol="terms", outputCol="tf").transform(terms)
+        places, n = sparse_values("tf")
+        counted = counted.select("key", X.once(F.struct(places.alias("places"), n.alias("n")))).where(F.size("places") > 0)
+        schema = T.StructType([T.StructField("key", texts.schema[key].dataType), *(T.StructField(name, T.DoubleType()) for name in names)])
+        summed = counted.mapInArrow(sums, schema).groupBy(F.col("key").alias(key)).agg(
+            F.sqrt(F.sum("norm")).alias("norm"), *(F.sum(name).alias(name) for name in names[1:]))
+        every = every.join(summed, key, "left")
+    else:
+        every = every.select("*", *(F.lit(None).cast("double").alias(name) for name in names))
     scores = F.array(*(F.lit(float(start.get(c, 0.0))) + F.coalesce(F.col(f"s{k}") / F.col("norm"), F.lit(0.0)) for k, c in enumerate(labels)))
 
     def softmax(z: Column) -> Column:

@@ -137,3 +137,46 @@ def test_a_fitted_model_expects_its_class_sizes(frame):
     texts = examples(frame).where("label IS NOT NULL AND text IS NOT NULL")
     for r in ML.calibration(ML.train_classifier(texts, max_iter=100, tolerance=1e-8), texts).collect():
         assert abs(r.expected_rows - r.n_rows) < 0.02 * r.n_rows
+
+
+def test_split_moves_no_whole_rows(frame):
+    df = frame([(i, "a" if i % 3 else None, "some text") for i in range(300)], "id int, label string, text string").repartition(3)
+    split = stratified_split(df, "id", "label")
+    got = {(r["label"], r["is_train"]): r["count"] for r in split.groupBy("label", "is_train").count().collect()}
+    assert got == {("a", True): 160, ("a", False): 40, (None, True): 80, (None, False): 20}
+    ranks = {r["id"]: r["rank"] for r in hash_rank(df, "id", "label").collect()}
+    assert all(r["is_train"] == (ranks[r["id"]] <= (160 if r["label"] else 80)) for r in split.collect())
+    joins = [line for line in split._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in line]
+    assert not joins  # rows with their texts stay where they are read
+
+
+def test_split_counts_repeated_keys(frame):
+    df = frame([(i // 4, "a", f"t{i}") for i in range(100)] + [(None, "b", "x")] * 10, "id int, label string, text string")
+    got = {(r["label"], r["is_train"]): r["count"] for r in stratified_split(df, "id", "label").groupBy("label", "is_train").count().collect()}
+    assert got == {("a", True): 80, ("a", False): 20, ("b", True): 8, ("b", False): 2}
+
+
+def test_terms_are_not_kept(frame, spark, monkeypatch):
+    df = frame([(1, "red fox"), (2, "red dog")], "id int, text string")
+    kept = []
+    kind = type(df)
+    monkeypatch.setattr(kind, "persist", lambda self, *a: kept.append(self) or self)
+    assert ML.tfidf_model(df).stages[3].vocabulary == sorted(["red", "fox", "dog", "red fox", "red dog"])
+    assert not kept
+
+
+def test_scores_leave_one_row_per_text(frame):
+    rows = [(1, "red fox", "a"), (2, "red", "b"), (3, "red fox fox", "a"), (4, "", "b"), (5, None, None)]
+    df = frame(rows, "id int, text string, label string")
+    plan = ML.linear_probabilities(df, "id", "text", ML.term_weights(df))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan.split("MapInArrow")[1]  # terms meet the vocabulary where they are read
+    only = frame([(7, "fox fox fox")], "id int, text string")
+    weights = ML.term_weights(df).collect()
+    w = {(r.label, r.term): r.weight for r in weights}
+    got = {r.label: r.probability for r in ML.linear_probabilities(only, "id", "text", ML.term_weights(df)).collect()}
+    idf = {r.term: r.idf for r in weights}
+    n = {"fox": 3, "fox fox": 2}
+    norm = math.sqrt(sum((k * idf[t]) ** 2 for t, k in n.items()))
+    z = {c: w[c, None] + sum(k * idf[t] * w[c, t] for t, k in n.items()) / norm for c in "ab"}
+    total = sum(math.exp(v) for v in z.values())
+    assert all(abs(got[c] - math.exp(z[c]) / total) < 1e-9 for c in "ab")
