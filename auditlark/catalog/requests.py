@@ -157,7 +157,7 @@ def request_date_ledger(spark, folder):
 
 
 def _write_logs(spark, folder) -> str:
-    """Request logs as CSV files of different headers, one folder per priority; one has no dates, one is empty."""
+    """Request logs as CSV files of different headers, one folder of part files per priority; one has no dates, one is empty."""
     out = f"{scratch_folder(spark)}/request-logs-{uuid.uuid4().hex}"
     log = written_log(spark, folder)
     layouts = {
@@ -173,7 +173,7 @@ def _write_logs(spark, folder) -> str:
                    "3-MEDIUM": ("submitted", "request_id", "Date_Responded"), "4-NOT SPECIFIED": ("request_id", "submitted", "Date_Responded"),
                    "5-LOW": ("request_id", "submitted", "Date_Responded")}[priority]
         named = rows.select(*(F.col(c).alias(n) for c, n in zip(columns, names)))
-        named.coalesce(1).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{out}/{priority[0]}")
+        named.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{out}/{priority[0]}")
     log.limit(0).select("request_id").coalesce(1).write.text(f"{out}/6")
     return out
 
