@@ -209,14 +209,16 @@ def csv_file_reports(spark, folder):
     out = f"{scratch_folder(spark)}/csv-tables-{uuid.uuid4().hex}"
     for name in FILE_TABLES:
         df = table(spark, folder, name, list(REPORT_COLUMNS[name]))
-        df.select(*(F.col(c).cast("string") for c in df.columns)).coalesce(1).write.option("header", True).option("escape", '"').csv(f"{out}/{name}")
+        df.select(*(F.col(c).cast("string") for c in df.columns)).write.option("header", True).option("escape", '"').csv(f"{out}/{name}")
     extra = F.when(F.col("p_partkey") % 3 == 0, ",surplus").otherwise("")  # a cell too many
-    lines = table(spark, folder, "part", ["p_partkey", "p_size"]).select(F.concat_ws(",", "p_partkey", "p_size").alias("line"), extra.alias("extra"))
-    header = lines.limit(0).sparkSession.createDataFrame([("p_partkey,p_size", "")], "line string, extra string")
-    header.unionByName(lines).coalesce(1).select(F.concat("line", "extra").alias("value")).write.text(f"{out}/part")
+    lines = table(spark, folder, "part", ["p_partkey", "p_size"]).select(F.concat(F.concat_ws(",", "p_partkey", "p_size"), extra).alias("p_partkey,p_size"))
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(f"{out}/part")  # lines as they are, each file with the header
     files = read_csv_files(spark, out, expected=["region"])
     name = F.split("source", "/")[0].alias("source")
-    status = files.status.withColumn("source", name)
+    status = files.status.groupBy(name).agg(  # all part files of a table have one header
+        F.sum("n_rows").alias("n_rows"), F.sum("n_bad_rows").alias("n_bad_rows"), F.min("header").alias("header"), F.min("error").alias("error"))
+    malformed = F.format_string("Could not read CSV: %d malformed rows", "n_bad_rows")
+    status = status.withColumn("error", F.when(F.col("n_bad_rows") > 0, malformed).otherwise(F.col("error")))
     report = FO.file_reports(files.rows.withColumn("source", name), status)
     return report.select(
         "source", "n_rows", F.col("n_cols").cast("bigint").alias("n_cols"), joined("pii_detected").alias("pii_detected"),
