@@ -15,9 +15,13 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlark.functions import numbers as N
 from auditlark.functions import text as X
@@ -109,6 +113,37 @@ class TermTable:
         return X.let(per_paragraph, lambda rows: F.transform(
             F.sequence(F.lit(0), F.lit(len(self.rights) - 1)), lambda k: F.array_max(F.transform(rows, lambda r: F.get(r, k)))))
 
+    def paragraph_scores(self, rows: DataFrame, text: str) -> DataFrame:
+        """The rows with ``scores``, a paragraph's cosine per right in the order of the rights, in place of the paragraph.
+
+        The known terms of a paragraph are a sparse vector; a batch of them times the matrix of the rights gives the scores where the texts are read.
+        """
+        vocabulary = list(self.idf) or [""]
+        matrix = np.zeros((len(vocabulary), len(self.rights) + 1))  # the idf of a term and its weights in the rights
+        for i, w in enumerate(vocabulary):
+            matrix[i] = [self.idf.get(w, 0.0), *(weights.get(w, 0.0) for _, weights in self.rights)]
+        kept = [f for f in rows.schema.fields if f.name != text]
+        schema = T.StructType([*kept, T.StructField("scores", T.ArrayType(T.DoubleType()))])
+        n_rights = len(self.rights)
+
+        def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                places, counts = batch.column("places"), batch.column("n")
+                at, row = places.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), np.diff(places.offsets.to_numpy()))
+                w = (1 + np.log(counts.flatten().to_numpy())) * matrix[at, 0]
+                norm = np.sqrt(np.bincount(row, w * w, batch.num_rows))
+                dots = [np.bincount(row, w * matrix[at, k + 1], batch.num_rows) for k in range(n_rights)]
+                cosines = [np.divide(d, norm, out=np.zeros(batch.num_rows), where=norm > 0) for d in dots]
+                flat = pa.array(np.stack(cosines, axis=1).ravel() if cosines else np.zeros(0))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * n_rights), flat)
+                yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), lists], schema.names)
+
+        listed = rows.select(*(f.name for f in kept), X.once(F.struct(_terms(F.col(text), self.stem_length).alias("terms"))))
+        counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="tf").transform(listed)
+        vector = F.unwrap_udt(F.col("tf"))
+        found = counted.select(*(f.name for f in kept), X.once(F.struct(vector["indices"].alias("places"), vector["values"].alias("n"))))
+        return found.mapInArrow(scored, schema)
+
 
 def keyword_flags(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
     """Per right: does the whole policy hold one of its keywords?"""
@@ -128,11 +163,11 @@ def coverage_from_text(
     right exist only after it.
     """
     terms = terms or TermTable.count(policies, text, pack)
-    best = terms.scores(F.col(text))
-    scored = policies.select(
+    parts = policies.select(
         F.col(entity).alias("entity_id"),
-        X.once(F.struct(best.alias("scores"), keyword_flags(F.col(text), pack).alias("flags"))),
-    )
+        X.once(F.struct(X.paragraphs(F.col(text)).alias("parts"), keyword_flags(F.col(text), pack).alias("flags"))),
+    ).select("entity_id", "flags", F.explode_outer("parts").alias("part"))
+    scored = terms.paragraph_scores(parts, "part")
     places = range(len(pack.policy_rights))
     grouped = scored.groupBy("entity_id").agg(
         *[F.max(F.get("scores", F.lit(i))).alias(f"s{i}") for i in places],
