@@ -122,3 +122,32 @@ def test_other_packs_bring_other_formats(frame):
     found = frame([("05-01-2024",), ("2024-01-05",)], "t string").select(sla.read_date(F.col("t"), pack).alias("d")).collect()
     assert [r.d and r.d.value for r in found] == [datetime.datetime(2024, 1, 5), None]
     assert re.match(pack.date_formats[0][1], "05-01-2024")
+
+
+def test_large_tables_are_written_and_read_as_part_files(spark, frame, tmp_path):
+    """Every task that has rows of a log or a table writes its own file; the status of a table counts all of them."""
+    from auditlark.catalog.forensics import csv_file_reports
+    from auditlark.catalog.requests import _write_logs
+
+    folder = str(tmp_path / "in")
+    n = spark.range(0, 90, 1, 3)
+    name = F.concat(F.lit("n"), "id")
+    n.selectExpr("id AS l_orderkey", "1L AS l_linenumber", "id AS l_partkey", "timestamp'2024-02-01' AS l_shipdate", "'A' AS l_returnflag").write.parquet(f"{folder}/lineitem.parquet")
+    n.selectExpr("id AS o_orderkey", "timestamp'2024-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority").coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    n.select(F.col("id").alias("c_custkey"), name.alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit(1.5).alias("c_acctbal"), F.lit("x").alias("c_mktsegment")).write.parquet(f"{folder}/customer.parquet")
+    n.select(F.col("id").alias("s_suppkey"), name.alias("s_name"), F.lit(1).alias("s_nationkey"), F.lit(1.5).alias("s_acctbal")).write.parquet(f"{folder}/supplier.parquet")
+    n.select(F.col("id").cast("int").alias("n_nationkey"), name.alias("n_name"), F.lit(1).alias("n_regionkey")).limit(0).write.parquet(f"{folder}/nation.parquet")
+    n.selectExpr("id AS event_id", "timestamp'2024-01-01' AS ts", "id % 7 AS user_id", "'e' AS event_type", "1.0D AS value", "'{\"a\": 1, \"b\": \"c\"}' AS props").write.parquet(f"{folder}/events.parquet")
+    n.selectExpr("id AS p_partkey", "1 AS p_size").write.parquet(f"{folder}/part.parquet")
+    settings = {"spark.sql.files.openCostInBytes": str(128 * 1024 * 1024), "spark.sql.files.minPartitionNum": "3"}  # a task per file
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        logs = _write_logs(spark, folder)
+        assert len(glob.glob(f"{logs.removeprefix('file:')}/1/*.csv")) == 3
+        report = {r.source: r for r in csv_file_reports(spark, folder).collect()}
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert (report["customer"].n_rows, report["events"].unique_consumers, report["nation"].n_rows) == (90, 7, 0)
+    assert report["part"].error == "Could not read CSV: 30 malformed rows" and report["region"].error == "File not found"

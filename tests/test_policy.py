@@ -241,3 +241,17 @@ def test_more_categories_than_one_mask(frame):
     detected = frame([("a", "f", f"kind_{i:02d}") for i in range(65)], "entity_id string, source string, type string")
     open_kinds = {r["data_category"] for r in V.undisclosed_data(detected, policies, "entity", "text", pack).collect()}
     assert open_kinds == {f"kind_{i:02d}" for i in range(65)} - {"kind_00", "kind_63", "kind_64"}
+
+
+def test_paragraph_scores_match_the_column(frame):
+    rows = [("a", "You may access your personal data.\n\nYou may correct inaccurate personal data we hold about you."), ("a", ""), ("b", None), ("b", "12 ! ?")]
+    df = frame(rows, "entity string, text string")
+    table = P.TermTable.count(df, "text")
+    best = {}
+    for r in df.select("entity", "text", table.scores(F.col("text")).alias("s")).collect():
+        best[r.text] = r.s
+    scored = table.paragraph_scores(P.paragraph_rows(df, ["text"], "text").withColumnRenamed("paragraph", "part").select("text", "part"), "part").collect()
+    for text, expected in best.items():
+        got = [max(x) for x in zip(*(r.scores for r in scored if r.text == text))]
+        assert got == [] or max(abs(a - b) for a, b in zip(got, expected)) < 1e-12
+    assert {r.text for r in scored} >= {rows[0][1], "12 ! ?"}
