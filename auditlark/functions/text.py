@@ -16,6 +16,8 @@ BLANK = r"[\s\x1c-\x1f]"
 # A cell separator that no PII pattern can match, so that none joins two cells.
 CELL_SEPARATOR = "\u0001"
 TERMS_PER_MASK = 60
+# Up to this length one pattern of all terms is cheaper than a search for each of them.
+SHORT_TEXT = 400
 
 
 def let(value: Column, body) -> Column:
@@ -63,13 +65,13 @@ def first_term(text: Column, terms) -> Column:
     return F.get(matched_terms(text, terms), F.lit(0))
 
 
-def pattern_count(text: Column, pattern: str, needs=(), possible: Column | None = None) -> Column:
+def pattern_count(text: Column, pattern: str, needs=(), possible: Column | None = None, start: str = "") -> Column:
     """Number of non-overlapping matches; 0 for null text.
 
     ``needs`` (literals, any of them) and ``possible`` (a boolean) say when a
-    match can exist at all.
+    match can exist at all, ``start`` (a lookahead) where one can begin.
     """
-    hits = F.regexp_count(text, F.lit(REGEX_FLAGS + pattern)).cast("bigint")
+    hits = F.regexp_count(text, F.lit(REGEX_FLAGS + start + pattern)).cast("bigint")
     if needs:
         hits = F.when(contains_any(text, needs), hits)
     if possible is not None:
@@ -94,7 +96,7 @@ def with_probes(text: Column, pack: RulePack, body) -> Column:
 def pattern_counts(text: Column, pack: RulePack = DEFAULT_PACK) -> Column:
     """Matches per pattern as an array in the pack's order."""
     return with_probes(text, pack, lambda possible: F.array(*[
-        pattern_count(text, p, pack.needs(p), possible(p)) for _, p in pack.patterns
+        pattern_count(text, p, pack.needs(p), possible(p), pack.start(p)) for _, p in pack.patterns
     ]))
 
 
@@ -122,6 +124,23 @@ def term_masks(text: Column, terms, word_boundary: bool = False) -> list[Column]
     return [mask(terms[start:start + TERMS_PER_MASK]) for start in range(0, len(terms), TERMS_PER_MASK)]
 
 
+def any_term_pattern(terms) -> str:
+    """One pattern for any of the terms, sorted by their first characters so that most places of a text cost one test."""
+    by_first = {}
+    for term in dict.fromkeys(terms):
+        by_first.setdefault(term[0], []).append(term[1:])
+    starts = "".join(regex_quote(c) for c in by_first)
+    rests = (regex_quote(c) + "(?:" + "|".join(map(regex_quote, rest)) + ")" for c, rest in by_first.items())
+    return f"(?=[{starts}])(?:{'|'.join(rests)})"
+
+
+def may_hold_terms(text: Column, terms) -> Column:
+    """False for a short text without any of the terms, which one pattern tells; most cells of tables are such."""
+    if not terms or not all(terms):
+        return F.lit(bool(terms))
+    return (F.length(text) > SHORT_TEXT) | F.rlike(text, F.lit(any_term_pattern(terms)))
+
+
 def mask_terms(groups: list[tuple[str, tuple]]) -> list[dict]:
     """A table of (name, terms) with the mask position of every term, the terms
     of all groups being numbered through."""

@@ -63,23 +63,26 @@ def scan(
     ``headers`` adds column names to what the keyword search sees.
     """
     terms = [t for _, t in pack.terms()]
-    def measure(t: Column) -> Column:
-        masks = X.let(F.lower(t), lambda lowered: F.array(*X.term_masks(lowered, terms, word_boundary)))
-        return F.struct(X.pattern_counts(t, pack).alias("counts"), masks.alias("masks"))
-
-    rows = df.select(*keys, X.once(X.let(F.coalesce(text, F.lit("")), measure)))
-    n_masks = -(-len(terms) // X.TERMS_PER_MASK)
+    # Plain projections, which are compiled; each column is read several times by the next one, so Catalyst keeps them apart.
+    probes = {p: f"__h{i}" for i, p in enumerate(dict.fromkeys(pack.probe(p) for _, p in pack.patterns if pack.probe(p)))}
+    x, lowered = F.col("__x"), F.col("__lowered")
+    rows = df.select(*keys, F.coalesce(text, F.lit("")).alias("__x"))
+    rows = rows.select(*keys, "__x", F.lower("__x").alias("__lowered"), *(X.has_pattern(x, probe).alias(c) for probe, c in probes.items()))
+    rows = rows.select(*keys, "__x", "__lowered", *probes.values(), X.may_hold_terms(lowered, terms).alias("__worth"))
+    counts = [X.pattern_count(x, p, pack.needs(p), F.col(probes[pack.probe(p)]) if pack.probe(p) else None, pack.start(p)) for _, p in pack.patterns]
+    masks = {f"__m{j}": F.when(F.col("__worth"), m) for j, m in enumerate(X.term_masks(lowered, terms, word_boundary))}
+    rows = rows.select("*", *(m.alias(c) for c, m in masks.items()))
     header_text = F.lower(F.lit("\n".join(headers or [])))
     header_masks = X.term_masks(header_text, terms, word_boundary)
     seen = [
-        F.coalesce(F.bit_or(F.get("masks", F.lit(j))), F.lit(0).cast("bigint")).bitwiseOR(header_masks[j]).alias(f"m{j}")
-        for j in range(n_masks)
+        F.coalesce(F.bit_or(F.when(F.col(m) != 0, F.col(m))), F.lit(0).cast("bigint")).bitwiseOR(header_masks[j]).alias(f"m{j}")
+        for j, m in enumerate(masks)
     ]
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[
-            F.coalesce(F.sum(F.get("counts", F.lit(i))), F.lit(0).cast("bigint")).alias(f"p{i}")
-            for i in range(len(pack.patterns))
+            F.coalesce(F.sum(count), F.lit(0).cast("bigint")).alias(f"p{i}")
+            for i, count in enumerate(counts)
         ],
         *seen,
     )
@@ -416,7 +419,7 @@ def row_flags(df: DataFrame, text: Column, pack: RulePack = DEFAULT_PACK) -> Dat
     def flags(t: Column, possible) -> Column:
         hits = []
         for kind, pattern in pack.patterns:
-            hit = X.has_pattern(t, pattern, pack.needs(pattern))
+            hit = X.has_pattern(t, pack.start(pattern) + pattern, pack.needs(pattern))
             likely = possible(pattern)
             hits.append(F.when(hit if likely is None else likely & hit, F.lit(kind)))
         return F.struct(F.array_compact(F.array(*hits)).alias("pii_types"))

@@ -237,13 +237,18 @@ NARRATIVE_SUMMARY = r"(?is)(?:EXECUTIVE SUMMARY|SUMMARY)\s*\n+(.*?)(?:\n\n|\n---
 # What a text must hold for a pattern to be able to match at all: any one of
 # some literals, or one cheap probe pattern. This spares the costly patterns
 # most texts and cannot change a result. Patterns not listed are always tried.
-DIGIT_GROUPS = r"\d{3}[)\-.\s]{0,2}\d{2}|\d\.\d|\d[/\-]\d"
+# NUMBER_SHAPES is what each number pattern is without its borders; all begin with a digit, so other characters cost
+# one test, and the dates, amounts and keys that fill most tables pass none of them.
+NUMBER_SHAPES = (r"\d(?:\d(?:\d(?:-\d{2}-\d{4}|\)?+[-.\s]?+\d{3}[-.\s]?+\d{4}|\d[-\s]?+\d{4}[-\s]?+\d{4}[-\s]?+\d{4})"
+                 r"|[/\-]\d{2}[/\-](?:19|20)\d{2})|\.\d{1,3}+\.\d{1,3}+\.\d)")
 PATTERN_NEEDS = (
     *((p, ("@",)) for kind, p in PII_PATTERNS if kind == "email"),
     *((p, ("000",)) for _, _, patterns in THRESHOLD_LEVELS for p in patterns),
     *((p, ("days",)) for _, patterns in TIMELINE_PATTERNS for p in patterns),
 )
-PATTERN_PROBES = tuple((p, DIGIT_GROUPS) for kind, p in PII_PATTERNS if kind != "email")
+PATTERN_PROBES = tuple((p, NUMBER_SHAPES) for kind, p in PII_PATTERNS if kind != "email")
+# A look at the next character with which a match can begin; it spares the word borders, which cost most, everywhere else.
+PATTERN_STARTS = tuple((p, r"(?=[\d+(])") for kind, p in PII_PATTERNS if kind != "email")
 
 # Cuts for TF-IDF scores, which are lower than an encoder's.
 LEXICAL_STRONG = 0.35
@@ -282,6 +287,7 @@ class RulePack:
     patterns: tuple = PII_PATTERNS
     pattern_needs: tuple = PATTERN_NEEDS
     pattern_probes: tuple = PATTERN_PROBES
+    pattern_starts: tuple = PATTERN_STARTS
     keywords: tuple = SENSITIVE_KEYWORDS
     column_hints: tuple = COLUMN_HINTS
     consumer_id_columns: tuple = CONSUMER_ID_COLUMNS
@@ -330,6 +336,9 @@ class RulePack:
     def probe(self, pattern: str) -> str | None:
         return dict(self.pattern_probes).get(pattern)
 
+    def start(self, pattern: str) -> str:
+        return dict(self.pattern_starts).get(pattern, "")
+
     def terms(self) -> list[tuple[str, str]]:
         """(category, term) of every keyword in declared order."""
         return [(category, term) for category, terms in self.keywords for term in terms]

@@ -157,3 +157,24 @@ def test_reports_of_many_tables_equal_single_ones(frame):
     many = {r["source"]: r for r in FO.table_reports(tables).collect()}
     for name, df in tables.items():
         assert many[name] == FO.table_report(df, name).collect()[0]
+
+
+def test_probe_passes_all_matches_and_few_plain_cells():
+    plain = "18601\x0111063\x01102\x0138.0\x0182500.87\x010.07\x01A\x01F\x012000-12-24 00:00:00"
+    for _, pattern in PII_PATTERNS[1:]:
+        probe, start = DEFAULT_PACK.probe(pattern), DEFAULT_PACK.start(pattern)
+        assert not re.search(probe, plain)
+        for text in random_texts(1500, 11):
+            assert not re.search(pattern, text) or re.search(probe, text), (pattern, text)
+            assert re.findall(start + pattern, text) == re.findall(pattern, text)
+
+
+def test_terms_of_short_long_and_odd_texts(spark, frame):
+    terms = ["race", "dna", "geo-fence", "ción", "a.b", "@", "iris", "x y"]
+    texts = ["", "trace", "DNA", "geo-fence ción", "a.b a_b @", "axb", "x  y", "\u0001iris\u0001", "z" * 900, "z" * 900 + "race dna", "\U0001f389 ción" * 100]
+    pack = DEFAULT_PACK.replace(keywords=(("k", tuple(terms)),))
+    scanned = FO.scan(frame(list(enumerate(texts)), "i int, text string"), F.col("text"), ["i"], pack)
+    assert {r["i"]: r["m0"] for r in scanned.collect()} == {
+        i: sum(1 << n for n, term in enumerate(terms) if term in t.lower()) for i, t in enumerate(texts)}
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
