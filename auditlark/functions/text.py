@@ -12,7 +12,8 @@ from auditlark.rulepack import DEFAULT_PACK, PARAGRAPH_BREAK, RulePack
 
 # Unicode character classes, and a dot that stops at line feeds only.
 REGEX_FLAGS = "(?Ud)"
-BLANK = r"[\s\x1c-\x1f]"
+# Every character that is white space in Unicode, and the four separators that Python strips too.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # A cell separator that no PII pattern can match, so that none joins two cells.
 CELL_SEPARATOR = "\u0001"
 TERMS_PER_MASK = 60
@@ -45,7 +46,7 @@ def regex_quote(term: str) -> str:
 
 def strip(text: Column) -> Column:
     """Remove every kind of blank at both ends (``trim`` removes spaces only)."""
-    return F.regexp_replace(text, f"{REGEX_FLAGS}^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def contains_any(text: Column, terms) -> Column:

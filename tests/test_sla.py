@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from auditlark.functions import text as X
 from auditlark.operators import sla
 from auditlark.sources.requests import canonical_log
 
@@ -88,3 +89,14 @@ def test_no_time_zone_shifts_days(spark, frame):
             assert sorted(r["days"] for r in sla.response_days(df).collect()) == [1, 45, 46]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_strip_takes_every_blank_without_a_pattern(frame):
+    blanks = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = ["", " ", "a b", "".join(blanks), *(f"{b}a{b}b{b}\n" for b in blanks), "​a​", "᠎a", "\U0001f389 "]
+    stripped = frame(list(enumerate(texts)), "i int, t string").select("i", X.strip(F.col("t")).alias("s"))
+    assert {r.i: r.s for r in stripped.collect()} == {i: t.strip() for i, t in enumerate(texts)}
+    log = frame([("2024-01-01", " 2024-02-01 ")], "request string, response string")
+    found = sla.date_outcomes(log)
+    assert [r.days for r in found.collect()] == [31] and found.columns[:2] == ["request", "response"]
+    assert "regexp_replace" not in found._jdf.queryExecution().executedPlan().toString()
