@@ -6,7 +6,7 @@
    (spill), so near pairs part rarely; every tree draws other directions. Every class is routed through every tree.
 3. *Leaves.* Within a leaf cosines are computed in double precision. A leaf gives the links of a spanning forest
    of its linked vectors, never all pairs. A leaf with more than ``leaf_rows`` vectors is cut into row tiles, and each pair
-   of tiles is compared by itself, so no task holds a large leaf.
+   of tiles is compared by itself, so no task holds a large leaf. A tile gives one link for each row at most, two tiles those between their groups.
 4. *Union.* The links of all trees join into components.
 5. *Count.* In each component, again in pairs of row tiles, every vector's links are counted exactly.
 
@@ -36,10 +36,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _matrix(column) -> np.ndarray:
-    values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    values = _one(column)
     return values.flatten().to_numpy(zero_copy_only=False).astype("f8").reshape(len(values), -1)
 
 
+def _one(column) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+
+
 class Tree:
     """Random splits fitted on a sample; ``route`` gives the leaves of every row."""
 
@@ -77,8 +81,37 @@ class Tree:
             todo.append((right, members[along > split - self.margin]))
 
 
-def _spanning(ids: np.ndarray, own: np.ndarray, other: np.ndarray, rows: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """Links that join all linked vectors of two tiles; rows of one group need no second link."""
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a symmetric matrix of links: each row's group, and the links (two arrays) of a tree over every group, found level by level."""
+    np.fill_diagonal(near, False)
+    group = np.arange(len(near))
+    rest = near.any(axis=1)
+    ends, starts = [], []
+    for root in np.flatnonzero(rest):
+        if not rest[root]:
+            continue
+        rest[root] = False
+        level = np.array([root])
+        while len(level):
+            linked = near[level] & rest
+            reached = np.flatnonzero(linked.any(axis=0))
+            starts.append(level[linked[:, reached].argmax(axis=0)])
+            ends.append(reached)
+            rest[reached] = False
+            group[reached] = root
+            level = reached
+    none = [np.zeros(0, "i8")]
+    return group, np.concatenate(none + starts), np.concatenate(none + ends)
+
+
+def _spanning(own: np.ndarray, other: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all linked vectors of one tile; of two tiles only those that join their groups, as each tile gives the links within it."""
+    group, starts, ends = _forest(own @ own.T >= threshold)
+    if other is None:
+        return starts, ends
+    others, _, _ = _forest(other @ other.T >= threshold)
+    i, j = np.nonzero(own @ other.T >= threshold)
+    _, first = np.unique(group[i] * len(other) + others[j], return_index=True)  # one link for two groups
     parent = {}
 
     def root(x):
@@ -86,23 +119,32 @@ def _spanning(ids: np.ndarray, own: np.ndarray, other: np.ndarray, rows: np.ndar
             parent[x] = x = parent[parent[x]]
         return x
 
-    found = []
-    for low in range(0, len(own), 256):
-        part = own[low:low + 256]
-        near = rows[part] @ rows[other].T >= threshold
-        for i, j in zip(*np.nonzero(near)):
-            a, b = part[i], other[j]
-            if a != b and (ra := root(a)) != (rb := root(b)):
-                parent[ra] = rb
-                found.append((int(ids[a]), int(ids[b])))
-    return found
+    kept = []
+    for k in first:
+        if (a := root(int(group[i[k]]))) != (b := root(len(own) + int(others[j[k]]))):
+            parent[a] = b
+            kept.append(k)
+    return i[kept], j[kept]
 
 
 def _leaf_links(group: pa.Table, threshold: float) -> pa.Table:
     ids, tile, i, j = (group.column(k).to_numpy() for k in ("rep", "tile", "i", "j"))
     rows = _unit(_matrix(group.column("vector")))
-    links = _spanning(ids, np.flatnonzero(tile == i), np.flatnonzero(tile == j), rows, threshold)
-    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+    own, other = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+    starts, ends = _spanning(rows[own], None if i[0] == j[0] else rows[other], threshold)
+    return pa.table({"a": pa.array(ids[own[starts]], pa.int64()), "b": pa.array(ids[other[ends]], pa.int64())})
+
+
+def _larger(batches, most: int):
+    """Batches of ``most`` rows and more: a tree visits its nodes for every batch, so small ones cost its size each."""
+    held = []
+    for batch in filter(len, batches):
+        held.append(batch)
+        if sum(map(len, held)) >= most:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def _count_links(group: pa.Table, threshold: float) -> pa.Table:
@@ -159,14 +201,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         forest = [Tree(sample, min(1.0, leaf_rows / n), margin, seed * 1000 + k) for k in range(trees)]
         shared = classes.sparkSession.sparkContext.broadcast(forest)  # as large as the sample allows
 
-        def route(batches, shared=shared):
-            for batch in batches:
+        def route(batches, shared=shared, most=max(1, SAMPLE_VALUES // 4 // dim)):
+            for batch in _larger(batches, most):
                 unit = _unit(_matrix(batch.column(1)))
                 for k, tree in enumerate(shared.value):
                     for leaf, members in tree.route(unit):
                         where = pa.array(members)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(members), k << 32 | leaf)), batch.column(0).take(where), batch.column(1).take(where)], names=["leaf", "rep", "vector"])
+                            [pa.array(np.full(len(members), k << 32 | leaf)), *(_one(batch.column(c).take(where)) for c in (0, 1))], names=["leaf", "rep", "vector"])
 
         placed = own.select("rep", "vector").mapInArrow(route, "leaf long, rep long, vector array<double>")
         tiled = _in_tiles(store.written(placed.select("leaf", "rep"), "leaves"), ["leaf"], leaf_rows).join(own.select("rep", "vector"), "rep")

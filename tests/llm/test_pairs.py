@@ -130,3 +130,19 @@ def test_near_vectors_equal_brute_force(spark):
     assert right >= 0.98 * len(ids) and all(found[i].n_links <= count[i] for i in ids)
     assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
     assert found[708].n_links >= 1 and found[710].component_id == found[711].component_id
+
+
+def test_tiles_give_few_links_that_join_all_groups():
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((12, 24))
+    rows = embeddings._unit(centres[rng.integers(0, 12, 500)] + rng.choice([0.02, 0.15, 0.4], (500, 1)) * rng.standard_normal((500, 24)))
+    tiles = np.array_split(np.arange(500), 4)
+    found = []
+    for a in range(4):
+        for b in range(a, 4):
+            i, j = embeddings._spanning(rows[tiles[a]], None if a == b else rows[tiles[b]], 0.95)
+            assert len(i) < len(tiles[a]) if a == b else len(i) <= 60  # a pair of linked groups, not of rows
+            found += [(int(tiles[a][x]), int(tiles[b][y])) for x, y in zip(i, j)]
+    near = [(a, b) for a, b in zip(*map(lambda x: x.tolist(), np.nonzero(rows @ rows.T >= 0.95))) if a < b]
+    assert all(rows[a] @ rows[b] >= 0.95 - 1e-12 and a != b for a, b in found) and len(near) > 3 * len(found)
+    assert groups_of(found, range(500)) == groups_of(near, range(500))
